@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import let, sketch_bucket, sketch_value, small, stage, text_of, words_of
 
 #: Signals (integers, thousandths, or hundredths of a code point for word_length) and the least distance of a fence above the third quartile.
-SIGNALS = {"symbols": 200, "repeats": 200, "stutter": 200, "dup_lines": 300, "capitals": 300, "word_length": 600}
+SIGNALS = {"symbols": 200, "repeats": 200, "stutter": 200, "dup_lines": 500, "capitals": 300, "word_length": 600}
 
 
 @dataclass(frozen=True)
@@ -181,7 +181,7 @@ s AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_fa
              coalesce(word_chars * 100 // nullif(n_words, 0), 0) AS word_length FROM c),
 v AS (SELECT lang_key, source_key, u.signal, u.least_gap, u.v FROM s, LATERAL (SELECT unnest([
         {{'signal': 'symbols', 'least_gap': 200, 'v': symbols}}, {{'signal': 'repeats', 'least_gap': 200, 'v': repeats}}, {{'signal': 'stutter', 'least_gap': 200, 'v': stutter}},
-        {{'signal': 'dup_lines', 'least_gap': 300, 'v': dup_lines}}, {{'signal': 'capitals', 'least_gap': 300, 'v': capitals}},
+        {{'signal': 'dup_lines', 'least_gap': 500, 'v': dup_lines}}, {{'signal': 'capitals', 'least_gap': 300, 'v': capitals}},
         {{'signal': 'word_length', 'least_gap': 600, 'v': word_length}}]) AS u) WHERE n_words > 0),
 b AS (SELECT lang_key, source_key, signal, least_gap,
              CASE WHEN v < 32 THEN v ELSE (v >> (length(bin(v)) - 5)) << (length(bin(v)) - 5) END AS low FROM v),
