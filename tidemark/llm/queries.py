@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality_rules
+from tidemark.llm import html_main, pii, quality_fm, quality_rules, sp_codec
 from tidemark.llm.common import read
 
+#: Vocabulary files of public tokenizers; installed beside Python, never part of this repository.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op9_quality_rules(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -13,6 +16,24 @@ def op9_quality_rules(spark, sf_dir):
     return kept.select("doc_id", *[f"q.{c}" for c in counts], "kept")
 
 
-QUERIES = {"op9_quality_rules": op9_quality_rules}
+def op2_quality_classifier(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return quality_fm.score_quality(docs, quality_fm.train_quality(docs, read(spark, sf_dir, "labels")))
+
+
+def op6_pii(spark, sf_dir):
+    return pii.detect_pii(read(spark, sf_dir, "documents")).drop("spans_flat")
+
+
+def op8_html_main_text(spark, sf_dir):
+    return html_main.extract_main_text(read(spark, sf_dir, "pages"))
+
+
+def op4_sentencepiece(spark, sf_dir, model_file=PIECE_MODEL):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return sp_codec.encode_documents(docs, sp_codec.Codec(sp_codec.load_pieces(model_file)), with_ids=False)
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op4_sentencepiece, op6_pii, op8_html_main_text, op9_quality_rules)}
 
 ORACLE_SQL = {"op9_quality_rules": quality_rules.ORACLE.format(docs="documents")}
