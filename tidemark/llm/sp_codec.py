@@ -352,6 +352,7 @@ def encode_documents(docs: DataFrame, codec: Codec, with_ids: bool = True, with_
     """
     at = docs.columns.index("text")
     keep = [k for k, c in enumerate(docs.columns) if c != "text"]
+    kept_names = [docs.columns[k] for k in keep]
     shared = docs.sparkSession.sparkContext.broadcast(codec)  # of the size of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,7 +371,7 @@ def encode_documents(docs: DataFrame, codec: Codec, with_ids: bool = True, with_
                     pa.array([xxhash.xxh64_hexdigest(blob[cuts[k] : cuts[k + 1]].tobytes()) for k in range(j - i)], pa.string()),
                     pa.array(same, pa.bool_()),
                 ]
-                names = [docs.columns[k] for k in keep] + ["n_pieces", "ids_hash", "round_trip"]
+                names = [*kept_names, "n_pieces", "ids_hash", "round_trip"]
                 if with_ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(blob)))
                     names.append("ids")
