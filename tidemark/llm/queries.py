@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import html_main, pii, quality_fm, quality_rules, sp_codec
+from tidemark.llm import decontaminate, html_main, minhash, pii, quality_fm, quality_rules, sp_codec
 from tidemark.llm.common import read
 
 #: Vocabulary files of public tokenizers; installed beside Python, never part of this repository.
@@ -16,6 +16,14 @@ def op9_quality_rules(spark, sf_dir):
     return kept.select("doc_id", *[f"q.{c}" for c in counts], "kept")
 
 
+def op1_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_classes(read(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark, sf_dir):
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_quality_classifier(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     return quality_fm.score_quality(docs, quality_fm.train_quality(docs, read(spark, sf_dir, "labels")))
@@ -34,6 +42,6 @@ def op4_sentencepiece(spark, sf_dir, model_file=PIECE_MODEL):
     return sp_codec.encode_documents(docs, sp_codec.Codec(sp_codec.load_pieces(model_file)), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op4_sentencepiece, op6_pii, op8_html_main_text, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_classifier, op3_decontamination, op4_sentencepiece, op6_pii, op8_html_main_text, op9_quality_rules)}
 
 ORACLE_SQL = {"op9_quality_rules": quality_rules.ORACLE.format(docs="documents")}

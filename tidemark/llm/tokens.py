@@ -117,9 +117,9 @@ def shingles(words: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
         ends = np.cumsum(counts)
         extra = []
         for d in short:
-            x = np.uint64(counts[d])
-            for v in h[ends[d] - counts[d] : ends[d]]:
-                x = np.multiply(x, np.uint64(_BASE)) + v
+            x = int(counts[d])
+            for v in h[ends[d] - counts[d] : ends[d]].tolist():
+                x = (x * _BASE + v) & 0xFFFFFFFFFFFFFFFF
             extra.append(x)
         full, of = np.append(full, mix(np.array(extra, np.uint64))), np.append(of, short)
         order = np.argsort(of, kind="stable")
