@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, html_main, minhash, pii, quality_fm, quality_rules, sp_codec
+from tidemark.llm import decontaminate, html_main, katz, minhash, pii, quality_fm, quality_rules, sp_codec
 from tidemark.llm.common import read
 
 #: Vocabulary files of public tokenizers; installed beside Python, never part of this repository.
@@ -33,6 +33,10 @@ def op6_pii(spark, sf_dir):
     return pii.detect_pii(read(spark, sf_dir, "documents")).drop("spans_flat")
 
 
+def op7_katz_lm(spark, sf_dir):
+    return katz.score_texts(read(spark, sf_dir, "documents"))
+
+
 def op8_html_main_text(spark, sf_dir):
     return html_main.extract_main_text(read(spark, sf_dir, "pages"))
 
@@ -42,6 +46,6 @@ def op4_sentencepiece(spark, sf_dir, model_file=PIECE_MODEL):
     return sp_codec.encode_documents(docs, sp_codec.Codec(sp_codec.load_pieces(model_file)), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_classifier, op3_decontamination, op4_sentencepiece, op6_pii, op8_html_main_text, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_classifier, op3_decontamination, op4_sentencepiece, op6_pii, op7_katz_lm, op8_html_main_text, op9_quality_rules)}
 
 ORACLE_SQL = {"op9_quality_rules": quality_rules.ORACLE.format(docs="documents")}
