@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, html_main, katz, minhash, pii, quality_fm, quality_rules, sp_codec
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, html_main, katz, minhash, pii, quality_fm, quality_rules, sp_codec, substrings, token_trees
 from tidemark.llm.common import read
 
 #: Vocabulary files of public tokenizers; installed beside Python, never part of this repository.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def op9_quality_rules(spark, sf_dir):
@@ -29,6 +32,15 @@ def op2_quality_classifier(spark, sf_dir):
     return quality_fm.score_quality(docs, quality_fm.train_quality(docs, read(spark, sf_dir, "labels")))
 
 
+def op5_substring_dedup(spark, sf_dir):
+    return substrings.repeated_spans(read(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark, sf_dir, ranks_file=BYTE_RANKS):
+    docs = read(spark, sf_dir, "documents").withColumn("edits", token_trees.derived_edits(F.col("text"), F.col("doc_id")))
+    return token_trees.count_edited(docs, token_trees.load_ranks(ranks_file))
+
+
 def op6_pii(spark, sf_dir):
     return pii.detect_pii(read(spark, sf_dir, "documents")).drop("spans_flat")
 
@@ -46,6 +58,6 @@ def op4_sentencepiece(spark, sf_dir, model_file=PIECE_MODEL):
     return sp_codec.encode_documents(docs, sp_codec.Codec(sp_codec.load_pieces(model_file)), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_classifier, op3_decontamination, op4_sentencepiece, op6_pii, op7_katz_lm, op8_html_main_text, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_classifier, op3_decontamination, op4_sentencepiece, op5_substring_dedup, op6_pii, op7_katz_lm, op8_html_main_text, op9_quality_rules, op10_token_counts)}
 
 ORACLE_SQL = {"op9_quality_rules": quality_rules.ORACLE.format(docs="documents")}
