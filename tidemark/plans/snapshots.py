@@ -1,6 +1,6 @@
 """All snapshot queries."""
 
-from tidemark.plans import dashboard_jobs, queue_jobs  # noqa: F401
+from tidemark.plans import dashboard_jobs, entity_jobs, queue_jobs  # noqa: F401
 from tidemark.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
