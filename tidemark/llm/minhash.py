@@ -5,11 +5,11 @@ words (document frequencies of all documents, in a fixed number of hashed bucket
 gives signatures whose positions agree with a probability of the weighted Jaccard similarity; bands of them make buckets.
 
 Exact copies collapse to one text first. In each bucket every text is compared with a leader, so a bucket of n texts costs n
-comparisons. Buckets whose texts are not all in one class then go on: small ones compare all pairs of different classes,
-large ones take further leaders, from texts outside the bucket's largest class, until the bucket is one class or every such
-text has been a leader. No two texts of a bucket thus stay apart without a comparison, and no pair inside a class is made.
-Pairs whose signatures agree in far fewer positions than the threshold asks for are dropped, the others are verified by the
-weighted Jaccard similarity of their whole texts. Classes are the connected components of the verified links.
+comparisons. Buckets whose texts are not all in one class then go on: the texts outside the bucket's largest class meet
+those of other classes: in small buckets as pairs; in large ones first the best agreeing partners of a text, then, block by
+block, all that are left, and only links leave a block. No two texts of a bucket stay apart without a comparison, and no
+pair inside a class is made. Pairs whose signatures agree in far fewer positions than the threshold asks for are dropped, the others are
+verified by the weighted Jaccard similarity of their whole texts. Classes are the connected components of the verified links.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,14 +33,16 @@ _STEP = 4096
 
 @dataclass(frozen=True)
 class NearPolicy:
-    """bands x rows sampled positions. slack: share of agreeing positions below which a pair is not verified (six standard deviations under the threshold)."""
+    """bands x rows sampled positions. slack: share of agreeing positions below which a
+    pair is not verified (four standard deviations under the threshold). all_pairs: size of a small bucket. block: texts of a block of a large one."""
 
     size: int = 5
     threshold: float = 0.8
     bands: int = 16
     rows: int = 4
-    slack: float = 0.5
-    all_pairs: int = 64
+    slack: float = 0.6
+    all_pairs: int = 16
+    block: int = 512
     df_tasks: int = 4096
 
 
@@ -187,6 +190,96 @@ def weighted_jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndar
     return float(both / (wa.sum(dtype=np.float64) + wb.sum(dtype=np.float64) - both))
 
 
+def _blocks(rows: DataFrame, policy: NearPolicy) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the block comparison of large buckets. rows: (key, band, doc, n, label, top, ...).
+
+    Texts outside a bucket's largest class meet all texts of the bucket, one block with one block at a time.
+    """
+    blocks = F.ceil(F.col("n") / policy.block).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    own = [c for c in rows.columns if c not in ("key", "n", "block")]
+    left = rows.where("label <> top").select("key", F.col("block").alias("i"), every.alias("j"), *own)
+    right = rows.select("key", every.alias("i"), F.col("block").alias("j"), *own)
+    return left, right.toDF(*[f"{c}_r" for c in right.columns])
+
+
+def _agreement(x: pd.DataFrame, y: pd.DataFrame, policy: NearPolicy) -> np.ndarray:
+    """Agreeing positions of each pair of signatures; 0 for a pair of one class, one that an earlier band brings together, or one met the other way round."""
+    sx, sy = np.stack(x["sig"].to_numpy()), np.stack(y["sig_r"].to_numpy())
+    agree = np.zeros((len(x), len(y)), np.uint8)
+    earlier = np.zeros(agree.shape, bool)
+    for band in range(policy.bands):
+        whole = np.ones(agree.shape, bool)
+        for k in range(band * policy.rows, (band + 1) * policy.rows):
+            same = sx[:, k][:, None] == sy[:, k]
+            agree += same
+            whole &= same
+        if band < x["band"].iloc[0]:
+            earlier |= whole
+    dx, dy = x["doc"].to_numpy(), y["doc_r"].to_numpy()
+    outside = (y["label_r"] != y["top_r"]).to_numpy()
+    agree[earlier | (x["label"].to_numpy()[:, None] == y["label_r"].to_numpy()) | (outside & (dx[:, None] >= dy))] = 0
+    return agree
+
+
+def _block_pairs(rows: DataFrame, policy: NearPolicy, best: int = 4) -> DataFrame:
+    """Pairs (a, b) of different classes from large buckets: the best agreeing partners of a text in each block."""
+    left, right = _blocks(rows, policy)
+    kind = rows.schema["doc"].dataType.simpleString()
+    least = int(policy.slack * policy.bands * policy.rows)
+
+    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": []})
+        agree = _agreement(x, y, policy)
+        to = np.argsort(-agree.astype(np.int16), axis=1, kind="stable")[:, :best]
+        at = np.repeat(np.arange(len(x)), to.shape[1])
+        to = to.ravel()
+        ok = agree[at, to] >= least
+        p, q = x["doc"].to_numpy()[at[ok]], y["doc_r"].to_numpy()[to[ok]]
+        return pd.DataFrame({"a": np.minimum(p, q), "b": np.maximum(p, q)})
+
+    return left.groupBy("key", "i", "j").cogroup(right.groupBy("key_r", "i_r", "j_r")).applyInPandas(compare, f"a {kind}, b {kind}")
+
+
+def _block_links(rows: DataFrame, policy: NearPolicy) -> DataFrame:
+    """Verified links (a, b) of different classes from large buckets. rows: with h and w, the shingles.
+
+    Every pair that agrees well enough is compared, the best agreeing first; none is once its two classes are linked in the block.
+    """
+    left, right = _blocks(rows, policy)
+    kind = rows.schema["doc"].dataType.simpleString()
+    least = int(policy.slack * policy.bands * policy.rows)
+
+    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": []})
+        agree = _agreement(x, y, policy)
+        at, to = np.nonzero(agree >= least)
+        order = np.argsort(-agree[at, to].astype(np.int16), kind="stable")
+        shingle = lambda df, s: [(np.frombuffer(h, np.uint64), np.frombuffer(w, np.float32)) for h, w in zip(df[f"h{s}"], df[f"w{s}"], strict=True)]
+        fx, fy = shingle(x, ""), shingle(y, "_r")
+        lx, ly = x["label"].tolist(), y["label_r"].tolist()
+        dx, dy = x["doc"].tolist(), y["doc_r"].tolist()
+        root: dict = {}
+
+        def find(v):
+            while root.get(v, v) != v:
+                v = root[v]
+            return v
+
+        out = []
+        for i, j in zip(at[order].tolist(), to[order].tolist(), strict=True):
+            p, q = find(lx[i]), find(ly[j])
+            if p != q and weighted_jaccard(*fx[i], *fy[j]) >= policy.threshold:
+                root[p] = q
+                out.append((min(dx[i], dy[j]), max(dx[i], dy[j])))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return left.groupBy("key", "i", "j").cogroup(right.groupBy("key_r", "i_r", "j_r")).applyInPandas(compare, f"a {kind}, b {kind}")
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, sigs: DataFrame, idf: np.ndarray, policy: NearPolicy) -> DataFrame:
     """The pairs (a, b) with a similarity of the threshold or more."""
     agree = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
@@ -241,41 +334,36 @@ def near_classes(docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataFram
     texts = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
     texts = stage(texts.where("doc IS NOT NULL"), "texts")
     sigs = texts.select("doc", "sig")
-    banded = texts.select("doc", F.explode("bands").alias("key"))
+    banded = texts.select("doc", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("leader")).where("n > 1")
     buckets = stage(banded.join(shared, "key"), "buckets")  # texts that share a bucket with another
 
     pairs = buckets.where("doc <> leader").select(F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")).distinct()
     pairs = stage(pairs, "pairs")
     links = stage(_verify(pairs, docs, sigs, idf, policy), "links")
-    tried, led = pairs, None
-    turn = 0
-    while True:
-        labels = connected_components(links)
-        if buckets.isEmpty():
-            break
-        named = buckets.select("key", "doc", "n").join(labels, "doc", "left").select("key", "doc", "n", F.coalesce("label", "doc").alias("label"))
+    labels = connected_components(links)
+    big = F.col("n") > policy.all_pairs
+
+    def unsettled() -> DataFrame:
+        """Texts of buckets that are not one class yet."""
+        named = buckets.select("key", "band", "doc", "n").join(labels, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
         sizes = named.groupBy("key", "label").agg(F.count("*").alias("m"))
         top = sizes.groupBy("key").agg(F.max(F.struct("m", "label"))["label"].alias("top"), F.count("*").alias("parts")).where("parts > 1").select("key", "top")
-        split = stage(named.join(top, "key"), "split")
-        outside = split.where("label <> top").select("key", "doc", "n", "label")
-        few = F.col("n") <= policy.all_pairs
-        leaders = outside.where(few) if turn == 0 else outside.where(F.lit(False))
-        spare = outside.where(~few)
-        if led is not None:
-            spare = spare.join(led, ["key", "doc"], "left_anti")
-        many = min(1 << max(turn - 2, 0), policy.all_pairs)
-        chosen = spare.groupBy("key", F.pmod(F.xxhash64("doc"), F.lit(many)).alias("__s")).agg(F.min(F.struct("doc", "label")).alias("x")).select("key", "x.doc", "x.label")
-        leaders = stage(leaders.select("key", "doc", "label").union(chosen), "leaders")
-        if leaders.isEmpty():
-            break
-        led = leaders.select("key", "doc") if led is None else stage(led.union(leaders.select("key", "doc")), "led")
-        others = split.select("key", F.col("doc").alias("other"), F.col("label").alias("other_label"))
-        new = leaders.join(others, "key").where("label <> other_label").select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct()
-        new = stage(new.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = stage(links.union(_verify(new, docs, sigs, idf, policy)), "links")
-        tried = stage(tried.union(new), "tried")
-        turn += 1
+        return stage(named.join(top, "key").select("key", "band", "doc", "n", "label", "top"), "split")
+
+    split = unsettled()
+    few = split.where(~big)
+    others = few.select("key", F.col("doc").alias("other"), F.col("label").alias("other_label"))
+    both = few.where("label <> top").join(others, "key").where("label <> other_label")
+    new = both.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).union(_block_pairs(split.where(big).join(sigs, "doc"), policy))
+    new = stage(new.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    links = stage(links.union(_verify(new, docs, sigs, idf, policy)), "links")
+    labels = connected_components(links)
+    split = unsettled().where(big)
+    if not split.isEmpty():
+        features = stage(_features(docs, stage(split.select("doc").distinct(), "ids"), idf, policy), "shingles")
+        links = stage(links.union(_block_links(split.join(sigs, "doc").join(features, "doc"), policy)), "links")
+        labels = connected_components(links)
 
     classes = texts.select("digest", "doc").join(labels, "doc", "left").select("digest", F.coalesce("label", "doc").alias("class"))
     out = signed.select("doc_id", "digest").join(classes, "digest", "left").select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
