@@ -10,6 +10,7 @@ grow in number with the corpus; nothing but a dozen totals passes through the dr
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,8 +18,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from tidemark.llm.common import stage
 from tidemark.llm.quality_fm import held_out
@@ -35,8 +38,8 @@ class KatzPolicy:
     """chunk: bytes of text that a task works on at a time. partition: bytes of text for each partition of the count tables."""
 
     folds: int = 10
-    chunk: int = 12 << 20
-    partition: int = 24 << 20
+    chunk: int = 10 << 20
+    partition: int = 16 << 20
     least_partitions: int = 16
 
 
@@ -101,6 +104,25 @@ class Chunk:
         return out
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time: a chunk is megabytes."""
+    for batch in batches:
+        for k in range(len(batch)):
+            yield {name: batch.column(i)[k].as_py() for i, name in enumerate(batch.schema.names)}
+
+
+def _buckets(spark: SparkSession) -> int:
+    return max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def bucketed(chunks: DataFrame) -> DataFrame:
+    """The chunks as a table in the shared warehouse, bucketed by cid: their texts are never shuffled, only the answers come to them."""
+    spark = chunks.sparkSession
+    name = f"katz_chunks_{uuid.uuid4().hex}"
+    chunks.write.bucketBy(_buckets(spark), "cid").saveAsTable(name)
+    return spark.table(name)
+
+
 def _split(keys: np.ndarray, bits: int) -> np.ndarray:
     """Bounds of the 2**bits hash ranges in sorted keys."""
     return np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
@@ -108,21 +130,20 @@ def _split(keys: np.ndarray, bits: int) -> np.ndarray:
 
 def _word_requests(chunks: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = Chunk(row["held"], row["offsets"], row["text"])
-                counts = np.bincount(c.of, c.train, len(c.keys)).astype(np.uint32)
-                cut = _split(c.keys, bits)
-                some = np.flatnonzero(np.diff(cut))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(some), row["cid"])),
-                        pa.array(some.astype(np.int32)),
-                        pa.array([pack(_gaps(c.keys[cut[p] : cut[p + 1]])) for p in some], pa.binary()),
-                        pa.array([pack(counts[cut[p] : cut[p + 1]]) for p in some], pa.binary()),
-                    ],
-                    ["cid", "p", "keys", "n"],
-                )
+        for row in _rows(batches):
+            c = Chunk(row["held"], row["offsets"], row["text"])
+            counts = np.bincount(c.of, c.train, len(c.keys)).astype(np.uint32)
+            cut = _split(c.keys, bits)
+            some = np.flatnonzero(np.diff(cut))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(some), row["cid"])),
+                    pa.array(some.astype(np.int32)),
+                    pa.array([pack(_gaps(c.keys[cut[p] : cut[p + 1]])) for p in some], pa.binary()),
+                    pa.array([pack(counts[cut[p] : cut[p + 1]]) for p in some], pa.binary()),
+                ],
+                ["cid", "p", "keys", "n"],
+            )
 
     return chunks.select("cid", "held", "offsets", "text").mapInArrow(run, "cid long, p int, keys binary, n binary")
 
@@ -197,7 +218,7 @@ class Bigrams:
         home = (mix(self.h_key) >> np.uint64(64 - t.bits)).astype(np.int64)
         step = (mix(c.keys[w] ^ np.uint64(0xA5A5)) >> np.uint64(11)).astype(np.int64)
         p = (home[h] + step % wide[h]) % (1 << t.bits)
-        short = c.keys[w] >> np.uint64(16)  # 48 bits of the next word
+        short = c.keys[w] >> np.uint64(24)  # 40 bits of the next word: enough beside the whole hash of the history
         self.order = np.lexsort((short, self.h_key[h], p))
         self.place = np.empty(len(pair), np.int64)
         self.place[self.order] = np.arange(len(pair))
@@ -224,21 +245,20 @@ def _filled(answers: list, kind: type) -> np.ndarray:
 
 def _bigram_requests(chunks: DataFrame, totals: Totals) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                c = Chunk(row["held"], row["offsets"], row["text"])
-                b = Bigrams(c, _filled(row["words"], np.uint32).astype(np.int64), totals)
-                parts = np.arange((1 << totals.bits) + 1)
-                rows, groups = np.searchsorted(b.p, parts), np.searchsorted(b.g_p, parts)
-                some = np.flatnonzero(np.diff(groups))
-                cols = [[] for _ in range(5)]
-                for p in some:
-                    r, g = slice(rows[p], rows[p + 1]), slice(groups[p], groups[p + 1])
-                    for col, x in zip(cols, (_gaps(b.h_key[b.g_h[g]]), b.g_n[g].astype(np.uint32), b.short[r], b.n[r], b.cw[r].astype(np.uint32)), strict=True):
-                        col.append(pack(x))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), row["cid"])), pa.array(some.astype(np.int32)), *[pa.array(x, pa.binary()) for x in cols]], ["cid", "p", "h", "hn", "w", "n", "cw"]
-                )
+        for row in _rows(batches):
+            c = Chunk(row["held"], row["offsets"], row["text"])
+            b = Bigrams(c, _filled(row["words"], np.uint32).astype(np.int64), totals)
+            parts = np.arange((1 << totals.bits) + 1)
+            rows, groups = np.searchsorted(b.p, parts), np.searchsorted(b.g_p, parts)
+            some = np.flatnonzero(np.diff(groups))
+            cols = [[] for _ in range(5)]
+            for p in some:
+                r, g = slice(rows[p], rows[p + 1]), slice(groups[p], groups[p + 1])
+                for col, x in zip(cols, (_gaps(b.h_key[b.g_h[g]]), b.g_n[g].astype(np.uint32), b.short[r], b.n[r], np.where(b.n[r] > 0, b.cw[r], 0).astype(np.uint32)), strict=True):
+                    col.append(pack(x))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(some), row["cid"])), pa.array(some.astype(np.int32)), *[pa.array(x, pa.binary()) for x in cols]], ["cid", "p", "h", "hn", "w", "n", "cw"]
+            )
 
     return chunks.select("cid", "held", "offsets", "text", "words").mapInArrow(run, "cid long, p int, h binary, hn binary, w binary, n binary, cw binary")
 
@@ -259,9 +279,11 @@ def _count_bigrams(totals: Totals):
         _, first, of = np.unique(key, return_index=True, return_inverse=True)
         total = np.bincount(of, n, len(first)).astype(np.int64)
         th, seen = h[first], total > 0
+        counted = np.zeros(len(first), np.int64)
+        counted[of[n > 0]] = cw[n > 0]  # chunks send a word's count with bigrams that they train on
         sums = [np.bincount(th[total == r], minlength=len(every_h)).astype(np.uint32) for r in range(1, CUT + 1)]
         sums.append(np.bincount(th, np.where(total > CUT, total, 0), len(every_h)).astype(np.uint32))
-        mass = np.bincount(th, np.where(seen, totals.p1(cw[first]), 0), len(every_h))
+        mass = np.bincount(th, np.where(seen, totals.p1(counted), 0), len(every_h)).astype(np.float32)
         answers, at, row = [], 0, 0
         for keys, sizes in zip(hs, hn, strict=True):
             mine, own = slice(at, at + len(keys)), slice(row, row + int(sizes.sum()))
@@ -283,7 +305,7 @@ def _totals(answers: DataFrame) -> list[int]:
 
 
 def _with(chunks: DataFrame, answers: DataFrame, name: str, *columns: str) -> DataFrame:
-    lists = answers.where("cid IS NOT NULL").groupBy("cid").agg(F.collect_list(F.struct("p", *columns)).alias(name))  # one chunk's own answers
+    lists = answers.where("cid IS NOT NULL").repartition(_buckets(chunks.sparkSession), "cid").groupBy("cid").agg(F.collect_list(F.struct("p", *columns)).alias(name))  # one chunk's own answers
     return chunks.join(lists.hint("shuffle_hash"), "cid", "left")
 
 
@@ -294,7 +316,7 @@ def score_texts(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame
     every token is unknown and has probability 1.
     """
     spark = docs.sparkSession
-    chunks = stage(packed_chunks(docs, policy), "chunks", 16)
+    chunks = bucketed(packed_chunks(docs, policy))
     if chunks.isEmpty():
         kind = docs.schema["doc_id"].dataType.simpleString()
         return spark.createDataFrame([], f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
@@ -310,7 +332,7 @@ def score_texts(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame
     schema = "cid long, p int, answer binary, sums binary, mass binary, totals array<long>"
     pairs = stage(_bigram_requests(named, totals).groupBy("p").applyInPandas(_count_bigrams(totals), schema), "bigrams")
     totals.d2 = discounts(_totals(pairs)[2:])
-    return _score(_with(named, pairs, "pairs", "answer", "sums", "mass"), totals, docs.schema["doc_id"].dataType.simpleString())
+    return _score(_with(named, pairs, "pairs", "answer", "sums", "mass"), totals, docs.schema["doc_id"].dataType)
 
 
 def log_probabilities(b: Bigrams, count: np.ndarray, c: Chunk, pair_n: np.ndarray, sums: np.ndarray, mass: np.ndarray, t: Totals) -> np.ndarray:
@@ -325,35 +347,35 @@ def log_probabilities(b: Bigrams, count: np.ndarray, c: Chunk, pair_n: np.ndarra
     return np.log10(np.maximum(p, 1e-300))[b.place[b.of]]
 
 
-def _score(chunks: DataFrame, totals: Totals, kind: str) -> DataFrame:
+def _score(chunks: DataFrame, totals: Totals, kind: DataType) -> DataFrame:
+    id_type = to_arrow_type(kind)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(len(batch)):
-                row = {name: batch.column(name)[k].as_py() for name in ("held", "offsets", "text", "words", "pairs")}
-                c = Chunk(row["held"], row["offsets"], row["text"])
-                count = _filled(row["words"], np.uint32).astype(np.int64)
-                b = Bigrams(c, count, totals)
-                pairs = sorted(row["pairs"], key=lambda a: a["p"])
-                pair_n = _filled(pairs, np.uint32).astype(np.int64)
-                sums = np.concatenate([unpack(a["sums"], np.uint32).reshape(-1, CUT + 1) for a in pairs]).astype(np.float64)
-                mass = np.concatenate([unpack(a["mass"], np.float64) for a in pairs])
-                score = np.bincount(c.doc, log_probabilities(b, count, c, pair_n, sums, mass, totals), c.n)
-                of = count[c.of]
-                base = np.bincount(c.doc, np.log10((of + 0.1) / (totals.tokens + 0.1 * (totals.types + 1))), c.n)
-                tokens = np.bincount(c.doc, minlength=c.n)
-                known = np.bincount(c.doc, of > 0, c.n).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("ids")[k].values,
-                        batch.column("held")[k].values,
-                        pa.array(tokens),
-                        pa.array(known),
-                        pa.array(np.full(c.n, totals.tokens)),
-                        pa.array(base),
-                        pa.array(score),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
-
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        for row in _rows(batches):
+            c = Chunk(row["held"], row["offsets"], row["text"])
+            count = _filled(row["words"], np.uint32).astype(np.int64)
+            b = Bigrams(c, count, totals)
+            pairs = sorted(row["pairs"], key=lambda a: a["p"])
+            pair_n = _filled(pairs, np.uint32).astype(np.int64)
+            sums = np.concatenate([unpack(a["sums"], np.uint32).reshape(-1, CUT + 1) for a in pairs]).astype(np.float64)
+            mass = np.concatenate([unpack(a["mass"], np.float32) for a in pairs])
+            score = np.bincount(c.doc, log_probabilities(b, count, c, pair_n, sums, mass, totals), c.n)
+            of = count[c.of]
+            base = np.bincount(c.doc, np.log10((of + 0.1) / (totals.tokens + 0.1 * (totals.types + 1))), c.n)
+            tokens = np.bincount(c.doc, minlength=c.n)
+            known = np.bincount(c.doc, of > 0, c.n).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(row["ids"], id_type),
+                    pa.array(row["held"], pa.bool_()),
+                    pa.array(tokens),
+                    pa.array(known),
+                    pa.array(np.full(c.n, totals.tokens)),
+                    pa.array(base),
+                    pa.array(score),
+                ],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
+
+    schema = f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return chunks.select("ids", "held", "offsets", "text", "words", "pairs").mapInArrow(run, schema)
