@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,18 @@ def stage(df: DataFrame, name: str = "stage", row_group_mb: int | None = None) -
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Arrow batches of n rows for the actions inside: for rows of many kilobytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
     """A broadcast hint if a count shows at most max_rows narrow rows; beyond that a plain shuffled join stays."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

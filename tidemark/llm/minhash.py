@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small, stage
+from tidemark.llm.common import arrow_rows, small, stage
 from tidemark.llm.tokens import Splitter, Words, buffers, mix, runs, shingles
 
 DF_BITS = 18
@@ -291,7 +291,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, sigs: DataFrame, idf: np.ndarray,
     )
     near = stage(near, "near")
     ids = near.select(F.col("a").alias("doc")).union(near.select(F.col("b").alias("doc"))).distinct()
-    features = stage(_features(docs, stage(ids, "ids"), idf, policy), "shingles")
+    with arrow_rows(pairs.sparkSession, 2000):
+        features = stage(_features(docs, stage(ids, "ids"), idf, policy), "shingles")
     side = lambda s: features.select(F.col("doc").alias(s), F.col("h").alias(f"h{s}"), F.col("w").alias(f"w{s}"))
     kind = pairs.schema["a"].dataType.simpleString()
 
@@ -304,7 +305,9 @@ def _verify(pairs: DataFrame, docs: DataFrame, sigs: DataFrame, idf: np.ndarray,
             ]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return near.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ha", "wa", "hb", "wb").mapInArrow(run, f"a {kind}, b {kind}")
+    wide = near.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ha", "wa", "hb", "wb")
+    with arrow_rows(pairs.sparkSession, 256):  # a row holds the shingles of two texts
+        return stage(wide.mapInArrow(run, f"a {kind}, b {kind}"), "verified")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
@@ -362,7 +365,8 @@ def near_classes(docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataFram
     split = unsettled().where(big)
     if not split.isEmpty():
         features = stage(_features(docs, stage(split.select("doc").distinct(), "ids"), idf, policy), "shingles")
-        links = stage(links.union(_block_links(split.join(sigs, "doc").join(features, "doc"), policy)), "links")
+        with arrow_rows(docs.sparkSession, 256):
+            links = stage(links.union(_block_links(split.join(sigs, "doc").join(features, "doc"), policy)), "links")
         labels = connected_components(links)
 
     classes = texts.select("digest", "doc").join(labels, "doc", "left").select("digest", F.coalesce("label", "doc").alias("class"))
