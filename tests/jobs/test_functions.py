@@ -63,7 +63,7 @@ def test_brazilian_numbers(spark):
 
 def test_names_and_periods(spark):
     r = one(
-        spark, a=T.normalized_name(F.lit("  São João ")), b=T.normalize_key(F.lit("D) Ônibus")), c=T.normalize_label(F.lit("Caminhões  X")), d=T.reference_period(F.lit("fenabrave/2026/04/2026_04_02.pdf")),
+        spark, a=T.normalized_name(F.lit("  São João ")), b=T.normalize_key(F.lit("D) Ônibus")), c=T.normalize_label(F.lit("Caminhões  X")), d=T.reference_period(F.lit("market/2026/04/2026_04_02.pdf")),
         e=T.reference_period(F.lit("x/2026_13.pdf")), f=T.safe_filename(F.lit(" a/b?c ")), y=T.year_of(F.lit("model 1998 and 2001")), n=T.normalize_text(F.lit("a  b\n c ")),
     )
     assert (r.a, r.b, r.c, r.d, r.e, r.f, r.y, r.n) == ("sao joao", "d onibus", "caminhoes x", date(2026, 4, 1), None, "a_b_c", "1998", "a b c")
