@@ -200,6 +200,7 @@ def q60(t):
   (SELECT post_id, (views + 10 * likes + 20 * comments)::DOUBLE AS score, (s6.v + 10 * s6.l + 20 * s6.c)::DOUBLE AS s6, (s24.v + 10 * s24.l + 20 * s24.c)::DOUBLE AS s24, hours_6h AS h6, hours_24h AS h24 FROM ef WHERE s24 IS NOT NULL)
   WHERE h24 > h6 ORDER BY velocity_6h DESC, post_id LIMIT 50""",
     FEATURES_CTE,
+    six_digits="velocity_6h previous_velocity acceleration",
 )
 def q44(t, limit: int = 50):
     """Posts that gain most in the last hours; posts without both earlier snapshots, or with one snapshot for both, have too little history."""
@@ -215,6 +216,7 @@ def q44(t, limit: int = 50):
     "q45_creator_growth",
     """SELECT creator_id, b.f - a.f AS follower_delta, CASE WHEN a.f > 0 THEN round((b.f - a.f)::DECIMAL(38,10) * 100 / a.f, 4)::DOUBLE END AS follower_pct, (b.f - a.f) / (epoch_us(b.t - a.t) / 8.64e10) AS followers_a_day
   FROM (SELECT creator_id, min_by({'t': collected_at, 'f': followers}, (collected_at, id)) AS a, max_by({'t': collected_at, 'f': followers}, (collected_at, id)) AS b FROM ehist WHERE collected_at >= TIMESTAMP '2024-01-24 00:00:00' GROUP BY 1) WHERE b.t > a.t""",
+    six_digits="followers_a_day",
 )
 def q45(t):
     e = endpoints(t.event_history, "creator_id", "collected_at", "id", ["followers"], t.as_of_events - hours(168))
@@ -227,6 +229,7 @@ def q45(t):
     "q65_collection_audit",
     """SELECT post_id, count(*) AS snapshots, max(gap) AS longest_gap_hours, count(*) FILTER (gap > 24) AS gaps_24h, count(*) FILTER (gap = 0) AS same_time FROM
   (SELECT post_id, epoch_us(collected_at - lag(collected_at) OVER (PARTITION BY post_id ORDER BY collected_at, id)) / 3.6e9 AS gap FROM ehist) GROUP BY 1""",
+    six_digits="longest_gap_hours",
 )
 def q65(t):
     w = Window.partitionBy("post_id").orderBy("collected_at", "id")

@@ -129,7 +129,7 @@ FEATURE_COLUMNS = (
 ).split()
 
 
-@query("q03_priority_features_v2", f"SELECT {', '.join(FEATURE_COLUMNS)} FROM ef", FEATURES_CTE)
+@query("q03_priority_features_v2", f"SELECT {', '.join(FEATURE_COLUMNS)} FROM ef", FEATURES_CTE, six_digits="hours_6h hours_24h base_popularity velocity_raw_6h velocity_raw_24h velocity_score acceleration_score priority_score_v2")
 def q03(t):
     return features_v2(t.event_posts, t.event_history).select(*FEATURE_COLUMNS)
 
@@ -159,7 +159,7 @@ batch2 AS (SELECT *, row_number() OVER (ORDER BY priority_band_v2 DESC, next_che
 BATCH2_COLUMNS = ["post_id", "priority_score", "last_checked", "next_check", "priority_score_v2", "priority_band_v2", "history_level", "batch_rank"]
 
 
-@query("q04_queue_batch_v2", f"SELECT {', '.join(BATCH2_COLUMNS)} FROM batch2 WHERE batch_rank <= 40", BATCH2_CTE)
+@query("q04_queue_batch_v2", f"SELECT {', '.join(BATCH2_COLUMNS)} FROM batch2 WHERE batch_rank <= 40", BATCH2_CTE, six_digits="priority_score_v2")
 def q04(t):
     return queue_batch_v2(t).select(*BATCH2_COLUMNS)
 
@@ -199,6 +199,7 @@ cl AS (SELECT q.*, p.post_date, p.created_at, coalesce(c.total_checagens, 0) AS
   count(*) FILTER (staleness_days > 7) AS over_7d, count(*) FILTER (is_due_now) AS due, count(*) FILTER (post_id IN (SELECT post_id FROM batch WHERE batch_rank <= 50)) AS in_batch,
   min(effective_last_check) AS oldest_check, max(effective_last_check) AS newest_check, min(next_check) FILTER (is_due_now) AS most_overdue FROM cl GROUP BY ALL""",
     BATCH_CTE.strip() + ", " + CLASSIFIED_CTE,
+    six_digits="avg_staleness_days p50_staleness_days p90_staleness_days p95_staleness_days max_staleness_days",
 )
 def q09(t):
     batch = F.broadcast(queue_batch(t).select("post_id", F.lit(True).alias("__in")))  # a batch: policy.batch rows
@@ -334,6 +335,7 @@ TOP_LEVELS = "(SELECT *, row_number() OVER (PARTITION BY history_level ORDER BY
     "q34_score_full_vs_low",
     f"SELECT history_level, count(*) AS posts, avg(priority_score_v2) AS mean_score, avg(velocity_score) AS mean_velocity, avg(base_popularity) AS mean_base FROM {TOP_LEVELS} WHERE rn <= 50 GROUP BY 1",
     POST_FEATURES_CTE,
+    six_digits="mean_score mean_velocity mean_base",
 )
 def q34(t):
     f = post_features(t).select("post_id", "history_level", "priority_score_v2", "velocity_score", "base_popularity")
@@ -366,6 +368,7 @@ def q35(t):
   (SELECT count(*) FROM batch2 b JOIN batch a USING (post_id) WHERE b.batch_rank <= 40 AND a.batch_rank <= 50) * 100.0 / 40 AS overlap_pct,
   count(*) FILTER (total_checagens >= (SELECT quantile_cont(checks, 0.99) FROM scored)) AS top_1_pct_posts FROM batch WHERE batch_rank <= 50""",
     BATCH2_CTE,
+    six_digits="mean_checks overlap_pct",
 )
 def q36(t):
     both = batch_comparison(t).agg((F.count_if(col("side") == "both") * 100.0 / P.batch_v2).alias("overlap_pct"))
@@ -397,7 +400,7 @@ def coverage(t: Tables) -> DataFrame:
     return rows.select("post_id", "created_at", checks.alias("checks"), score.alias("score"), M.coverage_status(checks, col("created_at"), t.as_of).alias("coverage_status"))
 
 
-@query("q37_coverage_daily", "SELECT coverage_status, count(*) AS posts, avg(checks) AS mean_checks FROM cov GROUP BY 1", COVERAGE_CTE)
+@query("q37_coverage_daily", "SELECT coverage_status, count(*) AS posts, avg(checks) AS mean_checks FROM cov GROUP BY 1", COVERAGE_CTE, six_digits="mean_checks")
 def q37a(t):
     return coverage(t).groupBy("coverage_status").agg(F.count("*").alias("posts"), F.avg("checks").alias("mean_checks"))
 
@@ -489,6 +492,7 @@ def q39b(t):
   FROM (SELECT max(collected_at) AS last_evidence, epoch_us(TIMESTAMP '2024-01-31 00:00:00' - max(collected_at)) / 6e7 AS age_minutes, count(DISTINCT post_id) FILTER (collected_at >= TIMESTAMP '2024-01-30 00:00:00') AS posts_24h
         FROM ehist WHERE collected_at <= TIMESTAMP '2024-01-31 00:00:00'), (SELECT count(*) AS queued, count(*) FILTER (is_due_now) AS overdue FROM cl)""",
     CLASSIFIED_CTE,
+    six_digits="age_minutes",
 )
 def q43(t):
     recent = F.when(col("collected_at") >= t.as_of_events - hours(24), col("post_id"))
@@ -516,6 +520,7 @@ def q56(t):
     "q62_hybrid_score_v2_1",
     """SELECT post_id, base_popularity + least(1.5 * velocity_score, 15) + least(1.0 * acceleration_score, 10) + CASE history_level WHEN 'full' THEN 0 WHEN 'partial' THEN -2 ELSE -5 END AS score_v2_1 FROM ef""",
     FEATURES_CTE,
+    six_digits="score_v2_1",
 )
 def q62(t, velocity=(1.5, 15.0), acceleration=(1.0, 10.0), coverage_adjustment=(0.0, -2.0, -5.0)):
     """Base plus bounded velocity and acceleration bonuses and a coverage adjustment; the weights are parameters."""
