@@ -92,3 +92,24 @@ def test_empty_table_and_only_held_out(spark):
     r = katz.score_texts(spark.createDataFrame([(only, "a b", "x", "y")], SCHEMA)).first()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, 3, 0, 0)
     assert np.isfinite(r.score)
+
+
+def test_one_odd_count_of_counts_keeps_good_turing():
+    n = [1000, 300, 150, 90, 100, 50]  # only counts 4 and 5 give no ratio that rises in (0, 1)
+    tail = 6 * 50 / 1000
+    turing = [((r + 1) * n[r] / n[r - 1] / r - tail) / (1 - tail) for r in range(1, 6)]
+    assert turing[3] > 1
+    got = katz.discounts(n)
+    assert got[1:4] == pytest.approx(turing[:3])
+    x, y = np.log(np.arange(1, 7)), np.log(n)
+    slope = ((x - x.mean()) * (y - y.mean())).sum() / ((x - x.mean()) ** 2).sum()
+    smooth = lambda r: (((r + 1) / r) ** (slope + 1) - 6 ** (slope + 1)) / (1 - 6 ** (slope + 1))
+    assert got[4:] == pytest.approx([smooth(4), smooth(5)])
+    assert 0 < got[4] < got[5] < 1
+
+
+def test_discounts_of_small_and_copied_corpora_lie_inside():
+    for n in ([50, 0, 9, 0, 2, 0], [700, 200, 90, 50, 33, 22], [9, 1, 0, 0, 0, 0], [0, 80, 0, 70, 0, 60], [0] * 6, [5, 5, 5, 5, 5, 5]):
+        got = katz.discounts(n)
+        assert (got[1:] > 0).all() and (got[1:] < 1).all()
+    assert katz.discounts([50, 0, 9, 0, 2, 0])[1] != 0.5

@@ -164,19 +164,38 @@ def _count_words(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([out, pd.DataFrame({"cid": pd.array([None], "Int64"), "p": pdf["p"].iloc[:1].to_numpy(), "answer": [None], "totals": [_of_counts(total)]})])
 
 
+def _fitted(n: list[int]) -> float | None:
+    """Slope of Simple Good-Turing's line through log(counts of counts) over log(count); None where it does not fall by more than 1 / count."""
+    r = np.flatnonzero(n) + 1
+    if len(r) < 2:
+        return None
+    before, after = np.append(0, r[:-1]), np.append(r[1:], r[-1] + 1)
+    slope = float(np.polyfit(np.log(r), np.log(2 * np.asarray(n, float)[r - 1] / (after - before)), 1)[0])
+    return slope if slope < -1 else None
+
+
 def discounts(n: list[int]) -> np.ndarray:
-    """Katz's Good-Turing ratios for counts 0 ... CUT from the numbers of types n[0] (once), n[1] (twice) ...; where those do not
-    give falling ratios inside (0, 1), half a count is taken off each (small corpora)."""
-    out = np.ones(CUT + 1)
-    plain = np.append(1, (np.arange(1, CUT + 1) - 0.5) / np.arange(1, CUT + 1))
-    if min(n[: CUT + 1]) <= 0:
-        return plain
-    tail = (CUT + 1) * n[CUT] / n[0]
-    if tail >= 1:
-        return plain
-    for r in range(1, CUT + 1):
-        out[r] = ((r + 1) * n[r] / n[r - 1] / r - tail) / (1 - tail)
-    return out if (out[1:] > 0).all() and (out[1:] < 1).all() else plain
+    """Katz's Good-Turing ratios for counts 0 ... CUT from the numbers of types n[0] (once), n[1] (twice) ... n[CUT].
+
+    Turing's own ratios hold as long as they rise inside (0, 1); from the first that does not, those of the smoothed counts
+    of counts hold (Simple Good-Turing), which always do. Only counts of counts that do not fall by more than 1 / count, so
+    that Good-Turing gives no ratio under 1, have half a count taken off what Turing's ratios do not cover.
+    """
+    n = [int(x) for x in n[: CUT + 1]]
+    r = np.arange(1, CUT + 1)
+    slope = _fitted(n)
+    rest = (r - 0.5) / r
+    if slope is not None:
+        tail = (CUT + 1.0) ** (slope + 1)
+        rest = ((1 + 1 / r) ** (slope + 1) - tail) / (1 - tail)
+    out = np.append(1.0, rest)
+    tail = (CUT + 1) * n[CUT] / n[0] if n[0] else 1.0
+    for k in range(1, CUT + 1):
+        ratio = ((k + 1) * n[k] / n[k - 1] / k - tail) / (1 - tail) if tail < 1 and n[CUT] and n[k - 1] else 0.0
+        if not (0.0 if k == 1 else out[k - 1]) < ratio < 1:
+            break
+        out[k] = ratio
+    return out
 
 
 @dataclass
