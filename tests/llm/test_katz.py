@@ -113,3 +113,29 @@ def test_discounts_of_small_and_copied_corpora_lie_inside():
         got = katz.discounts(n)
         assert (got[1:] > 0).all() and (got[1:] < 1).all()
     assert katz.discounts([50, 0, 9, 0, 2, 0])[1] != 0.5
+
+
+def test_copied_passage_with_one_changed_word(spark):
+    passage = "one two three four five six"
+    for more in ([], [f"rare{k} tail{k % 7}" for k in range(30)]):
+        train, test = [i for i in range(400) if not held(i)], [i for i in range(400) if held(i)]
+        rows = [*zip(train, [*[passage] * 40, *more], strict=False), (test[0], passage.replace("four", "never")), (test[1], passage), (test[2], passage.replace("four", "six"))]
+        got = {r.doc_id: r.score for r in katz.score_texts(spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)).collect()}
+        model = Brute(rows)
+        n, top = model.n, 5 * (1 - model.d1[5]) / model.n if not more else 0
+        p1 = lambda w: (model.known1(w) * (1 - top) if model.uni[w] else top or model.unknown)  # noqa: B023, E731
+
+        def p2(a, w):
+            if not model.h[a]:
+                return p1(w)
+            low = any(model.bi[a, x] <= 5 for x in model.follow[a])
+            if low:
+                return model.p2(a, w)
+            left = 5 * (1 - model.d2[5]) / model.h[a]  # what is taken off one count of 5
+            return (1 - left) * model.bi[a, w] / model.h[a] if model.bi[a, w] else left / (1 - sum(p1(x) for x in model.follow[a])) * p1(w)
+
+        assert sum(p2("three", w) for w in model.uni) + p2("three", "never") == pytest.approx(1) and n > 200
+        for i, t in rows:
+            w = tokens(t)
+            assert got[i] == pytest.approx(sum(math.log10(p2(a, x)) for a, x in zip(["<s>", *w[:-1]], w, strict=True)), rel=1e-5)
+        assert -20 < got[test[0]] < got[test[1]] and -20 < got[test[2]] < got[test[1]]

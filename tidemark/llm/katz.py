@@ -198,9 +198,17 @@ def discounts(n: list[int]) -> np.ndarray:
     return out
 
 
+def taken(d: np.ndarray) -> float:
+    """What discounts take off a count of CUT: so much is taken in all where every count is higher, in proportion to the counts."""
+    return float(CUT * (1 - d[CUT]))
+
+
 @dataclass
 class Totals:
-    """What every task knows of the corpus: training tokens and types, training texts, discounts of words (then of bigrams)."""
+    """What every task knows of the corpus: training tokens and types, training texts, discounts of words (then of bigrams).
+
+    top: share that counts above CUT keep; under 1 only where no word has a lower count, so that unknown words have some mass.
+    """
 
     tokens: int
     types: int
@@ -209,10 +217,11 @@ class Totals:
     unknown: float
     bits: int
     d2: np.ndarray | None = None
+    top: float = 1.0
 
     def p1(self, c: np.ndarray) -> np.ndarray:
         """Discounted word probability; a word that training lacks gets the whole mass left over."""
-        p = np.where(c > CUT, 1.0, self.d1[np.minimum(c, CUT)]) * c / max(self.tokens, 1)
+        p = np.where(c > CUT, self.top, self.d1[np.minimum(c, CUT)]) * c / max(self.tokens, 1)
         return np.where(c > 0, p, self.unknown)
 
     def spread(self, c: np.ndarray) -> np.ndarray:
@@ -346,7 +355,9 @@ def score_texts(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame
     n, v, *ones = _totals(words)
     d1 = discounts(ones)
     kept = sum(d1[r] * r * ones[r - 1] for r in range(1, CUT + 1)) + n - sum(r * ones[r - 1] for r in range(1, CUT + 1))
-    totals = Totals(n, v, int(size.t), d1, float(1 - kept / n) if n else 1.0, bits)
+    bare = n > 0 and not any(ones[:CUT])
+    left = taken(d1) / n if bare else float(1 - kept / n) if n else 1.0
+    totals = Totals(n, v, int(size.t), d1, left, bits, top=1 - left if bare else 1.0)
     named = _with(chunks, words, "words", "answer")
     schema = "cid long, p int, answer binary, sums binary, mass binary, totals array<long>"
     pairs = stage(_bigram_requests(named, totals).groupBy("p").applyInPandas(_count_bigrams(totals), schema), "bigrams")
@@ -355,15 +366,21 @@ def score_texts(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame
 
 
 def log_probabilities(b: Bigrams, count: np.ndarray, c: Chunk, pair_n: np.ndarray, sums: np.ndarray, mass: np.ndarray, t: Totals) -> np.ndarray:
-    """log10 of each token's probability: its bigram's discounted share if the bigram was seen, else the history's weight times the word's own."""
+    """log10 of each token's probability: its bigram's discounted share if the bigram was seen, else the history's weight times the word's own.
+
+    Every history keeps some mass for words that it was not seen with: one whose followers all have counts above CUT gives
+    up what is taken off one count of CUT."""
     size = len(b.h_key)
     per_h = np.stack([np.bincount(b.g_h, sums[:, k], size) for k in range(CUT + 1)])
-    left = np.maximum(b.h_count, 1) - per_h[CUT] - sum(t.d2[r] * r * per_h[r - 1] for r in range(1, CUT + 1))
-    weight = left / np.maximum(b.h_count, 1) / np.maximum(1 - np.bincount(b.g_h, mass, size), 1e-15)
+    known = np.maximum(b.h_count, 1)
+    bare = (b.h_count > 0) & (per_h[:CUT].sum(axis=0) == 0)
+    left = np.where(bare, taken(t.d2), sum((1 - t.d2[r]) * r * per_h[r - 1] for r in range(1, CUT + 1)))
+    top = np.where(bare, 1 - left / known, 1.0)
+    weight = left / known / np.maximum(1 - np.bincount(b.g_h, mass, size), 1e-15)
     weight[b.h_count == 0] = 1.0
-    seen = np.where(pair_n > CUT, 1.0, t.d2[np.minimum(pair_n, CUT)]) * pair_n / np.maximum(b.h_count[b.h], 1)
+    seen = np.where(pair_n > CUT, top[b.h], t.d2[np.minimum(pair_n, CUT)]) * pair_n / known[b.h]
     p = np.where(pair_n > 0, seen, weight[b.h] * t.p1(count[b.w]))
-    return np.log10(np.maximum(p, 1e-300))[b.place[b.of]]
+    return np.log10(p)[b.place[b.of]]
 
 
 def _score(chunks: DataFrame, totals: Totals, kind: DataType) -> DataFrame:
