@@ -54,3 +54,24 @@ def test_template_keeps_the_number_of_tokens(spark):
     rows = df.collect()
     assert all(len(r.t.split()) == len(r.x.split()) for r in rows)
     assert rows[0].x.split() == ["a", "<n>", "<u>", "b"] and rows[2].x.split() == ["he", "met", "<p>", "then", "<n>", "<u>"]
+
+
+def test_each_place_is_judged_alone(spark):
+    other = lambda *v: ITEM.replace("Anna", v[0]).replace("Bob", v[1]).replace("3", v[2]).replace("5", v[3])
+    a, b = other("Carla", "Dan", "12", "40"), other("Eve", "Fritz", "7", "9")
+    docs = [(1, f"{ITEM} {PROSE} {a}"), (2, f"{a} {PROSE} {b}"), (3, f"{PROSE} {a} {b}"), (4, ITEM.replace(" have together", " now still have together"))]
+    got = leaks(spark, docs, [(10, ITEM)])
+    assert set(got) == {(1, 10), (2, 10), (3, 10), (4, 10)} and got[1, 10].n_changed == 0
+
+
+def test_verbatim_copies_with_many_slots(spark):
+    items = ["Compute 12 + 45 - 7 * 3 and then 18 / 2 + 6 - 1 = 14 for x = 3, y = 4.", "Solve 3 x + 4 y = 10 and 2 x - 5 y = 7 for x and y."]
+    got = leaks(spark, [(i, f"{PROSE} {t} {PROSE}") for i, t in enumerate(items)] + [(9, "Compute 99 + 98 - 97 * 96 and then 95 / 94 + 93 - 92 = 91 for x = 90, y = 89.")], list(enumerate(items)))
+    assert set(got) == {(0, 0), (1, 1)}
+    assert all(r.covered >= r.item_tokens - 1 and r.n_changed == 0 for r in got.values())
+
+
+def test_names_at_sentence_starts(spark):
+    item = "Anna buys three red apples at the old market. Bob buys several more apples there."
+    got = leaks(spark, [(1, f"{PROSE} {item.replace('Anna', 'Carla').replace('Bob', 'Dan')}")], [(1, item)])
+    assert got[1, 1].covered == got[1, 1].item_tokens and got[1, 1].n_changed == 2

@@ -2,7 +2,8 @@
 
 Numbers, units and names become typed placeholders and words lose case and punctuation, so a question with other
 parameters keeps its template. Windows of template tokens of all documents are hash-joined with those of the benchmark.
-A document leaks an item if the windows cover enough of it and the slots are consistent: one value of the item always
+Windows that are mostly placeholders are joined on their words instead. A document leaks an item if, in one place of the
+document (or in all of it), the windows cover enough of the item and the slots are consistent: one value of the item always
 stands for one value of the document.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import let, small, stage, text_of, words_of
@@ -20,11 +21,18 @@ _UNITS = (
     "[kcmn]?m|km2|mi|miles?|feet|foot|ft|inch(?:es)?|yards?|[km]?g|kilos?|tons?|pounds?|lbs?|oz|ounces?|[cm]?l|lit(?:er|re)s?|gallons?|[mn]?s|sec(?:ond)?s?|min(?:ute)?s?"
     "|h(?:ou)?rs?|days?|weeks?|months?|years?|km/h|mph|k?w|k?wh|volts?|amps?|hz|percent|%|degrees?|dollars?|cents?|euros?|pounds?|usd|eur|€|\\$|£"
 )
+#: Capitalised words that are no names, wherever they stand.
+_COMMON = (
+    "The|An|And|But|Or|Nor|So|Yet|For|If|Then|Than|That|This|These|Those|There|Here|He|She|It|Its|We|You|They|His|Her|My|Your|Our|Their|Who|Whom|Whose|What|When|Where|Which|While|Why|How"
+    "|Is|Are|Was|Were|Be|Do|Does|Did|Has|Have|Had|Can|Could|Will|Would|Shall|Should|May|Might|Must|Not|No|Yes|In|On|At|By|To|Of|Off|Up|Out|From|With|Without|Into|Over|Under|After|Before"
+    "|During|Between|About|Because|Since|Until|Although|Though|As|All|Any|Each|Every|Some|Many|Most|More|Both|One|Two|Three|Only|Also|Now|Let|Let's|However|Given|Suppose|Assume|Consider"
+    "|Compute|Calculate|Solve|Find|Show|Prove|Determine|Evaluate|Simplify|Write|Explain|Describe|List|Name|Round|Express|Use|Using|Question|Answer|Problem|Nothing"
+)
 
 
 @dataclass(frozen=True)
 class LeakPolicy:
-    """window: template tokens of a window. least_cover: part of an item's tokens that windows must cover, percent. max_slots: of a window."""
+    """window: template tokens of a window. least_cover: part of an item's tokens that windows must cover, percent. max_slots: of a window that is joined on its template."""
 
     window: int = 8
     least_cover: int = 50
@@ -37,13 +45,14 @@ def template(text: Column) -> Column:
     """text with placeholders in place of numbers, units, names and signs; as many white-space separated tokens as before."""
     x = F.regexp_replace(F.translate(text, "<>", "##"), "\\S*\\d\\S*", "<n>")
     x = F.regexp_replace(x, f"(?<=<n> )(?i:{_UNITS})(?=[\\s.,;:!?)]|$)", "<u>")
-    x = F.regexp_replace(x, "(?<=[\\p{Ll},;)] )\\p{Lu}\\S*", "<p>")
+    x = F.regexp_replace(x, f"(?<!\\S)(?=\\p{{Lu}})(?!(?:{_COMMON})(?!\\p{{L}}))(?:\\p{{Lu}}\\p{{Ll}}|(?<=[\\p{{Ll}},;)] )\\p{{Lu}})\\S*", "<p>")
     x = F.regexp_replace(x, "(?<!\\S)[^\\p{L}\\p{M}<>\\s]+(?!\\S)", "<s>")
     return F.lower(F.regexp_replace(x, "[^\\p{L}\\p{M}<>\\s]+", ""))
 
 
 def _windows(rows: DataFrame, policy: LeakPolicy) -> DataFrame:
-    """rows with raw (tokens), tpl (template tokens) and win (a hash for each window)."""
+    """rows with raw (tokens), tpl (template tokens), dense (starts of windows that are mostly placeholders), n_win (number of
+    windows) and win (a hash for the template of each window, then one for the words of each dense window)."""
     n = policy.window
     hashed = F.transform("tpl", lambda w: F.xxhash64(w))
 
@@ -53,45 +62,73 @@ def _windows(rows: DataFrame, policy: LeakPolicy) -> DataFrame:
             lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, n)]),
         )
 
+    def crowded(at: Column) -> Column:
+        """Starts of the windows with more than max_slots of the placeholders at these places."""
+        starts = lambda p, j: F.when(
+            F.get(at, j + policy.max_slots) - p < n,
+            F.sequence(F.greatest(F.get(at, j + policy.max_slots) - (n - 1), F.lit(0)), F.least(p, F.size("tpl") - n)),
+        )
+        return F.array_distinct(F.flatten(F.filter(F.transform(at, starts), lambda x: x.isNotNull())))
+
+    slots = F.filter(F.transform("tpl", lambda t, i: F.when(t.startswith("<"), i)), lambda i: i.isNotNull())
     step = rows.withColumn("raw", words_of(text_of())).withColumn("tpl", words_of(template(text_of())))
-    return step.withColumn("win", let(hashed, windows))
+    step = step.withColumn("dense", F.when(F.size("tpl") >= n, let(slots, crowded)).otherwise(F.array().cast("array<int>")))
+    words = F.transform("dense", lambda i: F.xxhash64(F.lit("words"), F.lower(F.array_join(F.slice("raw", i + 1, n), " "))))
+    return step.withColumn("n_win", F.greatest(F.size("tpl") - (n - 1), F.lit(0))).withColumn("win", F.concat(let(hashed, windows), words))
+
+
+def _start() -> Column:
+    """Start of a window from its place in win. Windows are exploded by posexplode_outer: before posexplode, Spark filters by the size of win, for which it makes all templates again."""
+    return F.when(F.col("p") < F.col("n_win"), F.col("p")).otherwise(F.get("dense", F.col("p") - F.col("n_win")))
 
 
 def benchmark_windows(items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
-    """(hash, item_id, ipos, item_tokens, item_raw, slots): the windows of the items, but those that are mostly placeholders.
+    """(hash, item_id, ipos, item_tokens, item_raw, slots): the windows of the items; those that are mostly placeholders by their words.
 
     Items with fewer tokens than a window are too short to tell a leak and have none.
     """
     rows = _windows(items.select("item_id", "text"), policy)
-    exploded = rows.select("item_id", "raw", "tpl", F.size("tpl").alias("item_tokens"), F.posexplode("win").alias("ipos", "hash"))
+    exploded = rows.select("item_id", "raw", "tpl", "dense", "n_win", F.size("tpl").alias("item_tokens"), F.posexplode_outer("win").alias("p", "hash")).where("hash IS NOT NULL").withColumn("ipos", _start())
     own = lambda c: F.slice(F.col(c), F.col("ipos") + 1, policy.window)
     slots = F.filter(F.transform(own("tpl"), lambda t, i: F.when(t.startswith("<"), i)), lambda i: i.isNotNull())
-    out = exploded.select("hash", "item_id", "ipos", "item_tokens", own("raw").alias("item_raw"), slots.alias("slots"))
-    return out.where(F.size("slots") <= policy.max_slots)
+    out = exploded.select("hash", "item_id", "ipos", "item_tokens", own("raw").alias("item_raw"), slots.alias("slots"), (F.col("p") >= F.col("n_win")).alias("by_words"))
+    return out.where((F.size("slots") <= policy.max_slots) | F.col("by_words")).drop("by_words")
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
     """One row for each leaked (doc_id, item_id): item_tokens, covered (item tokens inside shared windows), n_slots, n_changed.
 
-    Null and empty texts leak nothing; an item that occurs twice in the benchmark is reported twice; rows that repeat a
-    document count as one. Needs doc_id and text of docs, item_id and text of items; other columns are not looked at.
+    An item is looked for in every place of the document: in windows that are aligned word by word, in those with a few words
+    more or less between them, and in all of the document. The place that leaks it with the widest cover, then the fewest
+    changes, is reported. Null and empty texts leak nothing; an item that occurs twice in the benchmark is reported twice; rows
+    that repeat a document count as one. Needs doc_id and text of docs, item_id and text of items; other columns are not looked at.
     """
     bench = stage(benchmark_windows(items, policy), "windows")
-    rows = _windows(docs.select("doc_id", "text"), policy).select("doc_id", "raw", F.posexplode("win").alias("dpos", "hash"))
+    rows = _windows(docs.select("doc_id", "text"), policy).select("doc_id", "raw", "dense", "n_win", F.posexplode_outer("win").alias("p", "hash"))
     own = lambda: F.slice(F.col("raw"), F.col("dpos") + 1, policy.window)
     if bench.count() <= policy.max_broadcast:
-        hits = rows.join(F.broadcast(bench), "hash").withColumn("doc_raw", own())
+        hits = rows.join(F.broadcast(bench), "hash").withColumn("dpos", _start()).withColumn("doc_raw", own())
     else:  # a benchmark of any size: join narrow rows, then fetch the words of the documents that hit
-        narrow = stage(rows.drop("raw").join(bench, "hash"), "hits")
+        narrow = stage(rows.select("doc_id", "hash", _start().alias("dpos")).join(bench, "hash"), "hits")
         words = docs.join(narrow.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", words_of(text_of()).alias("raw"))
         hits = narrow.join(words, "doc_id").withColumn("doc_raw", own())
     clean = lambda w: F.lower(F.regexp_replace(w, "^[^\\p{L}\\d]+|[^\\p{L}\\d]+$", ""))
     pairs = F.transform("slots", lambda i: F.struct(clean(F.get("item_raw", i)).alias("a"), clean(F.get("doc_raw", i)).alias("b")))
-    found = hits.groupBy("doc_id", "item_id").agg(
+    aligned = hits.groupBy("doc_id", "item_id", (F.col("dpos") - F.col("ipos")).alias("shift")).agg(
         F.max("item_tokens").alias("item_tokens"),
-        F.sort_array(F.collect_set("ipos")).alias("at"),  # at most the windows of the item
+        F.collect_set("ipos").alias("at"),  # at most the windows of the item
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
     )
+    by_shift = Window.partitionBy("doc_id", "item_id").orderBy("shift")  # one item's places in one document
+    apart = aligned.withColumn("new", (F.col("shift") - F.lag("shift").over(by_shift) >= policy.window).cast("int"))
+    near = F.sum(F.coalesce("new", F.lit(0))).over(by_shift).cast("int")
+    place = lambda kind, no: F.struct(F.lit(kind).alias("kind"), no.alias("no"))
+    places = F.array(place("aligned", F.col("shift")), place("near", F.col("near")), place("all", F.lit(0)))
+    found = apart.withColumn("near", near).withColumn("place", F.explode(places)).groupBy("doc_id", "item_id", "place").agg(
+        F.max("item_tokens").alias("item_tokens"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"),
+        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
+    )
     last = F.struct(F.lit(-policy.window).alias("last"), F.lit(0).alias("sum"))
     step = lambda a, p: F.struct(p.alias("last"), (a["sum"] + F.least(F.lit(policy.window), p - a["last"])).alias("sum"))
     out = found.select(
@@ -105,7 +142,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolic
     )
     enough = F.col("covered") * 100 >= F.col("item_tokens") * policy.least_cover
     consistent = F.col("values") * 100 >= F.col("n_slots") * policy.least_consistent
-    return out.where(enough & consistent).drop("values")
+    best = F.max_by(F.struct("item_tokens", "covered", "n_slots", "n_changed"), F.struct("covered", -F.col("n_changed"), -F.col("n_slots"))).alias("x")
+    return out.where(enough & consistent).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.*")
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
