@@ -1,3 +1,6 @@
+import random
+import re
+
 from tidemark.llm import decontaminate as dc
 
 DOCS = "doc_id long, text string, item_id string, raw string"
@@ -43,17 +46,19 @@ def test_large_benchmark_path_gives_the_same(spark):
     d = spark.createDataFrame([(1, f"x {ITEM} y", "a", "b"), (2, PROSE, "a", "b")], DOCS)
     m = spark.createDataFrame([(1, ITEM, "z"), (2, PROSE, "z")], ITEMS)
     key = lambda df: sorted(map(tuple, df.collect()))
-    assert key(dc.find_leaks(d, m)) == key(dc.find_leaks(d, m, dc.LeakPolicy(max_broadcast=0)))
+    assert key(dc.find_leaks(d, m)) == key(dc.find_leaks(d, m, dc.LeakPolicy(max_literals=0)))
 
 
 def test_template_keeps_the_number_of_tokens(spark):
     from pyspark.sql import functions as F
 
-    texts = ["a 12 km, b", "x -- y < z > 5%", "He met Anna. Then 3.5 kg!", "", "é È À b"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", dc.template(F.col("t")).alias("x"))
+    from tidemark.llm.common import words_of
+
+    texts = ["a 12 km, b", "x -- y < z > 5%", "He met Anna. Then 3.5 kg!", "", " e È À b "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", dc.template(words_of(F.col("t")), F.lit(True)).alias("x"))
     rows = df.collect()
-    assert all(len(r.t.split()) == len(r.x.split()) for r in rows)
-    assert rows[0].x.split() == ["a", "<n>", "<u>", "b"] and rows[2].x.split() == ["he", "met", "<p>", "then", "<n>", "<u>"]
+    assert all(len(r.t.split()) == len(r.x) for r in rows)
+    assert rows[0].x == ["a", "<n>", "<u>", "b"] and rows[2].x == ["he", "met", "<p>", "then", "<n>", "<u>"]
 
 
 def test_each_place_is_judged_alone(spark):
@@ -64,11 +69,102 @@ def test_each_place_is_judged_alone(spark):
     assert set(got) == {(1, 10), (2, 10), (3, 10), (4, 10)} and got[1, 10].n_changed == 0
 
 
-def test_verbatim_copies_with_many_slots(spark):
+def test_items_with_many_slots(spark):
     items = ["Compute 12 + 45 - 7 * 3 and then 18 / 2 + 6 - 1 = 14 for x = 3, y = 4.", "Solve 3 x + 4 y = 10 and 2 x - 5 y = 7 for x and y."]
-    got = leaks(spark, [(i, f"{PROSE} {t} {PROSE}") for i, t in enumerate(items)] + [(9, "Compute 99 + 98 - 97 * 96 and then 95 / 94 + 93 - 92 = 91 for x = 90, y = 89.")], list(enumerate(items)))
-    assert set(got) == {(0, 0), (1, 1)}
-    assert all(r.covered >= r.item_tokens - 1 and r.n_changed == 0 for r in got.values())
+    other = "Compute 99 + 98 - 97 * 96 and then 95 / 94 + 93 - 92 = 91 for x = 90, y = 89."
+    got = leaks(spark, [*[(i, f"{PROSE} {t} {PROSE}") for i, t in enumerate(items)], (9, other), (10, "1 + 2 - 3 * 4 and then 5 / 6 + 7 - 8 = 9"), (11, "12 + 45 - 7 * 3 " * 50)], list(enumerate(items)))
+    assert set(got) == {(0, 0), (1, 1), (9, 0)}
+    assert all(got[k].covered >= got[k].item_tokens - 1 and got[k].n_changed == 0 for k in ((0, 0), (1, 1))) and got[9, 0].n_changed > 10
+
+
+def test_short_items_are_one_window(spark):
+    items = [(0, "Which river flows through that old town?"), (1, "12 + 45 - 7 * 3 = ?"), (2, "3 + 4"), (3, "ab cd"), (4, "Who wrote it?")]
+    docs = [(i, f"{PROSE} {t} {PROSE}") for i, t in items] + [(9, "12 + 45 - 7 * 4 = ?"), (10, "So which river flows through that old town"), (11, "who wrote them"), (12, "3 + 4 0")]
+    got = leaks(spark, docs, items)
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (4, 4), (10, 0), (12, 2)}
+
+
+def test_long_tokens_and_repeated_ids(spark):
+    docs = [(1, "x" * 1_000_000 + "1"), (2, "1" * 1_000_000), (3, "<" * 300_000 + " " + ITEM), (4, "nothing"), (4, ITEM), (5, "(" * 500_000)]
+    assert set(leaks(spark, docs, [(10, ITEM)])) == {(3, 10), (4, 10)}
+
+
+def tokens(text):
+    raw, out = [w for w in re.split("[ \\t-\\r]+", text) if w], []
+    for i, t in enumerate(raw):
+        bare = "".join(c for c in t if c.isalpha()).lower()
+        if (t in dc._UNITS or bare in dc._UNITS) and i and re.search("[0-9]", raw[i - 1]) and not re.search("[0-9]", t):
+            out.append("<u>")
+        elif re.search("[0-9]", t):
+            out.append("<n>")
+        elif re.fullmatch("[A-Z][a-z].*", t) and not re.match(f"(?:{dc._COMMON})(?![A-Za-z])", t):
+            out.append("<p>")
+        else:
+            out.append(bare or "<s>")
+    return raw, out
+
+
+def windows(tpl, n=8, m=5):
+    out = {}
+    for i in range(len(tpl)):
+        words = [j for j in range(i, len(tpl)) if tpl[j][0] != "<"]
+        if len(words) >= m and max(words[m - 1] + 1, i + n) <= len(tpl):
+            out[i] = max(words[m - 1] + 1, i + n)
+    return out
+
+
+def brute(doc, item):
+    """Whether doc leaks item."""
+    (raw, tpl), (iraw, itpl) = tokens(doc), tokens(item)
+    if len(itpl) < 3:
+        return False
+    clean = lambda w: re.sub("^[^A-Za-z0-9]+|[^A-Za-z0-9]+$", "", w).lower() or w
+    own, found = windows(itpl), []
+    if own:
+        for d, e in windows(tpl).items():
+            found += [(d, i, j) for i, j in own.items() if tpl[d:e] == itpl[i:j]]
+    else:
+        same = (lambda d: tpl[d : d + len(itpl)] == itpl) if sum(t[0] != "<" for t in itpl) >= 5 else lambda d: [w.lower() for w in raw[d : d + len(iraw)]] == [w.lower() for w in iraw]
+        found += [(d, 0, len(itpl)) for d in range(len(tpl)) if same(d)]
+    hits = []
+    for d, i, j in found:
+        end = j
+        while end < len(itpl) and itpl[end][0] == "<":
+            end += 1
+        if tpl[d : d + end - i] == itpl[i:end]:
+            j = end
+        hits.append((d - i, i, j, {(clean(iraw[k]), clean(raw[d - i + k])) for k in range(i, j) if itpl[k][0] == "<"}))
+    shifts = sorted({h[0] for h in hits})
+    groups = [[s] for s in shifts] + [shifts]
+    run = []
+    for s in shifts:
+        if run and s - run[-1] >= 8:
+            groups.append(run)
+            run = []
+        run = [*run, s]
+    for g in [*groups, run]:
+        mine = [h for h in hits if h[0] in g]
+        covered = len({k for _, i, j, _ in mine for k in range(i, j)})
+        pairs = set().union(*[h[3] for h in mine])
+        if mine and covered * 100 >= len(itpl) * 50 and len({a for a, _ in pairs}) * 100 >= len(pairs) * 80:
+            return True
+    return False
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(5)
+    part = lambda n: " ".join(rng.choice(["to", "of", "it", "red", "Anna", "Bob", "3", "4,", "5", "km", "+", "the", "end."]) for _ in range(n))
+    items = [(i, part(rng.choice([2, 4, 6, 9, 12, 20, 30]))) for i in range(60)]
+    docs = []
+    for i in range(200):
+        text = " ".join(rng.choice(items)[1] for _ in range(2))
+        changed = [rng.choice(["3", "7", "Carla", "the", w]) if rng.random() < 0.25 and (w[0].isdigit() or w in ("Anna", "Bob")) else w for w in text.split()]
+        if rng.random() < 0.4:
+            changed.insert(rng.randrange(len(changed) + 1), "of")
+        docs.append((i, f"{part(rng.randint(0, 8))} {' '.join(changed)} {part(rng.randint(0, 8))}"))
+    want = {(d, i) for d, t in docs for i, x in items if brute(t, x)}
+    assert 100 < len(want) < 12000
+    assert set(leaks(spark, docs, items)) == want
 
 
 def test_names_at_sentence_starts(spark):

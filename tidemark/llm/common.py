@@ -56,7 +56,8 @@ def text_of(column: str = "text") -> Column:
 
 def words_of(text: Column) -> Column:
     """Words [^\\x20\\x09-\\x0D]+ of a text."""
-    return F.filter(F.split(text, SPACES), lambda w: w != "")
+    bare = F.trim(text, F.lit(" \t\n\v\f\r"))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACES))
 
 
 def let(value: Column, body) -> Column:

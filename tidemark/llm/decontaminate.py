@@ -1,10 +1,11 @@
 """Benchmark decontamination by template canonicalisation (operator 3, native).
 
-Numbers, units and names become typed placeholders and words lose case and punctuation, so a question with other
-parameters keeps its template. Windows of template tokens of all documents are hash-joined with those of the benchmark.
-Windows that are mostly placeholders are joined on their words instead. A document leaks an item if, in one place of the
-document (or in all of it), the windows cover enough of the item and the slots are consistent: one value of the item always
-stands for one value of the document.
+Numbers, units, names and signs become typed placeholders (slots) and words lose case and punctuation, so a question with
+other parameters keeps its template. A template window begins at any token and ends with the token that makes it hold enough
+tokens and enough words, so a window among many slots is a long one and never stands for any row of numbers. Windows of the
+documents are hash-joined with those of the benchmark; items that are too short for a window are one window as a whole. A
+document leaks an item if, in one place of the document (or in all of it), the windows cover enough of the item and the slots
+are consistent: one value of the item always stands for one value of the document.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ from tidemark.llm.common import let, small, stage, text_of, words_of
 
 #: Units after a number.
 _UNITS = (
-    "[kcmn]?m|km2|mi|miles?|feet|foot|ft|inch(?:es)?|yards?|[km]?g|kilos?|tons?|pounds?|lbs?|oz|ounces?|[cm]?l|lit(?:er|re)s?|gallons?|[mn]?s|sec(?:ond)?s?|min(?:ute)?s?"
-    "|h(?:ou)?rs?|days?|weeks?|months?|years?|km/h|mph|k?w|k?wh|volts?|amps?|hz|percent|%|degrees?|dollars?|cents?|euros?|pounds?|usd|eur|€|\\$|£"
-)
+    "m mm cm km nm km2 mi mile miles foot feet ft inch inches yard yards g kg mg kilo kilos ton tons pound pounds lb lbs oz ounce ounces l ml cl liter liters litre litres gallon gallons"
+    " s ms ns sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years km/h mph w kw wh kwh volt volts amp amps hz percent degree degrees"
+    " dollar dollars cent cents euro euros usd eur % € $ £"
+).split()
 #: Capitalised words that are no names, wherever they stand.
 _COMMON = (
     "The|An|And|But|Or|Nor|So|Yet|For|If|Then|Than|That|This|These|Those|There|Here|He|She|It|Its|We|You|They|His|Her|My|Your|Our|Their|Who|Whom|Whose|What|When|Where|Which|While|Why|How"
@@ -32,67 +34,128 @@ _COMMON = (
 
 @dataclass(frozen=True)
 class LeakPolicy:
-    """window: template tokens of a window. least_cover: part of an item's tokens that windows must cover, percent. max_slots: of a window that is joined on its template."""
+    """window, words: least tokens of a window, and least words (tokens that are no slots) among them. least_cover: part of an
+    item's tokens that windows must cover, percent. least_tokens: shorter items tell no leak. least_consistent: percent of the slot
+    values of an item that keep to one value. max_literals: windows of a benchmark up to which documents are probed before the join."""
 
     window: int = 8
+    words: int = 5
     least_cover: int = 50
-    max_slots: int = 3
+    least_tokens: int = 3
     least_consistent: int = 80
-    max_broadcast: int = 200_000
+    max_literals: int = 50_000
+
+
+def template(raw: Column, digits: Column) -> Column:
+    """The tokens raw with placeholders in place of numbers, units, names and signs, as many as before. digits: whether any token may have one.
+
+    Patterns look at one token and the one before and never go back in them: time is linear in the text. Most tokens
+    are lower-case letters and end at the first test.
+    """
+
+    def one(t: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(raw, i - 1), F.lit(""))
+        unit = lambda x: digits & x.isin(_UNITS) & before.rlike("[0-9]")
+        name = t.rlike("^\\p{Lu}") & ~t.rlike(f"^(?:{_COMMON})(?!\\p{{L}})") & (t.rlike("^\\p{Lu}\\p{Ll}") | before.rlike("[\\p{Ll},;)]$"))
+        bare = F.lower(F.regexp_replace(t, "[^\\p{L}\\p{M}]++", ""))
+        rest = let(bare, lambda x: F.when(unit(x) | unit(t), "<u>").when(x == "", "<s>").otherwise(x))
+        return F.when(t.rlike("^[\\p{Ll}\\p{M}]++$"), F.when(unit(t), "<u>").otherwise(t)).when(digits & t.rlike("[0-9]"), "<n>").when(name, "<p>").otherwise(rest)
 
+    return F.transform(raw, one)
 
-def template(text: Column) -> Column:
-    """text with placeholders in place of numbers, units, names and signs; as many white-space separated tokens as before."""
-    x = F.regexp_replace(F.translate(text, "<>", "##"), "\\S*\\d\\S*", "<n>")
-    x = F.regexp_replace(x, f"(?<=<n> )(?i:{_UNITS})(?=[\\s.,;:!?)]|$)", "<u>")
-    x = F.regexp_replace(x, f"(?<!\\S)(?=\\p{{Lu}})(?!(?:{_COMMON})(?!\\p{{L}}))(?:\\p{{Lu}}\\p{{Ll}}|(?<=[\\p{{Ll}},;)] )\\p{{Lu}})\\S*", "<p>")
-    x = F.regexp_replace(x, "(?<!\\S)[^\\p{L}\\p{M}<>\\s]+(?!\\S)", "<s>")
-    return F.lower(F.regexp_replace(x, "[^\\p{L}\\p{M}<>\\s]+", ""))
 
+def _is_word(t: Column) -> Column:
+    return ~t.startswith("<")
 
-def _windows(rows: DataFrame, policy: LeakPolicy) -> DataFrame:
-    """rows with raw (tokens), tpl (template tokens), dense (starts of windows that are mostly placeholders), n_win (number of
-    windows) and win (a hash for the template of each window, then one for the words of each dense window)."""
-    n = policy.window
-    hashed = F.transform("tpl", lambda w: F.xxhash64(w))
 
-    def windows(h: Column) -> Column:
-        return F.transform(
-            F.slice(h, F.lit(1), F.greatest(F.size(h) - (n - 1), F.lit(0))),
-            lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, n)]),
-        )
+def _where(items: Column, test) -> Column:
+    """Places of the elements for which test(element, place) holds."""
+    return F.filter(F.transform(items, lambda t, i: F.when(test(t, i), i)), lambda i: i.isNotNull())
 
-    def crowded(at: Column) -> Column:
-        """Starts of the windows with more than max_slots of the placeholders at these places."""
-        starts = lambda p, j: F.when(
-            F.get(at, j + policy.max_slots) - p < n,
-            F.sequence(F.greatest(F.get(at, j + policy.max_slots) - (n - 1), F.lit(0)), F.least(p, F.size("tpl") - n)),
-        )
-        return F.array_distinct(F.flatten(F.filter(F.transform(at, starts), lambda x: x.isNotNull())))
 
-    slots = F.filter(F.transform("tpl", lambda t, i: F.when(t.startswith("<"), i)), lambda i: i.isNotNull())
-    step = rows.withColumn("raw", words_of(text_of())).withColumn("tpl", words_of(template(text_of())))
-    step = step.withColumn("dense", F.when(F.size("tpl") >= n, let(slots, crowded)).otherwise(F.array().cast("array<int>")))
-    words = F.transform("dense", lambda i: F.xxhash64(F.lit("words"), F.lower(F.array_join(F.slice("raw", i + 1, n), " "))))
-    return step.withColumn("n_win", F.greatest(F.size("tpl") - (n - 1), F.lit(0))).withColumn("win", F.concat(let(hashed, windows), words))
+def _head(tpl: Column, t: Column, i: Column) -> Column:
+    """Hash of the three tokens that begin a window."""
+    return F.xxhash64(t, F.get(tpl, i + 1), F.get(tpl, i + 2))
 
 
-def _start() -> Column:
-    """Start of a window from its place in win. Windows are exploded by posexplode_outer: before posexplode, Spark filters by the size of win, for which it makes all templates again."""
-    return F.when(F.col("p") < F.col("n_win"), F.col("p")).otherwise(F.get("dense", F.col("p") - F.col("n_win")))
+def _hash(tokens: Column) -> Column:
+    """Hash of a window: its template and length."""
+    return F.xxhash64(F.array_join(tokens, " "))
+
+
+def _sized(tail: Column, policy: LeakPolicy) -> Column:
+    """Tokens of the window at the start of tail; null if tail ends before."""
+    last = lambda at: F.get(at, F.lit(policy.words - 1)) + 1
+    sized = lambda at: F.when(last(at).isNotNull() & (F.size(tail) >= policy.window), F.greatest(last(at), F.lit(policy.window)))
+    return let(_where(tail, lambda t, i: _is_word(t)), sized).cast("int")
+
+
+def _tokens(rows: DataFrame) -> DataFrame:
+    """rows with raw and tpl: their tokens, and the same of their template."""
+    step = rows.withColumn("raw", words_of(text_of())).withColumn("digits", text_of().rlike("[0-9]"))
+    return step.withColumn("tpl", template(F.col("raw"), F.col("digits"))).drop("digits")
 
 
 def benchmark_windows(items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
-    """(hash, item_id, ipos, item_tokens, item_raw, slots): the windows of the items; those that are mostly placeholders by their words.
+    """(hash, heads, item_id, ipos, size, whole, item_tokens, own, own_raw): the windows of the items.
 
-    Items with fewer tokens than a window are too short to tell a leak and have none.
+    own, own_raw: template and raw tokens of the window and of the slots behind it. whole: the item is one window, because
+    it has too few tokens or words for another; with too few words its hash is that of the raw words, which must come back as they are.
+    """
+    rows = _tokens(items.select("item_id", "text")).withColumn("n", F.size("tpl")).where(F.col("n") >= policy.least_tokens)
+    many = F.size(_where(F.col("tpl"), lambda t, i: _is_word(t))) >= policy.words
+    starts = F.transform("tpl", lambda t, i: F.struct(i.alias("ipos"), let(F.slice("tpl", i + 1, F.size("tpl")), lambda x: _sized(x, policy)).alias("size")))
+    found = F.filter(starts, lambda s: s["size"].isNotNull() & (s["ipos"] + s["size"] <= F.size("tpl")))
+    rows = rows.withColumn("many", many).withColumn("found", found)
+    whole = F.array(F.struct(F.lit(0).alias("ipos"), F.col("n").alias("size")))
+    rows = rows.withColumn("whole", F.size("found") == 0).withColumn("w", F.explode(F.when(F.size("found") > 0, F.col("found")).otherwise(whole)))
+    ipos, size = F.col("w.ipos"), F.col("w.size")
+    behind = F.aggregate(F.slice("tpl", ipos + size + 1, F.col("n")), F.struct(F.lit(0).alias("k"), F.lit(True).alias("on")), lambda a, t: F.struct((a["k"] + (a["on"] & ~_is_word(t)).cast("int")).alias("k"), (a["on"] & ~_is_word(t)).alias("on")), lambda a: a["k"])
+    rows = rows.withColumn("long", size + behind)
+    own = lambda c, n=F.col("long"): F.slice(F.col(c), ipos + 1, n)
+    key = F.when(F.col("whole") & ~F.col("many"), F.xxhash64(F.lit("raw"), F.lower(F.array_join("raw", " ")))).otherwise(_hash(own("tpl", size)))
+    first = F.get("tpl", ipos)  # a unit's name is a word at the item's start, and a unit where a document has a number before
+    heads = F.array(_head(F.col("tpl"), first, ipos), F.when(first.isin(_UNITS), _head(F.col("tpl"), F.lit("<u>"), ipos)))
+    return rows.select(key.alias("hash"), F.array_compact(heads).alias("heads"), "item_id", ipos.alias("ipos"), size.alias("size"), "whole", F.col("n").alias("item_tokens"), own("tpl").alias("own"), own("raw").alias("own_raw"))
+
+
+def _candidates(docs: DataFrame, policy: LeakPolicy, longest: int, reach: int, lengths: list[int], heads: list[int] | None, hashes: list[int] | None) -> DataFrame:
+    """(doc_id, text_hash, dpos, hash, tail, tail_raw): windows of the documents; with heads and hashes only those that are among the benchmark's.
+
+    longest: of the benchmark's windows; reach: the same with the slots behind; lengths: of items that are one window.
     """
-    rows = _windows(items.select("item_id", "text"), policy)
-    exploded = rows.select("item_id", "raw", "tpl", "dense", "n_win", F.size("tpl").alias("item_tokens"), F.posexplode_outer("win").alias("p", "hash")).where("hash IS NOT NULL").withColumn("ipos", _start())
-    own = lambda c: F.slice(F.col(c), F.col("ipos") + 1, policy.window)
-    slots = F.filter(F.transform(own("tpl"), lambda t, i: F.when(t.startswith("<"), i)), lambda i: i.isNotNull())
-    out = exploded.select("hash", "item_id", "ipos", "item_tokens", own("raw").alias("item_raw"), slots.alias("slots"), (F.col("p") >= F.col("n_win")).alias("by_words"))
-    return out.where((F.size("slots") <= policy.max_slots) | F.col("by_words")).drop("by_words")
+    rows = _tokens(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))).drop("text")
+    tpl, raw = F.col("tpl"), F.col("raw")
+    begins = (lambda t, i: _head(tpl, t, i).isin(heads)) if heads is not None else lambda t, i: F.lit(True)
+    rows = rows.withColumn("at", _where(tpl, begins))
+    known = lambda h: h.isNotNull() & (h.isin(hashes) if hashes is not None else F.lit(True))
+
+    def windows(i: Column) -> Column:
+        sized = let(F.slice(tpl, i + 1, longest), lambda x: let(_sized(x, policy), lambda n: F.when(n.isNotNull(), _hash(F.slice(x, F.lit(1), n)))))
+        fits = [F.when(i + n <= F.size(tpl), _hash(F.slice(tpl, i + 1, n))) for n in lengths]
+        return F.transform(F.filter(F.array_distinct(F.array(sized, *fits)), known), lambda h: F.struct(i.alias("dpos"), h.alias("hash")))
+
+    def as_they_are(words: Column, i: Column) -> Column:
+        fits = [F.when(i + n <= F.size(words), F.xxhash64(F.lit("raw"), F.lower(F.array_join(F.slice(words, i + 1, n), " ")))) for n in lengths]
+        return F.transform(F.filter(F.array_distinct(F.array(*fits)), known), lambda h: F.struct(i.alias("dpos"), h.alias("hash")))
+
+    found = F.flatten(F.transform("at", windows))
+    if lengths:
+        found = F.concat(found, F.when(F.size("at") == 0, F.array().cast("array<struct<dpos:int,hash:bigint>>")).otherwise(let(raw, lambda w: F.flatten(F.transform("at", lambda i: as_they_are(w, i))))))
+    rows = rows.select("doc_id", "text_hash", "raw", "tpl", found.alias("win"))
+    tail = lambda c: F.slice(F.col(c), F.col("w.dpos") + 1, reach)
+    # explode_outer: before explode, Spark filters by the size of win, for which it makes all templates again
+    return rows.withColumn("w", F.explode_outer("win")).where("w IS NOT NULL").select("doc_id", "text_hash", "w.dpos", "w.hash", tail("tpl").alias("tail"), tail("raw").alias("tail_raw"))
+
+
+def _hits(docs: DataFrame, bench: DataFrame, policy: LeakPolicy) -> DataFrame:
+    """Windows of documents beside the benchmark windows of the same hash."""
+    about = bench.agg(F.count("*").alias("n"), F.max("size").alias("longest"), F.max(F.size("own")).alias("reach"), F.collect_set(F.when(F.col("whole"), F.col("size"))).alias("lengths")).first()
+    given = policy, about.longest or 1, about.reach or 1, sorted(about.lengths)
+    if about.n <= policy.max_literals:
+        of = bench.agg(F.array_distinct(F.flatten(F.collect_set("heads"))).alias("heads"), F.collect_set("hash").alias("hashes")).first()  # max_literals numbers at most
+        return _candidates(docs, *given, of.heads, of.hashes).join(F.broadcast(bench), "hash")
+    return _candidates(docs, *given, None, None).join(bench, "hash")
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
@@ -100,37 +163,37 @@ def find_leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolic
 
     An item is looked for in every place of the document: in windows that are aligned word by word, in those with a few words
     more or less between them, and in all of the document. The place that leaks it with the widest cover, then the fewest
-    changes, is reported. Null and empty texts leak nothing; an item that occurs twice in the benchmark is reported twice; rows
-    that repeat a document count as one. Needs doc_id and text of docs, item_id and text of items; other columns are not looked at.
+    changes, is reported. Null and empty texts leak nothing; an item that occurs twice in the benchmark is reported twice; items
+    of fewer than policy.least_tokens tokens are never reported. Rows that repeat a document count as one; the texts of an id
+    that stands for several are judged one by one and the worst is reported. Needs doc_id and text of docs, item_id and
+    text of items; other columns are not looked at, whatever their names.
     """
     bench = stage(benchmark_windows(items, policy), "windows")
-    rows = _windows(docs.select("doc_id", "text"), policy).select("doc_id", "raw", "dense", "n_win", F.posexplode_outer("win").alias("p", "hash"))
-    own = lambda: F.slice(F.col("raw"), F.col("dpos") + 1, policy.window)
-    if bench.count() <= policy.max_broadcast:
-        hits = rows.join(F.broadcast(bench), "hash").withColumn("dpos", _start()).withColumn("doc_raw", own())
-    else:  # a benchmark of any size: join narrow rows, then fetch the words of the documents that hit
-        narrow = stage(rows.select("doc_id", "hash", _start().alias("dpos")).join(bench, "hash"), "hits")
-        words = docs.join(narrow.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", words_of(text_of()).alias("raw"))
-        hits = narrow.join(words, "doc_id").withColumn("doc_raw", own())
+    hits = _hits(docs, bench, policy)
+    long = F.when(F.slice("tail", F.lit(1), F.size("own")) == F.col("own"), F.size("own")).otherwise(F.col("size"))
+    hits = hits.withColumn("long", long)
     clean = lambda w: F.lower(F.regexp_replace(w, "^[^\\p{L}\\d]+|[^\\p{L}\\d]+$", ""))
-    pairs = F.transform("slots", lambda i: F.struct(clean(F.get("item_raw", i)).alias("a"), clean(F.get("doc_raw", i)).alias("b")))
-    aligned = hits.groupBy("doc_id", "item_id", (F.col("dpos") - F.col("ipos")).alias("shift")).agg(
+    slots = _where(F.slice("own", F.lit(1), F.col("long")), lambda t, i: ~_is_word(t))
+    bare = lambda w: F.when(clean(w) == "", w).otherwise(clean(w))
+    pairs = F.transform(slots, lambda i: F.struct(bare(F.get("own_raw", i)).alias("a"), bare(F.get("tail_raw", i)).alias("b")))
+    key = ["doc_id", "text_hash", "item_id"]
+    aligned = hits.groupBy(*key, (F.col("dpos") - F.col("ipos")).alias("shift")).agg(
         F.max("item_tokens").alias("item_tokens"),
-        F.collect_set("ipos").alias("at"),  # at most the windows of the item
+        F.collect_set(F.struct("ipos", (F.col("ipos") + F.col("long")).alias("stop"))).alias("at"),  # at most the windows of the item
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
     )
-    by_shift = Window.partitionBy("doc_id", "item_id").orderBy("shift")  # one item's places in one document
+    by_shift = Window.partitionBy(*key).orderBy("shift")  # one item's places in one document
     apart = aligned.withColumn("new", (F.col("shift") - F.lag("shift").over(by_shift) >= policy.window).cast("int"))
     near = F.sum(F.coalesce("new", F.lit(0))).over(by_shift).cast("int")
     place = lambda kind, no: F.struct(F.lit(kind).alias("kind"), no.alias("no"))
     places = F.array(place("aligned", F.col("shift")), place("near", F.col("near")), place("all", F.lit(0)))
-    found = apart.withColumn("near", near).withColumn("place", F.explode(places)).groupBy("doc_id", "item_id", "place").agg(
+    found = apart.withColumn("near", near).withColumn("place", F.explode(places)).groupBy(*key, "place").agg(
         F.max("item_tokens").alias("item_tokens"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
     )
-    last = F.struct(F.lit(-policy.window).alias("last"), F.lit(0).alias("sum"))
-    step = lambda a, p: F.struct(p.alias("last"), (a["sum"] + F.least(F.lit(policy.window), p - a["last"])).alias("sum"))
+    last = F.struct(F.lit(0).alias("last"), F.lit(0).alias("sum"))
+    step = lambda a, p: F.struct(F.greatest(a["last"], p["stop"]).alias("last"), (a["sum"] + F.greatest(F.lit(0), p["stop"] - F.greatest(a["last"], p["ipos"]))).alias("sum"))
     out = found.select(
         "doc_id",
         "item_id",
@@ -147,6 +210,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolic
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
-    """docs without those that leak an item; documents with a null id stay."""
+    """docs without those that leak an item: all rows of such an id go; documents with a null id stay. Columns as they are."""
     leaked = stage(find_leaks(docs, items, policy).select("doc_id").distinct(), "leaks")
     return docs.join(small(leaked, 200_000), "doc_id", "left_anti").select(*docs.columns)
