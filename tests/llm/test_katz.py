@@ -20,40 +20,50 @@ def tokens(text):
 
 
 class Brute:
-    def __init__(self, rows):
-        self.uni, self.bi, texts = Counter(), Counter(), 0
+    """The model by its definition, for any order."""
+
+    def __init__(self, rows, order=3):
+        self.order, self.count, self.follow = order, [Counter() for _ in range(order + 1)], defaultdict(set)
         for i, t in rows:
             if held(i):
                 continue
-            texts += 1
-            w = tokens(t)
-            self.uni.update(w)
-            self.bi.update(zip(["<s>", *w[:-1]], w, strict=True))
-        self.n, self.v = sum(self.uni.values()), len(self.uni)
-        self.h = Counter(self.uni)
-        self.h["<s>"] = texts
-        self.d1 = katz.discounts([sum(c == r for c in self.uni.values()) for r in range(1, 7)])
-        self.d2 = katz.discounts([sum(c == r for c in self.bi.values()) for r in range(1, 7)])
-        self.unknown = 1 - sum(self.known1(w) for w in self.uni)
-        self.follow = defaultdict(list)
-        for a, b in self.bi:
-            self.follow[a].append(b)
-
-    def known1(self, w):
-        c = self.uni[w]
-        return (self.d1[c] if c <= 5 else 1) * c / self.n
-
-    def p1(self, w):
-        return self.known1(w) if self.uni[w] else self.unknown
-
-    def p2(self, a, w):
-        c = self.bi[a, w]
-        if c:
-            return (self.d2[c] if c <= 5 else 1) * c / self.h[a]
-        if not self.h[a]:
-            return self.p1(w)
-        left = 1 - sum(self.p2(a, x) for x in self.follow[a])
-        return left / (1 - sum(self.p1(x) for x in self.follow[a])) * self.p1(w)
+            self.count[0][()] += len(tokens(t))
+            w = ["<s>"] * (order - 1) + tokens(t)
+            for at in range(order - 1, len(w)):
+                for k in range(1, order + 1):
+                    self.count[k][tuple(w[at - k + 1 : at + 1])] += 1
+                    self.follow[tuple(w[at - k + 1 : at])].add(w[at])
+        self.n, self.uni = self.count[0][()], {k[0]: v for k, v in self.count[1].items()}
+        self.v = len(self.uni)
+        self.d = [None, *[katz.discounts([sum(c == r for c in self.count[k].values()) for r in range(1, 7)]) for k in range(1, order + 1)]]
+        self.memo = {}
+
+    def history(self, h):
+        return sum(self.count[len(h) + 1][(*h, w)] for w in self.follow[h]) if h in self.follow else 0
+
+    def shares(self, h):
+        """Probability of each follower of h, and what is left for others."""
+        if h not in self.memo:
+            counts, n, d = {w: self.count[len(h) + 1][(*h, w)] for w in self.follow[h]}, self.history(h), self.d[len(h) + 1]
+            if all(c > 5 for c in counts.values()):
+                left = 5 * (1 - d[5]) / n
+                self.memo[h] = {w: (1 - left) * c / n for w, c in counts.items()}, left
+            else:
+                own = {w: (d[c] if c <= 5 else 1) * c / n for w, c in counts.items()}
+                self.memo[h] = own, 1 - sum(own.values())
+        return self.memo[h]
+
+    def p(self, h, w):
+        if not self.history(h):
+            return self.p(h[1:], w) if h else 1.0
+        own, left = self.shares(h)
+        if w in own:
+            return own[w]
+        return left / (1 - sum(self.p(h[1:], x) for x in own)) * self.p(h[1:], w) if h else left
+
+    def score(self, text):
+        w = ["<s>"] * (self.order - 1) + tokens(text)
+        return sum(math.log10(self.p(tuple(w[i - self.order + 1 : i]), w[i])) for i in range(self.order - 1, len(w)))
 
 
 @pytest.fixture(scope="module")
@@ -65,25 +75,36 @@ def rows():
     return [*out, (500, ""), (501, None), (502, "  \n\t "), (503, "never-seen é W1"), (504, "the " * 5000), (505, out[0][1]), (506, out[0][1])]
 
 
-@pytest.mark.parametrize("policy", [katz.KatzPolicy(), katz.KatzPolicy(chunk=500, partition=400, least_partitions=4)])
+@pytest.mark.parametrize("policy", [katz.KatzPolicy(), katz.KatzPolicy(order=2, chunk=500, partition=400), katz.KatzPolicy(chunk=500, partition=400, least_partitions=4), katz.KatzPolicy(order=4, chunk=900, partition=900, least_partitions=2)])
 def test_against_brute_force(spark, rows, policy):
-    model = Brute(rows)
+    model = Brute(rows, policy.order)
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA).repartition(3)
     got = {r.doc_id: r for r in katz.score_texts(df, policy).collect()}
     assert len(got) == len(rows)
     for i, t in rows:
         w = tokens(t)
         r = got[i]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), len(w), sum(model.uni[x] > 0 for x in w), model.n)
-        assert r.base_score == pytest.approx(sum(math.log10((model.uni[x] + 0.1) / (model.n + 0.1 * (model.v + 1))) for x in w), rel=1e-9)
-        assert r.score == pytest.approx(sum(math.log10(model.p2(a, x)) for a, x in zip(["<s>", *w[:-1]], w, strict=True)), rel=1e-6)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), len(w), sum(x in model.uni for x in w), model.n)
+        assert r.base_score == pytest.approx(sum(math.log10((model.uni.get(x, 0) + 0.1) / (model.n + 0.1 * (model.v + 1))) for x in w), rel=1e-9)
+        assert r.score == pytest.approx(model.score(t), rel=1e-9)
 
 
 def test_distributions_sum_to_one(rows):
     model = Brute(rows)
-    assert sum(model.p1(w) for w in model.uni) + model.unknown == pytest.approx(1)
-    for a in ["<s>", "w0", "w5", "w59"]:
-        assert sum(model.p2(a, w) for w in model.uni) + model.p2(a, "never seen") == pytest.approx(1)
+    for h in [(), ("<s>",), ("w0",), ("<s>", "w0"), ("w1", "w0"), ("w0", "w59")]:
+        assert sum(model.p(h, w) for w in model.uni) + model.p(h, "never seen") == pytest.approx(1, abs=1e-9)
+
+
+def test_large_numbers_keep_all_bits():
+    x = np.array([0, 1, 2**32 + 5, 2**62, 255], np.int64)
+    assert (katz.unpack(katz.pack(x)) == x).all() and len(katz.unpack(katz.pack(x[:0]))) == 0
+
+
+def test_clashing_columns_null_ids_and_text_ids(spark):
+    df = spark.createDataFrame([("a", "x y", 1, "p"), ("a", "x y", 1, "p"), (None, "x z", 2, "q"), ("b", None, 3, "r")], "doc_id string, text string, cid long, words string")
+    got = katz.score_texts(df).collect()
+    assert sorted(map(str, (r.doc_id for r in got))) == ["None", "a", "a", "b"] and all(np.isfinite(r.score) for r in got)
+    assert next(r for r in got if r.doc_id is None).held_out
 
 
 def test_empty_table_and_only_held_out(spark):
@@ -122,20 +143,7 @@ def test_copied_passage_with_one_changed_word(spark):
         rows = [*zip(train, [*[passage] * 40, *more], strict=False), (test[0], passage.replace("four", "never")), (test[1], passage), (test[2], passage.replace("four", "six"))]
         got = {r.doc_id: r.score for r in katz.score_texts(spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)).collect()}
         model = Brute(rows)
-        n, top = model.n, 5 * (1 - model.d1[5]) / model.n if not more else 0
-        p1 = lambda w: (model.known1(w) * (1 - top) if model.uni[w] else top or model.unknown)  # noqa: B023, E731
-
-        def p2(a, w):
-            if not model.h[a]:
-                return p1(w)
-            low = any(model.bi[a, x] <= 5 for x in model.follow[a])
-            if low:
-                return model.p2(a, w)
-            left = 5 * (1 - model.d2[5]) / model.h[a]  # what is taken off one count of 5
-            return (1 - left) * model.bi[a, w] / model.h[a] if model.bi[a, w] else left / (1 - sum(p1(x) for x in model.follow[a])) * p1(w)
-
-        assert sum(p2("three", w) for w in model.uni) + p2("three", "never") == pytest.approx(1) and n > 200
+        assert sum(model.p(("two", "three"), w) for w in model.uni) + model.p(("two", "three"), "never") == pytest.approx(1)
         for i, t in rows:
-            w = tokens(t)
-            assert got[i] == pytest.approx(sum(math.log10(p2(a, x)) for a, x in zip(["<s>", *w[:-1]], w, strict=True)), rel=1e-5)
-        assert -20 < got[test[0]] < got[test[1]] and -20 < got[test[2]] < got[test[1]]
+            assert got[i] == pytest.approx(model.score(t), rel=1e-9)
+        assert -30 < got[test[0]] < got[test[1]] and -30 < got[test[2]] < got[test[1]]

@@ -1,18 +1,20 @@
-"""Katz backoff language model (operator 7).
-
-Bigram counts with Good-Turing discounts and backoff weights that make every history's distribution sum to one over the
-training vocabulary and one unknown word. Texts are packed into chunks of some megabytes. A chunk sends the distinct words
-it holds, packed, to partitions by hash; each partition adds the counts of all chunks and answers every chunk for its words.
-Then the chunks send their distinct bigrams, by history (histories with a large share of the tokens are spread by the next
-word as well), and get back the bigram's count and the sums from which the history's backoff weight follows. Partitions
-grow in number with the corpus; nothing but a dozen totals passes through the driver.
+"""Katz backoff language model of any order (operator 7).
+
+n-gram counts with Good-Turing discounts for each order and backoff weights that make every history's distribution sum to
+one over the training vocabulary and one unknown word. Texts are packed into chunks: the distinct words of some megabytes
+of text and the sequence of their places. A chunk sends its distinct words, packed, to partitions by hash; each partition adds
+the counts of all chunks, names the words by number and answers every chunk for its words. Then, order by order, the chunks
+send their distinct n-grams by history (one with a large share of the tokens is spread by the next word as well), and get
+back the n-gram's count and, for each history, whole numbers from which its backoff weight follows under any discounts. The
+tables of counts lie in partitions that grow in number with the corpus; nothing but a dozen totals an order passes through
+the driver. Every message holds an n-gram that its chunk has, so there are never more messages than tokens.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -23,85 +25,81 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from tidemark.llm.common import stage
+from tidemark.llm.common import arrow_rows, stage
 from tidemark.llm.quality_fm import held_out
 from tidemark.llm.tokens import Splitter, buffers, mix, runs
 
-#: Token that ends every text, and history of a text's first token.
-END, START = np.uint64(1), np.uint64(2)
+#: Token that ends every text (a hash), and number of the token before a text's first.
+END, START = np.uint64(1), 0
 #: Counts above CUT are not discounted.
 CUT = 5
 
 
 @dataclass(frozen=True)
 class KatzPolicy:
-    """chunk: bytes of text that a task works on at a time. partition: bytes of text for each partition of the count tables."""
+    """order: longest n-gram. chunk: bytes of text that a task works on at a time. partition: bytes of text for each partition of the count tables."""
 
+    order: int = 3
     folds: int = 10
-    chunk: int = 10 << 20
-    partition: int = 16 << 20
+    chunk: int = 4 << 20
+    partition: int = 8 << 20
     least_partitions: int = 16
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Integers or floats as compressed byte planes."""
-    wide = np.ascontiguousarray(values)
-    return zstandard.compress(wide.view(np.uint8).reshape(-1, wide.itemsize).T.tobytes(), 1)
+    """Non-negative integers as compressed byte planes, as many as the largest needs."""
+    wide = np.ascontiguousarray(values, np.uint64)
+    planes = max(1, (int(wide.max()).bit_length() + 7) // 8) if len(wide) else 1
+    return zstandard.compress(bytes([planes]) + wide.view(np.uint8).reshape(-1, 8).T[:planes].tobytes(), 1)
 
 
-def unpack(data: bytes, kind: type) -> np.ndarray:
-    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
-
-
-def _gaps(sorted_keys: np.ndarray) -> np.ndarray:
-    return np.diff(sorted_keys, prepend=np.uint64(0))
+def unpack(data: bytes) -> np.ndarray:
+    raw = zstandard.decompress(data)
+    planes = raw[0]
+    body = np.frombuffer(raw, np.uint8, offset=1).reshape(planes, -1)
+    out = np.zeros((body.shape[1], 8), np.uint8)
+    out[:, :planes] = body.T
+    return out.view(np.int64).ravel()
 
 
 def packed_chunks(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame:
-    """(cid, ids, held, offsets, text): runs of documents, texts compressed. Null texts count as empty."""
+    """(cid, ids, held, sizes, keys, tokens): runs of documents. keys: hashes of the distinct words, as gaps; tokens: their places in text order, END after each text; sizes: tokens of each text. Null texts count as empty."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter = Splitter(lower=True)
         for batch in batches:
             data, offsets = buffers(batch.column(1))
             for i, j in runs(offsets, policy.chunk):
-                at = offsets[i : j + 1] - offsets[i]
-                ids, held = batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i)
-                cid = int.from_bytes(np.random.default_rng().bytes(8), "little") >> 1  # kept by the staged table
+                hashes, doc = [], []
+                for a, b in runs(offsets[i : j + 1]):
+                    part = offsets[i + a : i + b + 1]
+                    w = splitter.split(data[part[0] : part[-1]], part - part[0])
+                    hashes.append(w.hashes)
+                    doc.append(w.doc + a)
+                n = j - i
+                of = np.concatenate([*doc, np.arange(n)])
+                order = np.argsort(of, kind="stable")  # a text's words keep their order, its END comes last
+                keys, tokens = np.unique(np.concatenate([*hashes, np.full(n, END)])[order], return_inverse=True)
+                cid = int.from_bytes(np.random.default_rng().bytes(8), "little") >> 1  # kept by the stored table
                 wrap = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-                text = pa.array([zstandard.compress(data[offsets[i] : offsets[j]].tobytes(), 3)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([cid]), wrap(ids), wrap(held), wrap(pa.array(at.astype(np.int32))), text], ["cid", "ids", "held", "offsets", "text"])
+                packed = [pa.array([pack(x)], pa.binary()) for x in (np.bincount(of, minlength=n), np.diff(keys, prepend=np.uint64(0)), tokens)]
+                yield pa.RecordBatch.from_arrays([pa.array([cid]), wrap(batch.column(0).slice(i, n)), wrap(batch.column(2).slice(i, n)), *packed], ["cid", "ids", "held", "sizes", "keys", "tokens"])
 
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id"), policy.folds).alias("held"))
-    return rows.mapInArrow(run, f"cid long, ids array<{kind}>, held array<boolean>, offsets array<int>, text binary")
+    return rows.mapInArrow(run, f"cid long, ids array<{kind}>, held array<boolean>, sizes binary, keys binary, tokens binary")
 
 
 class Chunk:
-    """Tokens of a packed chunk: hash, text and training mark of each, END after every text; distinct words in order."""
-
-    def __init__(self, held: list[bool], offsets: list[int], text: bytes):
-        data, at = np.frombuffer(zstandard.decompress(text), np.uint8), np.asarray(offsets, np.int64)
-        splitter, hashes, doc = Splitter(lower=True), [], []
-        for i, j in runs(at):
-            w = splitter.split(data[at[i] : at[j]], at[i : j + 1] - at[i])
-            hashes.append(w.hashes)
-            doc.append(w.doc + i)
-        n = len(at) - 1
-        of = np.concatenate([*doc, np.arange(n)]).astype(np.int64)
-        order = np.argsort(of, kind="stable")  # a text's words keep their order, its END comes last
-        self.word = np.concatenate([*hashes, np.full(n, END)])[order]
-        self.doc = of[order]
-        self.train = ~np.asarray(held, bool)[self.doc]
-        self.n = n
-        self.keys, self.of = np.unique(self.word, return_inverse=True)
-
-    def histories(self) -> np.ndarray:
-        """Index of each token's history among the distinct words; len(keys) stands for START."""
-        out = np.append(len(self.keys), self.of[:-1])
-        out[np.flatnonzero(np.diff(self.doc, prepend=-1))] = len(self.keys)
-        return out
+    """Tokens of a packed chunk: of (place among keys), doc, train (mark) and first (place of its text's first token) of each."""
+
+    def __init__(self, row: dict):
+        self.keys = np.cumsum(unpack(row["keys"]).view(np.uint64), dtype=np.uint64)
+        self.of, sizes = unpack(row["tokens"]), unpack(row["sizes"])
+        self.n = len(sizes)
+        self.doc = np.repeat(np.arange(self.n), sizes)
+        self.first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.train = ~np.asarray(row["held"], bool)[self.doc]
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -115,37 +113,23 @@ def _buckets(spark: SparkSession) -> int:
     return max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def bucketed(chunks: DataFrame) -> DataFrame:
-    """The chunks as a table in the shared warehouse, bucketed by cid: their texts are never shuffled, only the answers come to them."""
-    spark = chunks.sparkSession
-    name = f"katz_chunks_{uuid.uuid4().hex}"
-    chunks.write.bucketBy(_buckets(spark), "cid").saveAsTable(name)
-    return spark.table(name)
-
-
-def _split(keys: np.ndarray, bits: int) -> np.ndarray:
-    """Bounds of the 2**bits hash ranges in sorted keys."""
-    return np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+def _messages(cid: int, p: np.ndarray, columns: dict[str, tuple[np.ndarray, np.ndarray]], parts: int) -> pa.RecordBatch:
+    """A row for each partition that p (sorted) names. columns: name -> (partition of each value, sorted; values)."""
+    some = np.unique(p)
+    cut = {name: (np.searchsorted(at, some), np.searchsorted(at, some, side="right")) for name, (at, _) in columns.items()}
+    packed = {name: pa.array([pack(values[a:b]) for a, b in zip(*cut[name], strict=True)], pa.binary()) for name, (_, values) in columns.items()}
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(some), cid)), pa.array(some.astype(np.int32)), *packed.values()], ["cid", "p", *packed])
 
 
 def _word_requests(chunks: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            c = Chunk(row["held"], row["offsets"], row["text"])
-            counts = np.bincount(c.of, c.train, len(c.keys)).astype(np.uint32)
-            cut = _split(c.keys, bits)
-            some = np.flatnonzero(np.diff(cut))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(some), row["cid"])),
-                    pa.array(some.astype(np.int32)),
-                    pa.array([pack(_gaps(c.keys[cut[p] : cut[p + 1]])) for p in some], pa.binary()),
-                    pa.array([pack(counts[cut[p] : cut[p + 1]]) for p in some], pa.binary()),
-                ],
-                ["cid", "p", "keys", "n"],
-            )
-
-    return chunks.select("cid", "held", "offsets", "text").mapInArrow(run, "cid long, p int, keys binary, n binary")
+            c = Chunk(row)
+            p = (c.keys >> np.uint64(64 - bits)).astype(np.int64)
+            gaps = np.where(np.diff(p, prepend=-1) != 0, c.keys, np.diff(c.keys, prepend=np.uint64(0)))
+            yield _messages(row["cid"], p, {"keys": (p, gaps), "n": (p, np.bincount(c.of, c.train, len(c.keys)))}, 1 << bits)
+
+    return chunks.select("cid", "held", "sizes", "keys", "tokens").mapInArrow(run, "cid long, p int, keys binary, n binary")
 
 
 def _of_counts(c: np.ndarray) -> list[int]:
@@ -153,15 +137,30 @@ def _of_counts(c: np.ndarray) -> list[int]:
     return [int(c.sum()), int((c > 0).sum()), *np.bincount(np.minimum(c, CUT + 2), minlength=CUT + 3)[1 : CUT + 2].tolist()]
 
 
-def _count_words(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One partition of the word table: every chunk's answer, and a row of totals (null cid)."""
-    keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in pdf["keys"]]
-    every, of = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(of, np.concatenate([unpack(n, np.uint32) for n in pdf["n"]]), len(every)).astype(np.int64)
-    ends = np.cumsum([len(k) for k in keys])
-    answers = [pack(total[of[e - len(k) : e]].astype(np.uint32)) for k, e in zip(keys, ends, strict=True)]
-    out = pd.DataFrame({"cid": pdf["cid"].astype("Int64"), "p": pdf["p"], "answer": answers, "totals": [None] * len(pdf)})
-    return pd.concat([out, pd.DataFrame({"cid": pd.array([None], "Int64"), "p": pdf["p"].iloc[:1].to_numpy(), "answer": [None], "totals": [_of_counts(total)]})])
+def _answers(pdf: pd.DataFrame, answers: list[list[bytes]], names: list[str], totals: list[int]) -> pd.DataFrame:
+    """A row for each message, and one with the partition's totals (null cid)."""
+    out = pd.DataFrame(answers, columns=names)
+    out.insert(0, "cid", pdf["cid"].to_numpy())
+    out.insert(1, "p", pdf["p"].to_numpy())
+    out["totals"] = None
+    last = pd.DataFrame({"cid": [None], "p": pdf["p"].iloc[:1].to_numpy(), **{n: [None] for n in names}, "totals": [totals]})
+    return pd.concat([out.astype({"cid": "Int64"}), last.astype({"cid": "Int64"})])
+
+
+def _count_words(bits: int):
+    """One partition of the word table: for every chunk the numbers and counts of its words. The more frequent a word, the smaller its number."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.cumsum(unpack(k).view(np.uint64), dtype=np.uint64) for k in pdf["keys"]]
+        every, of = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(of, np.concatenate([unpack(n) for n in pdf["n"]]), len(every)).astype(np.int64)
+        name = np.empty(len(every), np.int64)
+        name[np.argsort(-total, kind="stable")] = (np.arange(len(every), dtype=np.int64) << bits) + int(pdf["p"].iloc[0]) + 1
+        ends = np.cumsum([len(k) for k in keys])
+        answers = [[pack(name[of[e - len(k) : e]]), pack(total[of[e - len(k) : e]])] for k, e in zip(keys, ends, strict=True)]
+        return _answers(pdf, answers, ["names", "n"], _of_counts(total))
+
+    return run
 
 
 def _fitted(n: list[int]) -> float | None:
@@ -205,128 +204,152 @@ def taken(d: np.ndarray) -> float:
 
 @dataclass
 class Totals:
-    """What every task knows of the corpus: training tokens and types, training texts, discounts of words (then of bigrams).
+    """What every task knows of the corpus: training tokens and types, training texts, discounts of each order.
 
-    top: share that counts above CUT keep; under 1 only where no word has a lower count, so that unknown words have some mass.
+    top: share that word counts above CUT keep; under 1 only where no word has a lower count, so that unknown words have some mass.
     """
 
     tokens: int
     types: int
     texts: int
-    d1: np.ndarray
     unknown: float
     bits: int
-    d2: np.ndarray | None = None
+    discounts: list[np.ndarray] = field(default_factory=list)
     top: float = 1.0
 
     def p1(self, c: np.ndarray) -> np.ndarray:
         """Discounted word probability; a word that training lacks gets the whole mass left over."""
-        p = np.where(c > CUT, self.top, self.d1[np.minimum(c, CUT)]) * c / max(self.tokens, 1)
+        p = np.where(c > CUT, self.top, self.discounts[0][np.minimum(c, CUT)]) * c / max(self.tokens, 1)
         return np.where(c > 0, p, self.unknown)
 
     def spread(self, c: np.ndarray) -> np.ndarray:
-        """Partitions that a history of count c is dealt to: more than one from an eighth of a partition's mean."""
-        return np.clip(c * (8 << self.bits) // max(self.tokens, 1), 1, 1 << self.bits).astype(np.int64)
+        """Partitions that a history of count c is dealt to: more than one from half a partition's mean."""
+        return np.clip(c * (2 << self.bits) // max(self.tokens, 1), 1, 1 << self.bits).astype(np.int64)
 
 
-class Bigrams:
-    """A chunk's distinct bigrams in the order in which the partitions see them, and the token's place in that order.
+class Grams:
+    """A chunk's distinct n-grams of one order as the partitions see them, sorted by partition, history and next word.
 
-    Row i of a partition: history, next word. A history that is dealt to several partitions asks all of them for its sums.
+    of: place of each token's n-gram in that order. Histories are sorted by partition too; one that is dealt to several
+    partitions asks all of them for its sums. h_of: each token's history; h_count: a history's count.
     """
 
-    def __init__(self, c: Chunk, count: np.ndarray, t: Totals):
-        size = len(c.keys)
-        self.h_key = np.append(c.keys, START)
-        self.h_count = np.append(count, t.texts).astype(np.int64)
-        pair, self.of = np.unique(c.histories() * size + c.of, return_inverse=True)
-        h, w = pair // size, pair % size
-        self.n = np.bincount(self.of, c.train, len(pair)).astype(np.uint32)
-        wide = t.spread(self.h_count)
-        home = (mix(self.h_key) >> np.uint64(64 - t.bits)).astype(np.int64)
-        step = (mix(c.keys[w] ^ np.uint64(0xA5A5)) >> np.uint64(11)).astype(np.int64)
+    def __init__(self, c: Chunk, name: np.ndarray, history: np.ndarray, ids: list[np.ndarray], h_count: np.ndarray, low: np.ndarray, t: Totals):
+        """history: each token's history, numbered; ids: the names of its words, the nearest first, for each history; low: count of the n-gram without its first word, for each token."""
+        size, many = len(name), len(ids[0])
+        rank = np.empty(size, np.int64)
+        rank[np.argsort(name)] = np.arange(size)
+        by_rank = np.sort(name)
+        pair, first, of = np.unique(history * size + rank[c.of], return_index=True, return_inverse=True)
+        h, w = pair // size, by_rank[pair % size]
+        n = np.bincount(of, c.train, len(pair)).astype(np.int64)
+        wide = t.spread(h_count)
+        mixed = np.zeros(many, np.uint64)
+        for x in ids:
+            mixed = mix(mixed * np.uint64(0x9E3779B97F4A7C15) + x.astype(np.uint64))
+        home = (mixed >> np.uint64(64 - t.bits)).astype(np.int64)
+        step = (mix(w.astype(np.uint64)) >> np.uint64(11)).astype(np.int64)
         p = (home[h] + step % wide[h]) % (1 << t.bits)
-        short = c.keys[w] >> np.uint64(24)  # 40 bits of the next word: enough beside the whole hash of the history
-        self.order = np.lexsort((short, self.h_key[h], p))
-        self.place = np.empty(len(pair), np.int64)
-        self.place[self.order] = np.arange(len(pair))
-        self.h, self.w, self.p, self.short, self.cw = h[self.order], w[self.order], p[self.order], short[self.order], count[w[self.order]]
-        self.n = self.n[self.order]
-        # (partition, history) groups: those with bigrams, and the other partitions of spread histories
-        used = np.unique(h)
-        many = used[wide[used] > 1]
-        every_h = np.repeat(many, wide[many])
-        every_p = (home[every_h] + np.arange(len(every_h)) - np.repeat(np.cumsum(wide[many]) - wide[many], wide[many])) % (1 << t.bits)
-        group = np.unique(np.concatenate([self.p * (size + 1) + self.h, every_p * (size + 1) + every_h]))
-        self.g_p, self.g_h = group // (size + 1), group % (size + 1)
-        resort = np.lexsort((self.h_key[self.g_h], self.g_p))
-        self.g_p, self.g_h = self.g_p[resort], self.g_h[resort]
-        rank = np.empty(len(group), np.int64)
-        rank[resort] = np.arange(len(group))
-        self.g_n = np.bincount(rank[np.searchsorted(group, self.p * (size + 1) + self.h)], minlength=len(group))
-
-
-def _filled(answers: list, kind: type) -> np.ndarray:
-    """Answers of all partitions in the order of the partitions."""
-    return np.concatenate([np.zeros(0, kind), *[unpack(a["answer"], kind) for a in sorted(answers, key=lambda a: a["p"])]])
-
-
-def _bigram_requests(chunks: DataFrame, totals: Totals) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            c = Chunk(row["held"], row["offsets"], row["text"])
-            b = Bigrams(c, _filled(row["words"], np.uint32).astype(np.int64), totals)
-            parts = np.arange((1 << totals.bits) + 1)
-            rows, groups = np.searchsorted(b.p, parts), np.searchsorted(b.g_p, parts)
-            some = np.flatnonzero(np.diff(groups))
-            cols = [[] for _ in range(5)]
-            for p in some:
-                r, g = slice(rows[p], rows[p + 1]), slice(groups[p], groups[p + 1])
-                for col, x in zip(cols, (_gaps(b.h_key[b.g_h[g]]), b.g_n[g].astype(np.uint32), b.short[r], b.n[r], np.where(b.n[r] > 0, b.cw[r], 0).astype(np.uint32)), strict=True):
-                    col.append(pack(x))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), row["cid"])), pa.array(some.astype(np.int32)), *[pa.array(x, pa.binary()) for x in cols]], ["cid", "p", "h", "hn", "w", "n", "cw"]
-            )
-
-    return chunks.select("cid", "held", "offsets", "text", "words").mapInArrow(run, "cid long, p int, h binary, hn binary, w binary, n binary, cw binary")
-
-
-def _count_bigrams(totals: Totals):
-    """One partition of the bigram table: every chunk's answer (counts; for each history the types seen 1 ... CUT times, the
-    sum of the higher counts and of the followers' word probabilities), and a row of totals."""
+        order = np.argsort(p.astype(np.uint16) if t.bits <= 16 else p, kind="stable")
+        place = np.empty(len(pair), np.int64)
+        place[order] = np.arange(len(pair))
+        self.of, self.h_of, self.h_count = place[of], history, h_count
+        self.p, self.w, self.n, self.low = p[order], w[order], n[order], np.where(n > 0, low[first], 0)[order]
+        some = np.flatnonzero(wide > 1)
+        g_h = np.concatenate([np.flatnonzero(wide == 1), np.repeat(some, wide[some])])
+        turn = np.concatenate([np.zeros(many - len(some), np.int64), np.arange(int(wide[some].sum())) - np.repeat(np.cumsum(wide[some]) - wide[some], wide[some])])
+        g_p = (home[g_h] + turn) % (1 << t.bits)
+        resort = np.lexsort((g_h, g_p))
+        self.g_p, self.g_h = g_p[resort], g_h[resort]
+        key = self.g_p * many + self.g_h
+        self.g_n = np.bincount(np.searchsorted(key, self.p * many + h[order]), minlength=len(key))
+        self.ids = [x[self.g_h] for x in ids]
+
+    def messages(self, cid: int, parts: int) -> pa.RecordBatch:
+        near = self.ids[0]  # sorted inside a partition
+        gaps = np.where(np.diff(self.g_p, prepend=-1) != 0, near, np.diff(near, prepend=0))
+        columns = {"h1": (self.g_p, gaps), **{f"h{k + 2}": (self.g_p, x) for k, x in enumerate(self.ids[1:])}, "hn": (self.g_p, self.g_n), "w": (self.p, self.w), "n": (self.p, self.n), "low": (self.p, self.low)}
+        return _messages(cid, self.g_p, columns, parts)
+
+
+def _columns(order: int) -> list[str]:
+    return [*[f"h{k}" for k in range(1, order)], "hn", "w", "n", "low"]
+
+
+def _count_grams(order: int):
+    """One partition of the table of an order: for every chunk the counts of its n-grams, and for each of its histories, over
+    the followers seen in training: how many have a count of 1 ... CUT; how many have a lower-order count of 1 ... CUT, and the sum of the higher ones."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        hs = [np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in pdf["h"]]
-        hn = [unpack(x, np.uint32) for x in pdf["hn"]]
-        w = np.concatenate([unpack(x, np.uint64) for x in pdf["w"]])
-        n = np.concatenate([unpack(x, np.uint32) for x in pdf["n"]])
-        cw = np.concatenate([unpack(x, np.uint32) for x in pdf["cw"]]).astype(np.int64)
-        every_h, h_of = np.unique(np.concatenate(hs), return_inverse=True)
-        h = np.repeat(h_of, np.concatenate(hn).astype(np.int64))
-        key = mix(every_h[h] * np.uint64(0x9E3779B97F4A7C15) + w)
-        _, first, of = np.unique(key, return_index=True, return_inverse=True)
-        total = np.bincount(of, n, len(first)).astype(np.int64)
-        th, seen = h[first], total > 0
-        counted = np.zeros(len(first), np.int64)
-        counted[of[n > 0]] = cw[n > 0]  # chunks send a word's count with bigrams that they train on
-        sums = [np.bincount(th[total == r], minlength=len(every_h)).astype(np.uint32) for r in range(1, CUT + 1)]
-        sums.append(np.bincount(th, np.where(total > CUT, total, 0), len(every_h)).astype(np.uint32))
-        mass = np.bincount(th, np.where(seen, totals.p1(counted), 0), len(every_h)).astype(np.float32)
+        h1 = [np.cumsum(unpack(x)) for x in pdf["h1"]]
+        hs = [np.concatenate(h1), *[np.concatenate([unpack(x) for x in pdf[f"h{k}"]]) for k in range(2, order)]]
+        hn = [unpack(x) for x in pdf["hn"]]
+        w, n, low = (np.concatenate([unpack(x) for x in pdf[name]]) for name in ("w", "n", "low"))
+        h_of, many = _ranks(hs)
+        of, rows, first = _ranks([np.repeat(h_of, np.concatenate(hn)), w], True)
+        total = np.bincount(of, n, rows).astype(np.int64)
+        lower = np.zeros(rows, np.int64)
+        lower[of[n > 0]] = low[n > 0]  # chunks send it with n-grams that they train on
+        th = np.repeat(h_of, np.concatenate(hn))[first]
+        seen = total > 0
+        of_class = lambda c: [np.bincount(th[seen & (c == r)], minlength=many) for r in range(1, CUT + 1)]
+        sums = np.stack([*of_class(total), *of_class(lower), np.bincount(th, np.where(seen & (lower > CUT), lower, 0), many).astype(np.int64)])
         answers, at, row = [], 0, 0
-        for keys, sizes in zip(hs, hn, strict=True):
+        for keys, sizes in zip(h1, hn, strict=True):
             mine, own = slice(at, at + len(keys)), slice(row, row + int(sizes.sum()))
             at, row = mine.stop, own.stop
-            answers.append([pack(total[of[own]].astype(np.uint32)), pack(np.stack([s[h_of[mine]] for s in sums], axis=1).ravel()), pack(mass[h_of[mine]])])
-        out = pd.DataFrame(answers, columns=["answer", "sums", "mass"])
-        out.insert(0, "cid", pdf["cid"].astype("Int64").to_numpy())
-        out.insert(1, "p", pdf["p"].to_numpy())
-        out["totals"] = None
-        last = pd.DataFrame({"cid": pd.array([None], "Int64"), "p": pdf["p"].iloc[:1].to_numpy(), "answer": [None], "sums": [None], "mass": [None], "totals": [_of_counts(total)]})
-        return pd.concat([out.astype({"cid": "Int64"}), last])
+            answers.append([pack(total[of[own]]), pack(sums[:, h_of[mine]].ravel())])
+        return _answers(pdf, answers, ["n", "sums"], _of_counts(total))
 
     return run
 
 
+def _ranks(columns: list[np.ndarray], firsts: bool = False) -> tuple:
+    """Number of each row's distinct value, in order of the columns, and how many there are (and a row of each)."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for x in columns:
+        y = x[order]
+        new[1:] |= y[1:] != y[:-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return (out, int(new.sum()), order[new]) if firsts else (out, int(new.sum()))
+
+
+def _filled(answers: list, name: str) -> np.ndarray:
+    """Answers of all partitions in the order of the partitions."""
+    return np.concatenate([np.zeros(0, np.int64), *[unpack(a[name]) for a in sorted(answers, key=lambda a: a["p"])]])
+
+
+def orders(row: dict, c: Chunk, t: Totals, upto: int) -> Iterator[tuple[Grams | None, np.ndarray]]:
+    """For orders 1 ... upto: the n-grams, and the count of each token's n-gram (where the row has the answers, else None)."""
+    name, count = _filled(row["words"], "names"), _filled(row["words"], "n")[c.of]
+    yield None, count
+    at, history, ids, one = np.arange(len(c.of)), np.zeros(len(c.of), np.int64), [], name[c.of]
+    for k in range(2, upto + 1):
+        far = at - (k - 1)
+        word = np.where(far >= c.first, one[np.maximum(far, 0)], START)
+        _, back, new = np.unique(word if k == 2 else history * (int(word.max(initial=0)) + 1) + word, return_index=True, return_inverse=True)
+        ids = [*[x[history[back]] for x in ids], word[back]]
+        history = new
+        before = np.where(at > c.first, np.append(0, count[:-1])[: len(at)], t.texts)
+        low = count
+        g = Grams(c, name, history, ids, before[back], low, t)
+        count = _filled(row[f"grams{k}"], "n")[g.of] if row.get(f"grams{k}") else None
+        yield g, count
+
+
+def _gram_requests(chunks: DataFrame, totals: Totals, order: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            c = Chunk(row)
+            *_, (g, _) = orders(row, c, totals, order)
+            yield g.messages(row["cid"], 1 << totals.bits)
+
+    return chunks.drop("ids").mapInArrow(run, "cid long, p int, " + ", ".join(f"{x} binary" for x in _columns(order)))
+
+
 def _totals(answers: DataFrame) -> list[int]:
     got = answers.where("totals IS NOT NULL").agg(*[F.sum(F.col("totals")[k]).alias(f"t{k}") for k in range(CUT + 3)]).first()
     return [int(x or 0) for x in got]
@@ -341,77 +364,91 @@ def score_texts(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
     Learns from the rows that are not held out; null and empty texts consist of the END token. Without any training text
-    every token is unknown and has probability 1.
+    every token is unknown and has probability 1. Rows that repeat an id or a text are texts of their own; a null id is held
+    out. Needs doc_id and text; other columns are not looked at.
     """
     spark = docs.sparkSession
-    chunks = bucketed(packed_chunks(docs, policy))
+    kind = docs.schema["doc_id"].dataType
+    table = f"katz_chunks_{uuid.uuid4().hex}"  # in the shared warehouse, bucketed: chunks are never shuffled, only the answers come to them
+    packed_chunks(docs, policy).write.bucketBy(_buckets(spark), "cid").saveAsTable(table)
+    try:
+        with arrow_rows(spark, 1):  # a row is megabytes
+            return _scored(spark.table(table), kind, policy)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _scored(chunks: DataFrame, kind: DataType, policy: KatzPolicy) -> DataFrame:
+    spark = chunks.sparkSession
     if chunks.isEmpty():
-        kind = docs.schema["doc_id"].dataType.simpleString()
-        return spark.createDataFrame([], f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    size = chunks.agg(F.sum(F.element_at("offsets", -1).cast("long")).alias("b"), F.sum(F.size(F.filter("held", lambda x: ~x))).alias("t")).first()
-    bits = max((policy.least_partitions - 1).bit_length(), (size.b // policy.partition).bit_length())
-    schema = "cid long, p int, answer binary, totals array<long>"
-    words = stage(_word_requests(chunks, bits).groupBy("p").applyInPandas(_count_words, schema), "words")
+        return spark.createDataFrame([], _scores_schema(kind))
+    size = chunks.agg(F.sum(F.length("tokens").cast("long")).alias("b"), F.sum(F.size(F.filter("held", lambda x: ~x))).alias("t")).first()
+    bits = max((policy.least_partitions - 1).bit_length(), (4 * size.b // policy.partition).bit_length())  # packed tokens take about a quarter of the text
+    words = stage(_word_requests(chunks, bits).groupBy("p").applyInPandas(_count_words(bits), "cid long, p int, names binary, n binary, totals array<long>"), "words")
     n, v, *ones = _totals(words)
     d1 = discounts(ones)
     kept = sum(d1[r] * r * ones[r - 1] for r in range(1, CUT + 1)) + n - sum(r * ones[r - 1] for r in range(1, CUT + 1))
     bare = n > 0 and not any(ones[:CUT])
     left = taken(d1) / n if bare else float(1 - kept / n) if n else 1.0
-    totals = Totals(n, v, int(size.t), d1, left, bits, top=1 - left if bare else 1.0)
-    named = _with(chunks, words, "words", "answer")
-    schema = "cid long, p int, answer binary, sums binary, mass binary, totals array<long>"
-    pairs = stage(_bigram_requests(named, totals).groupBy("p").applyInPandas(_count_bigrams(totals), schema), "bigrams")
-    totals.d2 = discounts(_totals(pairs)[2:])
-    return _score(_with(named, pairs, "pairs", "answer", "sums", "mass"), totals, docs.schema["doc_id"].dataType)
+    totals = Totals(n, v, int(size.t), left, bits, [d1], top=1 - left if bare else 1.0)
+    named = _with(chunks, words, "words", "names", "n")
+    for k in range(2, policy.order + 1):
+        schema = "cid long, p int, n binary, sums binary, totals array<long>"
+        grams = stage(_gram_requests(named, totals, k).groupBy("p").applyInPandas(_count_grams(k), schema), f"grams{k}")
+        totals.discounts = [*totals.discounts, discounts(_totals(grams)[2:])]
+        named = _with(named, grams, f"grams{k}", "n", "sums")
+    return stage(_score(named, totals, policy.order, kind), "scores")
 
 
-def log_probabilities(b: Bigrams, count: np.ndarray, c: Chunk, pair_n: np.ndarray, sums: np.ndarray, mass: np.ndarray, t: Totals) -> np.ndarray:
-    """log10 of each token's probability: its bigram's discounted share if the bigram was seen, else the history's weight times the word's own.
+def log_probabilities(row: dict, c: Chunk, t: Totals, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(count of each token's word, log10 of its probability): its n-gram's discounted share if training has the n-gram, else its history's weight times the probability of the next lower order.
 
     Every history keeps some mass for words that it was not seen with: one whose followers all have counts above CUT gives
-    up what is taken off one count of CUT."""
-    size = len(b.h_key)
-    per_h = np.stack([np.bincount(b.g_h, sums[:, k], size) for k in range(CUT + 1)])
-    known = np.maximum(b.h_count, 1)
-    bare = (b.h_count > 0) & (per_h[:CUT].sum(axis=0) == 0)
-    left = np.where(bare, taken(t.d2), sum((1 - t.d2[r]) * r * per_h[r - 1] for r in range(1, CUT + 1)))
-    top = np.where(bare, 1 - left / known, 1.0)
-    weight = left / known / np.maximum(1 - np.bincount(b.g_h, mass, size), 1e-15)
-    weight[b.h_count == 0] = 1.0
-    seen = np.where(pair_n > CUT, top[b.h], t.d2[np.minimum(pair_n, CUT)]) * pair_n / known[b.h]
-    p = np.where(pair_n > 0, seen, weight[b.h] * t.p1(count[b.w]))
-    return np.log10(p)[b.place[b.of]]
-
-
-def _score(chunks: DataFrame, totals: Totals, kind: DataType) -> DataFrame:
+    up what is taken off one count of CUT.
+    """
+    r = np.arange(1, CUT + 1)
+    words = p = below = None
+    for k, (g, count) in enumerate(orders(row, c, t, order), 1):
+        if k == 1:
+            words, p = count, t.p1(count)
+            below = np.full(len(count), max(t.tokens, 1)), np.full(len(count), t.top)  # count of the history, and what high counts keep after it
+            continue
+        d, lower, many = t.discounts[k - 1], t.discounts[k - 2], len(g.h_count)
+        parts = [unpack(a["sums"]).reshape(2 * CUT + 1, -1) for a in sorted(row[f"grams{k}"], key=lambda a: a["p"])]
+        sums = np.stack([np.bincount(g.g_h, x, many) for x in np.concatenate(parts, axis=1)])  # a spread history's parts add up
+        known = np.maximum(g.h_count, 1)
+        bare = (g.h_count > 0) & (sums[:CUT].sum(axis=0) == 0)
+        left = np.where(bare, taken(d), ((1 - d[1:]) * r) @ sums[:CUT])
+        top = np.where(bare, 1 - left / known, 1.0)
+        h, (under, kept) = g.h_of, below
+        mass = (((lower[1:] * r) @ sums[CUT : 2 * CUT])[h] + kept * sums[2 * CUT][h]) / under  # of the followers, in the next lower order
+        weight = np.where(g.h_count[h] > 0, (left / known)[h] / np.maximum(1 - mass, 1e-15), 1.0)
+        seen = np.where(count > CUT, top[h], d[np.minimum(count, CUT)]) * count / known[h]
+        p = np.where(count > 0, seen, weight * p)
+        below = known[h], top[h]
+    return words, np.log10(p)
+
+
+def _scores_schema(kind: DataType) -> str:
+    return f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _score(chunks: DataFrame, totals: Totals, order: int, kind: DataType) -> DataFrame:
     id_type = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            c = Chunk(row["held"], row["offsets"], row["text"])
-            count = _filled(row["words"], np.uint32).astype(np.int64)
-            b = Bigrams(c, count, totals)
-            pairs = sorted(row["pairs"], key=lambda a: a["p"])
-            pair_n = _filled(pairs, np.uint32).astype(np.int64)
-            sums = np.concatenate([unpack(a["sums"], np.uint32).reshape(-1, CUT + 1) for a in pairs]).astype(np.float64)
-            mass = np.concatenate([unpack(a["mass"], np.float32) for a in pairs])
-            score = np.bincount(c.doc, log_probabilities(b, count, c, pair_n, sums, mass, totals), c.n)
-            of = count[c.of]
-            base = np.bincount(c.doc, np.log10((of + 0.1) / (totals.tokens + 0.1 * (totals.types + 1))), c.n)
-            tokens = np.bincount(c.doc, minlength=c.n)
-            known = np.bincount(c.doc, of > 0, c.n).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(row["ids"], id_type),
-                    pa.array(row["held"], pa.bool_()),
-                    pa.array(tokens),
-                    pa.array(known),
-                    pa.array(np.full(c.n, totals.tokens)),
-                    pa.array(base),
-                    pa.array(score),
-                ],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
-
-    schema = f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return chunks.select("ids", "held", "offsets", "text", "words", "pairs").mapInArrow(run, schema)
+            c = Chunk(row)
+            words, p = log_probabilities(row, c, totals, order)
+            columns = [
+                pa.array(row["ids"], id_type),
+                pa.array(row["held"], pa.bool_()),
+                pa.array(np.bincount(c.doc, minlength=c.n)),
+                pa.array(np.bincount(c.doc, words > 0, c.n).astype(np.int64)),
+                pa.array(np.full(c.n, totals.tokens)),
+                pa.array(np.bincount(c.doc, np.log10((words + 0.1) / (totals.tokens + 0.1 * (totals.types + 1))), c.n)),
+                pa.array(np.bincount(c.doc, p, c.n)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return chunks.mapInArrow(run, _scores_schema(kind))
