@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -15,34 +14,68 @@ SPACES = "[ \\t-\\r]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset (local tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session, where all is one machine, may do without: it gets one in its warehouse."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="tidemark-")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the actions inside."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, name: str = "stage", row_group_mb: int | None = None) -> DataFrame:
-    """Write df to the shared folder and read it again: later steps survive lost executors and never recompute it."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """Write df to the shared folder and read it again: later steps survive lost executors and never recompute it. The shuffle files of the write go when it has ended."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write
     if row_group_mb:
         writer = writer.option("parquet.block.size", row_group_mb << 20)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        writer.parquet(path)
+    if _scratch:
+        _scratch[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
-    """Arrow batches of n rows for the actions inside: for rows of many kilobytes."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, n)
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that are staged inside are deleted at the end; what is returned from inside must be made by keep()."""
+    _scratch.append([])
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for path in _scratch.pop():
+            to = spark._jvm.org.apache.hadoop.fs.Path(path)
+            to.getFileSystem(spark._jsc.hadoopConfiguration()).delete(to, True)
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """stage() of a result that outlives scratch()."""
+    _scratch.append([])
+    try:
+        return stage(df, name)
+    finally:
+        _scratch.pop()
+
+
+def arrow_rows(spark: SparkSession, n: int):
+    """Arrow batches of n rows for the actions inside: for rows of many kilobytes."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
 
 
 def small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:

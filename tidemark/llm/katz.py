@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from tidemark.llm.common import arrow_rows, stage
+from tidemark.llm.common import arrow_rows, keep, scratch, stage
 from tidemark.llm.quality_fm import held_out
 from tidemark.llm.tokens import Splitter, buffers, mix, runs
 
@@ -254,7 +254,7 @@ class Grams:
         place = np.empty(len(pair), np.int64)
         place[order] = np.arange(len(pair))
         self.of, self.h_of, self.h_count = place[of], history, h_count
-        self.p, self.w, self.n, self.low = p[order], w[order], n[order], np.where(n > 0, low[first], 0)[order]
+        self.p, self.h, self.w, self.n, self.low = p[order], h[order], w[order], n[order], np.where(n > 0, low[first], 0)[order]
         some = np.flatnonzero(wide > 1)
         g_h = np.concatenate([np.flatnonzero(wide == 1), np.repeat(some, wide[some])])
         turn = np.concatenate([np.zeros(many - len(some), np.int64), np.arange(int(wide[some].sum())) - np.repeat(np.cumsum(wide[some]) - wide[some], wide[some])])
@@ -262,13 +262,18 @@ class Grams:
         resort = np.lexsort((g_h, g_p))
         self.g_p, self.g_h = g_p[resort], g_h[resort]
         key = self.g_p * many + self.g_h
-        self.g_n = np.bincount(np.searchsorted(key, self.p * many + h[order]), minlength=len(key))
+        self.g_n = np.bincount(np.searchsorted(key, self.p * many + self.h), minlength=len(key))
         self.ids = [x[self.g_h] for x in ids]
 
+    def w_gaps(self) -> np.ndarray:
+        """Each next word less the one before it after the same history."""
+        new = (np.diff(self.p, prepend=-1) != 0) | (np.diff(self.h, prepend=-1) != 0)
+        return np.where(new, self.w, np.diff(self.w, prepend=0))
+
     def messages(self, cid: int, parts: int) -> pa.RecordBatch:
         near = self.ids[0]  # sorted inside a partition
         gaps = np.where(np.diff(self.g_p, prepend=-1) != 0, near, np.diff(near, prepend=0))
-        columns = {"h1": (self.g_p, gaps), **{f"h{k + 2}": (self.g_p, x) for k, x in enumerate(self.ids[1:])}, "hn": (self.g_p, self.g_n), "w": (self.p, self.w), "n": (self.p, self.n), "low": (self.p, self.low)}
+        columns = {"h1": (self.g_p, gaps), **{f"h{k + 2}": (self.g_p, x) for k, x in enumerate(self.ids[1:])}, "hn": (self.g_p, self.g_n), "w": (self.p, self.w_gaps()), "n": (self.p, self.n), "low": (self.p, self.low)}
         return _messages(cid, self.g_p, columns, parts)
 
 
@@ -276,6 +281,13 @@ def _columns(order: int) -> list[str]:
     return [*[f"h{k}" for k in range(1, order)], "hn", "w", "n", "low"]
 
 
+def _from_gaps(gaps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Running sums inside groups of the given sizes."""
+    out = np.cumsum(gaps)
+    start = (np.cumsum(sizes) - sizes)[sizes > 0]
+    return out - np.repeat(out[start] - gaps[start], sizes[sizes > 0])
+
+
 def _count_grams(order: int):
     """One partition of the table of an order: for every chunk the counts of its n-grams, and for each of its histories, over
     the followers seen in training: how many have a count of 1 ... CUT; how many have a lower-order count of 1 ... CUT, and the sum of the higher ones."""
@@ -284,7 +296,8 @@ def _count_grams(order: int):
         h1 = [np.cumsum(unpack(x)) for x in pdf["h1"]]
         hs = [np.concatenate(h1), *[np.concatenate([unpack(x) for x in pdf[f"h{k}"]]) for k in range(2, order)]]
         hn = [unpack(x) for x in pdf["hn"]]
-        w, n, low = (np.concatenate([unpack(x) for x in pdf[name]]) for name in ("w", "n", "low"))
+        w = np.concatenate([_from_gaps(unpack(x), sizes) for x, sizes in zip(pdf["w"], hn, strict=True)])
+        n, low = (np.concatenate([unpack(x) for x in pdf[name]]) for name in ("n", "low"))
         h_of, many = _ranks(hs)
         of, rows, first = _ranks([np.repeat(h_of, np.concatenate(hn)), w], True)
         total = np.bincount(of, n, rows).astype(np.int64)
@@ -372,7 +385,7 @@ def score_texts(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame
     table = f"katz_chunks_{uuid.uuid4().hex}"  # in the shared warehouse, bucketed: chunks are never shuffled, only the answers come to them
     packed_chunks(docs, policy).write.bucketBy(_buckets(spark), "cid").saveAsTable(table)
     try:
-        with arrow_rows(spark, 1):  # a row is megabytes
+        with arrow_rows(spark, 1), scratch(spark):  # a row is megabytes
             return _scored(spark.table(table), kind, policy)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -397,7 +410,7 @@ def _scored(chunks: DataFrame, kind: DataType, policy: KatzPolicy) -> DataFrame:
         grams = stage(_gram_requests(named, totals, k).groupBy("p").applyInPandas(_count_grams(k), schema), f"grams{k}")
         totals.discounts = [*totals.discounts, discounts(_totals(grams)[2:])]
         named = _with(named, grams, f"grams{k}", "n", "sums")
-    return stage(_score(named, totals, policy.order, kind), "scores")
+    return keep(_score(named, totals, policy.order, kind), "scores")
 
 
 def log_probabilities(row: dict, c: Chunk, t: Totals, order: int) -> tuple[np.ndarray, np.ndarray]:
