@@ -31,5 +31,64 @@ def test_pages(spark):
 
 def test_quoted_brackets_and_unclosed_tags():
     p = hm.Page(page('<article data-x="a>b"><p>One<p>Two<ul><li>x<li>y</ul><!-- <p>no</p> --><textarea>t</textarea></article>'))
-    assert p.text(">html>body>article") == "One Two x y"
-    assert hm.Page("<div class='post-77 big'>a</div>").path[1] == ">div.big.post-#"
+    assert p.extract(None)[0] == "One Two x y"
+    assert hm.Page("<div class='post-77 big'>a</div>").names[1] == ".big.post-#"
+    long = hm.Page(page(f'<article title="{"x > y " * 2000}"><p>One text of some length</article>'))
+    assert long.extract(None)[0] == "One text of some length"
+
+
+def test_names_of_furniture_do_not_delete_an_article():
+    body = " ".join(f"word{k}" for k in range(60))
+    for names in ("post related-reading", "search-engines", "share-price", "social-history entry", "alert-systems", "discussion"):
+        assert hm.Page(page(f'<main class="{names}"><p>{body}</p></main>')).extract(None)[0] == body
+        inner = hm.Page(page(f'<main><div class="{names}"><p>{body}</p></div></main>'))
+        assert inner.extract(None)[0] == body
+    side = hm.Page(page(f"<main><p>{body}</p><div class='related'>Read more of this</div><div class='comments'><p>{body[:120]}</p></div></main>"))
+    assert side.extract(None)[0] == body
+
+
+def test_title_and_lead_beside_the_body():
+    body = " ".join(f"word{k}" for k in range(200))
+    p = hm.Page(page(f"<article><h1>A title</h1><p>A lead.</p><div class='body'><p>{body}</p></div></article>"))
+    assert p.extract(None)[0] == f"A title A lead. {body}"
+
+
+def test_a_stub_under_the_hosts_path_falls_back(spark):
+    body = " ".join(f"word{k}" for k in range(80))
+    rows = [(i, f"http://h.example/{i}", page(f"<article><p>{body} {i}</p></article>"), "c") for i in range(4)]
+    rows += [(9, "http://h.example/9", page(f"<article></article><div id='x'><p>{body}</p></div>"), "c")]
+    got = {r.page_id: r for r in hm.extract_main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[9].text == body and not got[9].by_host and got[0].by_host
+
+
+def test_odd_markup_is_linear():
+    import time
+
+    for html in ("<a" * 100_000, "<a b='" * 50_000, '<p class="' * 50_000, "<!--" * 100_000, "<p>" * 50_000, "<div><p>" * 20_000, "<![CDATA[" * 50_000, "<" * 300_000, "</" * 100_000, "<b>" * 30_000 + "x", "<script>" * 30_000):
+        began = time.perf_counter()
+        hm.Page(html).extract(None)
+        assert time.perf_counter() - began < 5
+
+
+def test_tags_match_a_plain_scan():
+    """Against a scan, character after character, of well-formed pages."""
+    import random
+
+    rng = random.Random(3)
+
+    def plain(html):
+        out, at = [], 0
+        while at < len(html):
+            if html[at] == "<":
+                quote, end = "", at + 1
+                while quote or html[end] != ">":
+                    quote = "" if html[end] == quote else quote or (html[end] if html[end] in "\"'" else "")
+                    end += 1
+                out.append((at, end + 1))
+                at = end
+            at += 1
+        return out
+
+    for _ in range(200):
+        parts = [rng.choice(["text ", "a & b", "<p>", "</p>", "<div class='a > b'>", '<i id="x\'>">', "<br/>", "</div>", "<h1 a=b c>", "x"]) for _ in range(30)]
+        assert [t[:2] for t in hm.tags("".join(parts))] == plain("".join(parts))

@@ -13,16 +13,16 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small, stage
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>|</(?P<end>[A-Za-z][^\s/>]*)[^>]*>"
-    r"|<(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]{0,4000}+\"|'[^']{0,4000}+'|[\"'])*?)>",
-    re.S,
-)
+#: Where markup can begin; and, inside a tag, what can end it or open a quoted value.
+_MARK = re.compile(r"<(?=[A-Za-z/!?])")
+_NAME = re.compile(r"/?[A-Za-z][^\s/>]*+")
+_IN_TAG = re.compile(r"[>\"']")
 _ATTR = re.compile(r"(?<![^\s\"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>\"']|$)", re.I)
 #: Elements without content; elements whose content is not markup; blocks, which part words; blocks that end an open paragraph.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,65 +45,144 @@ _JUNK_NAMES = re.compile(
     r"|banner)(?:$|[\s_-])|(?:^|[\s_-])side[_-]bar",
     re.I,
 )
+#: Names of the element that holds a main text.
+_MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|articlebody|entry|post|posts?-(?:body|content|text)|content|contents|main|maincontent|story|body|text)(?:$|[\s_-])", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SEEN = re.compile(r"\S+")
 
 
+def tags(html: str) -> Iterator[tuple[int, int, str, str]]:
+    """(start, end, name, attributes) of each piece of markup: the name in lower case, with a slash for an end tag, empty for comments and declarations, "![CDATA[" with its content.
+
+    Linear: where nothing closes a tag or a quoted value, this is found once and holds for the rest of the page.
+    """
+    at, size = 0, len(html)
+    last = {q: html.rfind(q) for q in (">", '"', "'")}
+    while m := _MARK.search(html, at):
+        start = m.start()
+        if html.startswith("<!--", start):
+            stop = html.find("-->", start + 4)
+            at = size if stop < 0 else stop + 3
+            yield start, at, "", ""
+        elif html.startswith("<![CDATA[", start):
+            stop = html.find("]]>", start + 9)
+            at = size if stop < 0 else stop + 3
+            yield start, at, "![CDATA[", html[start + 9 : size if stop < 0 else stop]
+        elif html[start + 1] in "!?":
+            stop = html.find(">", start)
+            at = size if stop < 0 else stop + 1
+            yield start, at, "", ""
+        elif name := _NAME.match(html, start + 1):
+            k = name.end()
+            while k <= last[">"]:
+                found = _IN_TAG.search(html, k)
+                q = found.group()
+                if q == ">":
+                    break
+                before = html[found.start() - 1]
+                close = html.find(q, found.end()) if (before == "=" or before.isspace()) and found.end() <= last[q] else -1
+                k = found.end() if close < 0 else close + 1
+            else:  # no end: the rest is no tag
+                at = start + 1
+                if last[">"] < start:
+                    return
+                continue
+            at = found.start() + 1
+            yield start, at, name.group().lower(), html[name.end() : found.start()]
+        else:
+            at = start + 1
+
+
 class Page:
-    """Containers of a page in document order (parent, path, junk) and its text runs (container, text, inside a link)."""
+    """Containers of a page in document order (parent, path, tag, junk) and its text runs (container, text, inside a link)."""
 
     def __init__(self, html: str):
-        self.parent, self.path, self.junk, self.tag = [-1], [""], [False], [""]
+        self.parent, self.tag, self.names, self.named, self.hidden = [-1], [""], [""], [False], [False]
         self.runs: list[tuple[int, str, bool]] = []
         self._read(html)
+        self._judge()
 
     def _open(self, tag: str, attrs: str, top: int) -> int:
-        names, junk = "", tag in _JUNK_TAGS
+        names, named, hidden = "", False, tag in _JUNK_TAGS
         if attrs and not attrs.isspace():
             for m in _ATTR.finditer(attrs):
                 key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
                 if key == "class":
                     names = value
                 if key in ("class", "id", "role"):
-                    junk = junk or bool(_JUNK_NAMES.search(value))
+                    named = named or bool(_JUNK_NAMES.search(value))
                 elif key == "style":
-                    junk = junk or bool(_HIDDEN.search(value))
+                    hidden = hidden or bool(_HIDDEN.search(value))
                 else:
-                    junk = junk or key == "hidden" or value.lower() == "true"
-        if tag in ("html", "body"):
-            junk = False
-        classes = "." + ".".join(sorted(set(re.sub(r"\d+", "#", names.lower()).split()))) if names.strip() else ""
+                    hidden = hidden or key == "hidden" or value.lower() == "true"
+        plain = tag in ("html", "body")
         self.parent.append(top)
-        self.path.append(f"{self.path[top]}>{tag}{classes}"[-400:])
-        self.junk.append(self.junk[top] or junk)
+        self.names.append("." + ".".join(sorted(set(re.sub(r"\d+", "#", names.lower()).split()))) if names.strip() else "")
         self.tag.append(tag)
+        self.named.append(named and not plain)
+        self.hidden.append(hidden and not plain)
         return len(self.parent) - 1
 
+    def _judge(self) -> None:
+        """Which containers are furniture. A name does not decide for an article, or so named, with a fifth of the page's text
+        outside hidden elements and links; nor for an element with half of it where hardly any stands outside elements with
+        such names: then the main part has an odd name. Elements that are mostly links go by their names."""
+        many = len(self.parent)
+        self.own, self.linked = [0] * many, [0] * many
+        hidden = [False] * many
+        for k in range(1, many):
+            hidden[k] = hidden[self.parent[k]] or self.hidden[k]
+        for k, s, link in self.runs:
+            if not hidden[k]:
+                n = sum(map(len, _SEEN.findall(s)))
+                self.own[k] += n
+                self.linked[k] += n * link
+        total, linked = self.own[:], self.linked[:]
+        for k in range(many - 1, 0, -1):
+            total[self.parent[k]] += total[k]
+            linked[self.parent[k]] += linked[k]
+        page = total[0] - linked[0]
+        under = [False] * many  # a furniture's name, here or above
+        for k in range(1, many):
+            under[k] = under[self.parent[k]] or self.named[k]
+        free = sum(self.own[k] - self.linked[k] for k in range(many) if not under[k])
+        self.junk = hidden
+        for k in range(1, many):
+            if self.named[k] and not hidden[k]:
+                text = total[k] - linked[k]
+                main = 5 * text >= page and (self.tag[k] in ("article", "main") or _MAIN_NAMES.search(self.names[k].replace(".", " ")))
+                hidden[k] = not (page > 0 and total[k] >= 2 * linked[k] and (main or (2 * text >= page and 10 * free < page)))
+            hidden[k] = hidden[k] or hidden[self.parent[k]]
+        # names of the path from the top, hashed step by step: any depth, in little room
+        self.path = [b""] * many
+        for k in range(1, many):
+            self.path[k] = xxhash.xxh3_128_digest(self.path[self.parent[k]] + b">" + (self.tag[k] + self.names[k]).encode("utf-8", "surrogatepass"))
+
     def _read(self, html: str) -> None:
         stack, open_tags, links, at = [0], Counter(), 0, 0
+        blocks: list[int] = []  # places in the stack of open blocks
 
         def pop() -> None:
             nonlocal links
             tag = self.tag[stack.pop()]
             open_tags[tag] -= 1
             links -= tag == "a"
+            if blocks and blocks[-1] >= len(stack):
+                blocks.pop()
 
         def text(s: str) -> None:
             if s:
                 self.runs.append((stack[-1], s, links > 0))
 
-        while at < len(html):
-            m = _TOKEN.search(html, at)
-            if not m:
-                text(unescape(html[at:]))
-                break
-            text(unescape(html[at : m.start()]))
-            at = m.end()
-            if m["cdata"]:
-                text(m["cdata"])
-            end, tag = m["end"], m["tag"]
-            if end:
-                end = end.lower()
+        for start, stop, tag, attrs in tags(html):
+            if start < at:  # inside a script or the like
+                continue
+            text(unescape(html[at:start]))
+            at = stop
+            if tag == "![CDATA[":
+                text(attrs)
+            elif tag[:1] == "/":
+                end = tag[1:]
                 if open_tags[end] > 0:
                     if end in _BLOCK:
                         text(" ")
@@ -113,14 +192,11 @@ class Page:
                 elif end in _BLOCK:
                     text(" ")
             elif tag:
-                tag = tag.lower()
                 if tag in _BLOCK:
                     text(" ")
-                    if open_tags["p"] and tag != "br":
-                        k = next((i for i in range(len(stack) - 1, max(len(stack) - 9, 0), -1) if self.tag[stack[i]] in _BLOCK), 0)
-                        if k and self.tag[stack[k]] == "p":  # a block ends an open paragraph; what hangs in it goes too
-                            while len(stack) > k:
-                                pop()
+                    if open_tags["p"] and tag != "br" and blocks and self.tag[stack[blocks[-1]]] == "p":  # a block ends an open paragraph; what hangs in it goes too
+                        for _ in range(len(stack) - blocks[-1]):
+                            pop()
                     if tag in _CLOSES and self.tag[stack[-1]] in _CLOSES[tag]:
                         pop()
                 if tag in _VOID:
@@ -132,30 +208,47 @@ class Page:
                     close = _RAW[tag].search(html, at)
                     at = close.end() if close else len(html)
                     continue
-                if m["attrs"].endswith("/") and tag not in _BLOCK:
+                if attrs.endswith("/") and tag not in _BLOCK:
                     continue
-                stack.append(self._open(tag, m["attrs"], stack[-1]))
+                if tag in _BLOCK:
+                    blocks.append(len(stack))
+                stack.append(self._open(tag, attrs, stack[-1]))
                 open_tags[tag] += 1
                 links += tag == "a"
+        text(unescape(html[at:]))
 
-    def best(self) -> int:
-        """Deepest container with nearly all the text outside furniture and links; 0 if there is none."""
+    def _scores(self) -> list[int]:
+        """Letters outside furniture and links in each container, less those in links."""
         own, linked = [0] * len(self.parent), [0] * len(self.parent)
-        for k, s, link in self.runs:
-            if not self.junk[k]:
-                n = sum(map(len, _SEEN.findall(s)))
-                own[k] += n
-                linked[k] += n * link
         for k in range(len(own) - 1, 0, -1):
+            if not self.junk[k]:
+                own[k] += self.own[k]
+                linked[k] += self.linked[k]
             own[self.parent[k]] += own[k]
             linked[self.parent[k]] += linked[k]
-        score = [max(a - 2 * b, 0) for a, b in zip(own, linked, strict=True)]
+        own[0], linked[0] = own[0] + self.own[0], linked[0] + self.linked[0]
+        return [max(a - 2 * b, 0) for a, b in zip(own, linked, strict=True)]
+
+    def best(self, score: list[int] | None = None) -> int:
+        """Deepest container with nearly all the text outside furniture and links; 0 if there is none.
+
+        From it, up to the nearest ancestor that is an article, main or so named and has more such text: there stand title and lead.
+        """
+        score = score or self._scores()
         top = max(score)
         if not top:
             return 0  # then the page has no text
-        return max((k for k in range(len(score)) if score[k] >= 0.9 * top and self.tag[k] in _CONTAINERS), default=0)
+        k = max((k for k in range(len(score)) if score[k] >= 0.9 * top and self.tag[k] in _CONTAINERS), default=0)
+        up, main = self.parent[k] if k else -1, k
+        while up > 0 and not (self.tag[k] in ("article", "main")):
+            if (self.tag[up] in ("article", "main") or _MAIN_NAMES.search(self.names[up].replace(".", " "))) and score[up] > score[main]:
+                main = up
+            if self.tag[up] in ("article", "main"):
+                break
+            up = self.parent[up]
+        return main
 
-    def text(self, path: str | None, node: int = 0) -> str | None:
+    def text(self, path: bytes | None, node: int = 0) -> str | None:
         """Text of the containers with the path (None if there are none), else of node; furniture left out, white space as one space."""
         inside = [False] * len(self.parent)
         for k in range(len(inside)):
@@ -164,13 +257,23 @@ class Page:
             return None
         return " ".join("".join(s for k, s, _ in self.runs if inside[k] and not self.junk[k]).split())
 
+    def extract(self, path: bytes | None) -> tuple[str, bool]:
+        """Text by the host's path; by the page's own best container where that path holds less than half of its text. The mark tells which."""
+        score = self._scores()
+        k = self.best(score)
+        if path is not None:
+            held = [i for i in range(1, len(score)) if self.path[i] == path]
+            if held and 2 * sum(score[i] for i in held) >= score[k]:
+                return self.text(path), True
+        return (self.text(None, k) if k else ""), False
+
 
 def _host(pages: DataFrame) -> DataFrame:
     return pages.withColumn("__host", F.coalesce(F.lower(F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1)), F.lit("")))
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path, votes): the winning path of each host; ties go to the path that sorts last."""
+    """(host, path, votes): the winning path (hashed) of each host; ties go to the path that sorts last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,16 +284,21 @@ def host_paths(pages: DataFrame) -> DataFrame:
                     votes[host, page.path[k]] += 1
             keys = list(votes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([votes[k] for k in keys], pa.int64())], ["host", "path", "n"]
+                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()), pa.array([votes[k] for k in keys], pa.int64())], ["host", "path", "n"]
             )
 
-    votes = _host(pages).select("__host", "html").mapInArrow(run, "host string, path string, n long").groupBy("host", "path").agg(F.sum("n").alias("votes"))
+    votes = _host(pages).select("__host", "html").mapInArrow(run, "host string, path binary, n long").groupBy("host", "path").agg(F.sum("n").alias("votes"))
     best = F.max(F.struct("votes", "path"))
     return votes.groupBy("host").agg(best.alias("b")).select("host", "b.path", "b.votes")
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars, by_host (the host's path was used) for every row. Null or empty html gives an empty text."""
+    """page_id, url, text, n_chars, by_host (the host's path was used) for every row. Null or empty html gives an empty text.
+
+    Rows that repeat a page are pages of their own and vote each; pages without a host (null or odd url) vote together. Needs
+    page_id, url and html; other columns are not looked at, whatever their names. The winners join the pages by broadcast if
+    they are few, else through a shuffle that Spark splits where a host has many pages.
+    """
     winners = stage(host_paths(pages), "paths").select(F.col("host").alias("__of"), F.col("path").alias("__path"))
     rows = _host(pages).join(small(winners), F.col("__host") == F.col("__of"), "left").select("page_id", "url", "html", "__path")
 
@@ -198,13 +306,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
         for batch in batches:
             texts, by_host = [], []
             for html, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                page = Page(html or "")
-                found = page.text(path) if path is not None else None
-                by_host.append(found is not None)
-                if found is None:
-                    k = page.best()
-                    found = page.text(None, k) if k else ""
+                found, host = Page(html or "").extract(path)
                 texts.append(found)
+                by_host.append(host)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(by_host)], ["page_id", "url", "text", "by_host"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
