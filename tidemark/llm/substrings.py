@@ -1,12 +1,14 @@
 """Substring dedup by content-defined chunks (operator 5).
 
-A gear rolling hash over the last 32 bytes picks cut points among the starts of words, so cuts depend on nearby content only
-and an insertion moves no later chunk. Chunks are deduplicated by a 128-bit digest; a chunk seen in an earlier place repeats
-it. Neighbouring repeated chunks join to spans, and spans of enough words count.
+A gear rolling hash over the last 32 bytes picks cut points among the starts of words (in text without spaces among its
+characters), so cuts depend on nearby content only and an insertion moves no later chunk. Chunks are deduplicated by a 128-bit
+digest. Neighbouring chunks that repeat the same other place, side by side there too, make a run; each run then grows to
+both sides as far as the words around it equal those around the other place. Runs of enough words count.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,22 +19,29 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stage
+from tidemark.llm.common import keep, scratch, stage
 from tidemark.llm.tokens import buffers, mix, runs
 
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 @dataclass(frozen=True)
 class ChunkPolicy:
-    """least, most: bytes of a chunk. bits: a word start is a cut point with a chance of 1 in 2**bits. span_words: least words of a repeated span."""
+    """least, most: bytes of a chunk. bits: a word start is a cut point with a chance of 1 in 2**bits. inner: bytes without a space
+    from which characters can be cut points too, with a chance of 1 in 2**inner_bits. span_words: least words of a repeated
+    span; word_chars characters count as a word where spaces are rarer. reach: words by which a run can grow to a side."""
 
     least: int = 32
     most: int = 512
     bits: int = 2
+    inner: int = 64
+    inner_bits: int = 5
     span_words: int = 20
+    word_chars: int = 16
+    reach: int = 80
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -52,8 +61,13 @@ def cut_points(data: np.ndarray, offsets: np.ndarray, policy: ChunkPolicy = Chun
     h = gear_hashes(data)
     start = np.zeros(n, bool)
     start[1:] = blank[:-1] & ~blank[1:] & (h[:-1] >> np.uint32(32 - policy.bits) == 0)
+    char = (data & 0xC0) != 0x80  # no cut parts a character
+    at = np.arange(n)
+    border = blank.copy()
+    border[offsets[:-1][offsets[:-1] < n]] = True
+    since = at - np.maximum.accumulate(np.where(border, at, -1))  # bytes since a space or the text's start
+    start[1:] |= (since[1:] >= policy.inner) & char[1:] & ~blank[1:] & (h[:-1] >> np.uint32(32 - policy.inner_bits) == 0)
     places = np.flatnonzero(start)
-    char = (data & 0xC0) != 0x80  # a cut forced by the greatest size must not part a character
     at = np.searchsorted(places, offsets)
     out = []
     for k in range(len(offsets) - 1):
@@ -75,12 +89,12 @@ def cut_points(data: np.ndarray, offsets: np.ndarray, policy: ChunkPolicy = Chun
 
 
 def document_chunks(docs: DataFrame, policy: ChunkPolicy = ChunkPolicy()) -> DataFrame:
-    """doc_id and chunks (hi, lo: digest; pos, size: code points; words) of every text with a word. White space at the ends is not digested."""
+    """doc_id, th (hash of the text) and chunks (hi, lo: digest; pos, size: code points; words) of every text with a word. White space at the ends is not digested."""
     fields = "hi:bigint,lo:bigint,pos:int,size:int,words:int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffers(batch.column(1))
+            data, offsets = buffers(batch.column(2))
             for i, j in runs(offsets):
                 part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 cuts = cut_points(part, off, policy)
@@ -99,10 +113,107 @@ def document_chunks(docs: DataFrame, policy: ChunkPolicy = ChunkPolicy()) -> Dat
                 cols = [digest[0::2], digest[1::2], (points[begin] - base).astype(np.int32), (points[end] - points[begin]).astype(np.int32), (words[end] - words[begin]).astype(np.int32)]
                 structs = pa.StructArray.from_arrays([pa.array(c) for c in cols], ["hi", "lo", "pos", "size", "words"])
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), structs)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists], ["doc_id", "chunks"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), lists], ["doc_id", "th", "chunks"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").where("text IS NOT NULL").mapInArrow(run, f"doc_id {kind}, chunks array<struct<{fields}>>")
+    return docs.select("doc_id", F.hash("text").alias("th"), "text").where("text IS NOT NULL").mapInArrow(run, f"doc_id {kind}, th int, chunks array<struct<{fields}>>")
+
+
+def _place(pos: str = "pos"):
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", F.col(pos).alias("pos"))
+
+
+def _chains(hits: list, side: str, me: tuple) -> Iterator[tuple[int, int, int, tuple]]:
+    """(start, end, words, other place) of the runs of neighbouring chunks that repeat one other place, side by side there too."""
+    run: list | None = None
+    for c in sorted(hits, key=lambda c: c["pos"]):
+        other = tuple(c[side][k] for k in ("none", "doc_id", "th", "pos"))
+        if other == (*me, c["pos"]):
+            continue
+        if run and run[1] == c["pos"] and run[3][:3] == other[:3] and run[3][3] + run[1] - run[0] == other[3]:
+            run[1] += c["size"]
+            run[2] += c["words"]
+            continue
+        if run:
+            yield tuple(run)
+        run = [c["pos"], c["pos"] + c["size"], c["words"], other]
+    if run:
+        yield tuple(run)
+
+
+def repeated_runs(docs: DataFrame, policy: ChunkPolicy = ChunkPolicy()) -> DataFrame:
+    """(doc_id, th, start, end, words, later, other, other_th, other_none, at): runs of whole chunks that repeat a place in a document: its first one (later: true) or its last."""
+    chunks = stage(document_chunks(docs, policy), "chunks")
+    flat = chunks.select("doc_id", "th", F.inline("chunks")).where("words > 0")
+    seen = flat.groupBy("hi", "lo").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")).where("first < last")
+    hits = flat.join(seen, ["hi", "lo"])
+    own = F.struct("pos", "size", "words", "first", "last")
+    grouped = hits.groupBy("doc_id", "th").agg(F.collect_set(own).alias("hits"))  # one document's own chunks
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = []
+            for doc, th, hits in zip(pdf["doc_id"], pdf["th"], pdf["hits"], strict=True):
+                me = (pd.isna(doc), None if pd.isna(doc) else doc if isinstance(doc, str) else int(doc), th)
+                for later, side in ((True, "first"), (False, "last")):
+                    out += [[me[1], th, a, b, n, later, o[1], o[2], o[0], o[3]] for a, b, n, o in _chains(hits, side, me)]
+            yield pd.DataFrame(out, columns=["doc_id", "th", "start", "end", "words", "later", "other", "other_th", "other_none", "at"]).astype({"doc_id": "object", "other": "object"})
+
+    return grouped.mapInPandas(run, f"doc_id {kind}, th int, start int, end int, words int, later boolean, other {kind}, other_th int, other_none boolean, at int")
+
+
+def _contexts(docs: DataFrame, places: DataFrame, policy: ChunkPolicy) -> DataFrame:
+    """(doc_id, th, at, left, left_at, right, right_at): hashes of the words that end before or begin at each place, the nearest first, and where they begin or end. places: (doc_id, th, at), distinct."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    wanted = places.groupBy("doc_id", "th").agg(F.collect_set("at").alias("ats"))  # places of one document
+    rows = docs.select("doc_id", F.hash("text").alias("th"), "text").where("text IS NOT NULL")
+    far = 25 * policy.reach
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = []
+            for doc, th, text, ats in zip(pdf["doc_id"], pdf["th"], pdf["text"], pdf["ats"], strict=True):
+                for at in map(int, ats):
+                    low = max(0, at - far)
+                    before = [(m.group(), low + m.start()) for m in _WORD.finditer(text[low:at]) if m.start() or not low][::-1][: policy.reach]
+                    piece = text[at : at + far]
+                    after = [(m.group(), at + m.end()) for m in _WORD.finditer(piece) if m.end() < len(piece) or len(piece) < far][: policy.reach]
+                    hashed = lambda x: [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) >> 1 for w, _ in x]
+                    out.append([doc, th, at, hashed(before), [p for _, p in before], hashed(after), [p for _, p in after]])
+            yield pd.DataFrame(out, columns=["doc_id", "th", "at", "left", "left_at", "right", "right_at"])
+
+    joined = rows.join(wanted, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
+    return joined.select("doc_id", "th", "text", "ats").mapInPandas(run, f"doc_id {kind}, th int, at int, left array<long>, left_at array<int>, right array<long>, right_at array<int>")
+
+
+def _grown(docs: DataFrame, found: DataFrame, policy: ChunkPolicy) -> DataFrame:
+    """found with start, end and words grown to both sides as far as the words agree with those around the other place."""
+    own = lambda at: found.select("doc_id", "th", F.col(at).alias("at"))
+    there = lambda n: found.select(F.col("other").alias("doc_id"), F.col("other_th").alias("th"), n.alias("at"))
+    stop = F.col("at") + F.col("end") - F.col("start")
+    places = own("start").union(own("end")).union(there(F.col("at"))).union(there(stop)).where("doc_id IS NOT NULL").distinct()
+    around = stage(_contexts(docs, places, policy), "contexts")
+
+    def side(name: str, doc: str, th: str, **columns: str) -> DataFrame:
+        return around.select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("at").alias(name), *[F.col(c).alias(n) for n, c in columns.items()])
+
+    x = found.withColumn("stop", stop)
+    x = x.join(side("start", "doc_id", "th", l1="left", p1="left_at"), ["doc_id", "th", "start"], "left")
+    x = x.join(side("end", "doc_id", "th", r1="right", q1="right_at"), ["doc_id", "th", "end"], "left")
+    x = x.join(side("at", "other", "other_th", l2="left"), ["other", "other_th", "at"], "left")
+    x = x.join(side("stop", "other", "other_th", r2="right"), ["other", "other_th", "stop"], "left")
+
+    def agree(a: str, b: str):
+        same = F.coalesce(F.array_position(F.zip_with(F.col(a), F.col(b), lambda p, q: F.coalesce(p == q, F.lit(False))), F.lit(False)), F.lit(1).cast("long"))
+        return F.when(same == 0, F.size(a)).otherwise(same - 1).cast("int")
+
+    return x.withColumn("nl", agree("l1", "l2")).withColumn("nr", agree("r1", "r2")).select(
+        "doc_id", "th", "later", "other",
+        F.when(F.col("nl") > 0, F.get("p1", F.col("nl") - 1)).otherwise(F.col("start")).alias("start"),
+        F.when(F.col("nr") > 0, F.get("q1", F.col("nr") - 1)).otherwise(F.col("end")).alias("end"),
+        (F.col("words") + F.col("nl") + F.col("nr")).alias("words"),
+    )
 
 
 def repeated_spans(docs: DataFrame, policy: ChunkPolicy = ChunkPolicy()) -> DataFrame:
@@ -111,52 +222,50 @@ def repeated_spans(docs: DataFrame, policy: ChunkPolicy = ChunkPolicy()) -> Data
     n_spans, span_chars: of spans that occur in another place too, first occurrences included; drop_chars: of those that
     repeat an earlier place (a lesser id, or further up); first_docs: documents of the first occurrences; spans: start:end in
     code points, comma-joined; drop_spans: the part that dedup removes, likewise. Null and empty texts have none. Rows that
-    repeat an id count as one document if their texts agree. Rows without an id come last in the order of places.
+    repeat an id and a text count as one document, other texts of an id as documents of their own. Rows without an id come last
+    in the order of places, and their runs do not grow. Needs doc_id and text; other columns are not looked at.
     """
-    chunks = stage(document_chunks(docs, policy), "chunks")
-    flat = chunks.select("doc_id", F.inline("chunks")).where("words > 0")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("pos").alias("pos"))
-    seen = flat.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
-    hits = flat.join(seen.select("hi", "lo", "first"), ["hi", "lo"])
-    own = F.struct("pos", "size", "words", (F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("pos").alias("pos")) > F.col("first")).alias("later"), F.col("first.doc_id").alias("of"))
-    grouped = hits.groupBy("doc_id").agg(F.sort_array(F.collect_set(own)).alias("hits"))  # one document's own chunks
     kind = docs.schema["doc_id"].dataType.simpleString()
+    with scratch(docs.sparkSession):
+        found = stage(repeated_runs(docs, policy), "runs")
+        grown = _grown(docs, found, policy)
+        enough = F.greatest(F.col("words"), F.floor((F.col("end") - F.col("start")) / policy.word_chars)) >= policy.span_words
+        grouped = grown.where(enough).groupBy("doc_id", "th").agg(F.sort_array(F.collect_set(F.struct("start", "end", "later", "other"))).alias("runs"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            out = []
-            for doc, found in zip(pdf["doc_id"], pdf["hits"], strict=True):
-                spans: list[list] = []
-                for c in found:
-                    if spans and spans[-1][1] == c["pos"]:
-                        spans[-1][1] += c["size"]
-                        spans[-1][2] += c["words"]
-                        spans[-1][3].append(c)
-                    else:
-                        spans.append([c["pos"], c["pos"] + c["size"], c["words"], [c]])
-                spans = [s for s in spans if s[2] >= policy.span_words]
-                if not spans:
-                    continue
-                drops: list[list[int]] = []
-                for c in (c for s in spans for c in s[3] if c["later"]):
-                    if drops and drops[-1][1] == c["pos"]:
-                        drops[-1][1] += c["size"]
-                    else:
-                        drops.append([c["pos"], c["pos"] + c["size"]])
-                firsts = sorted({int(c["of"]) for s in spans for c in s[3] if c["later"] and pd.notna(c["of"])} - {doc})
-                text = lambda x: ",".join(f"{s[0]}:{s[1]}" for s in x)
-                out.append([doc, len(spans), sum(s[1] - s[0] for s in spans), sum(b - a for a, b in drops), firsts, text(spans), text(drops)])
-            yield pd.DataFrame(out, columns=["doc_id", "n_spans", "span_chars", "drop_chars", "first_docs", "spans", "drop_spans"])
-
-    return grouped.mapInPandas(run, f"doc_id {kind}, n_spans long, span_chars long, drop_chars long, first_docs array<long>, spans string, drop_spans string")
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in frames:
+                out = []
+                for doc, found in zip(pdf["doc_id"], pdf["runs"], strict=True):
+                    spans, drops = _union(found), _union([r for r in found if r["later"]])
+                    firsts = sorted({r["other"] for r in found if r["later"] and not pd.isna(r["other"])} - {doc})
+                    text = lambda x: ",".join(f"{a}:{b}" for a, b in x)
+                    size = lambda x: sum(b - a for a, b in x)
+                    out.append([doc, len(spans), size(spans), size(drops), firsts, text(spans), text(drops)])
+                yield pd.DataFrame(out, columns=["doc_id", "n_spans", "span_chars", "drop_chars", "first_docs", "spans", "drop_spans"])
+
+        rows = grouped.mapInPandas(run, f"doc_id {kind}, n_spans long, span_chars long, drop_chars long, first_docs array<{kind}>, spans string, drop_spans string")
+        return keep(rows, "spans")
+
+
+def _union(found: list) -> list[list[int]]:
+    """Intervals that overlap, or touch, as one; found in order of their starts."""
+    out: list[list[int]] = []
+    for r in found:
+        if out and r["start"] <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], r["end"])
+        else:
+            out.append([r["start"], r["end"]])
+    return out
 
 
 def drop_repeats(docs: DataFrame, policy: ChunkPolicy = ChunkPolicy()) -> DataFrame:
-    """docs with the repeats of earlier spans cut out of the texts; columns as they are."""
-    drops = repeated_spans(docs, policy).where("drop_chars > 0 AND doc_id IS NOT NULL").select("doc_id", F.col("drop_spans").alias("__drop"))
-    joined = docs.join(drops, "doc_id", "left")
-    pairs = F.transform(F.split("__drop", ","), lambda s: F.split(s, ":").cast("array<int>"))
+    """docs with the repeats of earlier spans cut out of the texts; columns as they are. Rows without an id, and those of an id with several texts, stay as they are."""
+    drops = repeated_spans(docs, policy).where("drop_chars > 0 AND doc_id IS NOT NULL").select(F.struct("doc_id", "drop_spans").alias("d"))
+    single = docs.groupBy("doc_id").agg(F.countDistinct("text").alias("n")).where("n = 1").select(F.struct("doc_id").alias("one"))
+    drops = drops.join(single, F.col("d.doc_id") == F.col("one.doc_id")).select("d.doc_id", "d.drop_spans").toDF("_tm_of", "_tm_drop")
+    joined = docs.join(drops, docs["doc_id"] == F.col("_tm_of"), "left")
+    pairs = F.transform(F.split("_tm_drop", ","), lambda s: F.split(s, ":").cast("array<int>"))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     step = lambda a, p: F.struct(p[1].alias("at"), F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, p[0] - a["at"])).alias("out"))
     cut = F.aggregate(pairs, start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text") - a["at"])))
-    return joined.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
+    return joined.withColumn("text", F.when(F.col("_tm_drop").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
