@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from tidemark.llm.common import arrow_rows, keep, scratch, stage
+from tidemark.llm.common import arrow_rows, keep, setting
 from tidemark.llm.quality_fm import held_out
 from tidemark.llm.tokens import Splitter, buffers, mix, runs
 
@@ -41,7 +41,7 @@ class KatzPolicy:
 
     order: int = 3
     folds: int = 10
-    chunk: int = 4 << 20
+    chunk: int = 6 << 20
     partition: int = 8 << 20
     least_partitions: int = 16
 
@@ -109,10 +109,6 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(i)[k].as_py() for i, name in enumerate(batch.schema.names)}
 
 
-def _buckets(spark: SparkSession) -> int:
-    return max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def _messages(cid: int, p: np.ndarray, columns: dict[str, tuple[np.ndarray, np.ndarray]], parts: int) -> pa.RecordBatch:
     """A row for each partition that p (sorted) names. columns: name -> (partition of each value, sorted; values)."""
     some = np.unique(p)
@@ -363,14 +359,29 @@ def _gram_requests(chunks: DataFrame, totals: Totals, order: int) -> DataFrame:
     return chunks.drop("ids").mapInArrow(run, "cid long, p int, " + ", ".join(f"{x} binary" for x in _columns(order)))
 
 
-def _totals(answers: DataFrame) -> list[int]:
-    got = answers.where("totals IS NOT NULL").agg(*[F.sum(F.col("totals")[k]).alias(f"t{k}") for k in range(CUT + 3)]).first()
-    return [int(x or 0) for x in got]
+class Tables:
+    """Tables of the shared warehouse in buckets by cid: chunks and their answers meet without a shuffle. Dropped at the end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.names, self.buckets = spark, [], max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def store(self, df: DataFrame) -> DataFrame:
+        self.names.append(f"katz_{uuid.uuid4().hex}")
+        with setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            df.write.bucketBy(self.buckets, "cid").saveAsTable(self.names[-1])
+        return self.spark.table(self.names[-1])
 
+    def answers(self, chunks: DataFrame, answers: DataFrame, name: str, *columns: str) -> tuple[DataFrame, list[int]]:
+        """chunks with each one's own answers as column name, and the sum of the partitions' totals."""
+        row = answers.withColumn("cid", F.coalesce("cid", -1 - F.col("p")))  # totals: a row of their own for each partition
+        lists = row.repartition(self.buckets, "cid").groupBy("cid").agg(F.collect_list(F.struct("p", *columns)).alias(name), F.any_value("totals").alias("totals"))
+        stored = self.store(lists)
+        got = stored.where("cid < 0").agg(*[F.sum(F.col("totals")[k]).alias(f"t{k}") for k in range(CUT + 3)]).first()
+        return chunks.join(stored.where("cid >= 0").select("cid", name).hint("shuffle_hash"), "cid", "left"), [int(x or 0) for x in got]
 
-def _with(chunks: DataFrame, answers: DataFrame, name: str, *columns: str) -> DataFrame:
-    lists = answers.where("cid IS NOT NULL").repartition(_buckets(chunks.sparkSession), "cid").groupBy("cid").agg(F.collect_list(F.struct("p", *columns)).alias(name))  # one chunk's own answers
-    return chunks.join(lists.hint("shuffle_hash"), "cid", "left")
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def score_texts(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame:
@@ -382,34 +393,30 @@ def score_texts(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType
-    table = f"katz_chunks_{uuid.uuid4().hex}"  # in the shared warehouse, bucketed: chunks are never shuffled, only the answers come to them
-    packed_chunks(docs, policy).write.bucketBy(_buckets(spark), "cid").saveAsTable(table)
+    tables = Tables(spark)
     try:
-        with arrow_rows(spark, 1), scratch(spark):  # a row is megabytes
-            return _scored(spark.table(table), kind, policy)
+        with arrow_rows(spark, 1):  # a row is megabytes
+            return _scored(tables, tables.store(packed_chunks(docs, policy)), kind, policy)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        tables.drop()
 
 
-def _scored(chunks: DataFrame, kind: DataType, policy: KatzPolicy) -> DataFrame:
-    spark = chunks.sparkSession
+def _scored(tables: Tables, chunks: DataFrame, kind: DataType, policy: KatzPolicy) -> DataFrame:
     if chunks.isEmpty():
-        return spark.createDataFrame([], _scores_schema(kind))
+        return chunks.sparkSession.createDataFrame([], _scores_schema(kind))
     size = chunks.agg(F.sum(F.length("tokens").cast("long")).alias("b"), F.sum(F.size(F.filter("held", lambda x: ~x))).alias("t")).first()
     bits = max((policy.least_partitions - 1).bit_length(), (4 * size.b // policy.partition).bit_length())  # packed tokens take about a quarter of the text
-    words = stage(_word_requests(chunks, bits).groupBy("p").applyInPandas(_count_words(bits), "cid long, p int, names binary, n binary, totals array<long>"), "words")
-    n, v, *ones = _totals(words)
+    words = _word_requests(chunks, bits).groupBy("p").applyInPandas(_count_words(bits), "cid long, p int, names binary, n binary, totals array<long>")
+    named, (n, v, *ones) = tables.answers(chunks, words, "words", "names", "n")
     d1 = discounts(ones)
     kept = sum(d1[r] * r * ones[r - 1] for r in range(1, CUT + 1)) + n - sum(r * ones[r - 1] for r in range(1, CUT + 1))
     bare = n > 0 and not any(ones[:CUT])
     left = taken(d1) / n if bare else float(1 - kept / n) if n else 1.0
     totals = Totals(n, v, int(size.t), left, bits, [d1], top=1 - left if bare else 1.0)
-    named = _with(chunks, words, "words", "names", "n")
     for k in range(2, policy.order + 1):
-        schema = "cid long, p int, n binary, sums binary, totals array<long>"
-        grams = stage(_gram_requests(named, totals, k).groupBy("p").applyInPandas(_count_grams(k), schema), f"grams{k}")
-        totals.discounts = [*totals.discounts, discounts(_totals(grams)[2:])]
-        named = _with(named, grams, f"grams{k}", "n", "sums")
+        grams = _gram_requests(named, totals, k).groupBy("p").applyInPandas(_count_grams(k), "cid long, p int, n binary, sums binary, totals array<long>")
+        named, counted = tables.answers(named, grams, f"grams{k}", "n", "sums")
+        totals.discounts = [*totals.discounts, discounts(counted[2:])]
     return keep(_score(named, totals, policy.order, kind), "scores")
 
 
