@@ -395,8 +395,9 @@ def score_texts(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame
     kind = docs.schema["doc_id"].dataType
     tables = Tables(spark)
     try:
-        with arrow_rows(spark, 1):  # a row is megabytes
-            return _scored(tables, tables.store(packed_chunks(docs, policy)), kind, policy)
+        chunks = tables.store(packed_chunks(docs, policy))
+        with arrow_rows(spark, 1):  # a chunk is megabytes
+            return _scored(tables, chunks, kind, policy)
     finally:
         tables.drop()
 
