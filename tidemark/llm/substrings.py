@@ -32,7 +32,8 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 class ChunkPolicy:
     """least, most: bytes of a chunk. bits: a word start is a cut point with a chance of 1 in 2**bits. inner: bytes without a space
     from which characters can be cut points too, with a chance of 1 in 2**inner_bits. span_words: least words of a repeated
-    span; word_chars characters count as a word where spaces are rarer. reach: words by which a run can grow to a side."""
+    span; word_chars characters count as a word where spaces are rarer. reach: words by which a run of
+    seed_words or more can grow to a side."""
 
     least: int = 32
     most: int = 512
@@ -41,7 +42,8 @@ class ChunkPolicy:
     inner_bits: int = 5
     span_words: int = 20
     word_chars: int = 16
-    reach: int = 80
+    seed_words: int = 6
+    reach: int = 24
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -164,9 +166,9 @@ def repeated_runs(docs: DataFrame, policy: ChunkPolicy = ChunkPolicy()) -> DataF
 
 
 def _contexts(docs: DataFrame, places: DataFrame, policy: ChunkPolicy) -> DataFrame:
-    """(doc_id, th, at, left, left_at, right, right_at): hashes of the words that end before or begin at each place, the nearest first, and where they begin or end. places: (doc_id, th, at), distinct."""
+    """(doc_id, th, at, ahead, near, steps): hashes of the words that begin at each place (ahead) or end before it, the nearest first, and how far their far ends are. places: (doc_id, th, at, ahead), distinct."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    wanted = places.groupBy("doc_id", "th").agg(F.collect_set("at").alias("ats"))  # places of one document
+    wanted = places.groupBy("doc_id", "th").agg(F.collect_set(F.struct("at", "ahead")).alias("ats"))  # places of one document
     rows = docs.select("doc_id", F.hash("text").alias("th"), "text").where("text IS NOT NULL")
     far = 25 * policy.reach
 
@@ -174,46 +176,45 @@ def _contexts(docs: DataFrame, places: DataFrame, policy: ChunkPolicy) -> DataFr
         for pdf in frames:
             out = []
             for doc, th, text, ats in zip(pdf["doc_id"], pdf["th"], pdf["text"], pdf["ats"], strict=True):
-                for at in map(int, ats):
-                    low = max(0, at - far)
-                    before = [(m.group(), low + m.start()) for m in _WORD.finditer(text[low:at]) if m.start() or not low][::-1][: policy.reach]
-                    piece = text[at : at + far]
-                    after = [(m.group(), at + m.end()) for m in _WORD.finditer(piece) if m.end() < len(piece) or len(piece) < far][: policy.reach]
-                    hashed = lambda x: [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) >> 1 for w, _ in x]
-                    out.append([doc, th, at, hashed(before), [p for _, p in before], hashed(after), [p for _, p in after]])
-            yield pd.DataFrame(out, columns=["doc_id", "th", "at", "left", "left_at", "right", "right_at"])
+                for at, ahead in ((int(p["at"]), p["ahead"]) for p in ats):
+                    low = at if ahead else max(0, at - far)
+                    piece = text[low : low + far] if ahead else text[low:at]
+                    if ahead:
+                        words = [(m.group(), m.end()) for m in _WORD.finditer(piece) if m.end() < len(piece) or low + far >= len(text)]
+                    else:
+                        words = [(m.group(), at - low - m.start()) for m in _WORD.finditer(piece) if m.start() or not low][::-1]
+                    words = words[: policy.reach]
+                    out.append([doc, th, at, ahead, [xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass")) - (1 << 31) for w, _ in words], [n for _, n in words]])
+            yield pd.DataFrame(out, columns=["doc_id", "th", "at", "ahead", "near", "steps"])
 
     joined = rows.join(wanted, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
-    return joined.select("doc_id", "th", "text", "ats").mapInPandas(run, f"doc_id {kind}, th int, at int, left array<long>, left_at array<int>, right array<long>, right_at array<int>")
+    return joined.select("doc_id", "th", "text", "ats").mapInPandas(run, f"doc_id {kind}, th int, at int, ahead boolean, near array<int>, steps array<smallint>")
 
 
 def _grown(docs: DataFrame, found: DataFrame, policy: ChunkPolicy) -> DataFrame:
     """found with start, end and words grown to both sides as far as the words agree with those around the other place."""
-    own = lambda at: found.select("doc_id", "th", F.col(at).alias("at"))
-    there = lambda n: found.select(F.col("other").alias("doc_id"), F.col("other_th").alias("th"), n.alias("at"))
     stop = F.col("at") + F.col("end") - F.col("start")
-    places = own("start").union(own("end")).union(there(F.col("at"))).union(there(stop)).where("doc_id IS NOT NULL").distinct()
+    place = lambda doc, th, at, ahead: F.struct(F.col(doc).alias("doc_id"), F.col(th).alias("th"), at.alias("at"), F.lit(ahead).alias("ahead"))
+    four = [place("doc_id", "th", F.col("start"), False), place("doc_id", "th", F.col("end"), True), place("other", "other_th", F.col("at"), False), place("other", "other_th", stop, True)]
+    places = found.where("NOT other_none AND doc_id IS NOT NULL").where(F.greatest(F.col("words"), F.floor((F.col("end") - F.col("start")) / policy.word_chars)) >= policy.seed_words).select(F.explode(F.array(*four)).alias("p")).select("p.*").distinct()
     around = stage(_contexts(docs, places, policy), "contexts")
 
-    def side(name: str, doc: str, th: str, **columns: str) -> DataFrame:
-        return around.select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("at").alias(name), *[F.col(c).alias(n) for n, c in columns.items()])
+    def side(at: str, doc: str, th: str, ahead: bool, **columns: str) -> DataFrame:
+        return around.where(F.col("ahead") == ahead).select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("at").alias(at), *[F.col(c).alias(n) for n, c in columns.items()])
 
     x = found.withColumn("stop", stop)
-    x = x.join(side("start", "doc_id", "th", l1="left", p1="left_at"), ["doc_id", "th", "start"], "left")
-    x = x.join(side("end", "doc_id", "th", r1="right", q1="right_at"), ["doc_id", "th", "end"], "left")
-    x = x.join(side("at", "other", "other_th", l2="left"), ["other", "other_th", "at"], "left")
-    x = x.join(side("stop", "other", "other_th", r2="right"), ["other", "other_th", "stop"], "left")
+    x = x.join(side("start", "doc_id", "th", False, l1="near", p1="steps"), ["doc_id", "th", "start"], "left")
+    x = x.join(side("end", "doc_id", "th", True, r1="near", q1="steps"), ["doc_id", "th", "end"], "left")
+    x = x.join(side("at", "other", "other_th", False, l2="near"), ["other", "other_th", "at"], "left")
+    x = x.join(side("stop", "other", "other_th", True, r2="near"), ["other", "other_th", "stop"], "left")
 
     def agree(a: str, b: str):
         same = F.coalesce(F.array_position(F.zip_with(F.col(a), F.col(b), lambda p, q: F.coalesce(p == q, F.lit(False))), F.lit(False)), F.lit(1).cast("long"))
         return F.when(same == 0, F.size(a)).otherwise(same - 1).cast("int")
 
-    return x.withColumn("nl", agree("l1", "l2")).withColumn("nr", agree("r1", "r2")).select(
-        "doc_id", "th", "later", "other",
-        F.when(F.col("nl") > 0, F.get("p1", F.col("nl") - 1)).otherwise(F.col("start")).alias("start"),
-        F.when(F.col("nr") > 0, F.get("q1", F.col("nr") - 1)).otherwise(F.col("end")).alias("end"),
-        (F.col("words") + F.col("nl") + F.col("nr")).alias("words"),
-    )
+    x = x.withColumn("nl", agree("l1", "l2")).withColumn("nr", agree("r1", "r2"))
+    grown = lambda n, steps: F.when(F.col(n) > 0, F.get(steps, F.col(n) - 1).cast("int")).otherwise(F.lit(0))
+    return x.select("doc_id", "th", "later", "other", (F.col("start") - grown("nl", "p1")).alias("start"), (F.col("end") + grown("nr", "q1")).alias("end"), (F.col("words") + F.col("nl") + F.col("nr")).alias("words"))
 
 
 def repeated_spans(docs: DataFrame, policy: ChunkPolicy = ChunkPolicy()) -> DataFrame:
