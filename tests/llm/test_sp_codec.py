@@ -28,6 +28,8 @@ TEXTS = [
     "representation representations representationrepresentation",
     "\n", " ", "   ", "a", "",
     "mid▁mark",
+    *[" " * k + "word" + " " * (k + 3) + "é \n" + " " * k for k in range(1, 40)],
+    "lookupsubstringhashes" * 9, "日本語" * 60, "ab1" * 50 + "  " + "q" * 70 + "😀" * 30,
 ]
 
 
@@ -65,3 +67,15 @@ def test_documents_round_trip(spark, codec, library):
     back = {r.doc_id: r.text for r in sp_codec.decode_documents(out.select("doc_id", "ids"), codec).collect()}
     assert all(back[i] == (t or "").replace("▁", " ") for i, t, *_ in rows)
     assert sp_codec.encode_documents(spark.createDataFrame([], "doc_id long, text string"), codec).count() == 0
+
+
+def test_long_words_take_bounded_time(codec, library):
+    import random
+    import time
+
+    rng = random.Random(2)
+    for text in ("".join(rng.choice("abcdefghij") for _ in range(200_000)), "ab" * 100_000, " " * 300_000, "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(60_000))):
+        began = time.perf_counter()
+        got = codec.encode(text)
+        assert time.perf_counter() - began < 20
+        assert got == library.encode(text)

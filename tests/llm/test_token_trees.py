@@ -46,7 +46,7 @@ def test_documents(spark):
     got = sorted(tt.count_edited(df, RANKS).collect(), key=lambda r: (r.doc_id, r.n_tokens))
     assert [r.n_tokens for r in got] == [1, len(CODE.encode_ordinary(rows[0][1])), 0, 0, len(CODE.encode_ordinary(rows[3][1]))]
     assert got[1].n_tokens_after == len(CODE.encode_ordinary("  Some words here, isn't it?")) and got[3].n_tokens_after == 1
-    trees = tt.build_trees(df, RANKS).where("doc_id = 4").select("doc_id", "sizes", "counts")
+    trees = tt.build_trees(df, RANKS).where("doc_id = 4").select("doc_id", "tree_sizes", "tree_counts")
     again = tt.count_edited(df.where("doc_id = 4").join(trees, "doc_id"), RANKS).first()
     assert again == next(r for r in got if r.doc_id == 4)
     assert tt.count_edited(df.where("false"), RANKS).count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, html_main, katz, minhash, pii, quality_fm, quality_rules, sp_codec, substrings, token_trees
-from tidemark.llm.common import read
+from tidemark.llm.common import read, stage
 
 #: Vocabulary files of public tokenizers; installed beside Python, never part of this repository.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -37,8 +37,9 @@ def op5_substring_dedup(spark, sf_dir):
 
 
 def op10_token_counts(spark, sf_dir, ranks_file=BYTE_RANKS):
-    docs = read(spark, sf_dir, "documents").withColumn("edits", token_trees.derived_edits(F.col("text"), F.col("doc_id")))
-    return token_trees.count_edited(docs, token_trees.load_ranks(ranks_file))
+    docs, ranks = read(spark, sf_dir, "documents").select("doc_id", "text"), token_trees.load_ranks(ranks_file)
+    trees = stage(token_trees.build_trees(docs, ranks), "trees")  # stored with the texts that they count
+    return token_trees.count_edited(trees.withColumn("edits", token_trees.derived_edits(F.col("text"), F.col("doc_id"))), ranks)
 
 
 def op6_pii(spark, sf_dir):
@@ -55,7 +56,7 @@ def op8_html_main_text(spark, sf_dir):
 
 def op4_sentencepiece(spark, sf_dir, model_file=PIECE_MODEL):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return sp_codec.encode_documents(docs, sp_codec.Codec(sp_codec.load_pieces(model_file)), with_ids=False)
+    return sp_codec.encode_documents(docs, sp_codec.Codec(sp_codec.load_pieces(model_file)))
 
 
 QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_classifier, op3_decontamination, op4_sentencepiece, op5_substring_dedup, op6_pii, op7_katz_lm, op8_html_main_text, op9_quality_rules, op10_token_counts)}

@@ -6,7 +6,8 @@ the pieces of each length. At every end position the pieces that end there are c
 vectorised maximum stores the backpointer. The given model is a BPE model, so the largest sum of piece scores is not its
 segmentation; a transition is therefore open only if the two neighbouring pieces, merged from their characters in the
 order of the scores, come out as these two pieces. Just one candidate is then open at each position and the path is the
-model's own encoding, character for character. Characters outside the vocabulary become byte pieces.
+model's own encoding, character for character. Long words, of which few have one length, take the same steps one by one.
+Spaces before a word join pieces last of all, from the left. Characters outside the vocabulary become byte pieces.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.tokens import Splitter, buffers, runs
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int64(1 << 40)
 _SEGMENT = re.compile(r" *[^ \n]+| +|\n")
+#: Characters of a word from which it is encoded alone: so long, hardly two words of a batch have one length.
 _LONG = 64
 
 
@@ -83,6 +86,10 @@ class Codec:
         for n, found in by_size.items():
             found.sort()
             self.keys[n] = np.array([h for h, _ in found], np.uint64), np.array([i for _, i in found], np.int64)
+        self.valid = {p: i for p, i in self.ids.items() if len(p) == 1 or self.left[i] >= 0}
+        self.longest = max(map(len, self.valid), default=1)
+        self.marks = sorted((len(p), i) for p, i in self.ids.items() if not p.strip("▁"))[::-1]
+        self.rank_of: dict | None = None
         self.known = np.zeros(1 << 18, np.int64) - 1  # pairs seen lately, and whether they stand
         self.stands = np.zeros(1 << 18, bool)
 
@@ -194,17 +201,77 @@ class Codec:
         flat = np.stack(path[::-1], axis=1).ravel()
         return flat[flat >= 0], count
 
+    def _stands(self, a: int, b: int) -> bool:
+        """_stand() of one pair."""
+        if self.rank_of is None:  # made where it is first asked for
+            self.rank_of = dict(zip(self.pair_keys.tolist(), self.pair_rank.tolist(), strict=True))
+            self.lists = self.rank.tolist(), self.left.tolist(), self.right.tolist()
+            self.asked: dict = {}
+        key = a * (self.unknown + 1) + b
+        if (found := self.asked.get(key)) is not None:
+            return found
+        rank, left, right = self.lists
+        limit, none, out = 1 << 40, 1 << 40, True
+        while True:
+            if self.rank_of.get(a * (self.unknown + 1) + b, none) < limit:
+                out = False
+                break
+            ra, rb = rank[a], rank[b]
+            if ra < 0 and rb < 0:
+                break
+            if ra > rb:
+                limit, a = ra, right[a]
+            else:
+                limit, b = rb + 1, left[b]
+        if len(self.asked) < 400_000:
+            self.asked[key] = out
+        return out
+
+    def viterbi_one(self, word: str) -> list[int]:
+        """viterbi() of one word."""
+        last, back = [0] * (len(word) + 1), [0] * (len(word) + 1)
+        for end in range(1, len(word) + 1):
+            for k in range(min(end, self.longest), 0, -1):
+                i = self.valid.get(word[end - k : end], self.unknown if k == 1 else None)
+                if i is not None and (k == end or self._stands(last[end - k], i)):
+                    last[end], back[end] = i, k  # longest open candidate: the maximum
+                    break
+        path, at = [], len(word)
+        while at:
+            path.append(last[at])
+            at -= back[at]
+        return path[::-1]
+
+    def _spaces(self, n: int) -> list[int]:
+        """Pieces of n marks: the longest from the left."""
+        out = []
+        for size, i in self.marks:
+            out += [i] * (n // size)
+            n %= size
+        return out
+
     def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, counts) of distinct segments in order, spaces as the piece mark; byte pieces for characters outside the vocabulary."""
+        lead = [len(s) - len(s.lstrip(" ")) for s in segments]
+        if max(lead, default=0) > 1:  # encode what stands behind all spaces but one; the others follow from its first piece
+            cores = [s if n < 2 else s[n - 1 :] if n < len(s) else "" for s, n in zip(segments, lead, strict=True)]
+            ids, counts = self.encode_segments(cores)
+            mark, out, new, at = self.ids.get("▁"), [], [], 0
+            for n, s, k in zip(lead, segments, counts.tolist(), strict=True):
+                own = ids[at : at + k]
+                at += k
+                if n > 1:
+                    alone = n == len(s) or (k and own[0] == mark)
+                    front = self._spaces(n if alone else n - 1)
+                    own = np.concatenate([np.array(front, np.int32), own[1:] if alone and k else own])
+                out.append(own)
+                new.append(len(own))
+            return np.concatenate(out).astype(np.int32), np.array(new, np.int64)
         sizes = np.array([len(s) for s in segments], np.int64)
         text = "".join(segments).replace(" ", "▁")
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.cumsum(sizes)
-        mark = ord("▁")
-        plain = np.ones(len(segments), bool)  # other segments: two marks in front, or long
-        two = np.flatnonzero(sizes >= 2)
-        plain[two] = points[(ends - sizes)[two] + 1] != mark
-        plain &= sizes <= _LONG
+        plain = (sizes > 0) & (sizes <= _LONG)
         counts = np.zeros(len(segments), np.int64)
         parts: list = [None] * 0
         order = []
@@ -216,8 +283,8 @@ class Codec:
                 counts[some] = n
                 parts.append(ids)
                 order.append(some)
-        for r in np.flatnonzero(~plain):
-            ids = [self.unknown if x is None else x for x in self.merge(text[ends[r] - sizes[r] : ends[r]])]
+        for r in np.flatnonzero(sizes > _LONG):
+            ids = self.viterbi_one(text[ends[r] - sizes[r] : ends[r]])
             counts[r] = len(ids)
             parts.append(np.array(ids, np.int64))
             order.append(np.array([r]))
@@ -233,7 +300,8 @@ class Codec:
 
     def _bytes(self, segments: list[str], ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         out, new, at = [], counts.copy(), 0
-        hit = np.add.reduceat(ids == self.unknown, np.cumsum(counts) - counts) if len(counts) else counts
+        bad = np.append(0, np.cumsum(ids == self.unknown))
+        hit = np.diff(bad[np.append(0, np.cumsum(counts))])
         for r, (s, n) in enumerate(zip(segments, counts, strict=True)):
             own = ids[at : at + n]
             if hit[r]:
@@ -348,8 +416,11 @@ def encode_documents(docs: DataFrame, codec: Codec, with_ids: bool = True, with_
     """docs without text, with n_pieces, ids_hash (xxhash64 of the ids as little-endian 32-bit integers, hex) and round_trip.
 
     round_trip: decoding the ids gives the text again (a text that holds the mark U+2581 does not come back). Null and empty
-    texts have no ids and come back as empty. Other columns stay; with_ids adds ids (array), with_text decoded, the decoded text.
+    texts have no ids and come back as empty. Other columns stay, unless they have the name of one that is added here: those
+    give way. Rows that repeat are encoded each. with_ids adds ids (array), with_text decoded, the decoded text.
     """
+    extra = ["n_pieces long", "ids_hash string", "round_trip boolean"] + ["ids array<int>"] * with_ids + ["decoded string"] * with_text
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in {x.split()[0] for x in extra}])
     at = docs.columns.index("text")
     keep = [k for k, c in enumerate(docs.columns) if c != "text"]
     kept_names = [docs.columns[k] for k in keep]
@@ -381,12 +452,12 @@ def encode_documents(docs: DataFrame, codec: Codec, with_ids: bool = True, with_
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-    extra = ["n_pieces long", "ids_hash string", "round_trip boolean"] + ["ids array<int>"] * with_ids + ["decoded string"] * with_text
     return docs.mapInArrow(run, ", ".join(fields + extra))
 
 
 def decode_documents(encoded: DataFrame, codec: Codec) -> DataFrame:
-    """encoded (column ids) with the column text decoded from them; null ids give null."""
+    """encoded (column ids) with the column text decoded from them, in place of one of that name; null ids give null."""
+    encoded = encoded.drop("text")
     at = encoded.columns.index("ids")
     shared = encoded.sparkSession.sparkContext.broadcast(codec)
 

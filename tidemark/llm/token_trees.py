@@ -142,7 +142,7 @@ class TokenTree:
 
 
 def build_trees(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """doc_id, n_tokens, sizes and counts (the leaves) of every row, for storage. Null texts count as empty."""
+    """doc_id, text, n_tokens, tree_sizes and tree_counts (the leaves) of every row, for storage. Null texts count as empty. Other columns are not looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # of the size of the vocabulary
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -151,28 +151,31 @@ def build_trees(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         for pdf in frames:
             trees = [TokenTree(t or "", counter) for t in pdf["text"]]
             leaves = [t.leaves() for t in trees]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [t.total for t in trees], "sizes": [x for x, _ in leaves], "counts": [x for _, x in leaves]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": pdf["text"], "n_tokens": [t.total for t in trees], "tree_sizes": [x for x, _ in leaves], "tree_counts": [x for _, x in leaves]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_tokens long, sizes array<int>, counts array<int>")
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, text string, n_tokens long, tree_sizes array<int>, tree_counts array<int>")
 
 
 def count_edited(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """doc_id, n_tokens, n_pretokens, n_edits, n_reencoded (pre-tokens that the edits encoded again), n_tokens_after, n_pretokens_after.
 
     docs: doc_id, text and edits, array<struct<pos int, del int, ins string>>, made one after the other (null: none); with
-    columns sizes and counts (leaves of build_trees) the trees are loaded instead of built.
+    columns tree_sizes and tree_counts, as build_trees stores them, the trees are loaded and nothing is encoded but what the
+    edits touch; leaves that do not add up to the text are of another text, and its tree is built. Null texts count as
+    empty, rows that repeat are counted each, a null id is allowed; other columns are not looked at.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    stored = {"sizes", "counts"} <= set(docs.columns)
+    stored = {"tree_sizes", "tree_counts"} <= set(docs.columns)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = Counter(shared.value)
         for pdf in frames:
             rows = []
             for k, (text, edits) in enumerate(zip(pdf["text"], pdf["edits"], strict=True)):
-                if stored and pdf["sizes"].iloc[k] is not None:
-                    tree = TokenTree.load(text or "", pdf["sizes"].iloc[k], pdf["counts"].iloc[k], counter)
+                sizes = pdf["tree_sizes"].iloc[k] if stored else None
+                if sizes is not None and sum(sizes) == len(text or ""):
+                    tree = TokenTree.load(text or "", sizes, pdf["tree_counts"].iloc[k], counter)
                 else:
                     tree = TokenTree(text or "", counter)
                 before = tree.total, tree.pretokens
@@ -184,7 +187,7 @@ def count_edited(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
             yield out
 
-    wanted = ["doc_id", "text", "edits", *(["sizes", "counts"] if stored else [])]
+    wanted = ["doc_id", "text", "edits", *(["tree_sizes", "tree_counts"] if stored else [])]
     return docs.select(*wanted).mapInPandas(run, f"doc_id {kind}, n_tokens long, n_pretokens long, n_edits long, n_reencoded long, n_tokens_after long, n_pretokens_after long")
 
 
