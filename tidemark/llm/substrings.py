@@ -43,7 +43,7 @@ class ChunkPolicy:
     span_words: int = 20
     word_chars: int = 16
     seed_words: int = 6
-    reach: int = 24
+    reach: int = 40
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
