@@ -20,14 +20,16 @@ def hours(n: float) -> Column:
 
 def eligible(t: Tables) -> DataFrame:
     """Due rows that need an update and are not unavailable, with their number of checks and band."""
-    return (
-        t.queue.where("needs_update")
-        .where(col("next_check") <= t.as_of)
-        .join(t.posts.select("post_id", "created_at"), "post_id")
-        .join(t.checks.select("post_id", "total_checagens"), "post_id", "left")
-        .join(t.failures.where("status = 'unavailable'").select("post_id"), "post_id", "left_anti")
-        .withColumn("total_checagens", M.or0(col("total_checagens")))
-        .withColumn("priority_band", M.priority_band(col("priority_score")))
+    rows = t.post_rows.where("needs_update").where(col("next_check") <= t.as_of).where(~col("strike_status").eqNullSafe(F.lit("unavailable")))
+    return rows.select(
+        "post_id",
+        "priority_score",
+        col("collected_at").alias("last_checked"),
+        "next_check",
+        "needs_update",
+        "created_at",
+        M.or0(col("total_checagens")).alias("total_checagens"),
+        M.priority_band(col("priority_score")).alias("priority_band"),
     )
 
 
@@ -166,11 +168,9 @@ def q04(t):
 
 def classified(t: Tables) -> DataFrame:
     last = F.coalesce("last_snapshot_at", "last_checked", "created_at")
+    rows = t.post_rows.where("needs_update").where(~col("strike_status").eqNullSafe(F.lit("unavailable")))
     return (
-        t.queue.where("needs_update")
-        .join(t.posts.select("post_id", "post_date", "created_at"), "post_id")
-        .join(t.checks, "post_id", "left")
-        .join(t.failures.where("status = 'unavailable'").select("post_id"), "post_id", "left_anti")
+        rows.select("post_id", "priority_score", col("collected_at").alias("last_checked"), "next_check", "needs_update", "post_date", "created_at", "total_checagens", "last_snapshot_at")
         .withColumn("total_checagens", M.or0(col("total_checagens")))
         .withColumn("priority_band", M.priority_band(col("priority_score")))
         .withColumn("effective_last_check", last)

@@ -14,13 +14,24 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
 from tidemark.functions.text import normalized_name
-from tidemark.operators.relational import strike_state
+from tidemark.operators.materialize import create_table_as
 
 #: Reference times: nothing reads the clock.
 AS_OF_ORDERS = "2001-08-01 06:00:00"
 AS_OF_EVENTS = "2024-01-31 00:00:00"
 
 
+def _strikes() -> Column:
+    """Misses since the last return: attempts are numbered from 1."""
+    return F.col("attempts") - F.coalesce("hit", F.lit(0))
+
+
+def _strike_status(limit: int = 3) -> Column:
+    """Null for a post that never missed."""
+    status = F.when(_strikes() >= limit, "unavailable").when(_strikes() > 0, "unavailable_candidate").otherwise("recovered")
+    return F.when(F.col("miss").isNotNull(), status)
+
+
 def at(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -91,12 +102,34 @@ class Tables:
         total = lambda c, name: F.sum(c).over(w).alias(name)
         return hits.select((F.col("l_orderkey") * 1000 + F.col("seq")).alias("id"), "post_id", "collected_at", total("dv", "views"), total("dl", "likes"), total("dc", "comments"))
 
+    @cached_property
+    def post_states(self) -> DataFrame:
+        """What an order's attempts come to, in one pass over them and written once: counters and time of the last return, checks, strikes."""
+        hit, miss = F.when(~F.col("missed"), F.col("seq")), F.when(F.col("missed"), F.col("seq"))
+        total = lambda c, name: F.sum(F.when(~F.col("missed"), F.col(c))).alias(name)
+        states = self.attempts.groupBy("l_orderkey").agg(
+            F.any_value("post_id").alias("post_id"),
+            total("dv", "views"),
+            total("dl", "likes"),
+            total("dc", "comments"),
+            F.max_by("collected_at", hit).alias("collected_at"),
+            F.count(hit).alias("checks"),
+            F.max(F.when(~F.col("missed"), F.col("collected_at"))).alias("last_snapshot_at"),
+            F.count("*").alias("attempts"),
+            F.max(hit).alias("hit"),
+            F.min(miss).alias("miss"),
+            F.min_by("collected_at", miss).alias("first_failed_at"),
+            F.max_by("collected_at", miss).alias("last_failed_at"),
+        )
+        return create_table_as(states.drop("l_orderkey"), "post-states")
+
     @cached_property
     def latest(self) -> DataFrame:
-        return self.history.groupBy("post_id").agg(F.max_by(F.struct("views", "likes", "comments", "collected_at"), "id").alias("x"), F.count("*").alias("checks")).select("post_id", "x.*", "checks")
+        return self.post_states.where("checks > 0").select("post_id", "views", "likes", "comments", "collected_at", "checks")
 
     @cached_property
-    def posts(self) -> DataFrame:
+    def post_rows(self) -> DataFrame:
+        """Posts with the state of their attempts, written once: posts, checks and the queue are columns of it."""
         o = self.raw("orders").select(
             F.col("o_orderkey").alias("id"),
             F.concat(F.lit("p"), F.col("o_orderkey").cast("string")).alias("post_id"),
@@ -107,22 +140,32 @@ class Tables:
             F.when(F.col("o_orderpriority") == "1-URGENT", "short").otherwise("long").alias("video_type"),
             F.col("o_orderstatus").alias("order_status"),
         )
-        return o.join(self.latest.drop("checks"), "post_id", "left")
+        state = self.post_states.select("post_id", "views", "likes", "comments", "collected_at", F.when(F.col("checks") > 0, F.col("checks")).alias("total_checagens"), "last_snapshot_at", _strike_status().alias("strike_status"))
+        p = o.join(state, "post_id", "left")
+        score = M.post_priority(F.col("views"), F.col("likes"), F.col("comments"))
+        nxt = F.when(F.col("collected_at").isNull(), F.col("post_date")).otherwise(M.next_check(score, F.col("collected_at"), F.col("post_date"), F.col("total_checagens")))
+        return create_table_as(p.select("*", score.alias("priority_score"), nxt.alias("next_check"), (F.col("order_status") != "F").alias("needs_update")), "post-rows")
+
+    @cached_property
+    def posts(self) -> DataFrame:
+        return self.post_rows.select("post_id", "id", "creator_id", "title", "post_date", "created_at", "video_type", "order_status", "views", "likes", "comments", "collected_at")
 
     @cached_property
     def checks(self) -> DataFrame:
-        return self.history.groupBy("post_id").agg(F.count("*").alias("total_checagens"), F.max("collected_at").alias("last_snapshot_at"))
+        return self.post_states.where("checks > 0").select("post_id", F.col("checks").alias("total_checagens"), "last_snapshot_at")
 
     @cached_property
     def failures(self) -> DataFrame:
-        return strike_state(self.attempts, "post_id", ["seq"], "missed", "collected_at").withColumn("youtube_url", F.concat(F.lit("https://www.youtube.com/watch?v="), F.col("post_id")))
+        success = F.when(F.col("hit") > F.col("miss"), F.col("last_success_at"))
+        hit_at = F.col("collected_at").alias("last_success_at")
+        return self.post_states.where("miss IS NOT NULL").select("*", hit_at).select(
+            "post_id", _strikes().alias("failure_count"), "first_failed_at", "last_failed_at", success.alias("last_success_at"), _strike_status().alias("status"),
+            F.concat(F.lit("https://www.youtube.com/watch?v="), F.col("post_id")).alias("youtube_url"),
+        )
 
     @cached_property
     def queue(self) -> DataFrame:
-        p = self.posts.join(self.checks.select("post_id", "total_checagens"), "post_id", "left")
-        score = M.post_priority(F.col("views"), F.col("likes"), F.col("comments"))
-        nxt = F.when(F.col("collected_at").isNull(), F.col("post_date")).otherwise(M.next_check(score, F.col("collected_at"), F.col("post_date"), F.col("total_checagens")))
-        return p.select("post_id", score.alias("priority_score"), F.col("collected_at").alias("last_checked"), nxt.alias("next_check"), (F.col("order_status") != "F").alias("needs_update"))
+        return self.post_rows.select("post_id", "priority_score", F.col("collected_at").alias("last_checked"), "next_check", "needs_update")
 
     @cached_property
     def event_history(self) -> DataFrame:
