@@ -41,7 +41,7 @@ class KatzPolicy:
 
     order: int = 3
     folds: int = 10
-    chunk: int = 6 << 20
+    chunk: int = 4 << 20
     partition: int = 8 << 20
     least_partitions: int = 16
 
@@ -62,6 +62,17 @@ def unpack(data: bytes) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
+def _unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, a place of each, and each element's number among them. Faster than a stable sort, which nothing needs here."""
+    order = np.argsort(x)
+    y = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = y[1:] != y[:-1]
+    inverse = np.empty(len(x), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return y[new], order[new], inverse
+
+
 def packed_chunks(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame:
     """(cid, ids, held, sizes, keys, tokens): runs of documents. keys: hashes of the distinct words, as gaps; tokens: their places in text order, END after each text; sizes: tokens of each text. Null texts count as empty."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -80,7 +91,7 @@ def packed_chunks(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFra
                 n = j - i
                 of = np.concatenate([*doc, np.arange(n)])
                 order = np.argsort(of, kind="stable")  # a text's words keep their order, its END comes last
-                keys, tokens = np.unique(np.concatenate([*hashes, np.full(n, END)])[order], return_inverse=True)
+                keys, _, tokens = _unique(np.concatenate([*hashes, np.full(n, END)])[order])
                 cid = int.from_bytes(np.random.default_rng().bytes(8), "little") >> 1  # kept by the stored table
                 wrap = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
                 packed = [pa.array([pack(x)], pa.binary()) for x in (np.bincount(of, minlength=n), np.diff(keys, prepend=np.uint64(0)), tokens)]
@@ -148,7 +159,7 @@ def _count_words(bits: int):
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         keys = [np.cumsum(unpack(k).view(np.uint64), dtype=np.uint64) for k in pdf["keys"]]
-        every, of = np.unique(np.concatenate(keys), return_inverse=True)
+        every, _, of = _unique(np.concatenate(keys))
         total = np.bincount(of, np.concatenate([unpack(n) for n in pdf["n"]]), len(every)).astype(np.int64)
         name = np.empty(len(every), np.int64)
         name[np.argsort(-total, kind="stable")] = (np.arange(len(every), dtype=np.int64) << bits) + int(pdf["p"].iloc[0]) + 1
@@ -236,7 +247,7 @@ class Grams:
         rank = np.empty(size, np.int64)
         rank[np.argsort(name)] = np.arange(size)
         by_rank = np.sort(name)
-        pair, first, of = np.unique(history * size + rank[c.of], return_index=True, return_inverse=True)
+        pair, first, of = _unique(history * size + rank[c.of])
         h, w = pair // size, by_rank[pair % size]
         n = np.bincount(of, c.train, len(pair)).astype(np.int64)
         wide = t.spread(h_count)
@@ -244,8 +255,10 @@ class Grams:
         for x in ids:
             mixed = mix(mixed * np.uint64(0x9E3779B97F4A7C15) + x.astype(np.uint64))
         home = (mixed >> np.uint64(64 - t.bits)).astype(np.int64)
-        step = (mix(w.astype(np.uint64)) >> np.uint64(11)).astype(np.int64)
-        p = (home[h] + step % wide[h]) % (1 << t.bits)
+        p = home[h]
+        far = np.flatnonzero(wide[h] > 1)
+        p[far] += (mix(w[far].astype(np.uint64)) >> np.uint64(11)).astype(np.int64) % wide[h[far]]
+        p %= 1 << t.bits
         order = np.argsort(p.astype(np.uint16) if t.bits <= 16 else p, kind="stable")
         place = np.empty(len(pair), np.int64)
         place[order] = np.arange(len(pair))
@@ -254,13 +267,23 @@ class Grams:
         some = np.flatnonzero(wide > 1)
         g_h = np.concatenate([np.flatnonzero(wide == 1), np.repeat(some, wide[some])])
         turn = np.concatenate([np.zeros(many - len(some), np.int64), np.arange(int(wide[some].sum())) - np.repeat(np.cumsum(wide[some]) - wide[some], wide[some])])
-        g_p = (home[g_h] + turn) % (1 << t.bits)
-        resort = np.lexsort((g_h, g_p))
-        self.g_p, self.g_h = g_p[resort], g_h[resort]
-        key = self.g_p * many + self.g_h
-        self.g_n = np.bincount(np.searchsorted(key, self.p * many + self.h), minlength=len(key))
+        key = np.sort((home[g_h] + turn) % (1 << t.bits) * many + g_h)
+        self.g_p, self.g_h = key // many, key % many
+        self.row_group = np.searchsorted(key, self.p * many + self.h) if len(some) else self._groups()
+        self.g_n = np.bincount(self.row_group, minlength=len(key))
+        self.wide = wide[self.g_h] > 1
         self.ids = [x[self.g_h] for x in ids]
 
+    def _groups(self) -> np.ndarray:
+        """Group of each row where no history is spread: rows and groups have one order, and each history one group."""
+        at = np.empty(len(self.h_count), np.int64)
+        at[self.g_h] = np.arange(len(self.g_h))
+        return at[self.h]
+
+    def asked(self, count: np.ndarray) -> np.ndarray:
+        """Groups that get their sums: those with an n-gram that training lacks, and those of spread histories."""
+        return self.wide | (np.bincount(self.row_group, count == 0, len(self.g_h)) > 0)
+
     def w_gaps(self) -> np.ndarray:
         """Each next word less the one before it after the same history."""
         new = (np.diff(self.p, prepend=-1) != 0) | (np.diff(self.h, prepend=-1) != 0)
@@ -269,12 +292,12 @@ class Grams:
     def messages(self, cid: int, parts: int) -> pa.RecordBatch:
         near = self.ids[0]  # sorted inside a partition
         gaps = np.where(np.diff(self.g_p, prepend=-1) != 0, near, np.diff(near, prepend=0))
-        columns = {"h1": (self.g_p, gaps), **{f"h{k + 2}": (self.g_p, x) for k, x in enumerate(self.ids[1:])}, "hn": (self.g_p, self.g_n), "w": (self.p, self.w_gaps()), "n": (self.p, self.n), "low": (self.p, self.low)}
+        columns = {"h1": (self.g_p, gaps), **{f"h{k + 2}": (self.g_p, x) for k, x in enumerate(self.ids[1:])}, "hn": (self.g_p, self.g_n), "wide": (self.g_p, self.wide), "w": (self.p, self.w_gaps()), "n": (self.p, self.n), "low": (self.p, self.low)}
         return _messages(cid, self.g_p, columns, parts)
 
 
 def _columns(order: int) -> list[str]:
-    return [*[f"h{k}" for k in range(1, order)], "hn", "w", "n", "low"]
+    return [*[f"h{k}" for k in range(1, order)], "hn", "wide", "w", "n", "low"]
 
 
 def _from_gaps(gaps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -285,8 +308,9 @@ def _from_gaps(gaps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _count_grams(order: int):
-    """One partition of the table of an order: for every chunk the counts of its n-grams, and for each of its histories, over
-    the followers seen in training: how many have a count of 1 ... CUT; how many have a lower-order count of 1 ... CUT, and the sum of the higher ones."""
+    """One partition of the table of an order: for every chunk the counts of its n-grams, for each history whether all its
+    followers have counts above CUT (bare), and for the histories that it asks for (Grams.asked), over the followers seen in
+    training: how many have a count of 1 ... CUT; how many have a lower-order count of 1 ... CUT, and the sum of the higher ones."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         h1 = [np.cumsum(unpack(x)) for x in pdf["h1"]]
@@ -303,18 +327,27 @@ def _count_grams(order: int):
         seen = total > 0
         of_class = lambda c: [np.bincount(th[seen & (c == r)], minlength=many) for r in range(1, CUT + 1)]
         sums = np.stack([*of_class(total), *of_class(lower), np.bincount(th, np.where(seen & (lower > CUT), lower, 0), many).astype(np.int64)])
+        bare = sums[:CUT].sum(axis=0) == 0
         answers, at, row = [], 0, 0
-        for keys, sizes in zip(h1, hn, strict=True):
-            mine, own = slice(at, at + len(keys)), slice(row, row + int(sizes.sum()))
-            at, row = mine.stop, own.stop
-            answers.append([pack(total[of[own]]), pack(sums[:, h_of[mine]].ravel())])
-        return _answers(pdf, answers, ["n", "sums"], _of_counts(total))
+        for keys, sizes, wide in zip(h1, hn, pdf["wide"], strict=True):
+            mine, own = h_of[at : at + len(keys)], total[of[row : row + int(sizes.sum())]]
+            at, row = at + len(keys), row + len(own)
+            asked = (unpack(wide) > 0) | (np.bincount(np.repeat(np.arange(len(keys)), sizes), own == 0, len(keys)) > 0)
+            answers.append([pack(own), pack(bare[mine]), pack(sums[:, mine[asked]].ravel())])
+        return _answers(pdf, answers, ["n", "bare", "sums"], _of_counts(total))
 
     return run
 
 
 def _ranks(columns: list[np.ndarray], firsts: bool = False) -> tuple:
     """Number of each row's distinct value, in order of the columns, and how many there are (and a row of each)."""
+    bits = [int(x.max(initial=0)).bit_length() for x in columns]
+    if sum(bits) < 63:
+        key = columns[0]
+        for x, n in zip(columns[1:], bits[1:], strict=True):
+            key = key << n | x
+        values, first, out = _unique(key)
+        return (out, len(values), first) if firsts else (out, len(values))
     order = np.lexsort(columns[::-1])
     new = np.zeros(len(order), bool)
     new[:1] = True
@@ -338,13 +371,21 @@ def orders(row: dict, c: Chunk, t: Totals, upto: int) -> Iterator[tuple[Grams |
     at, history, ids, one = np.arange(len(c.of)), np.zeros(len(c.of), np.int64), [], name[c.of]
     for k in range(2, upto + 1):
         far = at - (k - 1)
-        word = np.where(far >= c.first, one[np.maximum(far, 0)], START)
-        _, back, new = np.unique(word if k == 2 else history * (int(word.max(initial=0)) + 1) + word, return_index=True, return_inverse=True)
-        ids = [*[x[history[back]] for x in ids], word[back]]
-        history = new
         before = np.where(at > c.first, np.append(0, count[:-1])[: len(at)], t.texts)
+        if k == 2:  # histories are numbered as the words by name, after START
+            by_name = np.argsort(name)
+            rank = np.empty(len(name), np.int64)
+            rank[by_name] = np.arange(1, len(name) + 1)
+            history = np.where(far >= c.first, rank[c.of[np.maximum(far, 0)]], 0)
+            ids = [np.append(START, name[by_name])]
+        else:
+            word = np.where(far >= c.first, one[np.maximum(far, 0)], START)
+            _, back, new = _unique(history * (int(word.max(initial=0)) + 1) + word)
+            ids, history = [*[x[history[back]] for x in ids], word[back]], new
+        h_count = np.zeros(len(ids[0]), np.int64)
+        h_count[history] = before
         low = count
-        g = Grams(c, name, history, ids, before[back], low, t)
+        g = Grams(c, name, history, ids, h_count, low, t)
         count = _filled(row[f"grams{k}"], "n")[g.of] if row.get(f"grams{k}") else None
         yield g, count
 
@@ -415,8 +456,8 @@ def _scored(tables: Tables, chunks: DataFrame, kind: DataType, policy: KatzPolic
     left = taken(d1) / n if bare else float(1 - kept / n) if n else 1.0
     totals = Totals(n, v, int(size.t), left, bits, [d1], top=1 - left if bare else 1.0)
     for k in range(2, policy.order + 1):
-        grams = _gram_requests(named, totals, k).groupBy("p").applyInPandas(_count_grams(k), "cid long, p int, n binary, sums binary, totals array<long>")
-        named, counted = tables.answers(named, grams, f"grams{k}", "n", "sums")
+        grams = _gram_requests(named, totals, k).groupBy("p").applyInPandas(_count_grams(k), "cid long, p int, n binary, bare binary, sums binary, totals array<long>")
+        named, counted = tables.answers(named, grams, f"grams{k}", "n", "bare", "sums")
         totals.discounts = [*totals.discounts, discounts(counted[2:])]
     return keep(_score(named, totals, policy.order, kind), "scores")
 
@@ -436,9 +477,14 @@ def log_probabilities(row: dict, c: Chunk, t: Totals, order: int) -> tuple[np.nd
             continue
         d, lower, many = t.discounts[k - 1], t.discounts[k - 2], len(g.h_count)
         parts = [unpack(a["sums"]).reshape(2 * CUT + 1, -1) for a in sorted(row[f"grams{k}"], key=lambda a: a["p"])]
-        sums = np.stack([np.bincount(g.g_h, x, many) for x in np.concatenate(parts, axis=1)])  # a spread history's parts add up
+        asked = g.g_h[g.asked(_filled(row[f"grams{k}"], "n"))]
+        sums = np.stack([np.bincount(asked, x, many) for x in np.concatenate(parts, axis=1)])  # a spread history's parts add up
+        single = ~g.wide
+        alone = np.zeros(many, bool)
+        alone[g.g_h[single]] = _filled(row[f"grams{k}"], "bare")[single] > 0
+        alone[g.g_h[g.wide]] = (sums[:CUT].sum(axis=0) == 0)[g.g_h[g.wide]]
         known = np.maximum(g.h_count, 1)
-        bare = (g.h_count > 0) & (sums[:CUT].sum(axis=0) == 0)
+        bare = (g.h_count > 0) & alone
         left = np.where(bare, taken(d), ((1 - d[1:]) * r) @ sums[:CUT])
         top = np.where(bare, 1 - left / known, 1.0)
         h, (under, kept) = g.h_of, below
