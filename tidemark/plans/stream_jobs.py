@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Sequence
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.materialize import shared_folder
 from tidemark.plans.registry import query
 from tidemark.sources.tables import Tables
 from tidemark.streaming import jobs as S
@@ -15,56 +17,68 @@ col = F.col
 
 
 def _folder(t: Tables) -> str:
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
 
 
-def _events(t: Tables, path: str, late: bool):
-    """Two micro-batches of the event history; late: the newer half comes first."""
+def _run(t: Tables, rows: DataFrame, arrivals: Sequence, kind: str, step) -> DataFrame:
+    """The state after rows have landed part by part, in the order of arrivals, and the stream has run after each of them."""
+    path, out = _folder(t), None
+    for k, part in enumerate(arrivals):
+        rows.where(part).write.parquet(f"{path}/in/k={k}")
+        state = S.VersionedState(t.spark, f"{path}/state", S.empty_state(t.spark, S.SCHEMAS[kind]))
+        out = S.run_stream(S.landed(t.spark, rows.schema, f"{path}/in"), state, step, f"{path}/checkpoint")
+    return out
+
+
+def _halves(late: bool) -> list:
+    """The event history in two arrivals; late: the newer half comes first."""
     middle = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    halves = [col("collected_at") < middle, col("collected_at") >= middle]
-    return S.replay(t.spark, t.event_history, halves[::-1] if late else halves, f"{path}/in")
+    both = [col("collected_at") < middle, col("collected_at") >= middle]
+    return both[::-1] if late else both
 
 
 @query("t04_creator_latest_stream", "SELECT creator_id, max_by(followers, (collected_at, id)) AS followers, max(collected_at) AS collected_at FROM ehist GROUP BY 1")
 def t04(t):
-    path = _folder(t)
-    state = S.VersionedState(t.spark, f"{path}/state", S.empty_state(t.spark, S.SCHEMAS["creator"]))
-    return S.run_stream(_events(t, path, late=True), state, S.latest_creator_step, f"{path}/checkpoint")
+    return _run(t, t.event_history, _halves(True), "creator", S.latest_creator_step)
 
 
 @query("t01_post_latest_stream", "SELECT post_id, max_by(views, id) AS views, max_by(likes, id) AS likes, max_by(comments, id) AS comments, max_by(collected_at, id) AS collected_at FROM (SELECT *, collected_at >= TIMESTAMP '2024-01-16' AS half FROM ehist) WHERE half GROUP BY 1")
 def t01(t):
-    path = _folder(t)
-    state = S.VersionedState(t.spark, f"{path}/state", S.empty_state(t.spark, S.SCHEMAS["post"]))
-    return S.run_stream(_events(t, path, late=False), state, S.latest_post_step, f"{path}/checkpoint")
+    return _run(t, t.event_history, _halves(False), "post", S.latest_post_step)
 
 
 @query("t02_queue_stream", "SELECT post_id, count(*) AS checks FROM ehist GROUP BY 1")
 def t02(t):
-    path = _folder(t)
-    state = S.VersionedState(t.spark, f"{path}/state", S.empty_state(t.spark, S.SCHEMAS["queue"]))
-    return S.run_stream(_events(t, path, late=False), state, S.queue_step, f"{path}/checkpoint").select("post_id", "checks")
+    return _run(t, t.event_history, _halves(False), "queue", S.queue_step).select("post_id", "checks")
 
 
 @query("t03_enqueue_stream", "SELECT post_id, min(collected_at) AS enqueued_at FROM ehist GROUP BY 1")
 def t03(t):
-    path = _folder(t)
-    state = S.VersionedState(t.spark, f"{path}/state", S.empty_state(t.spark, S.SCHEMAS["enqueued"]))
-    return S.run_stream(_events(t, path, late=False), state, S.enqueue_step, f"{path}/checkpoint")
+    return _run(t, t.event_history, _halves(False), "enqueued", S.enqueue_step)
 
 
 @query("t05_strike_stream", "SELECT post_id, failure_count, first_failed_at, last_failed_at, last_success_at, status FROM failures")
 def t05(t):
-    path = _folder(t)
     rows = t.attempts.select("post_id", "seq", "collected_at", "missed")
-    stream = S.replay(t.spark, rows, [col("seq") <= 2, col("seq") == 3, col("seq") > 3], f"{path}/in")
-    state = S.VersionedState(t.spark, f"{path}/state", S.empty_state(t.spark, S.SCHEMAS["strikes"]))
-    return S.run_stream(stream, state, S.strike_step, f"{path}/checkpoint")
+    return _run(t, rows, [col("seq") <= 2, col("seq") == 3, col("seq") > 3], "strikes", S.strike_step)
 
 
-@query("t06_hourly_windows", "SELECT post_id, date_trunc('hour', collected_at) AS hour, count(*) AS checks, max(views) AS views FROM ehist GROUP BY ALL")
+@query(
+    "t06_hourly_windows",
+    """SELECT post_id, date_trunc('hour', collected_at) AS hour, count(*) AS checks, max(views) AS views FROM ehist
+  WHERE date_trunc('hour', collected_at) + INTERVAL 1 HOUR <= (SELECT max(collected_at) FROM ehist) - INTERVAL 1 HOUR GROUP BY ALL""",
+)
 def t06(t):
-    """The pre-aggregate of the trailing windows, as a batch over the same function that serves the stream."""
+    """Hourly counts as a stream: the windows that the watermark has closed when all events have come."""
+    path = _folder(t)
+    t.event_history.select("post_id", "collected_at", "views").write.parquet(f"{path}/in")
+    stream = S.landed(t.spark, "post_id string, collected_at timestamp_ntz, views long", f"{path}/in").withColumn("collected_at", col("collected_at").cast("timestamp"))
+    x = S.windowed_stream(stream, f"{path}/out", f"{path}/checkpoint")
+    return x.select("post_id", col("window.start").cast("timestamp_ntz").alias("hour"), "checks", "views")
+
+
+@query("t06_hourly_batch", "SELECT post_id, date_trunc('hour', collected_at) AS hour, count(*) AS checks, max(views) AS views FROM ehist GROUP BY ALL")
+def t06b(t):
+    """The same counts of all windows, as a batch over the function that serves the stream."""
     x = S.windowed_counts(t.event_history)
     return x.select("post_id", col("window.start").cast("timestamp_ntz").alias("hour"), "checks", "views")

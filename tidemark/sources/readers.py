@@ -76,9 +76,10 @@ def replace_load(target: DataFrame, load: DataFrame, key: str) -> DataFrame:
     return target.join(load.select(key).distinct(), key, "left_anti").unionByName(load.select(*target.columns))
 
 
-def append_history(df: DataFrame, path: str, time: str = "collected_at") -> None:
-    """Append to the history, partitioned by day."""
-    df.withColumn("d", F.to_date(time)).write.mode("append").partitionBy("d").parquet(path)
+def append_history(df: DataFrame, path: str, time: str = "collected_at", unit: str = "day") -> None:
+    """Append to the history, partitioned by day (or month, for long loads): column d. Large partitions are split, small ones come to one file."""
+    rows = df.withColumn("d", F.date_trunc(unit, time).cast("date"))
+    rows.hint("rebalance", F.col("d")).write.mode("append").partitionBy("d").parquet(path)
 
 
 def _items(json_rows: DataFrame, schema: str) -> DataFrame:

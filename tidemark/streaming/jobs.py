@@ -6,7 +6,6 @@ A version is a folder named after its batch, so a batch that runs again overwrit
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,33 +20,34 @@ Step = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 class VersionedState:
-    """A state table in numbered folders of a shared folder."""
+    """A state table in numbered folders of a shared folder, one for each batch; every folder holds the whole state."""
 
     def __init__(self, spark: SparkSession, path: str, empty: DataFrame):
         self.spark, self.path, self.empty = spark, path.rstrip("/"), empty
 
-    def before(self, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return self.empty
-        return self.spark.read.schema(self.empty.schema).parquet(f"{self.path}/v={batch_id - 1}")
+    def last(self, below: int | None = None) -> int:
+        """The newest version (below one, if given), as the folders have it; -1 if there is none: so a restart finds it too."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [str(x.getPath().getName()) for x in fs.listStatus(root)] if fs.exists(root) else []
+        found = [int(n[2:]) for n in names if n.startswith("v=") and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
+        return max((k for k in found if below is None or k < below), default=-1)
 
     def write(self, state: DataFrame, batch_id: int) -> None:
         state.select(*self.empty.columns).write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
 
-    def at(self, batch_id: int) -> DataFrame:
-        return self.spark.read.schema(self.empty.schema).parquet(f"{self.path}/v={batch_id}")
+    def at(self, version: int) -> DataFrame:
+        return self.empty if version < 0 else self.spark.read.schema(self.empty.schema).parquet(f"{self.path}/v={version}")
 
 
 def run_stream(stream: DataFrame, state: VersionedState, step: Step, checkpoint: str) -> DataFrame:
-    """Process all that is there in micro-batches; the state after the last one (the empty state if nothing came)."""
-    last = {"id": -1}
+    """Process all that is there in micro-batches; the newest state (the empty one if nothing ever came). Can be called again with the same folders when more has come."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        state.write(step(state.before(batch_id), batch), batch_id)
-        last["id"] = batch_id
+        state.write(step(state.at(state.last(below=batch_id)), batch), batch_id)
 
     stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return state.empty if last["id"] < 0 else state.at(last["id"])
+    return state.at(state.last())
 
 
 def latest_post_step(state: DataFrame, batch: DataFrame) -> DataFrame:
@@ -122,8 +122,13 @@ def windowed_counts(stream: DataFrame, every: str = "1 hour", lateness: str = "1
     return stream.withWatermark("collected_at", lateness).groupBy(w, "post_id").agg(F.count("*").alias("checks"), F.max("views").alias("views"))
 
 
-def replay(spark: SparkSession, rows: DataFrame, parts: list, path: str) -> DataFrame:
-    """A stream over rows written as one file for each filter of parts, in their order (one file is one micro-batch)."""
-    for k, part in enumerate(parts):
-        rows.where(part).coalesce(1).write.mode("append").parquet(f"{path}/k={k}")
-    return reduce(lambda s, o: s.option(*o), [("maxFilesPerTrigger", "1"), ("recursiveFileLookup", "true")], spark.readStream).schema(rows.schema).parquet(path)
+def landed(spark: SparkSession, schema, path: str) -> DataFrame:
+    """A stream over the Parquet files that land in the folders of path."""
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
+def windowed_stream(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """windowed_counts() as a stream that is written to path when a window is complete; all windows that are."""
+    rows = windowed_counts(stream)
+    rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(rows.schema).parquet(path)
