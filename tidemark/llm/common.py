@@ -65,12 +65,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """stage() of a result that outlives scratch()."""
+    """stage() of a result that outlives the scratch() around it; it goes with the next one outside, if there is one."""
     _scratch.append([])
     try:
         return stage(df, name)
     finally:
-        _scratch.pop()
+        paths = _scratch.pop()
+        if len(_scratch) > 1:
+            _scratch[-2].extend(paths)
 
 
 def arrow_rows(spark: SparkSession, n: int):

@@ -228,7 +228,8 @@ def repeated_spans(docs: DataFrame, policy: ChunkPolicy = ChunkPolicy()) -> Data
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     with scratch(docs.sparkSession):
-        found = stage(repeated_runs(docs, policy), "runs")
+        with scratch(docs.sparkSession):  # the chunks go when the runs are found
+            found = keep(repeated_runs(docs, policy), "runs")
         grown = _grown(docs, found, policy)
         enough = F.greatest(F.col("words"), F.floor((F.col("end") - F.col("start")) / policy.word_chars)) >= policy.span_words
         grouped = grown.where(enough).groupBy("doc_id", "th").agg(F.sort_array(F.collect_set(F.struct("start", "end", "later", "other"))).alias("runs"))
