@@ -47,3 +47,22 @@ def test_stages_chain_and_keep_the_columns(spark, folder):
         assert step(spark, empty, path).count() == 0
     for _, step in corpus_pipeline.STAGES[:-1]:
         assert step(spark, empty, path).columns == docs.columns
+
+
+def test_stages_take_odd_rows_and_clashing_columns(spark, folder):
+    path, rows = folder
+    text = rows[7]
+    odd = [(None, text, None, None, None), (1, None, "en", None, 0), (2, "", None, "s", None), (3, text, "en", "s", 5), (3, text, "en", "s", 5), (4, "x" * 300_000, "en", "s", 300_000), (5, "word " * 60_000, "en", "s", 1), (6, text + " a@b.example.com", "en", "s", 1)]
+    extra = "q string, kept string, label string, n string, hash string, spans string, win string, row string, leader string, h string"
+    df = spark.createDataFrame([(*r, *["c"] * 10) for r in odd], f"{DOCS}, {extra}")
+    clash = ("q", "kept", "label", "n", "hash", "spans", "win", "row", "leader", "h")
+    for name, step in corpus_pipeline.STAGES:
+        out = step(spark, df, path)
+        got = out.collect()
+        assert set(df.columns) <= set(out.columns) and all(r[c] == "c" for r in got for c in clash), name
+        if name in ("personal data", "SentencePiece"):
+            assert len(got) == len(odd)
+    got = {r.doc_id for r in corpus_pipeline.decontamination(spark, df, path).collect()}
+    assert got == {None, 1, 2, 3, 4, 5, 6}
+    kept = corpus_pipeline.near_dedup(spark, df, path).collect()
+    assert {1, 2, 3, 4, 5} <= {r.doc_id for r in kept} and None in {r.doc_id for r in kept} and 6 not in {r.doc_id for r in kept}

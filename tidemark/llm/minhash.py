@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_rows, small, stage
+from tidemark.llm.common import arrow_rows, keep, scratch, small, stage
 from tidemark.llm.tokens import Splitter, Words, buffers, mix, runs, shingles
 
 DF_BITS = 18
@@ -329,8 +329,14 @@ def near_classes(docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataFram
     """doc_id, class_id, class_size, keeper for every row: class_id is the least doc_id of the class, keeper marks its document.
 
     Texts without words are never copies: each is its own class. Rows that repeat an id count as one document if their texts
-    agree. Rows without an id take the class of an equal text, else none. Needs doc_id and text; other columns are not looked at.
+    agree; if they do not, each row has the class of its own text, and only classes that hold the id tie them. Rows without an
+    id take the class of an equal text, else none. Needs doc_id and text; other columns are not looked at, whatever their names.
     """
+    with scratch(docs.sparkSession):
+        return keep(_near_classes(docs, policy), "classes")
+
+
+def _near_classes(docs: DataFrame, policy: NearPolicy) -> DataFrame:
     df, n = document_frequencies(docs, policy)
     idf = inverse_frequencies(df, n)
     signed = stage(signatures(docs, idf, policy), "signed")

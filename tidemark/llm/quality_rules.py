@@ -60,30 +60,30 @@ def _repeated_words(hashes: Column, n: Column) -> Column:
 def quality_features(docs: DataFrame, policy: RulePolicy = RulePolicy()) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the signals, in column q (struct).
 
-    Null texts count as empty: no words, base_failed. Columns of docs stay as they are; only doc_id, text, lang and
-    source are read, and any of them may be null.
+    Null texts count as empty: no words, base_failed. Columns of docs stay as they are, but for one named q, which gives way;
+    only text, lang and source are read, and any of them may be null. Rows that repeat are judged each.
     """
     text = text_of()
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
-    step = docs.withColumn("__w", words_of(text)).withColumn("__l", lines)
-    step = step.withColumn("__n", F.size("__w")).withColumn("__h", F.transform("__w", lambda w: F.xxhash64(w)))
-    n = F.col("__n").cast("long")
-    word_chars = F.length(F.array_join("__w", "")).cast("long")
+    step = docs.withColumn("_tm_w", words_of(text)).withColumn("_tm_l", lines)
+    step = step.withColumn("_tm_n", F.size("_tm_w")).withColumn("_tm_h", F.transform("_tm_w", lambda w: F.xxhash64(w)))
+    n = F.col("_tm_n").cast("long")
+    word_chars = F.length(F.array_join("_tm_w", "")).cast("long")
     capitals = F.length(text) - F.length(F.regexp_replace(text, "\\p{Lu}+", ""))
     step = step.withColumn(
-        "__c",
+        "_tm_c",
         F.struct(
             n.alias("n_words"),
             word_chars.alias("word_chars"),
             (F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
-            (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
-            F.size("__l").cast("long").alias("n_lines"),
-            _repeated_words(F.col("__h"), F.col("__n")).alias("n_repeat_words"),
+            (F.size("_tm_l") - F.size(F.array_distinct("_tm_l"))).cast("long").alias("n_dup_lines"),
+            F.size("_tm_l").cast("long").alias("n_lines"),
+            _repeated_words(F.col("_tm_h"), F.col("_tm_n")).alias("n_repeat_words"),
             capitals.cast("long").alias("n_capitals"),
-            F.size(F.filter("__h", lambda h, i: h == F.get(F.col("__h"), i + 1))).cast("long").alias("n_stutter"),
+            F.size(F.filter("_tm_h", lambda h, i: h == F.get(F.col("_tm_h"), i + 1))).cast("long").alias("n_stutter"),
         ),
-    ).drop("__w", "__l", "__n", "__h")
-    c = lambda name: F.col(f"__c.{name}")
+    ).drop("_tm_w", "_tm_l", "_tm_n", "_tm_h")
+    c = lambda name: F.col(f"_tm_c.{name}")
     ratio = lambda a, b, k=1000: F.coalesce(F.try_divide(a * k, b), F.lit(0)).cast("long")
     failed = (c("n_words") < policy.min_words) | (100 * c("n_repeat_words") > policy.max_repeat_percent * c("n_words"))
     return step.withColumn(
@@ -100,7 +100,7 @@ def quality_features(docs: DataFrame, policy: RulePolicy = RulePolicy()) -> Data
             F.coalesce("lang", F.lit("")).alias("lang_key"),
             F.coalesce("source", F.lit("")).alias("source_key"),
         ),
-    ).drop("__c")
+    ).drop("_tm_c")
 
 
 def quality_sketches(features: DataFrame) -> DataFrame:
@@ -139,26 +139,32 @@ def adaptive_thresholds(sketches: DataFrame, policy: RulePolicy = RulePolicy())
     return wide.groupBy("lang_key", "source_key").agg(*[F.max(F.when(F.col("signal") == s, best)).alias(f"max_{s}") for s in SIGNALS])
 
 
-def apply_quality_rules(docs: DataFrame, policy: RulePolicy = RulePolicy(), carry: tuple[str, ...] | None = None) -> DataFrame:
-    """docs (its columns named in carry, else all) with q (counts and signals) and kept.
-
-    Empty and null texts fail; an empty table gives an empty table. The features are staged once, with the carried columns.
-    """
-    carry = tuple(carry or docs.columns)
-    features = stage(quality_features(docs, policy).select(*carry, "q"), "quality")
+def _judged(docs: DataFrame, policy: RulePolicy, carry: tuple[str, ...]) -> DataFrame:
+    """(row, q, kept): row has the carried columns, whatever their names. The features are staged once."""
+    rows = docs.select("text", "lang", "source", F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"))
+    features = stage(quality_features(rows, policy).select("row", "q"), "quality")
     limits = stage(adaptive_thresholds(quality_sketches(features), policy), "fences").select(
-        F.col("lang_key").alias("__lang"), F.col("source_key").alias("__source"), *[F.col(f"max_{s}").alias(f"__{s}") for s in SIGNALS]
+        F.col("lang_key").alias("of_lang"), F.col("source_key").alias("of_source"), *[F.col(f"max_{s}") for s in SIGNALS]
     )
-    joined = features.join(small(limits), (F.col("q.lang_key") == F.col("__lang")) & (F.col("q.source_key") == F.col("__source")), "left")
+    joined = features.join(small(limits), (F.col("q.lang_key") == F.col("of_lang")) & (F.col("q.source_key") == F.col("of_source")), "left")
     passed = F.lit(True)
     for s in SIGNALS:
-        passed = passed & (F.col(f"q.{s}") <= F.col(f"__{s}"))
-    return joined.select(*carry, "q", F.coalesce(~F.col("q.base_failed") & passed, F.lit(False)).alias("kept"))
+        passed = passed & (F.col(f"q.{s}") <= F.col(f"max_{s}"))
+    return joined.select("row", "q", F.coalesce(~F.col("q.base_failed") & passed, F.lit(False)).alias("kept"))
+
+
+def apply_quality_rules(docs: DataFrame, policy: RulePolicy = RulePolicy(), carry: tuple[str, ...] | None = None) -> DataFrame:
+    """docs (its columns named in carry, else all) with q (counts and signals) and kept; columns of these two names give way.
+
+    Empty and null texts fail; rows that repeat are judged each; an empty table gives an empty table.
+    """
+    carry = tuple(carry or docs.columns)
+    return _judged(docs, policy, carry).select(*[F.col(f"row.`{c}`") for c in carry if c not in ("q", "kept")], "q", "kept")
 
 
 def keep_good(docs: DataFrame, policy: RulePolicy = RulePolicy()) -> DataFrame:
-    """Only the documents that the rules keep, with the columns of docs."""
-    return apply_quality_rules(docs, policy).where("kept").select(*docs.columns)
+    """Only the documents that the rules keep, with the columns of docs, whatever their names."""
+    return _judged(docs, policy, tuple(docs.columns)).where("kept").select("row.*")
 
 
 #: The same rows in DuckDB's SQL.
