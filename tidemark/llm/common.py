@@ -38,15 +38,12 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def stage(df: DataFrame, name: str = "stage", row_group_mb: int | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", codec: str = "snappy") -> DataFrame:
     """Write df to the shared folder and read it again: later steps survive lost executors and never recompute it. The shuffle files of the write go when it has ended."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write
-    if row_group_mb:
-        writer = writer.option("parquet.block.size", row_group_mb << 20)
     with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-        writer.parquet(path)
+        df.write.option("compression", codec).parquet(path)
     if _scratch:
         _scratch[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -19,7 +19,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -27,7 +26,7 @@ from pyspark.sql.types import DataType
 
 from tidemark.llm.common import arrow_rows, keep, setting
 from tidemark.llm.quality_fm import held_out
-from tidemark.llm.tokens import Splitter, buffers, mix, runs
+from tidemark.llm.tokens import Splitter, buffers, mix, pack, runs, unpack
 
 #: Token that ends every text (a hash), and number of the token before a text's first.
 END, START = np.uint64(1), 0
@@ -46,22 +45,6 @@ class KatzPolicy:
     least_partitions: int = 16
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Non-negative integers as compressed byte planes, as many as the largest needs."""
-    wide = np.ascontiguousarray(values, np.uint64)
-    planes = max(1, (int(wide.max()).bit_length() + 7) // 8) if len(wide) else 1
-    return zstandard.compress(bytes([planes]) + wide.view(np.uint8).reshape(-1, 8).T[:planes].tobytes(), 1)
-
-
-def unpack(data: bytes) -> np.ndarray:
-    raw = zstandard.decompress(data)
-    planes = raw[0]
-    body = np.frombuffer(raw, np.uint8, offset=1).reshape(planes, -1)
-    out = np.zeros((body.shape[1], 8), np.uint8)
-    out[:, :planes] = body.T
-    return out.view(np.int64).ravel()
-
-
 def _unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct values, a place of each, and each element's number among them. Faster than a stable sort, which nothing needs here."""
     order = np.argsort(x)

@@ -38,7 +38,7 @@ def op5_substring_dedup(spark, sf_dir):
 
 def op10_token_counts(spark, sf_dir, ranks_file=BYTE_RANKS):
     docs, ranks = read(spark, sf_dir, "documents").select("doc_id", "text"), token_trees.load_ranks(ranks_file)
-    trees = stage(token_trees.build_trees(docs, ranks), "trees")  # stored with the texts that they count
+    trees = stage(token_trees.build_trees(docs, ranks), "trees", codec="zstd")  # stored with the texts that they count
     return token_trees.count_edited(trees.withColumn("edits", token_trees.derived_edits(F.col("text"), F.col("doc_id"))), ranks)
 
 

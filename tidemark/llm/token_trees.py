@@ -11,11 +11,14 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.tokens import pack, unpack
+
 #: Split pattern of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK = 128
@@ -142,18 +145,22 @@ class TokenTree:
 
 
 def build_trees(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """doc_id, text, n_tokens, tree_sizes and tree_counts (the leaves) of every row, for storage. Null texts count as empty. Other columns are not looked at."""
+    """doc_id, text, n_tokens, tree_sizes and tree_counts (the leaves, packed) of every row, for storage. Null texts count as empty. Other columns are not looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # of the size of the vocabulary
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(shared.value)
-        for pdf in frames:
-            trees = [TokenTree(t or "", counter) for t in pdf["text"]]
-            leaves = [t.leaves() for t in trees]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": pdf["text"], "n_tokens": [t.total for t in trees], "tree_sizes": [x for x, _ in leaves], "tree_counts": [x for _, x in leaves]})
+        for batch in batches:
+            totals, sizes, counts = [], [], []
+            for text in batch.column(1):
+                tree = TokenTree(text.as_py() or "", counter)
+                totals.append(tree.total)
+                for out, leaves in zip((sizes, counts), tree.leaves(), strict=True):
+                    out.append(pack(np.array(leaves, np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(totals, pa.int64()), pa.array(sizes, pa.binary()), pa.array(counts, pa.binary())], ["doc_id", "text", "n_tokens", "tree_sizes", "tree_counts"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, text string, n_tokens long, tree_sizes array<int>, tree_counts array<int>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, text string, n_tokens long, tree_sizes binary, tree_counts binary")
 
 
 def count_edited(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -167,28 +174,27 @@ def count_edited(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     kind = docs.schema["doc_id"].dataType.simpleString()
     stored = {"tree_sizes", "tree_counts"} <= set(docs.columns)
+    names = ["n_tokens", "n_pretokens", "n_edits", "n_reencoded", "n_tokens_after", "n_pretokens_after"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(shared.value)
-        for pdf in frames:
+        for batch in batches:
             rows = []
-            for k, (text, edits) in enumerate(zip(pdf["text"], pdf["edits"], strict=True)):
-                sizes = pdf["tree_sizes"].iloc[k] if stored else None
+            for k in range(len(batch)):
+                text, edits, *leaves = (batch.column(c)[k].as_py() for c in range(1, batch.num_columns))
+                sizes = unpack(leaves[0]).tolist() if stored and leaves[0] is not None else None
                 if sizes is not None and sum(sizes) == len(text or ""):
-                    tree = TokenTree.load(text or "", sizes, pdf["tree_counts"].iloc[k], counter)
+                    tree = TokenTree.load(text or "", sizes, unpack(leaves[1]).tolist(), counter)
                 else:
                     tree = TokenTree(text or "", counter)
                 before = tree.total, tree.pretokens
-                edits = [] if edits is None else edits
-                for e in edits:
+                for e in edits or []:
                     tree.edit(int(e["pos"] or 0), int(e["del"] or 0), e["ins"] or "")
-                rows.append([*before, len(edits), tree.encoded, tree.total, tree.pretokens])
-            out = pd.DataFrame(rows, columns=["n_tokens", "n_pretokens", "n_edits", "n_reencoded", "n_tokens_after", "n_pretokens_after"])
-            out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
-            yield out
+                rows.append([*before, len(edits or []), tree.encoded, tree.total, tree.pretokens])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[c] for r in rows], pa.int64()) for c in range(len(names))]], ["doc_id", *names])
 
     wanted = ["doc_id", "text", "edits", *(["tree_sizes", "tree_counts"] if stored else [])]
-    return docs.select(*wanted).mapInPandas(run, f"doc_id {kind}, n_tokens long, n_pretokens long, n_edits long, n_reencoded long, n_tokens_after long, n_pretokens_after long")
+    return docs.select(*wanted).mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} long" for n in names))
 
 
 def derived_edits(text: Column, doc_id: Column, n: int = 4) -> Column:
