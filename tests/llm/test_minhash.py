@@ -84,6 +84,14 @@ def test_odd_rows(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 4, 6, 8, None}
 
 
+def test_an_id_with_several_texts_ties_their_classes(spark):
+    rng = random.Random(3)
+    a, b = (" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(80)) for _ in range(2))
+    rows = [(1, a), (2, b), (3, a + " x"), (3, b + " y"), (4, "quite another text of some words")]
+    got = {r.doc_id: r.class_id for r in mh.near_classes(spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA)).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_empty_table(spark):
     assert mh.near_classes(spark.createDataFrame([], SCHEMA)).collect() == []
 

@@ -179,7 +179,7 @@ def _features(docs: DataFrame, ids: DataFrame, idf: np.ndarray, policy: NearPoli
                 parts = [[x[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)] for x in (h, weight)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *[pa.array(p, pa.binary()) for p in parts]], ["doc", "h", "w"])
 
-    return rows.mapInArrow(run, f"doc {kind}, h binary, w binary").dropDuplicates(["doc"])
+    return rows.mapInArrow(run, f"doc {kind}, h binary, w binary").dropDuplicates(["doc", "h", "w"])
 
 
 def weighted_jaccard(ha: np.ndarray, wa: np.ndarray, hb: np.ndarray, wb: np.ndarray) -> float:
@@ -199,8 +199,10 @@ def _blocks(rows: DataFrame, policy: NearPolicy) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
     own = [c for c in rows.columns if c not in ("key", "n", "block")]
-    left = rows.where("label <> top").select("key", F.col("block").alias("i"), every.alias("j"), *own)
-    right = rows.select("key", every.alias("i"), F.col("block").alias("j"), *own)
+    outside = rows.where("label <> top")
+    left = outside.select("key", F.col("block").alias("i"), every.alias("j"), *own)
+    met = outside.select("key", F.col("block").alias("i")).distinct()  # a bucket is copied only to blocks that hold texts outside its largest class
+    right = rows.join(met, "key").select("key", "i", F.col("block").alias("j"), *own)
     return left, right.toDF(*[f"{c}_r" for c in right.columns])
 
 
@@ -329,8 +331,8 @@ def near_classes(docs: DataFrame, policy: NearPolicy = NearPolicy()) -> DataFram
     """doc_id, class_id, class_size, keeper for every row: class_id is the least doc_id of the class, keeper marks its document.
 
     Texts without words are never copies: each is its own class. Rows that repeat an id count as one document if their texts
-    agree; if they do not, each row has the class of its own text, and only classes that hold the id tie them. Rows without an
-    id take the class of an equal text, else none. Needs doc_id and text; other columns are not looked at, whatever their names.
+    agree; an id with several texts ties the classes of all of them to one. Rows without an id take the class of an equal
+    text, else none. Needs doc_id and text; other columns are not looked at, whatever their names.
     """
     with scratch(docs.sparkSession):
         return keep(_near_classes(docs, policy), "classes")
