@@ -64,6 +64,29 @@ def pagination_links(links: DataFrame) -> DataFrame:
     return links.where(ok & ~is_error_url(col("url"))).select("from_url", page_number(col("url")).alias("page"), "url", "label").dropDuplicates(["from_url", "url"])
 
 
+def application_links(pages: DataFrame) -> DataFrame:
+    """(page_id, position, url, codigo, fabricante, aplicacao, label): links to sheets with a code. What they apply to stands in a dark red font, else in the title without the manufacturer, else in the link."""
+    a = F.expr("regexp_extract_all(html, '(?is)(<a\\\\s[^>]*href=\"[^\"]*codigo=[^\"]*\"[^>]*>.*?</a>)', 1)")
+    x = pages.select("page_id", "url", F.posexplode(a).alias("position", "a"))
+    url = resolve_link(col("url"), _entities(F.regexp_extract("a", '(?is)href="([^"]*)"', 1)))
+    text = lambda raw: F.nullif(normalize_text(_entities(F.regexp_replace(raw, "<[^>]*>", " "))), F.lit(""))
+    font = text(F.regexp_extract("a", "(?is)<font[^>]*darkred[^>]*>(.*?)</font>", 1))
+    label = text(F.regexp_replace("a", "(?is)^<a[^>]*>|</a>$", ""))
+    x = x.select("page_id", "position", url.alias("url"), text(F.regexp_extract("a", '(?is)^<a[^>]*title="([^"]*)"', 1)).alias("title"), font.alias("font"), label.alias("label"))
+    x = x.withColumn("codigo", query_param(col("url"), "codigo")).withColumn("fabricante", query_param(col("url"), "fabricante"))
+    bare = F.when(F.startswith(col("title"), col("fabricante")), F.trim(F.substr(col("title"), F.length("fabricante") + 1))).otherwise(col("title"))
+    shown = F.coalesce("font", F.nullif(bare, F.lit("")), "label")
+    return x.where(F.lower(path_of(col("url"))).contains("ficha")).select("page_id", "position", "url", "codigo", "fabricante", shown.alias("aplicacao"), "label")
+
+
+def valid_year_pages(pages: DataFrame, status: Column | None = None) -> DataFrame:
+    """(page_id, status, final_url, has_spec_link, has_error_text) of the year pages that count: fetched, with a link to a sheet and no error text."""
+    code = F.lit(200) if status is None else status
+    low, text = F.lower(col("html")), F.lower(plain_text(col("html")))
+    checked = pages.select("page_id", code.alias("status"), col("url").alias("final_url"), low.rlike("href=\"[^\"]*ficha").alias("has_spec_link"), (text.contains("erro") | is_error_url(col("url"))).alias("has_error_text"))
+    return checked.where((col("status") < 400) & col("has_spec_link") & ~col("has_error_text"))
+
+
 def expand_frontier(seeds: DataFrame, edges: DataFrame, limit: int = 30, rounds: int = 30) -> DataFrame:
     """Breadth-first over stored pages: seeds (seed, url), edges (from_url, url) -> (seed, url, depth), limit pages of a seed at most.
 
