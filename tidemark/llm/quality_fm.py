@@ -157,7 +157,10 @@ def train_quality(docs: DataFrame, labels: DataFrame, policy: FmPolicy = FmPolic
 
 
 def score_quality(docs: DataFrame, machine: Machine, policy: FmPolicy = FmPolicy()) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row. Null and empty texts get the score of a text without words."""
+    """doc_id, held_out, score, predicted for every row. Null and empty texts get the score of a text without words; a null
+    n_chars counts as 0, a null id as held out; rows that repeat are scored each. Needs doc_id, text and n_chars; other
+    columns are not looked at, whatever their names.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     small = Machine(machine.w0, machine.w.astype(np.float32), machine.v.astype(np.float32))
 
