@@ -77,6 +77,11 @@ def arrow_rows(spark: SparkSession, n: int):
     return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """For the whole session of a query or pipeline over texts: Arrow batches of so many rows. The usual ten times as many hold tens of megabytes, several times over, in the executor and its workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
     """A broadcast hint if a count shows at most max_rows narrow rows; beyond that a plain shuffled join stays."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

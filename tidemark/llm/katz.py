@@ -419,7 +419,8 @@ def score_texts(docs: DataFrame, policy: KatzPolicy = KatzPolicy()) -> DataFrame
     kind = docs.schema["doc_id"].dataType
     tables = Tables(spark)
     try:
-        chunks = tables.store(packed_chunks(docs, policy))
+        with arrow_rows(spark, 10_000):  # a batch holds a chunk at least
+            chunks = tables.store(packed_chunks(docs, policy))
         with arrow_rows(spark, 1):  # a chunk is megabytes
             return _scored(tables, chunks, kind, policy)
     finally:

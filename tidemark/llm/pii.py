@@ -234,6 +234,13 @@ def training_rows(text: str, policy: PiiPolicy = PiiPolicy()) -> list[tuple[list
     return rows[:: max(1, -(-len(rows) // policy.document_rows))]
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Small batches: the texts of a large one, as Python strings, take many times its room."""
+    for batch in batches:
+        for i in range(0, len(batch), rows):
+            yield batch.slice(i, rows)
+
+
 def find_candidates(docs: DataFrame) -> DataFrame:
     """doc_id, base (flat start, kind, end), cand (flat start, kind, end), feat (bytes, N_FEATURES a candidate), label (bytes) for every row.
 
@@ -241,7 +248,7 @@ def find_candidates(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             base, cand, feat, label = [], [], [], []
             for text in batch.column(1).to_pylist():
                 found, spans = [], []
@@ -366,7 +373,7 @@ def fit_pii_model(docs: DataFrame, candidates: DataFrame, policy: PiiPolicy = Pi
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").select("text")  # sample ids at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             made = [training_rows(t, policy) for t in batch.column(0).to_pylist() if t]
             feat = [bytes(map(int, f)) for r in made for f, _ in r]
             yield pa.RecordBatch.from_arrays([pa.array(feat, pa.binary()), pa.array([y for r in made for _, y in r], pa.bool_())], ["feat", "y"])
@@ -456,7 +463,7 @@ def redact_documents(docs: DataFrame, policy: PiiPolicy = PiiPolicy()) -> DataFr
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [t if not t or not _ANY.search(t) else redact(t, spans_of(t, model)) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 

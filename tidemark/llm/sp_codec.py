@@ -394,7 +394,7 @@ def encode_batch(codec: Codec, column: pa.Array) -> Iterator[tuple[int, int, np.
     """For runs of texts: first and last text, ids, number of ids of each text, prefixed bytes, their offsets."""
     splitter = Splitter()
     data, offsets = buffers(column)
-    for i, j in runs(offsets, 6 << 20):
+    for i, j in runs(offsets, 2 << 20):
         part, off = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         raw, at = _with_prefix(part, off)
         if b"\xe2\x96\x81" in raw.tobytes():  # the mark itself stands for a space
