@@ -214,7 +214,7 @@ class Totals:
 
     def spread(self, c: np.ndarray) -> np.ndarray:
         """Partitions that a history of count c is dealt to: more than one from half a partition's mean."""
-        return np.clip(c * (2 << self.bits) // max(self.tokens, 1), 1, 1 << self.bits).astype(np.int64)
+        return np.clip((c * ((2 << self.bits) / max(self.tokens, 1))).astype(np.int64), 1, 1 << self.bits)
 
 
 class Grams:
