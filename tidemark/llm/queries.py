@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_main, katz, lexical, minhash, packing, pii, quality_fm, quality_rules, sp_codec, substrings, token_trees
+from tidemark.llm import decontaminate, hard_negatives, html_main, katz, lexical, minhash, packing, pii, quality_fm, quality_rules, sp_codec, substrings, token_trees
 from tidemark.llm.common import read, stage, text_batches
 
 #: Vocabulary files of public tokenizers; installed beside Python, never part of this repository.
@@ -61,6 +61,11 @@ def op4_sentencepiece(spark, sf_dir, model_file=PIECE_MODEL):
     return sp_codec.encode_documents(docs, sp_codec.Codec(sp_codec.load_pieces(model_file)))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
 def op12_ranked_search(spark, sf_dir):
     return lexical.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -80,9 +85,10 @@ def _over_texts(query):
     return run
 
 
-QUERIES = {f.__name__: _over_texts(f) for f in (op1_minhash_near_dedup, op2_quality_classifier, op3_decontamination, op4_sentencepiece, op5_substring_dedup, op6_pii, op7_katz_lm, op8_html_main_text, op9_quality_rules, op10_token_counts, op12_ranked_search, op13_sequence_packing)}
+QUERIES = {f.__name__: _over_texts(f) for f in (op1_minhash_near_dedup, op2_quality_classifier, op3_decontamination, op4_sentencepiece, op5_substring_dedup, op6_pii, op7_katz_lm, op8_html_main_text, op9_quality_rules, op10_token_counts, op11_hard_negatives, op12_ranked_search, op13_sequence_packing)}
 
 ORACLE_SQL = {
     "op9_quality_rules": quality_rules.ORACLE.format(docs="documents"),
+    "op11_hard_negatives": hard_negatives.ORACLE.format(table="embeddings"),
     "op12_ranked_search": lexical.ORACLE.format(docs="documents", items="benchmark"),
 }
