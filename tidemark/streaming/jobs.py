@@ -1,54 +1,20 @@
-"""The continuous forms: each micro-batch runs the batch job on (state, new rows) and writes the next version of the state.
-
-A version is a folder named after its batch, so a batch that runs again overwrites its own result and nothing counts twice.
-"""
+"""The continuous forms: a micro-batch runs the batch job on the state of its keys (streaming.state), or folds into keyed state."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions import metrics as M
-from tidemark.operators.relational import insert_absent, merge_with
+from tidemark.operators.relational import insert_absent
 from tidemark.plans.entity_jobs import sync_latest
+from tidemark.streaming.state import BucketedState
 
 col = F.col
 
-Step = Callable[[DataFrame, DataFrame], DataFrame]
-
-
-class VersionedState:
-    """A state table in numbered folders of a shared folder, one for each batch; every folder holds the whole state."""
-
-    def __init__(self, spark: SparkSession, path: str, empty: DataFrame):
-        self.spark, self.path, self.empty = spark, path.rstrip("/"), empty
-
-    def last(self, below: int | None = None) -> int:
-        """The newest version (below one, if given), as the folders have it; -1 if there is none: so a restart finds it too."""
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [str(x.getPath().getName()) for x in fs.listStatus(root)] if fs.exists(root) else []
-        found = [int(n[2:]) for n in names if n.startswith("v=") and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
-        return max((k for k in found if below is None or k < below), default=-1)
-
-    def write(self, state: DataFrame, batch_id: int) -> None:
-        state.select(*self.empty.columns).write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-
-    def at(self, version: int) -> DataFrame:
-        return self.empty if version < 0 else self.spark.read.schema(self.empty.schema).parquet(f"{self.path}/v={version}")
-
-
-def run_stream(stream: DataFrame, state: VersionedState, step: Step, checkpoint: str) -> DataFrame:
-    """Process all that is there in micro-batches; the newest state (the empty one if nothing ever came). Can be called again with the same folders when more has come."""
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        state.write(step(state.at(state.last(below=batch_id)), batch), batch_id)
-
-    stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return state.at(state.last())
-
 
 def latest_post_step(state: DataFrame, batch: DataFrame) -> DataFrame:
     """Current post rows: the last inserted snapshot wins."""
@@ -63,14 +29,19 @@ def latest_creator_step(state: DataFrame, batch: DataFrame) -> DataFrame:
     return sync_latest(insert_absent(state, blank, ["creator_id"]), batch, "creator_id", ["followers"], "collected_at", "id", True)
 
 
-def queue_step(state: DataFrame, batch: DataFrame, policy: M.Policy = M.POLICY) -> DataFrame:
-    """Queue rows with a running number of checks: counted after the batch is appended."""
-    new = batch.groupBy("post_id").agg(F.count("*").alias("n"), F.max_by(F.struct("views", "likes", "comments", "collected_at"), "id").alias("x"))
-    score = M.post_priority(col("x.views"), col("x.likes"), col("x.comments"), policy)
-    new = new.select("post_id", "n", score.alias("score"), col("x.collected_at").alias("at"))
-    checks = F.coalesce(col("t.checks"), F.lit(0)) + col("s.n")
-    sets = {"priority_score": col("s.score"), "last_checked": col("s.at"), "checks": checks, "next_check": M.next_check_simple(col("s.score"), col("s.at"), policy)}
-    return merge_with(state, new, ["post_id"], sets, sets | {"checks": col("s.n")})
+def queue_step(posts: DataFrame, policy: M.Policy = M.POLICY) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """Queue rows with a running number of checks, counted after the batch is appended; posts (post_id, post_date) tell ages."""
+
+    def step(state: DataFrame, batch: DataFrame) -> DataFrame:
+        new = batch.groupBy("post_id").agg(F.count("*").alias("n"), F.max_by(F.struct("views", "likes", "comments", "collected_at"), "id").alias("x"))
+        score = M.post_priority(col("x.views"), col("x.likes"), col("x.comments"), policy)
+        before = state.select("post_id", col("checks").alias("before"))
+        new = new.join(posts.select("post_id", "post_date"), "post_id", "left").join(before, "post_id", "left")
+        checks = F.coalesce("before", F.lit(0)) + col("n")
+        new = new.select("post_id", score.alias("priority_score"), col("x.collected_at").alias("last_checked"), checks.alias("checks"), "post_date")
+        return new.withColumn("next_check", M.next_check(col("priority_score"), col("last_checked"), col("post_date"), col("checks"), policy)).drop("post_date")
+
+    return step
 
 
 def enqueue_step(state: DataFrame, batch: DataFrame) -> DataFrame:
@@ -78,28 +49,57 @@ def enqueue_step(state: DataFrame, batch: DataFrame) -> DataFrame:
     return insert_absent(state, batch.groupBy("post_id").agg(F.min("collected_at").alias("enqueued_at")), ["post_id"])
 
 
-def strike_step(state: DataFrame, batch: DataFrame, limit: int = 3) -> DataFrame:
-    """Failure state after a batch of attempts (post_id, seq, collected_at, missed), folded in the order of seq."""
-    hit = F.max(F.when(~col("missed"), col("seq")))
-    marks = batch.groupBy("post_id").agg(hit.alias("hit"), F.max_by(F.when(~col("missed"), col("collected_at")), F.when(~col("missed"), col("seq"))).alias("hit_at"), F.min(F.when(col("missed"), col("seq"))).alias("first_miss"))
-    miss = batch.where("missed").join(marks.select("post_id", "hit"), "post_id")
-    miss = miss.groupBy("post_id").agg(
-        F.count_if(col("hit").isNull() | (col("seq") > col("hit"))).alias("n"),
-        F.min_by("collected_at", "seq").alias("first_at"),
-        F.max_by("collected_at", "seq").alias("last_at"),
-    )
-    new = marks.join(miss, "post_id", "left")
-    both = state.alias("t").join(new.alias("s"), "post_id", "full")
-    known = col("t.failure_count").isNotNull()
-    count = F.when(col("s.hit").isNotNull(), F.coalesce(col("s.n"), F.lit(0))).otherwise(F.coalesce(col("t.failure_count"), F.lit(0)) + F.coalesce(col("s.n"), F.lit(0)))
-    success = F.when(col("s.hit").isNotNull() & (known | (col("s.hit") > col("s.first_miss"))), col("s.hit_at")).otherwise(col("t.last_success_at"))
-    status = F.when(count >= limit, "unavailable").when(count > 0, "unavailable_candidate").otherwise("recovered")
-    out = both.where(known | col("s.first_miss").isNotNull())
-    return out.select("post_id", count.cast("long").alias("failure_count"), F.coalesce("t.first_failed_at", "s.first_at").alias("first_failed_at"), F.coalesce("s.last_at", "t.last_failed_at").alias("last_failed_at"), success.alias("last_success_at"), status.alias("status"))
-
-
-def empty_state(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+class Strikes(StatefulProcessor):
+    """Failure state of a post: a value that every micro-batch's attempts are folded into, in the order of seq.
+
+    A miss counts one up, at `limit` the post is unavailable; a return sets the count to 0, for a post that is known as
+    missed. The first miss of all stays. A post that never missed has no state. Emits the state of each post that changed.
+    """
+
+    state = "failure_count long, first_failed_at timestamp_ntz, last_failed_at timestamp_ntz, last_success_at timestamp_ntz"
+
+    def __init__(self, limit: int = 3, forget_after_ms: int | None = None):
+        self.limit, self.forget_after_ms = limit, forget_after_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.value = handle.getValueState("strikes", self.state, self.forget_after_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.value.get()
+        now = list(held) if held else None
+        for r in sorted(rows, key=lambda r: r.seq):
+            if r.missed:
+                now = [(now[0] if now else 0) + 1, now[1] if now else r.collected_at, r.collected_at, now[3] if now else None]
+            elif now:
+                now = [0, now[1], now[2], r.collected_at]
+        if now:
+            self.value.update(tuple(now))
+            status = "unavailable" if now[0] >= self.limit else "unavailable_candidate" if now[0] else "recovered"
+            yield Row(post_id=key[0], failure_count=now[0], first_failed_at=now[1], last_failed_at=now[2], last_success_at=now[3], status=status)
+
+    def close(self) -> None:
+        pass
+
+
+def strike_stream(attempts: DataFrame, state: BucketedState, checkpoint: str, limit: int = 3, forget_after_ms: int | None = None) -> DataFrame:
+    """Strikes over a stream of attempts (post_id, seq, collected_at, missed) on the RocksDB state store; the changed rows go to state. All of it, after what is there is processed.
+
+    forget_after_ms: posts whose state did not change for so long start anew (by default never).
+    """
+    spark = attempts.sparkSession
+    folded = attempts.groupBy("post_id").transformWithState(Strikes(limit, forget_after_ms), SCHEMAS["strikes"], "update", "processingTime" if forget_after_ms else "none")
+
+    def apply(changed: DataFrame, number: int) -> None:
+        state.apply(changed, number, lambda _, new: new)
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        folded.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+    return state.rows()
 
 
 SCHEMAS = {
