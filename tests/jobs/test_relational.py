@@ -144,14 +144,6 @@ def test_layers_and_files(spark, tmp_path):
     assert [(r.page_id, r.html) for r in readers.read_html_dir(spark, str(tmp_path)).collect()] == [("p1", "<html>é</html>")]
 
 
-def test_round_robin(spark):
-    df = spark.range(5)
-    batch, cur = R.round_robin_batch(df, "id", 3, 2)
-    assert sorted(r.id for r in batch.collect()) == [3, 4] and cur.first().next_cursor == 0
-    batch, cur = R.round_robin_batch(df, "id", 9, 2)
-    assert sorted(r.id for r in batch.collect()) == [0, 1] and cur.first().next_cursor == 2
-
-
 def test_series(spark):
     from datetime import date
 

@@ -209,16 +209,3 @@ def sum_checks(df: DataFrame, by: Sequence[str], code: str, value: str, specs: d
             )
         )
     return wide.select(*by, F.inline(F.array(*rows)))
-
-
-def round_robin_batch(df: DataFrame, order: str, cursor: int, n: int) -> tuple[DataFrame, DataFrame]:
-    """Rows cursor ... cursor + n - 1 of the order, and the next cursor (one row); a slice past the end starts again at 0.
-
-    Only the first cursor + n rows are ranked.
-    """
-    total = df.agg(F.count("*").alias("total"))
-    start = F.when(F.lit(cursor) >= F.col("total"), 0).otherwise(cursor)
-    at = first_rows(df, [F.col(order)], cursor + n).withColumn("__at", F.col("rank") - 1).drop("rank")
-    batch = at.crossJoin(F.broadcast(total)).where((F.col("__at") >= start) & (F.col("__at") < start + n)).drop("__at", "total")
-    following = F.when(start + n >= F.col("total"), 0).otherwise(start + n)
-    return batch, total.select(following.cast("long").alias("next_cursor"))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
 from tidemark.operators import pages as P
-from tidemark.operators.relational import round_robin_batch, topk
+from tidemark.operators.relational import topk
 from tidemark.plans.registry import query
+from tidemark.plans.resume_jobs import ranked_creators
 from tidemark.sources.readers import constraint_report, duplicates, orphans, outside
 
 col = F.col
@@ -53,11 +54,11 @@ def h08(t):
 
 @query(
     "q23_discovery_round_robin",
-    "SELECT id, channel_id, (SELECT CASE WHEN 50 >= count(*) THEN 0 ELSE 50 END FROM creators) AS next_cursor FROM (FROM creators ORDER BY id LIMIT 30 OFFSET 20)",
+    "SELECT id, channel_id, (SELECT CASE WHEN 50 >= count(*) THEN 0 ELSE 50 END::BIGINT FROM creators) AS next_cursor FROM (FROM creators ORDER BY id LIMIT 30 OFFSET 20)",
 )
 def q23(t):
-    batch, following = round_robin_batch(t.creators, "id", 20, 30)
-    return batch.crossJoin(F.broadcast(following)).select("id", "channel_id", "next_cursor")  # one row
+    batch, following = ranked_creators(t).round_robin(20, 30)
+    return batch.select("id", "channel_id", F.lit(following).cast("long").alias("next_cursor"))
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
+from tidemark.operators.ranks import exact_percentiles
 from tidemark.operators.relational import asof_join, first_rows, overlap, quota_batch
 from tidemark.plans.registry import query
 from tidemark.sources.tables import Tables
@@ -205,15 +206,14 @@ def q09(t):
     batch = F.broadcast(queue_batch(t).select("post_id", F.lit(True).alias("__in")))  # a batch: policy.batch rows
     x = classified(t).join(batch, "post_id", "left")
     late = lambda d: F.count_if(col("staleness_days") > d)
-    pct = lambda p: F.percentile("staleness_days", p)
-    return x.groupBy("priority_band", "video_age_bucket", "check_band").agg(
+    by = ["priority_band", "video_age_bucket", "check_band"]
+    ranks = {"p50_staleness_days": 0.5, "p90_staleness_days": 0.9, "p95_staleness_days": 0.95}
+    exact = exact_percentiles(x, by, "staleness_days", ranks).alias("p")
+    counts = x.groupBy(*by).agg(
         F.count("*").alias("total_posts"),
         M.round_half_up(F.avg("total_checagens"), 2).alias("mean_checks"),
         F.max("total_checagens").alias("max_checks"),
         F.avg("staleness_days").alias("avg_staleness_days"),
-        pct(0.5).alias("p50_staleness_days"),
-        pct(0.9).alias("p90_staleness_days"),
-        pct(0.95).alias("p95_staleness_days"),
         F.max("staleness_days").alias("max_staleness_days"),
         late(3.2).alias("over_3_2d"),
         late(5).alias("over_5d"),
@@ -224,6 +224,7 @@ def q09(t):
         F.max("effective_last_check").alias("newest_check"),
         F.min(F.when(col("is_due_now"), col("next_check"))).alias("most_overdue"),
     )
+    return counts.join(exact, [counts[k].eqNullSafe(exact[k]) for k in by], "left").select(counts["*"], *[col(f"p.{n}") for n in ranks])
 
 
 @query("q19_recompute_next_check", "SELECT post_id, next_check FROM queue WHERE last_checked IS NOT NULL")
@@ -372,7 +373,8 @@ def q35(t):
 )
 def q36(t):
     both = batch_comparison(t).agg((F.count_if(col("side") == "both") * 100.0 / P.batch_v2).alias("overlap_pct"))
-    limit = t.posts.select("post_id").join(t.checks, "post_id", "left").agg(F.percentile(M.or0(col("total_checagens")), 0.99).alias("limit"))
+    limit = t.posts.select("post_id").join(t.checks, "post_id", "left").select(M.or0(col("total_checagens")).alias("checks"))
+    limit = exact_percentiles(limit, [], "checks", {"limit": 0.99})
     n = col("total_checagens")
     rows = queue_batch(t).crossJoin(F.broadcast(limit))  # one row
     return rows.agg(

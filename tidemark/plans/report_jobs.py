@@ -9,10 +9,12 @@ from tidemark.functions import metrics as M
 from tidemark.functions import text as X
 from tidemark.operators import pages as P
 from tidemark.operators import relational as R
+from tidemark.operators.ranks import exact_percentiles
 from tidemark.plans.dashboard_jobs import CREATOR_CTE, creator_summary
 from tidemark.plans.layer_jobs import catalog_pages, link_points, video_responses
 from tidemark.plans.queue_jobs import BATCH_CTE, eligible
 from tidemark.plans.registry import query
+from tidemark.plans.resume_jobs import ranked_creators
 from tidemark.sources import readers
 from tidemark.sources.tables import Tables
 
@@ -105,7 +107,7 @@ def q65_outliers(t):
 
     w = Window.partitionBy("post_id").orderBy("collected_at", "id")
     steps = t.event_history.select("post_id", (col("views") - F.lag("views").over(w)).alias("step"))
-    q = steps.agg(F.percentile("step", 0.25).alias("a"), F.percentile("step", 0.75).alias("b"))  # one row
+    q = exact_percentiles(steps, [], "step", {"a": 0.25, "b": 0.75})  # one row
     far = steps.crossJoin(F.broadcast(q)).where(col("step") > col("b") + 3 * (col("b") - col("a")))
     return far.groupBy("post_id").agg(F.count("*").alias("outliers"), F.max("step").alias("largest"))
 
@@ -153,7 +155,7 @@ def q12_without(t):
 )
 def q23_run(t):
     """A discovery run over landed responses: the next creators of the cursor, their uploads, what is new against the stored posts, and an outcome for each."""
-    batch, _ = R.round_robin_batch(t.creators, "id", 20, 30)
+    batch, _ = ranked_creators(t).round_robin(20, 30)
     uploads = readers.normalize_video_details(video_responses(t))
     owner = t.raw("orders").select(F.concat(F.lit("p"), col("o_orderkey").cast("string")).alias("post_id"), col("o_custkey").alias("creator_id"))
     mine = uploads.join(owner, "post_id").join(F.broadcast(batch.select(col("id").alias("creator_id"))), "creator_id")  # a batch: 30 rows

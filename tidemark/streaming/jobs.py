@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidemark.functions import metrics as M
 from tidemark.operators.relational import insert_absent
 from tidemark.plans.entity_jobs import sync_latest
+from tidemark.sources.resume import BatchHistory
 from tidemark.streaming.state import BucketedState
 
 col = F.col
@@ -116,6 +117,16 @@ def once_per_snapshot(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
     return stream.withWatermark("collected_at", lateness).dropDuplicatesWithinWatermark(["post_id", "collected_at"])
 
 
+def append_stream(stream: DataFrame, history: BatchHistory, checkpoint: str, lateness: str = "1 hour") -> DataFrame:
+    """Append a stream of snapshots to the history, each (post_id, collected_at) once as far as the lateness goes, each micro-batch once altogether."""
+
+    def apply(batch: DataFrame, number: int) -> None:
+        history.append(batch.withColumn("collected_at", col("collected_at").cast("timestamp_ntz")), number)
+
+    once_per_snapshot(stream, lateness).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return history.read()
+
+
 def windowed_counts(stream: DataFrame, every: str = "1 hour", lateness: str = "1 hour") -> DataFrame:
     """Checks and views of each hour, for trailing-window reports."""
     w = F.window("collected_at", every)
