@@ -3,7 +3,6 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
-from tidemark.operators import pages as P
 from tidemark.operators import relational as R
 from tidemark.plans.entity_jobs import register_collection_result, sync_latest
 from tidemark.plans.market_jobs import CHECKS, file_status, normalize_registrations
@@ -108,26 +107,6 @@ def test_registrations_and_checks(spark):
     assert file_status(checks, ["path"]).first().extraction_status == "validated"
 
 
-SHEET = """<html><head><title>Car X</title></head><table><tr><td>Motor</td><td>1.0</td><td>Cor</td><td>azul</td></tr><tr><td>DESEMPENHO</td><td></td></tr>
-<tr><td>Vel</td><td>150</td></tr><tr><td>Vel</td><td>150</td></tr><tr><td>Comparar</td><td>x</td></tr><tr><td>one</td></tr></table><img src='a\\b.jpg'></html>"""
-
-
-def test_spec_sheet(spark):
-    df = spark.createDataFrame([(1, SHEET), (2, None)], "page_id long, html string")
-    got = {(r.group, r.field, r.value) for r in P.spec_sheets(df).collect()}
-    assert got == {("GERAL", "Motor", "1.0"), ("GERAL", "Cor", "azul"), ("DESEMPENHO", "Vel", "150")}
-    assert P.spec_sheets(df).first().page_title == "Car X" and P.spec_sheets(df).first().image_urls == "a/b.jpg"
-
-
-def test_page_classes_and_frontier(spark):
-    df = spark.createDataFrame([(1, "http://a/x", "<html>ok"), (2, "http://a/erro.asp", "<html>"), (3, "http://a/y", "<html>Captcha"), (4, "http://a/z", "plain")], "page_id long, url string, html string")
-    assert [r.status for r in P.classify_fetch(df).orderBy("page_id").collect()] == ["success", "site_error", "validation_required", "unexpected_page"]
-    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("a", "d")], "from_url string, url string")
-    seeds = spark.createDataFrame([("s", "a")], "seed string, url string")
-    got = P.expand_frontier(seeds, edges, limit=3).orderBy("depth", "url").collect()
-    assert [(r.url, r.depth, r.unfinished) for r in got] == [("a", 0, True), ("b", 1, True), ("d", 1, True)]
-
-
 def test_landed_json(spark):
     js = '{"items":[{"id":"v1","statistics":{"viewCount":"5","likeCount":"x"},"snippet":{"title":"T","publishedAt":"2026-01-01T00:00:00Z"},"contentDetails":{"duration":"PT5M"}},{"statistics":{}}]}'
     df = spark.createDataFrame([(js,), ("bad",)], "json string")

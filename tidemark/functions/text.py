@@ -39,8 +39,8 @@ def safe_filename(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(x, "[^A-Za-z0-9_-]+", "_"), "^_+|_+$", "")
 
 
-#: Numbers in Brazilian form: groups of three, decimals, percent sign, or a dash for none.
-BR_NUMBER = "-?\\d{1,3}(?:\\.\\d{3})*(?:,\\d+)?%?|--?"
+#: Numbers in Brazilian form (fixed value).
+BR_NUMBER = r"-?\d{1,3}(?:\.\d{3})*(?:,\d+)?|-?\d+,\d+|-?\d+"
 
 
 def br_numbers(cells: Column) -> Column:
@@ -54,26 +54,37 @@ def first_volume(numbers: Column) -> Column:
 
 
 def parse_int_br(x: Column) -> Column:
-    """187.313 is 187313; decimals are cut; dashes, empty and other texts are null."""
-    return F.split(F.regexp_replace(F.trim(x), "[.%]", ""), ",")[0].try_cast("long")
+    """187.313 is 187313; decimals are cut; dashes and empty texts are null, and so are other texts, of which int_error() tells."""
+    return F.split(F.translate(normalize_text(x), ". ", ""), ",")[0].try_cast("long")
+
+
+def int_error(x: Column) -> Column:
+    """Why parse_int_br(x) has no number; null if it has one or x holds none."""
+    return F.when(~normalize_text(x).isin("", "-", "--") & parse_int_br(x).isNull(), F.concat(F.lit("not a whole number: "), x))
 
 
 def parse_decimal_br(x: Column) -> Column:
     return F.translate(F.trim(x), ",.%", ".").try_cast("double")
 
 
+def _period(path: Column) -> tuple[Column, Column]:
+    name, narrow, wide = F.element_at(F.split(path, "/"), -1), "(20\\d{2})[_-](\\d{2})", "(20\\d{2})[^\\d]+(\\d{2})"
+    in_name = F.regexp_extract(name, narrow, 1) != ""
+    return tuple(F.when(in_name, F.regexp_extract(name, narrow, k)).otherwise(F.regexp_extract(path, wide, k)).try_cast("int") for k in (1, 2))
+
+
 def reference_period(path: Column) -> Column:
-    """First day of the month 20yy_mm in the file name, else in the path; null without a valid month."""
-    pattern = "(20\\d{2})[_-](\\d{2})"
-    name = F.element_at(F.split(path, "/"), -1)
-    source = F.when(F.regexp_extract(name, pattern, 1) != "", name).otherwise(path)
-    year, month = (F.regexp_extract(source, pattern, k).try_cast("int") for k in (1, 2))
-    wide = F.regexp_extract(path, "(20\\d{2})[/_-](\\d{2})", 1)
-    year = F.coalesce(year, wide.try_cast("int"))
-    month = F.coalesce(month, F.regexp_extract(path, "(20\\d{2})[/_-](\\d{2})", 2).try_cast("int"))
+    """First day of the month: 20yy_mm or 20yy-mm in the file name, else 20yy and mm with no digit between them in the path. Null where period_error() tells why."""
+    year, month = _period(path)
     return F.when(month.between(1, 12), F.make_date(year, month, F.lit(1)))
 
 
+def period_error(path: Column) -> Column:
+    """Why a path has no period: none is in it, or its month is none; null if it has one."""
+    year, month = _period(path)
+    return F.when(year.isNull(), "no period in the path").when(~month.between(1, 12), F.concat(F.lit("invalid month: "), month.cast("string")))
+
+
 def year_of(x: Column) -> Column:
     return F.nullif(F.regexp_extract(x, "\\b((?:19|20)\\d{2})\\b", 1), F.lit(""))
 
@@ -114,22 +125,22 @@ def build_query(base: Column, params: dict[str, Column]) -> Column:
     return F.concat(base, F.lit("?"), F.concat_ws("&", *parts))
 
 
-#: Query keys that hold a page number, in order; keys that tell catalogues apart.
+#: Query keys that hold a page number, in order; keys that tell catalogues apart (fixed values).
 PAGE_KEYS = ("curpage", "pagina", "page", "pag", "pg")
-CATALOG_KEYS = ("fabricante", "varnome", "modelo", "anoini", "anofim", "anomod", "ano", "codigo")
+CATALOG_KEYS = ("fabricante", "varnome", "modelo", "anoini", "anofim", "ano", "codmodelo", "codigo")
 
 
 def page_number(url: Column) -> Column:
-    found = [F.when(query_param(url, k).rlike("^\\d+$"), query_param(url, k).try_cast("int")) for k in PAGE_KEYS]
-    return F.coalesce(*found, F.lit(1))
+    """First digits of the first page key that has any; else 1."""
+    return F.coalesce(*[F.regexp_extract(query_param(url, k), "\\d+", 0).try_cast("int") for k in PAGE_KEYS], F.lit(1))
 
 
-def same_catalog_signature(a: Column, b: Column) -> Column:
-    """Every catalogue key that a has agrees in b, compared as labels."""
+def same_catalog_signature(candidate: Column, seed: Column) -> Column:
+    """Every catalogue key that both have agrees, compared as labels; a key that one of them lacks decides nothing."""
     out = F.lit(True)
     for k in CATALOG_KEYS:
-        x, y = query_param(a, k), query_param(b, k)
-        out = out & (x.isNull() | (normalize_label(x) == normalize_label(y)))
+        x, y = query_param(candidate, k), query_param(seed, k)
+        out = out & (x.isNull() | y.isNull() | (x == "") | (y == "") | (normalize_label(x) == normalize_label(y)))
     return F.coalesce(out, F.lit(False))
 
 

@@ -1,22 +1,27 @@
-"""Catalogue pages as rows: links, titles, spec sheets, classification. Expressions where they suffice, one small parser for tables."""
+"""Catalogue pages as rows: the elements that one scan finds (operators.markup), and the layers of a catalogue as joins and filters over them."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from html import unescape
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import host_of, is_error_url, normalize_text, page_number, path_of, query_param, resolve_link, same_catalog_signature, year_of
+from tidemark.functions.text import PAGE_KEYS, build_query, host_of, is_error_url, is_group_header, normalize_label, normalize_text, page_number, path_of, query_param, same_catalog_signature, year_of
+from tidemark.operators.markup import page_elements
+from tidemark.operators.materialize import create_table_as
+from tidemark.operators.relational import dedupe, dedupe_best, dedupe_last_at_first
 
 col = F.col
 
-#: Words that show a blocked page, and labels of a spec sheet's own controls (fixed values).
-VALIDATION_WORDS = ("valida", "captcha", "verifica")
-UI_LABELS = ("comparar", "imprimir", "voltar")
+#: Words of a page that asks for a check, words of an error page, and the word of a sheet (fixed values).
+VALIDATION_TERMS = ["preencha o campo com os caracteres", "captcha", "valida", "validacao"]
+ERROR_TERMS = ["ocorreu um erro", "internal server error", "500 - internal server error"]
+SHEET_TERM = "ficha t"
+
+#: Labels of a sheet's own controls, placeholders of a select (fixed values).
+UI_LABELS = ["compartilhe", "busca detalhada", "avalie"]
+PLACEHOLDERS = ["selecione", "todos", "-"]
 
 
 def _entities(x: Column) -> Column:
@@ -35,140 +40,204 @@ def page_title(html: Column) -> Column:
     return normalize_text(_entities(F.regexp_extract(html, "(?is)<title[^>]*>(.*?)</title>", 1)))
 
 
+def _filled(x: Column) -> Column:
+    return F.nullif(x, F.lit(""))
+
+
+def _param(key: str) -> Column:
+    """A query value of the link's url; blank ones count as absent."""
+    return _filled(query_param(col("url"), key))
+
+
+def _root(url: Column) -> Column:
+    return F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)
+
+
+def links_of(elements: DataFrame) -> DataFrame:
+    """(page_id, position, href, url, label, title, shown, from_url) of the links among page elements; url is absolute."""
+    x = elements.where("kind = 'link'")
+    return x.select("page_id", "position", col("address").alias("href"), col("target").alias("url"), "label", "title", "shown", col("url").alias("from_url"))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """(page_id, position, href, url, label) of every link with an address; url is absolute."""
-    a = F.expr("regexp_extract_all(html, '(?is)(<a\\\\s[^>]*href=\"[^\"]*\"[^>]*>.*?</a>)', 1)")
-    x = pages.select("page_id", "url", F.posexplode(a).alias("position", "a"))
-    href = _entities(F.regexp_extract("a", '(?is)href="([^"]*)"', 1))
-    label = normalize_text(_entities(F.regexp_replace(F.regexp_replace("a", "(?is)^<a[^>]*>|</a>$", ""), "<[^>]*>", " ")))
-    return x.select("page_id", "position", href.alias("href"), resolve_link(col("url"), href).alias("url"), label.alias("label"), col("url").alias("from_url"))
+    return links_of(page_elements(pages))
+
+
+def select_options(elements: DataFrame) -> DataFrame:
+    """(page_id, position, fabricante, value, url) of the options of selects named after manufacturers. Blank values, blank labels and placeholders are skipped; of one address the last option stands at the place of the first."""
+    x = elements.where("kind = 'option'").where(F.lower("name").rlike("fabricante|marca"))
+    x = x.where((F.trim("address") != "") & (col("label") != "") & ~F.lower("label").isin(PLACEHOLDERS))
+    url = build_query(F.concat(_root(col("url")), F.lit("/catalogofabricante.asp")), {"fabricante": col("address")})
+    x = x.select("page_id", "position", col("label").alias("fabricante"), col("address").alias("value"), url.alias("url"))
+    return dedupe_last_at_first(x, ["page_id", "url"], "position")
 
 
 def model_links(links: DataFrame) -> DataFrame:
-    """Catalogue links with a model: manufacturer, model, code, and the reason of a rejected one."""
-    model = F.coalesce(F.nullif(query_param(col("url"), "varnome"), F.lit("")), F.nullif(query_param(col("url"), "modelo"), F.lit("")), F.nullif(col("label"), F.lit("")))
-    reason = F.when(~F.lower(path_of(col("url"))).contains("catalogo"), "not_catalog").when(query_param(col("url"), "varnome").isNull() & query_param(col("url"), "modelo").isNull(), "no_model")
-    return links.select("*", query_param(col("url"), "fabricante").alias("fabricante"), model.alias("modelo"), query_param(col("url"), "codigo").alias("codigo_modelo"), reason.alias("rejected"))
+    """Catalogue links with a model and its code, and the reason of a rejected one."""
+    x = links.where(F.lower("href").contains("catalogo.asp?") | F.lower("href").contains("catalogomodelo.asp?"))
+    named, model = _param("varnome").isNotNull() | _param("modelo").isNotNull(), F.coalesce(_param("varnome"), _param("modelo"), _filled(col("label")))
+    code = F.coalesce(_param("codigo"), _param("codmodelo"), _param("modelo"))
+    reason = F.when(~named, "sem varnome/modelo nos parametros").when(model.isNull(), "modelo vazio")
+    return x.select("*", model.alias("modelo"), code.alias("codigo_modelo"), reason.alias("rejected"))
 
 
 def year_links(links: DataFrame) -> DataFrame:
-    """Links with a year: from the query, else the label, else the address."""
-    keys = [F.nullif(query_param(col("url"), k), F.lit("")) for k in ("ano", "anomod", "anofim", "anoini")]
-    year = F.coalesce(*[year_of(k) for k in keys], year_of(col("label")), year_of(col("url")))
-    return links.select("*", year.alias("ano")).where(col("ano").isNotNull())
+    """Catalogue and sheet links with a year: from the query, else the label, else the address."""
+    x = links.where(F.lower("href").contains("catalogo") | F.lower("href").contains("fichadetalhe"))
+    year = F.coalesce(*[year_of(_param(k)) for k in ("ano", "anomod", "anofim", "anoini")], year_of(col("label")), year_of(col("url")))
+    return x.select("*", year.alias("ano")).where(col("ano").isNotNull())
+
 
+def richness(shown: Column, title: Column, label: Column, href: Column) -> Column:
+    """Points of a link for what it tells: text to show 10, title 4, link text 2, the address of a sheet 1 (fixed values)."""
+    has = lambda c, n: F.when(F.coalesce(c, F.lit("")) != "", n).otherwise(0)
+    return has(shown, 10) + has(title, 4) + has(label, 2) + F.when(F.lower(href).contains("fichadetalhe.asp"), 1).otherwise(0)
 
-def pagination_links(links: DataFrame) -> DataFrame:
-    """Links to a later page of the same list: same host, same signature, page not before the current one."""
-    ok = (host_of(col("url")) == host_of(col("from_url"))) & same_catalog_signature(col("from_url"), col("url")) & (page_number(col("url")) >= page_number(col("from_url")))
-    return links.where(ok & ~is_error_url(col("url"))).select("from_url", page_number(col("url")).alias("page"), "url", "label").dropDuplicates(["from_url", "url"])
 
+def application_links(links: DataFrame) -> DataFrame:
+    """links (with fabricante) to sheets with a code: codigo_ficha, url_ficha, modelo_texto, versao, titulo_aplicacao, texto_link; of one (page, code, address) the richest, the first of equals.
 
-def application_links(pages: DataFrame) -> DataFrame:
-    """(page_id, position, url, codigo, fabricante, aplicacao, label): links to sheets with a code. What they apply to stands in a dark red font, else in the title without the manufacturer, else in the link."""
-    a = F.expr("regexp_extract_all(html, '(?is)(<a\\\\s[^>]*href=\"[^\"]*codigo=[^\"]*\"[^>]*>.*?</a>)', 1)")
-    x = pages.select("page_id", "url", F.posexplode(a).alias("position", "a"))
-    url = resolve_link(col("url"), _entities(F.regexp_extract("a", '(?is)href="([^"]*)"', 1)))
-    text = lambda raw: F.nullif(normalize_text(_entities(F.regexp_replace(raw, "<[^>]*>", " "))), F.lit(""))
-    font = text(F.regexp_extract("a", "(?is)<font[^>]*darkred[^>]*>(.*?)</font>", 1))
-    label = text(F.regexp_replace("a", "(?is)^<a[^>]*>|</a>$", ""))
-    x = x.select("page_id", "position", url.alias("url"), text(F.regexp_extract("a", '(?is)^<a[^>]*title="([^"]*)"', 1)).alias("title"), font.alias("font"), label.alias("label"))
-    x = x.withColumn("codigo", query_param(col("url"), "codigo")).withColumn("fabricante", query_param(col("url"), "fabricante"))
-    bare = F.when(F.startswith(col("title"), col("fabricante")), F.trim(F.substr(col("title"), F.length("fabricante") + 1))).otherwise(col("title"))
-    shown = F.coalesce("font", F.nullif(bare, F.lit("")), "label")
-    return x.where(F.lower(path_of(col("url"))).contains("ficha")).select("page_id", "position", "url", "codigo", "fabricante", shown.alias("aplicacao"), "label")
+    modelo_texto is the text right inside a dark red font, else the title without the manufacturer, else the link's text.
+    """
+    title = normalize_text(F.regexp_replace(F.coalesce("title", F.lit("")), "<[^>]*>", " "))
+    before = F.concat(F.coalesce("fabricante", F.lit("")), F.lit(" "))
+    bare = F.when(F.startswith(title, before), F.trim(F.substr(title, F.length(before) + 1))).otherwise(title)
+    # a title that is the manufacturer alone leaves nothing; the link's text is used only where there is no title at all
+    shown = F.when(F.coalesce("shown", F.lit("")) != "", col("shown")).when(title != "", bare).otherwise(col("label"))
+    x = links.where(F.lower("href").contains("fichadetalhe.asp")).where(_param("codigo").isNotNull())
+    x = x.select("*", _param("codigo").alias("codigo_ficha"), col("url").alias("url_ficha"), shown.alias("modelo_texto"))
+    x = x.withColumn("versao", F.coalesce(_filled(col("modelo_texto")), _filled(col("label")), query_param(col("url"), "varnome"), F.lit("")))
+    x = x.withColumnsRenamed({"title": "titulo_aplicacao", "label": "texto_link", "href": "href_original"}).drop("shown", "url")
+    points = richness(col("modelo_texto"), col("titulo_aplicacao"), col("texto_link"), col("href_original"))
+    return dedupe_best(x, ["page_id", "codigo_ficha", "url_ficha"], points, col("position"))
+
+
+def pagination_links(links: DataFrame, signed: bool = True) -> DataFrame:
+    """(from_url, page, url, label): links to pages of the same list.
+
+    Same host, a catalogue path, a look of pagination (a page key, a label for next, or digits), a page not before the current
+    one, not the current address, and if signed a signature that agrees with the page's own; each once, to be read in the order
+    of (page, url).
+    """
+    label = normalize_label(col("label"))
+    keyed = F.lit(False)
+    for k in PAGE_KEYS:
+        keyed = keyed | _param(k).isNotNull()
+    looks = keyed | label.contains("proxim") | F.trim("label").isin(">", ">>") | label.rlike("^[0-9]+$")
+    host = host_of(col("url")).isNull() | (host_of(col("url")) == host_of(col("from_url")))
+    path = F.lower(path_of(col("url"))).contains("catalogo.asp") | F.lower("href").contains("catalogo.asp")
+    same = same_catalog_signature(col("url"), col("from_url")) if signed else F.lit(True)
+    x = links.where(host & path & looks & same & (page_number(col("url")) >= page_number(col("from_url"))) & (col("url") != col("from_url")))
+    return dedupe(x.select("from_url", page_number(col("url")).alias("page"), "url", "label", "position"), ["from_url", "url"], [col("position")]).drop("position")
 
 
 def valid_year_pages(pages: DataFrame, status: Column | None = None) -> DataFrame:
     """(page_id, status, final_url, has_spec_link, has_error_text) of the year pages that count: fetched, with a link to a sheet and no error text."""
     code = F.lit(200) if status is None else status
-    low, text = F.lower(col("html")), F.lower(plain_text(col("html")))
-    checked = pages.select("page_id", code.alias("status"), col("url").alias("final_url"), low.rlike("href=\"[^\"]*ficha").alias("has_spec_link"), (text.contains("erro") | is_error_url(col("url"))).alias("has_error_text"))
-    return checked.where((col("status") < 400) & col("has_spec_link") & ~col("has_error_text"))
+    text = F.lower(plain_text(col("html")))
+    sheet = page_links(pages).where(F.lower("href").contains("fichadetalhe.asp")).select("page_id").distinct().withColumn("has_spec_link", F.lit(True))
+    checked = pages.select("page_id", code.alias("status"), col("url").alias("final_url"), (text.contains(ERROR_TERMS[0]) | is_error_url(col("url"))).alias("has_error_text"))
+    return checked.join(sheet, "page_id").where((col("status") == 200) & ~col("has_error_text")).select("page_id", "status", "final_url", "has_spec_link", "has_error_text")
 
 
-def expand_frontier(seeds: DataFrame, edges: DataFrame, limit: int = 30, rounds: int = 30) -> DataFrame:
-    """Breadth-first over stored pages: seeds (seed, url), edges (from_url, url) -> (seed, url, depth), limit pages of a seed at most.
+def expand_frontier(seeds: DataFrame, edges: DataFrame, limit: int = 30, levels: int | None = None, fits: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Breadth-first over stored pages: seeds (seed, url), edges (from_url, page, url) -> (seed, place, url, depth, unfinished, stopped).
 
-    A seed with more pages left has unfinished = true. Ends when a round finds nothing new.
+    A seed's pages are visited in the order in which a queue holds them: by the place of the page that named them first, then
+    by (page, url), limit pages and levels steps at most. A seed ends at a page whose address is an error: its visit is the last, stopped is
+    true. unfinished: pages were left when the limit was reached. One round a level, each written before the next; a level holds
+    at most limit pages of a seed, so a hub's neighbours never count for more. fits(url, seed's url): which edges a seed follows.
     """
-    seen = seeds.select("seed", "url", F.lit(0).alias("depth"))
-    for depth in range(1, rounds + 1):
-        last = seen.where(col("depth") == depth - 1).where(~is_error_url(col("url")))
-        new = last.join(edges.select(col("from_url").alias("url"), col("url").alias("to")), "url").select("seed", col("to").alias("url")).distinct()
-        new = new.join(seen.select("seed", "url"), ["seed", "url"], "left_anti").select("seed", "url", F.lit(depth).alias("depth")).checkpoint()
-        if new.isEmpty():
+    roots = create_table_as(seeds.select("seed", col("url").alias("__root")), "seeds") if fits else None
+    seen = create_table_as(seeds.select("seed", F.lit(0).alias("place"), "url", F.lit(0).alias("depth"), is_error_url(col("url")).alias("bad")), "frontier")
+    left, depth = None, 0
+    steps = edges.select(col("from_url").alias("__at"), "page", col("url").alias("__to"))
+    queue = Window.partitionBy("seed").orderBy("place", "page", "url")
+    while levels is None or depth < levels:
+        ended = seen.where("bad").select("seed").distinct()
+        last = seen.where(col("depth") == depth).join(ended, "seed", "left_anti").select("seed", "place", col("url").alias("__at"))
+        named = last.join(steps, "__at")
+        named = named.join(roots, "seed").where(fits(col("__to"), col("__root"))) if fits else named
+        named = named.groupBy("seed", col("__to").alias("url")).agg(F.min(F.struct("place", "page")).alias("x")).select("seed", "url", "x.*")
+        new = named.join(seen.select("seed", "url"), ["seed", "url"], "left_anti").withColumn("rank", F.row_number().over(queue)).where(col("rank") <= limit + 1)
+        room = seen.groupBy("seed").agg(F.max("place").alias("at"), (limit - F.count("*")).alias("room"))
+        new = create_table_as(new.join(room, "seed").select("seed", "url", "rank", "at", "room"), "frontier")
+        over = new.where(col("rank") > col("room")).select("seed").distinct()
+        left = over if left is None else left.unionByName(over)
+        taken = new.where(col("rank") <= col("room")).select("seed", (col("at") + col("rank")).alias("place"), "url", F.lit(depth + 1).alias("depth"), is_error_url(col("url")).alias("bad"))
+        first_bad = F.min(F.when(col("bad"), col("place"))).over(Window.partitionBy("seed"))  # limit rows of a seed
+        taken = create_table_as(taken.withColumn("end", first_bad).where(col("end").isNull() | (col("place") <= col("end"))).drop("end"), "frontier")
+        if taken.isEmpty():
             break
-        seen = seen.unionByName(new)
-    from tidemark.operators.relational import topk
-
-    total = seen.groupBy("seed").agg((F.count("*") > limit).alias("unfinished"))
-    return topk(seen, ["seed"], [col("depth"), col("url")], limit).join(total, "seed").select("seed", "url", "depth", "unfinished")
+        seen, depth = create_table_as(seen.unionByName(taken), "frontier"), depth + 1
+    left = seen.select("seed").limit(0) if left is None else left
+    flags = left.distinct().withColumn("more", F.lit(True))
+    stops = seen.where("bad").select("seed").distinct().withColumn("stop", F.lit(True))
+    out = seen.join(flags, "seed", "left").join(stops, "seed", "left")
+    stopped = F.coalesce("stop", F.lit(False))
+    return out.select("seed", "place", "url", "depth", (F.coalesce("more", F.lit(False)) & ~stopped).alias("unfinished"), stopped.alias("stopped"))
 
 
 def classify_fetch(pages: DataFrame, status: Column | None = None) -> DataFrame:
     """(page_id, status, reason, title): http error, validation, site error, unexpected page or success, in this order."""
     code = F.lit(200) if status is None else status
-    low, text = F.lower(col("html")), F.lower(plain_text(col("html")))
-    blocked = [low.contains(w) for w in VALIDATION_WORDS]
-    label = (
-        F.when(code >= 400, "http_error")
-        .when(blocked[0] | blocked[1] | blocked[2], "validation_required")
-        .when(text.contains("erro") | is_error_url(col("url")), "site_error")
-        .when(~low.contains("<html"), "unexpected_page")
-        .otherwise("success")
-    )
-    reason = F.when(blocked[1], "captcha").when(blocked[0] | blocked[2], "validation_word").when(code >= 400, F.concat(F.lit("http "), code.cast("string")))
-    return pages.select("page_id", label.alias("status"), F.when(label.isin("http_error", "validation_required"), reason).alias("reason"), page_title(col("html")).alias("title"))
-
-
-_ROW = re.compile(r"<tr\b[^>]*>(.*?)(?=<tr\b|</table|\Z)", re.S | re.I)
-_CELL = re.compile(r"<t[dh]\b[^>]*>(.*?)(?=<t[dh]\b|</t[dh]|</tr|\Z)", re.S | re.I)
-_TAG = re.compile(r"<[^>]*>")
-_IMG = re.compile(r"<img\b[^>]*\bsrc\s*=\s*[\"']?([^\"'\s>]+)", re.I)
-
-
-def _is_header(x: str) -> bool:
-    return bool(x) and not re.search(r"\d", x) and len(x) <= 40 and sum(map(str.isalpha, x)) >= 0.6 * len(x) and x == x.upper()
-
-
-def spec_rows(html: str) -> list[tuple[str, str, str]]:
-    """Distinct (group, field, value) of a spec sheet: cells pair up, a lone upper-case title in a row of cells changes the group."""
-    group, out = "GERAL", {}
-    for row in _ROW.findall(html or ""):
-        cells = [" ".join(unescape(_TAG.sub(" ", c)).split()) for c in _CELL.findall(row)]
-        if len(cells) < 2:
-            continue
-        filled = [c for c in cells if c]
-        if len(filled) == 1 and _is_header(filled[0]):
-            group = filled[0]
-            continue
-        for field, value in zip(cells[0::2], cells[1::2], strict=False):
-            if field and value and field.lower() not in UI_LABELS:
-                out.setdefault((group, field, value))
-    return list(out)
-
-
-def spec_sheets(pages: DataFrame) -> DataFrame:
-    """(page_id, page_title, group, field, value, image_urls): long rows of each stored sheet."""
-    kind = pages.schema["page_id"].dataType.simpleString()
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = []
-            for page, html in zip(pdf["page_id"], pdf["html"], strict=True):
-                images = " | ".join(dict.fromkeys(x.replace("\\", "/") for x in _IMG.findall(html or "")))
-                rows += [(page, *r, images) for r in spec_rows(html)]
-            yield pd.DataFrame(rows, columns=["page_id", "group", "field", "value", "image_urls"])
-
-    rows = pages.select("page_id", "html").mapInPandas(run, f"page_id {kind}, group string, field string, value string, image_urls string")
-    return rows.join(pages.select("page_id", page_title(col("html")).alias("page_title")), "page_id").select("page_id", "page_title", "group", "field", "value", "image_urls")
-
-
-def select_options(pages: DataFrame) -> DataFrame:
-    """(page_id, fabricante, value) of the options of selects named after manufacturers; empty values and placeholders are skipped."""
-    select = F.expr("regexp_extract_all(html, '(?is)<select[^>]*name=\"[^\"]*(?:fabricante|marca)[^\"]*\"[^>]*>(.*?)</select>', 1)")
-    option = F.expr("regexp_extract_all(s, '(?is)(<option[^>]*>[^<]*)', 1)")
-    x = pages.select("page_id", F.explode(select).alias("s")).select("page_id", F.explode(option).alias("o"))
-    x = x.select("page_id", normalize_text(_entities(F.regexp_extract("o", "(?is)>([^<]*)$", 1))).alias("fabricante"), F.regexp_extract("o", '(?is)value="([^"]*)"', 1).alias("value"))
-    return x.where((col("value") != "") & (col("fabricante") != "") & ~F.lower("fabricante").startswith("selecione"))
+    low, text = F.lower(F.coalesce("html", F.lit(""))), F.lower(plain_text(col("html")))
+    x = pages.select("page_id", "url", code.cast("int").alias("code"), low.alias("low"), text.alias("text"), page_title(col("html")).alias("title"))
+    holds = lambda terms: F.exists(F.array(*map(F.lit, terms)), lambda w: col("low").contains(w) | col("text").contains(w))
+    sent = F.lower("url").contains("fichadetalhevalida.asp")
+    kinds = [
+        (col("code") != 200, "http_error", F.concat(F.lit("http_status_"), col("code").cast("string"))),
+        (sent, "validation_required", F.lit("redirected_to_fichadetalhevalida")),
+        (holds(VALIDATION_TERMS), "validation_required", F.lit("captcha_or_validation_detected")),
+        (holds(ERROR_TERMS), "site_error", F.lit("site_error_page")),
+        (~col("text").contains(SHEET_TERM), "unexpected_page", F.lit("missing_ficha_tecnica_text")),
+    ]
+    found = F.coalesce(*[F.when(c, F.struct(F.lit(s).alias("status"), r.alias("reason"))) for c, s, r in kinds], F.struct(F.lit("success").alias("status"), F.lit("").alias("reason")))
+    return x.select("page_id", found.alias("f"), "title").select("page_id", "f.*", "title")
+
+
+def spec_sheets(elements: DataFrame) -> DataFrame:
+    """(page_id, page_title, group, field, value, image_urls): long rows of each stored sheet, each (group, field, value) once.
+
+    In table rows of two cells or more, cells pair up. A row whose only text is a title sets the group of what follows
+    (GERAL before the first); controls are skipped. image_urls: absolute addresses of the value cell's images, by " | ".
+    """
+    cells = elements.where("kind = 'cell'").withColumn("text", normalize_text(col("label")))
+    lines = cells.groupBy("page_id", "line").agg(F.any_value("url").alias("url"), F.sort_array(F.collect_list(F.struct("position", "text", "images"))).alias("c")).where(F.size("c") >= 2)
+    filled = F.filter("c", lambda c: c["text"] != "")
+    alone = F.when(F.size(filled) == 1, F.get(filled, F.lit(0))["text"])
+    lines = lines.withColumn("header", F.when(is_group_header(alone), alone)).where(F.size(filled) > 0)
+    w = Window.partitionBy("page_id").orderBy("line")
+    lines = lines.withColumn("group", F.coalesce(F.last("header", ignorenulls=True).over(w), F.lit("GERAL"))).where(col("header").isNull())
+    pair = F.explode(F.sequence(F.lit(0), F.floor(F.size("c") / 2).cast("int") - 1))
+    x = lines.select("page_id", "line", "url", "group", "c", pair.alias("k")).select("page_id", "line", "url", "group", "k", F.get("c", col("k") * 2).alias("f"), F.get("c", col("k") * 2 + 1).alias("v"))
+    x = x.where((col("f.text") != "") & (col("v.text") != "") & ~F.lower("f.text").isin(UI_LABELS))
+
+    def absolute(src: Column) -> Column:
+        s = F.translate(normalize_text(src), "\\", "/")
+        return F.when(s.rlike("^https?://"), s).otherwise(F.concat(_root(col("url")), F.lit("/"), F.regexp_replace(s, "^[./]+", "")))
+
+    x = x.select("page_id", "line", "k", "group", col("f.text").alias("field"), col("v.text").alias("value"), F.array_join(F.transform("v.images", absolute), " | ").alias("image_urls"))
+    x = dedupe(x, ["page_id", "group", "field", "value"], [col("line"), col("k")]).drop("line", "k")
+    titles = elements.where("kind = 'title'").select("page_id", normalize_text(col("label")).alias("page_title"))
+    return x.join(titles, "page_id", "left").select("page_id", F.coalesce("page_title", F.lit("")).alias("page_title"), "group", "field", "value", "image_urls")
+
+
+def discover_catalog(elements: DataFrame) -> dict[str, DataFrame]:
+    """The layers of a catalogue over stored pages: manufacturers, models, years, applications. A layer's links are those of the pages that the layer above names, joined by address, each once between layers."""
+    elements = create_table_as(elements, "elements")
+    links = links_of(elements)
+    makers = dedupe_last_at_first(select_options(elements).drop("page_id"), ["url"], "position")
+    at = lambda df, key, *cols: links.join(df.select(col(key).alias("from_url"), *cols), "from_url")
+    models = model_links(at(makers, "url", "fabricante")).where("rejected IS NULL").withColumnRenamed("url", "url_modelo")
+    models = dedupe(models.select("fabricante", "modelo", "codigo_modelo", "url_modelo", "href", "label", "position"), ["fabricante", "url_modelo"], [col("position"), col("href"), col("label")]).drop("position")
+    years = year_links(at(models, "url_modelo", "fabricante", "modelo")).withColumnRenamed("url", "url_ano")
+    years = dedupe(years.select("fabricante", "modelo", "ano", "url_ano", col("from_url").alias("url_modelo_origem"), "position"), ["fabricante", "modelo", "ano", "url_ano"], [col("position")]).drop("position")
+    seeds = create_table_as(years.select(F.struct("fabricante", "modelo", "ano", "url_ano").alias("seed"), col("url_ano").alias("url")), "years")
+    steps = create_table_as(pagination_links(links, signed=False), "steps")
+    reached = expand_frontier(seeds, steps, fits=same_catalog_signature)
+    lists = reached.select("seed.fabricante", "seed.modelo", "seed.ano", col("seed.url_ano").alias("url_ano_origem"), col("url").alias("from_url"), (col("place") + 1).alias("pagina_lista"))
+    found = application_links(links.join(lists, "from_url"))
+    names = ["fabricante", "modelo", "ano", "codigo_ficha", "url_ficha"]
+    apps = dedupe(found.withColumnRenamed("from_url", "url_lista_atual"), names, [col("pagina_lista"), col("position")]).drop("page_id", "position")
+    return {"manufacturers": makers, "models": models, "years": years, "applications": apps}

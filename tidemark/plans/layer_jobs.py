@@ -200,24 +200,15 @@ def a11(t):
     return R.dedupe_last_at_first(_parts(t).select("p_type", "p_name", "p_partkey"), ["p_type"], "p_partkey")
 
 
-#: Points of a link for what it tells of a model: its code, its name in the query, its label, its address (fixed values).
-LINK_POINTS = (10, 4, 2, 1)
-
-
-def link_points(code, name, label, url):
-    has = lambda c, n: F.when(c.isNotNull() & (c != ""), n).otherwise(0)
-    return sum((has(c, n) for c, n in zip((code, name, label, url), LINK_POINTS, strict=True)), F.lit(0))
-
-
 @query(
     "a12_keep_best",
     """SELECT p_type, p_partkey, points FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY points DESC, p_partkey) AS r FROM
-  (SELECT p_type, p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 10 ELSE 0 END + CASE WHEN p_size > 25 THEN 4 ELSE 0 END + CASE WHEN p_brand LIKE '%1' THEN 2 ELSE 0 END + 1 AS points FROM part)) WHERE r = 1""",
+  (SELECT p_type, p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 10 ELSE 0 END + CASE WHEN p_size > 25 THEN 4 ELSE 0 END + CASE WHEN p_brand LIKE '%1' THEN 2 ELSE 0 END + CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS points FROM part)) WHERE r = 1""",
 )
 def a12(t):
     k = col("p_partkey")
-    x = _parts(t).withColumn("points", link_points(F.when(k % 3 == 0, "code"), F.when(col("p_size") > 25, "name"), F.when(col("p_brand").endswith("1"), "label"), F.lit("url")))
-    return R.dedupe_best(x.select("p_type", "p_partkey", "points"), ["p_type"], col("points"), k)
+    points = P.richness(F.when(k % 3 == 0, "text"), F.when(col("p_size") > 25, "title"), F.when(col("p_brand").endswith("1"), "label"), F.when(k % 2 == 0, "/FichaDetalhe.asp?codigo=1").otherwise("/ficha.asp"))
+    return R.dedupe_best(_parts(t).withColumn("points", points).select("p_type", "p_partkey", "points"), ["p_type"], col("points"), k)
 
 
 @query(
@@ -264,45 +255,98 @@ def f_video(t):
 
 
 def catalog_pages(t: Tables) -> DataFrame:
-    """Catalogue pages made of the parts: one a brand, with a select of the brands' parts and links to models, years, sheets and list pages."""
+    """Catalogue pages made of the parts: a select of brands, links to a model, a year, a sheet and the next list page, and a sheet's table."""
     k = col("p_partkey").cast("string")
     link = lambda href, label: F.concat(F.lit('<a class="x" href="'), href, F.lit('">'), label, F.lit("</a> "))
     year = (col("p_size") + 1950).cast("string")
     name = F.url_encode("p_name")
     own = F.concat(
-        F.lit('<select name="cboFabricante"><option value="">Selecione</option><option value="'), k, F.lit('">'), "p_brand", F.lit("</option></select>"),
-        link(F.concat(F.lit("catalogo.asp?fabricante="), F.url_encode("p_brand"), F.lit("&amp;varnome="), name, F.lit("&amp;codigo="), k), col("p_name")),
-        link(F.concat(F.lit("ficha.asp?fabricante="), F.url_encode("p_brand"), F.lit("&amp;anomod="), year), F.concat(F.lit("ano "), year)),
-        F.lit("<table><tr><td>MOTOR</td><td></td></tr><tr><td>Tamanho</td><td>"), col("p_size").cast("string"), F.lit("</td><td>Tipo</td><td>"), "p_type", F.lit("</td></tr></table>"),
+        F.lit("<select name='cboFabricante'><option value=''>Selecione</option><option value=0>TODOS<option value=\""), k, F.lit('">'), "p_brand", F.lit("</option></select>"),
+        link(F.concat(F.lit("catalogo.asp?fabricante="), F.url_encode("p_brand"), F.lit("&amp;varnome="), name, F.when(col("p_partkey") % 2 == 0, F.lit("&amp;codigo=")).otherwise(F.lit("&amp;codmodelo=")), k), col("p_name")),
+        link(F.concat(F.lit("fichadetalhe.asp?fabricante="), F.url_encode("p_brand"), F.lit("&amp;anomod="), year), F.concat(F.lit("ano "), year)),
+        link(F.lit("sobre.asp?varnome=x&amp;ano=1999"), F.lit("1999")),
+        F.lit("<table><tr><td>MOTOR</td><td></td></tr><tr><td>Tamanho</td><td>"), col("p_size").cast("string"), F.lit("</td><td>Tipo</td><td>"), "p_type", F.lit("<img src='.\\fotos\\"), k,
+        F.lit(".jpg'></td></tr><tr><td>Avalie</td><td>5</td></tr><tr><td>Tamanho<td>"), col("p_size").cast("string"), F.lit("</table>"),
     )
     rows = t.raw("part").select("p_partkey", own.alias("own"))
     return rows.select(
         col("p_partkey").alias("page_id"),
-        F.concat(F.lit("https://h.example/c/lista.asp?pag=1&codigo="), k).alias("url"),
-        F.concat(F.lit("<html><head><title>Part "), k, F.lit("</title></head><body>"), "own", link(F.concat(F.lit("lista.asp?pag=2&amp;codigo="), k), F.lit("2")), F.lit("</body></html>")).alias("html"),
+        F.concat(F.lit("https://h.example/c/catalogo.asp?pag=1&codigo="), k).alias("url"),
+        F.concat(F.lit("<html><head><title>Part "), k, F.lit("</title></head><body>"), "own", link(F.concat(F.lit("catalogo.asp?pag=p2&amp;codigo="), k), F.lit("2")), link(F.lit("/c/catalogo.asp?pag=0"), F.lit("0")), F.lit("</body></html>")).alias("html"),
     )
 
 
-@query("h04_options", "SELECT p_partkey AS page_id, p_brand AS fabricante, p_partkey::VARCHAR AS value FROM part")
+@query("h04_options", "SELECT p_partkey AS page_id, p_brand AS fabricante, p_partkey::VARCHAR AS value, 'https://h.example/catalogofabricante.asp?fabricante=' || p_partkey AS url FROM part")
 def h04(t):
-    return P.select_options(catalog_pages(t))
+    return P.select_options(P.page_elements(catalog_pages(t))).drop("position")
 
 
-@query("h05_model_links", "SELECT p_partkey AS page_id, p_brand AS fabricante, p_name AS modelo, p_partkey::VARCHAR AS codigo_modelo FROM part")
+@query("h05_model_links", "SELECT p_partkey AS page_id, p_name AS modelo, p_partkey::VARCHAR AS codigo_modelo, NULL::VARCHAR AS rejected FROM part UNION ALL SELECT p_partkey, '2', p_partkey::VARCHAR, 'sem varnome/modelo nos parametros' FROM part UNION ALL SELECT p_partkey, '0', NULL, 'sem varnome/modelo nos parametros' FROM part")
 def h05(t):
-    return P.model_links(P.page_links(catalog_pages(t))).where("rejected IS NULL").select("page_id", "fabricante", "modelo", "codigo_modelo")
+    return P.model_links(P.page_links(catalog_pages(t))).select("page_id", "modelo", "codigo_modelo", "rejected")
 
 
 @query("h06_year_links", "SELECT p_partkey AS page_id, (p_size + 1950)::VARCHAR AS ano, p_brand AS fabricante FROM part")
 def h06(t):
     links = P.year_links(P.page_links(catalog_pages(t)))
-    return links.where(F.lower("url").contains("ficha.asp")).select("page_id", "ano", X.query_param(col("url"), "fabricante").alias("fabricante"))
+    return links.where(F.lower("url").contains("fichadetalhe.asp")).select("page_id", "ano", X.query_param(col("url"), "fabricante").alias("fabricante"))
 
 
-@query("h08_pagination_links", "SELECT 'https://h.example/c/lista.asp?pag=1&codigo=' || p_partkey AS from_url, 2 AS page, 'https://h.example/c/lista.asp?pag=2&codigo=' || p_partkey AS url, '2' AS label FROM part")
+@query("h08_pagination_links", "SELECT 'https://h.example/c/catalogo.asp?pag=1&codigo=' || p_partkey AS from_url, 2 AS page, 'https://h.example/c/catalogo.asp?pag=p2&codigo=' || p_partkey AS url, '2' AS label FROM part")
 def h08b(t):
-    links = P.page_links(catalog_pages(t))
-    return P.pagination_links(links.where(F.lower("url").contains("lista.asp")))
+    return P.pagination_links(P.page_links(catalog_pages(t)))
+
+
+def catalog_site(t: Tables) -> DataFrame:
+    """A catalogue of stored pages made of the parts: indexes of a hundred makers, makers of up to fifty models, a page a model, two list pages for each of two years, three sheets a year."""
+    e = F.url_encode
+    site = F.lit("https://h.example/")
+    maker = F.concat(F.lit("M "), F.floor(col("p_partkey") / 50).cast("string"))
+    p = t.raw("part").select("p_partkey", maker.alias("maker"), F.floor(col("p_partkey") / 5000).alias("index"), "p_name", "p_size", col("p_partkey").cast("string").alias("k"))
+    model_url = F.concat(F.lit("catalogo.asp?fabricante="), e("maker"), F.lit("&varnome="), e("p_name"), F.lit("&codigo="), "k")
+    a = lambda href, label: F.concat(F.lit("<a href='"), href, F.lit("'>"), label, F.lit("</a>"))
+    page = lambda url, body: (F.concat(site, url).alias("url"), F.concat(F.lit("<body>"), body, F.lit("</body>")).alias("html"))
+    options = p.select("index", "maker").distinct().groupBy("index").agg(F.array_join(F.sort_array(F.collect_list(F.concat(F.lit("<option value=\""), "maker", F.lit('">'), "maker"))), "").alias("o"))
+    indexes = options.select(*page(F.concat(F.lit("index.asp?n="), col("index").cast("string")), F.concat(F.lit("<select name=fabricante><option value=''>-"), "o", F.lit("</select>"))))
+    models = p.groupBy("maker").agg(F.array_join(F.collect_list(F.concat(a(model_url, col("p_name")), a(model_url, F.lit("foto")))), " ").alias("links"))
+    makers = models.select(*page(F.concat(F.lit("catalogofabricante.asp?fabricante="), e("maker")), "links"))
+    dated = p.select("*", F.explode(F.array(*[(col("p_size") + n).cast("string") for n in (1950, 1960)])).alias("year"))
+    own = lambda n: F.concat(F.lit("catalogo.asp?fabricante="), e("maker"), F.lit("&varnome="), e("p_name"), F.lit("&anoini="), "year", F.lit("&anofim="), "year", F.lit("&codmodelo="), "k", F.lit(f"&curpage={n}"))
+    years = dated.groupBy("maker", "p_name", "k").agg(F.array_join(F.collect_list(a(own(1), F.concat(F.lit("ano "), "year"))), "").alias("links"))
+    years = years.select(*page(model_url, F.concat("links", a(F.lit("sobre.asp?ano=2001"), F.lit("2001")))))
+    sheet = lambda n, text: F.concat(F.lit("<a title='"), "maker", F.lit(" V"), F.lit(str(n)), F.lit("' href='fichadetalhe.asp?codigo="), "k", F.lit(str(n)), F.lit("'>"), F.lit(text), F.lit("</a>"))
+    first = dated.select(*page(own(1), F.concat(sheet(1, ""), sheet(1, "ver"), sheet(2, "ver"), a(own(2), F.lit(">")), a(own(1), F.lit("1")))))
+    second = dated.select(*page(own(2), F.concat(sheet(2, ""), sheet(3, "ver"), a(own(1), F.lit("1")))))
+    pages = indexes.unionByName(makers).unionByName(years).unionByName(first).unionByName(second)
+    return pages.select(F.xxhash64("url").alias("page_id"), "url", "html")
+
+
+@query(
+    "q28_catalog_discovery",
+    """SELECT 'M ' || (p_partkey // 50) AS fabricante, p_name AS modelo, (p_size + y)::VARCHAR AS ano, p_partkey::VARCHAR || n AS codigo_ficha, 'V' || n AS modelo_texto, CASE WHEN n = 3 THEN 2 ELSE 1 END AS pagina_lista, CASE WHEN n = 3 OR n = 2 OR n = 1 THEN 'ver' END AS texto_link
+  FROM part, (VALUES (1950), (1960)) v(y), (VALUES (1), (2), (3)) w(n)""",
+)
+def q28_discovery(t):
+    """Manufacturers, models, years and applications chained over the stored pages of a catalogue."""
+    apps = P.discover_catalog(P.page_elements(catalog_site(t)))["applications"]
+    return apps.select("fabricante", "modelo", "ano", "codigo_ficha", "modelo_texto", col("pagina_lista").cast("int").alias("pagina_lista"), "texto_link")
+
+
+LINK_GRAPH = r"""
+WITH RECURSIVE raw AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"[^>]*>', 1)) AS href FROM pages),
+lk AS (SELECT url AS a, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href AS b FROM raw WHERE starts_with(href, '/')),
+e AS (SELECT a, b FROM lk UNION SELECT b, a FROM lk),
+r AS (SELECT page_id AS seed, url, 0 AS depth FROM pages WHERE page_id % 10 = 0 UNION SELECT seed, e.b, depth + 1 FROM r JOIN e ON e.a = r.url WHERE depth < 4)
+SELECT seed, url, min(depth) AS depth FROM r GROUP BY 1, 2"""
+
+
+@query("h09_frontier", f"SELECT seed, url, depth::INTEGER AS depth FROM ({LINK_GRAPH}) WHERE depth <= 4")
+def h09(t):
+    """What each tenth page reaches in four steps over the links of the stored pages, forward and back."""
+    links = P.page_links(t.raw("pages")).where(col("href").startswith("/")).select("from_url", "url")
+    both = links.unionByName(links.select(col("url").alias("from_url"), col("from_url").alias("url"))).distinct()
+    seeds = t.raw("pages").where("page_id % 10 = 0").select(col("page_id").alias("seed"), "url")
+    return P.expand_frontier(seeds, both.withColumn("page", F.lit(1)), limit=1_000_000, levels=4).select("seed", "url", "depth")
 
 
 @query("h11_titles", r"SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title[^>]*>((?s:.*?))</title>', 1), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '""'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages".replace('""', '"'))
@@ -312,7 +356,7 @@ def h11(t):
 
 @query(
     "q29_spec_sheets",
-    "SELECT p_partkey AS page_id, 'Part ' || p_partkey AS page_title, 'MOTOR' AS \"group\", 'Tamanho' AS field, p_size::VARCHAR AS value, '' AS image_urls FROM part UNION ALL SELECT p_partkey, 'Part ' || p_partkey, 'MOTOR', 'Tipo', p_type, '' FROM part",
+    "SELECT p_partkey AS page_id, 'Part ' || p_partkey AS page_title, 'MOTOR' AS \"group\", 'Tamanho' AS field, p_size::VARCHAR AS value, '' AS image_urls FROM part UNION ALL SELECT p_partkey, 'Part ' || p_partkey, 'MOTOR', 'Tipo', p_type, 'https://h.example/fotos/' || p_partkey || '.jpg' FROM part",
 )
 def q29(t):
-    return P.spec_sheets(catalog_pages(t))
+    return P.spec_sheets(P.page_elements(catalog_pages(t)))

@@ -2,44 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
 from tidemark.functions.text import br_numbers, first_volume, normalize_key, parse_int_br, reference_period
+from tidemark.operators.prefixes import longest_prefix
 from tidemark.operators.relational import dedupe, series_change, sum_checks
 from tidemark.plans.registry import query
 from tidemark.sources.tables import Tables
 
 col = F.col
 
-#: Segments of the monthly table and the names that they go by (fixed values).
+#: Segments of the monthly table, in its order: code, name, labels of a row (fixed values).
 SEGMENTS = [
-    ("a", "autos", "Automóveis"),
-    ("b", "comerciais_leves", "Comerciais leves"),
-    ("a_b", "autos_comerciais_leves", "Autos + comerciais leves"),
-    ("c", "caminhoes", "Caminhões"),
-    ("d", "onibus", "Ônibus"),
-    ("c_d", "caminhoes_onibus", "Caminhões + ônibus"),
-    ("subtotal", "subtotal", "Subtotal"),
-    ("e", "motos", "Motocicletas"),
-    ("f", "implementos_rodoviarios", "Implementos rodoviários"),
-    ("g", "outros", "Outros veículos"),
-    ("total", "total", "Total"),
+    ("autos", "Autos", ["A) Autos", "Autos"]),
+    ("comerciais_leves", "Comerciais Leves", ["B) Com. Leves", "Com. Leves", "Comerciais Leves"]),
+    ("autos_comerciais_leves", "Autos + Comerciais Leves", ["A + B", "A+B"]),
+    ("caminhoes", "Caminhoes", ["C) Caminhoes", "C) Caminhões", "Caminhoes", "Caminhões"]),
+    ("onibus", "Onibus", ["D) Onibus", "D) Ônibus", "Onibus", "Ônibus"]),
+    ("caminhoes_onibus", "Caminhoes + Onibus", ["C + D", "C+D"]),
+    ("subtotal", "Subtotal", ["Subtotal"]),
+    ("motos", "Motos", ["E) Motos", "Motos"]),
+    ("implementos_rodoviarios", "Implementos Rodoviarios", ["F) Impl. Rod.", "Impl. Rod.", "Implementos Rodoviarios"]),
+    ("outros", "Outros", ["Outros"]),
+    ("total", "Total", ["Total"]),
 ]
-ALIASES = {
-    "autos": ("a autos", "autos", "automoveis", "a automoveis"),
-    "comerciais_leves": ("b com leves", "com leves", "comerciais leves", "b comerciais leves"),
-    "autos_comerciais_leves": ("a + b", "autos + com leves", "autos + comerciais leves"),
-    "caminhoes": ("c caminhoes", "caminhoes"),
-    "onibus": ("d onibus", "onibus"),
-    "caminhoes_onibus": ("c + d", "caminhoes + onibus"),
-    "subtotal": ("subtotal", "sub total"),
-    "motos": ("e motos", "motos", "motocicletas"),
-    "implementos_rodoviarios": ("f impl rod", "impl rod", "implementos rodoviarios"),
-    "outros": ("g outros", "outros", "outros veiculos"),
-    "total": ("total", "total geral"),
-}
 CHECKS = {
     "autos_plus_light": (("autos", "comerciais_leves"), "autos_comerciais_leves"),
     "trucks_plus_buses": (("caminhoes", "onibus"), "caminhoes_onibus"),
@@ -47,25 +35,47 @@ CHECKS = {
 }
 
 
+def segments(spark: SparkSession) -> DataFrame:
+    """(segment_code, segmento, place) of the expected segments."""
+    return spark.createDataFrame([(c, n, i) for i, (c, n, _) in enumerate(SEGMENTS)], "segment_code string, segmento string, place int")
+
+
+def segment_aliases(spark: SparkSession) -> DataFrame:
+    """(alias, segment_code): labels as keys, each once."""
+    rows = spark.createDataFrame([(label, c) for c, _, labels in SEGMENTS for label in labels], "label string, segment_code string")
+    return rows.select(normalize_key(col("label")).alias("alias"), "segment_code").distinct()
+
+
+def segment_of(cells: DataFrame) -> DataFrame:
+    """cells (an array column `cells`) with segment_code, of rows that name a segment.
+
+    The longest alias wins: the first that the first cell begins with, else one that the whole row is or begins with before a
+    space.
+    """
+    aliases = segment_aliases(cells.sparkSession)
+    x = cells.withColumn("__first", normalize_key(F.get("cells", F.lit(0)))).withColumn("__row", F.concat(normalize_key(F.array_join("cells", " ")), F.lit(" ")))
+    x = longest_prefix(x, "__first", aliases, "alias", "segment_code", "__a")
+    spaced = aliases.select(F.concat("alias", F.lit(" ")).alias("alias"), "segment_code")
+    x = longest_prefix(x, "__row", spaced, "alias", "segment_code", "__b")
+    return x.withColumn("segment_code", F.coalesce("__a", "__b")).where(col("segment_code").isNotNull()).drop("__first", "__row", "__a", "__b")
+
+
 def normalize_registrations(cells: DataFrame) -> DataFrame:
-    """Segment rows (reference_period, segment_code, segmento, mes_atual) from raw cells (path, row_number, cells).
+    """Segment rows (path, reference_period, place, segment_code, segmento, mes_atual) from raw cells (path, row_number, cells).
 
-    The longest alias wins: first against the start of the first cell, then against the start of the whole row. The first row
-    of a code counts. Volumes come from the cells after the first, or from all cells where these hold none.
+    Volumes come from the cells after the first, or from all cells where these hold none. The first row of a code counts.
     """
-    spark = cells.sparkSession
-    table = spark.createDataFrame([(a, code) for code, names in ALIASES.items() for a in names], "alias string, segment_code string")
-    names = spark.createDataFrame([(c, n, i) for i, (_, c, n) in enumerate(SEGMENTS)], "segment_code string, segmento string, place int")
-    x = cells.withColumn("__first", normalize_key(F.get("cells", F.lit(0)))).withColumn("__row", normalize_key(F.array_join("cells", " ")))
-    begins = lambda c: (col(c) == col("alias")) | col(c).startswith(F.concat(col("alias"), F.lit(" ")))
-    x = x.join(F.broadcast(table), begins("__first") | begins("__row"))  # a literal list of some thirty names
-    rank = [F.when(begins("__first"), 1).otherwise(0), F.length("alias")]
-    x = dedupe(x.select("path", "row_number", "cells", "segment_code", "alias", "__first", "__row"), ["path", "row_number"], rank, keep="last")
     tail = F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0)))
     volume = F.coalesce(first_volume(br_numbers(tail)), first_volume(br_numbers(col("cells"))))
-    x = x.select("path", "row_number", "segment_code", parse_int_br(volume).alias("mes_atual"), reference_period(col("path")).alias("reference_period"))
+    x = segment_of(cells).select("path", "row_number", "segment_code", parse_int_br(volume).alias("mes_atual"), reference_period(col("path")).alias("reference_period"))
     x = dedupe(x.where("mes_atual IS NOT NULL"), ["path", "segment_code"], [col("row_number")])
-    return x.join(F.broadcast(names), "segment_code").select("path", "reference_period", "place", "segment_code", "segmento", "mes_atual")
+    return x.join(F.broadcast(segments(cells.sparkSession)), "segment_code").select("path", "reference_period", "place", "segment_code", "segmento", "mes_atual")  # eleven rows
+
+
+def missing_codes(registrations: DataFrame) -> DataFrame:
+    """(path, place, segment_code): the expected segments that a file lacks, in their order."""
+    all_codes = registrations.select("path").distinct().crossJoin(F.broadcast(segments(registrations.sparkSession)))  # eleven rows
+    return all_codes.join(registrations.select("path", "segment_code"), ["path", "segment_code"], "left_anti").select("path", "place", "segment_code")
 
 
 def file_status(checks: DataFrame, by: list[str]) -> DataFrame:
@@ -75,7 +85,7 @@ def file_status(checks: DataFrame, by: list[str]) -> DataFrame:
 
 
 #: Labels of the monthly table's rows, as its files have them; the last five are sums.
-LABELS = ("A) Automóveis", "B) Com. Leves", "C) Caminhões", "D) Ônibus", "E) Motos", "F) Impl. Rod.", "G) Outros")
+LABELS = ("A) Autos", "B) Com. Leves", "C) Caminhões", "D) Ônibus", "E) Motos", "F) Impl. Rod.", "Outros")
 CELLS_CTE = """
 units AS (SELECT l_suppkey % 10 AS f, l_partkey % 7 AS s, sum(l_quantity::BIGINT)::BIGINT AS n FROM lineitem GROUP BY 1, 2),
 months AS (SELECT f, 'm/2026/2026_' || lpad((f + 1)::VARCHAR, 2, '0') || '_01.pdf' AS path, make_date(2026, (f + 1)::INT, 1) AS reference_period,
@@ -99,7 +109,7 @@ def raw_cells(t: Tables) -> DataFrame:
     x = t.raw("lineitem").groupBy(f.alias("f")).agg(*[part(k).alias(n) for k, n in enumerate("abcdeig")])
     odd = lambda k, n: F.when(col("f") % 4 == k, n).otherwise(0)
     pair, trucks = col("a") + col("b"), col("c") + col("d")
-    values = [*[(label, col(n)) for label, n in zip(LABELS, "abcdeig", strict=True)], ("A + B", pair + odd(1, 7)), ("C + D", trucks), ("Subtotal", pair + trucks), ("Total geral", pair + trucks + col("e") + col("i") + col("g") - odd(2, 1))]
+    values = [*[(label, col(n)) for label, n in zip(LABELS, "abcdeig", strict=True)], ("A+B", pair + odd(1, 7)), ("C + D", trucks), ("Subtotal", pair + trucks), ("Total", pair + trucks + col("e") + col("i") + col("g") - odd(2, 1))]
     rows = F.array(*[F.struct(F.lit(i).alias("row_number"), F.lit(label).alias("label"), v.alias("n")) for i, (label, v) in enumerate(values)])
     path = F.concat(F.lit("m/2026/2026_"), F.lpad((col("f") + 1).cast("string"), 2, "0"), F.lit("_01.pdf"))
     x = x.select("f", path.alias("path"), F.inline(rows)).where("NOT (f % 4 = 3 AND label = 'C + D')")
@@ -111,6 +121,34 @@ def q25(t):
     return normalize_registrations(raw_cells(t)).select("path", "reference_period", "segment_code", "mes_atual")
 
 
+@query("a13_missing_codes", "SELECT path, 5 AS place, 'caminhoes_onibus' AS segment_code FROM months WHERE f % 4 = 3", CELLS_CTE)
+def a13(t):
+    return missing_codes(normalize_registrations(raw_cells(t)))
+
+
+NAMED_CTE = f"""
+al AS (SELECT trim(regexp_replace(lower(strip_accents(label)), '[^a-z0-9+]+', ' ', 'g')) AS alias, code FROM (VALUES {', '.join(f"('{label}', '{c}')" for c, _, labels in SEGMENTS for label in labels)}) v(label, code) GROUP BY ALL),
+parts AS (SELECT p_partkey, p_partkey % 22 AS r, p_name FROM part)
+"""
+#: First cells for the parts: labels, labels that run on, and what no segment begins with.
+FIRST_CELLS = ("A+B", "A + B", "Totalizador", "C+D", "Motos", "Com. Leves x", "  d) ônibus", "Outro", "", "x", "Subtotal geral")
+
+
+@query(
+    "f40_segment_of",
+    """SELECT p_partkey, segment_code FROM (SELECT p_partkey, coalesce((SELECT max_by(code, length(alias)) FROM al WHERE starts_with(f, alias)), (SELECT max_by(code, length(alias)) FROM al WHERE starts_with(w || ' ', alias || ' '))) AS segment_code FROM
+  (SELECT p_partkey, trim(regexp_replace(lower(strip_accents(a)), '[^a-z0-9+]+', ' ', 'g')) AS f, trim(regexp_replace(lower(strip_accents(a || ' ' || b || ' ' || p_name)), '[^a-z0-9+]+', ' ', 'g')) AS w FROM
+   (SELECT p_partkey, p_name, [{first}][r % 11 + 1] AS a, CASE WHEN r < 11 THEN 'Outros' ELSE 'Autos' END AS b FROM parts))) WHERE segment_code IS NOT NULL""".format(first=", ".join(f"'{x}'" for x in FIRST_CELLS)),
+    NAMED_CTE,
+)
+def f40(t):
+    """Segments of rows whose first cell is a label, runs on, or is none: the row's other cells decide then."""
+    k = col("p_partkey") % 22
+    first = F.element_at(F.array(*map(F.lit, FIRST_CELLS)), (k % 11 + 1).cast("int"))
+    rows = t.raw("part").select("p_partkey", F.array(first, F.when(k < 11, "Outros").otherwise("Autos"), "p_name").alias("cells"))
+    return segment_of(rows).select("p_partkey", "segment_code")
+
+
 @query(
     "q26_registration_sum_checks",
     "SELECT path, check_name, found, expected, found - expected AS difference, coalesce(found = expected, false) AS passed, CASE WHEN expected IS NULL THEN 'warning' ELSE 'error' END AS severity FROM checked",
@@ -196,7 +234,7 @@ def q47(t, top: int = 3, large: float = 10.0):
 )
 def q49(t):
     files = t.raw("lineitem").groupBy(col("l_suppkey").alias("file_id")).agg(F.trunc(F.min("l_shipdate"), "month").alias("first_period"), F.count("*").alias("rows"))
-    sources = t.raw("supplier").join(F.broadcast(t.raw("nation")), col("s_nationkey") == col("n_nationkey"))  # nations: 25 rows
+    sources = t.raw("supplier").join(t.raw("nation"), col("s_nationkey") == col("n_nationkey"))
     return files.join(sources, col("file_id") == col("s_suppkey")).select(col("n_name").alias("source_name"), "file_id", "first_period", "rows")
 
 

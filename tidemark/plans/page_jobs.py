@@ -36,12 +36,19 @@ def q28b(t):
 
 @query(
     "q30_fetch_classification",
-    r"""SELECT page_id, CASE WHEN lower(html) LIKE '%valida%' OR lower(html) LIKE '%captcha%' OR lower(html) LIKE '%verifica%' THEN 'validation_required'
-  WHEN contains(lower(trim(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'))), 'erro') THEN 'site_error'
-  WHEN lower(html) NOT LIKE '%<html%' THEN 'unexpected_page' ELSE 'success' END AS status FROM pages""",
+    r"""SELECT page_id, CASE WHEN code <> 200 THEN 'http_error' WHEN low LIKE '%preencha o campo com os caracteres%' OR low LIKE '%captcha%' OR low LIKE '%valida%' THEN 'validation_required'
+  WHEN low LIKE '%ocorreu um erro%' OR low LIKE '%internal server error%' THEN 'site_error' WHEN text NOT LIKE '%ficha t%' THEN 'unexpected_page' ELSE 'success' END AS status,
+  CASE WHEN code <> 200 THEN 'http_status_404' WHEN low LIKE '%preencha o campo com os caracteres%' OR low LIKE '%captcha%' OR low LIKE '%valida%' THEN 'captcha_or_validation_detected'
+  WHEN low LIKE '%ocorreu um erro%' OR low LIKE '%internal server error%' THEN 'site_error_page' WHEN text NOT LIKE '%ficha t%' THEN 'missing_ficha_tecnica_text' ELSE '' END AS reason FROM
+  (SELECT page_id, CASE WHEN page_id % 9 = 4 THEN 404 ELSE 200 END AS code, lower(h) AS low, lower(trim(regexp_replace(regexp_replace(regexp_replace(h, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS text FROM
+   (SELECT page_id, html || CASE page_id % 9 WHEN 0 THEN '<p>Ocorreu um <!-- x -->ERRO</p><p>ocorreu um erro' WHEN 1 THEN '<p>Ficha <b>T&eacute;cnica' WHEN 2 THEN '<input id=ValidaCampo>' WHEN 3 THEN '<p>ficha tecnica: rodas de ferro fundido' ELSE '' END AS h FROM pages))""",
 )
 def q30(t):
-    return P.classify_fetch(t.raw("pages")).select("page_id", "status")
+    """The stored pages with an end that makes some of them error, check and sheet pages; some were not found."""
+    k = col("page_id") % 9
+    end = F.when(k == 0, "<p>Ocorreu um <!-- x -->ERRO</p><p>ocorreu um erro").when(k == 1, "<p>Ficha <b>T&eacute;cnica").when(k == 2, "<input id=ValidaCampo>").when(k == 3, "<p>ficha tecnica: rodas de ferro fundido").otherwise("")
+    pages = t.raw("pages").withColumn("html", F.concat("html", end))
+    return P.classify_fetch(pages, F.when(k == 4, 404).otherwise(200)).select("page_id", "status", "reason")
 
 
 @query(

@@ -11,7 +11,7 @@ from tidemark.operators import pages as P
 from tidemark.operators import relational as R
 from tidemark.operators.ranks import exact_percentiles
 from tidemark.plans.dashboard_jobs import CREATOR_CTE, creator_summary
-from tidemark.plans.layer_jobs import catalog_pages, link_points, video_responses
+from tidemark.plans.layer_jobs import video_responses
 from tidemark.plans.queue_jobs import BATCH_CTE, eligible
 from tidemark.plans.registry import query
 from tidemark.plans.resume_jobs import ranked_creators
@@ -211,7 +211,7 @@ def application_pages(t: Tables) -> DataFrame:
     k = col("p_partkey").cast("string")
     label = F.when(col("p_partkey") % 3 == 0, F.concat(F.lit('<font color="darkred">'), "p_name", F.lit("</font> ver"))).when(col("p_partkey") % 3 == 1, F.lit("")).otherwise(col("p_name"))
     link = F.concat(F.lit('<a href="fichadetalhe.asp?codigo='), k, F.lit("&amp;fabricante="), F.url_encode("p_brand"), F.lit('" title="'), "p_brand", F.lit(" "), "p_name", F.lit('">'), label, F.lit("</a>"))
-    broken = F.when(col("p_partkey") % 7 == 0, F.lit("<p>erro</p>")).otherwise(F.lit(""))
+    broken = F.when(col("p_partkey") % 7 == 0, F.lit("<p>Ocorreu um erro</p>")).otherwise(F.lit(""))
     return t.raw("part").select(
         col("p_partkey").alias("page_id"),
         F.concat(F.lit("https://h.example/c/catalogo.asp?anomod=2000&codigo="), k).alias("url"),
@@ -221,9 +221,8 @@ def application_pages(t: Tables) -> DataFrame:
 
 @query("h07_application_links", "SELECT p_partkey AS page_id, p_partkey::VARCHAR AS codigo, p_brand AS fabricante, p_name AS aplicacao FROM part WHERE p_partkey % 5 <> 0")
 def h07(t):
-    found = P.application_links(application_pages(t))
-    best = found.withColumn("points", link_points(col("codigo"), col("aplicacao"), col("label"), col("url")))
-    return R.dedupe_best(best.select("page_id", "codigo", "fabricante", "aplicacao", "points", "position"), ["page_id", "codigo"], col("points"), col("position")).select("page_id", "codigo", "fabricante", "aplicacao")
+    links = P.page_links(application_pages(t)).withColumn("fabricante", X.query_param(col("url"), "fabricante"))
+    return P.application_links(links).select("page_id", col("codigo_ficha").alias("codigo"), "fabricante", col("modelo_texto").alias("aplicacao"))
 
 
 @query("h12_valid_year_pages", "SELECT p_partkey AS page_id, 'https://h.example/c/catalogo.asp?anomod=2000&codigo=' || p_partkey AS final_url FROM part WHERE p_partkey % 5 <> 0 AND p_partkey % 7 <> 0")
