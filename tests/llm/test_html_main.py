@@ -1,3 +1,5 @@
+from collections import Counter
+
 from tidemark.llm import html_main as hm
 
 SCHEMA = "page_id long, url string, html string, text string"
@@ -25,7 +27,7 @@ def test_pages(spark):
     by = dict(got)
     want = "Title & more First boldword text line Second <p> café"
     assert all(by[i].text == want and by[i].n_chars == len(want) and by[i].by_host for i in range(5))
-    assert by[10].text == "Only a div with some words." and by[11].text == "" and by[12].text == "" and by[14].text == ""
+    assert by[10].text == "Only a div with some words." and by[11].text == "" and by[12].text == "" and by[14].text == "" and by[13].text == "no markup at all"
     assert hm.extract_main_text(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
@@ -53,6 +55,43 @@ def test_title_and_lead_beside_the_body():
     assert p.extract(None)[0] == f"A title A lead. {body}"
 
 
+def test_a_body_without_its_tag():
+    for html in ("Hello plain <b>text", "<p>Hello plain</p><p>text</p>", "<html><head><title>t</title></head><p>Hello plain text</p></html>", "<html><h1>Hello</h1><p>plain text</p><nav><a href=x>menu</a></nav></html>", "<nav><a href=x>m</a></nav>Hello plain text"):
+        assert hm.Page(html).extract(None)[0] == "Hello plain text", html
+
+
+def test_links_inside_paragraphs_are_text():
+    body = " ".join(f"<a href=/{k}>word{k}</a>" for k in range(40))
+    p = hm.Page(page(f"<div><p>See {body} too.</p></div><div><ul><li><a href=/m>menu entry of some length</a></li></ul></div>"))
+    assert p.extract(None)[0] == "See " + " ".join(f"word{k}" for k in range(40)) + " too."
+    dense = hm.Page("<div>" + "<a href=/x>linked words here</a> and plain ones. " * 3 + "</div>")
+    assert dense.extract(None)[0] == " ".join(["linked words here and plain ones."] * 3)
+
+
+def test_no_block_beside_the_longest_is_lost():
+    long, short = " ".join(f"word{k}" for k in range(100)), "eight words stand in the block beside it"
+    assert hm.Page(page(f"<div id=w><div class=a>{long}</div><div class=b>{short}</div></div>")).extract(None)[0] == f"{long} {short}"
+    assert hm.Page(page(f"<div id=w><div class=a>{long}</div><div class=sidebar>{short}</div></div>")).extract(None)[0] == long
+
+
+def test_planted_texts_are_found_whole():
+    """Token precision and recall of made pages whose main text is known."""
+    import random
+
+    rng, hit, found, want = random.Random(9), 0, 0, 0
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8)))
+    for n in range(150):
+        paragraphs = [" ".join(word() for _ in range(rng.randrange(5, 60))) for _ in range(rng.randrange(1, 8))]
+        inner = "".join(rng.choice(["<p>{}</p>", "<p>{}", "<div>{}</div>", "<section><p>{}</p></section>"]).format(x) for x in paragraphs)
+        title = " ".join(word() for _ in range(4))
+        main = rng.choice(["<article><h1>{}</h1>{}</article>", "<main><h2>{}</h2><div class=t>{}</div></main>", "<div class='post-body x{n}'><h1>{}</h1>{}</div>", "<div id=a><div>{}</div><div>{}</div></div>"]).replace("{n}", str(n)).format(title, inner)
+        menu = "<ul>" + "".join(f"<li><a href=/{k}>{word()}</a>" for k in range(8)) + "</ul>"
+        html = f"{HEAD}<header>{word()} {word()}</header><nav>{menu}</nav>{main}<div class=comments><p>{word()} {word()} {word()}</p></div><aside>{word()}</aside><div class='cookie-notice'>{word()} {word()}</div><footer>{menu}</footer>"
+        got, true = Counter(hm.Page(html).extract(None)[0].split()), Counter(f"{title} {' '.join(paragraphs)}".split())
+        hit, found, want = hit + (got & true).total(), found + got.total(), want + true.total()
+    assert hit >= 0.99 * want and hit >= 0.99 * found
+
+
 def test_a_stub_under_the_hosts_path_falls_back(spark):
     body = " ".join(f"word{k}" for k in range(80))
     rows = [(i, f"http://h.example/{i}", page(f"<article><p>{body} {i}</p></article>"), "c") for i in range(4)]

@@ -97,7 +97,8 @@ class Page:
     """Containers of a page in document order (parent, path, tag, junk) and its text runs (container, text, inside a link)."""
 
     def __init__(self, html: str):
-        self.parent, self.tag, self.names, self.named, self.hidden = [-1], [""], [""], [False], [False]
+        # the root stands for a body whose tag is left out
+        self.parent, self.tag, self.names, self.named, self.hidden = [-1], ["body"], [""], [False], [False]
         self.runs: list[tuple[int, str, bool]] = []
         self._read(html)
         self._judge()
@@ -172,7 +173,7 @@ class Page:
 
         def text(s: str) -> None:
             if s:
-                self.runs.append((stack[-1], s, links > 0))
+                self.runs.append((stack[-1], s, links > 0 and not open_tags["p"]))  # a link in a paragraph is its text
 
         for start, stop, tag, attrs in tags(html):
             if start < at:  # inside a script or the like
@@ -227,18 +228,22 @@ class Page:
             own[self.parent[k]] += own[k]
             linked[self.parent[k]] += linked[k]
         own[0], linked[0] = own[0] + self.own[0], linked[0] + self.linked[0]
-        return [max(a - 2 * b, 0) for a, b in zip(own, linked, strict=True)]
+        found = [max(a - 2 * b, 0) for a, b in zip(own, linked, strict=True)]
+        return found if any(found) else [a - b for a, b in zip(own, linked, strict=True)]
 
-    def best(self, score: list[int] | None = None) -> int:
-        """Deepest container with nearly all the text outside furniture and links; 0 if there is none.
+    def best(self, score: list[int] | None = None) -> int | None:
+        """Deepest container with nearly all the text outside furniture and links; None if there is no such text.
 
-        From it, up to the nearest ancestor that is an article, main or so named and has more such text: there stand title and lead.
+        From it, up through containers that have more such text, as far as the body; then up to the nearest ancestor that is an
+        article, main or so named and has more: there stand title, lead and the blocks beside the longest.
         """
         score = score or self._scores()
         top = max(score)
-        if not top:
-            return 0  # then the page has no text
-        k = max((k for k in range(len(score)) if score[k] >= 0.9 * top and self.tag[k] in _CONTAINERS), default=0)
+        if top <= 0:
+            return None
+        k = max(k for k in range(len(score)) if score[k] >= 0.9 * top and (self.tag[k] in _CONTAINERS or not k))
+        while k and self.tag[up := self.parent[k]] in _CONTAINERS and self.tag[up] != "body" and self.tag[k] not in ("article", "main") and score[up] > score[k]:
+            k = up
         up, main = self.parent[k] if k else -1, k
         while up > 0 and not (self.tag[k] in ("article", "main")):
             if (self.tag[up] in ("article", "main") or _MAIN_NAMES.search(self.names[up].replace(".", " "))) and score[up] > score[main]:
@@ -262,10 +267,10 @@ class Page:
         score = self._scores()
         k = self.best(score)
         if path is not None:
-            held = [i for i in range(1, len(score)) if self.path[i] == path]
-            if held and 2 * sum(score[i] for i in held) >= score[k]:
+            held = [i for i in range(len(score)) if self.path[i] == path]
+            if held and k is not None and 2 * sum(score[i] for i in held) >= score[k]:
                 return self.text(path), True
-        return (self.text(None, k) if k else ""), False
+        return ("" if k is None else self.text(None, k)), False
 
 
 def _host(pages: DataFrame) -> DataFrame:
@@ -280,7 +285,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
             votes: Counter = Counter()
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 page = Page(html or "")
-                if k := page.best():
+                if (k := page.best()) is not None:
                     votes[host, page.path[k]] += 1
             keys = list(votes)
             yield pa.RecordBatch.from_arrays(
