@@ -42,11 +42,23 @@ def test_filter_and_empty_tables(spark):
     assert dc.find_leaks(d.where("false"), m).count() == 0
 
 
-def test_large_benchmark_path_gives_the_same(spark):
-    d = spark.createDataFrame([(1, f"x {ITEM} y", "a", "b"), (2, PROSE, "a", "b")], DOCS)
-    m = spark.createDataFrame([(1, ITEM, "z"), (2, PROSE, "z")], ITEMS)
+def test_one_result_at_every_size_of_the_benchmark(spark):
+    rng = random.Random(8)
+    part = lambda n: " ".join(rng.choice(["why", "Paris", "ROME", "nasa", "Lands", "Apollo", "the", "4", "km", "and", "so", "on", "Anna"]) for _ in range(n))
+    items = [(0, "Why Paris Rome"), (1, "NASA lands Apollo"), (2, ITEM), *((10 + i, part(rng.choice([3, 5, 8, 14]))) for i in range(25))]
+    docs = [(0, "people ask why paris rome and so on"), (1, "then the NASA lands Apollo again"), (2, ITEM.lower())]
+    docs += [(10 + i, f"{part(4)} {rng.choice([str.lower, str.upper, str.title, str])(rng.choice(items)[1])} {part(4)}") for i in range(80)]
+    d, m = spark.createDataFrame([(i, t, "x", "y") for i, t in docs], DOCS), spark.createDataFrame([(i, t, "z") for i, t in items], ITEMS)
     key = lambda df: sorted(map(tuple, df.collect()))
-    assert key(dc.find_leaks(d, m)) == key(dc.find_leaks(d, m, dc.LeakPolicy(max_literals=0)))
+    found = key(dc.find_leaks(d, m))
+    assert {(0, 0), (1, 1), (2, 2)} <= {x[:2] for x in found}
+    assert found == key(dc.find_leaks(d, m, dc.LeakPolicy(block=20)))
+
+
+def test_letter_case_hides_no_leak(spark):
+    items = [(0, "What is the tallest mountain of Europe called in books"), (1, "A train leaves Boston at 5 pm and travels to New York at 60 mph without any stop")]
+    docs = [(0, f"{PROSE} {items[0][1].lower()} {PROSE}"), (1, f"{PROSE} {items[1][1].lower()} {PROSE}"), (2, items[0][1].upper()), (3, "what is the tallest tree of Europe"), (4, PROSE)]
+    assert set(leaks(spark, docs, items)) == {(0, 0), (1, 1), (2, 0)}
 
 
 def test_template_keeps_the_number_of_tokens(spark):
@@ -123,9 +135,11 @@ def brute(doc, item):
     if own:
         for d, e in windows(tpl).items():
             found += [(d, i, j) for i, j in own.items() if tpl[d:e] == itpl[i:j]]
-    else:
-        same = (lambda d: tpl[d : d + len(itpl)] == itpl) if sum(t[0] != "<" for t in itpl) >= 5 else lambda d: [w.lower() for w in raw[d : d + len(iraw)]] == [w.lower() for w in iraw]
-        found += [(d, 0, len(itpl)) for d in range(len(tpl)) if same(d)]
+    elif sum(t[0] != "<" for t in itpl) >= 5:
+        found += [(d, 0, len(itpl)) for d in range(len(tpl)) if tpl[d : d + len(itpl)] == itpl]
+    low, ilow = [w.lower() for w in raw], [w.lower() for w in iraw]
+    runs = [(i, i + 8) for i in range(len(ilow) - 7) if sum(t[0] != "<" for t in itpl[i : i + 8]) >= 5] if own else [(0, len(ilow))]
+    found += [(d, i, j) for i, j in runs for d in range(len(low)) if low[d : d + j - i] == ilow[i:j]]
     hits = []
     for d, i, j in found:
         end = j

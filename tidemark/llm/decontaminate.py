@@ -3,8 +3,8 @@
 Numbers, units, names and signs become typed placeholders (slots) and words lose case and punctuation, so a question with
 other parameters keeps its template. A template window begins at any token and ends with the token that makes it hold enough
 tokens and enough words, so a window among many slots is a long one and never stands for any row of numbers. Windows of the
-documents are hash-joined with those of the benchmark; items that are too short for a window are one window as a whole. A
-document leaks an item if, in one place of the document (or in all of it), the windows cover enough of the item and the slots
+documents are hash-joined with those of the benchmark; items that are too short for a window are one window as a whole. As
+letter case decides what is a name, runs of `window` tokens are compared by their lower-cased words too. A document leaks an item if, in one place of the document (or in all of it), the windows cover enough of the item and the slots
 are consistent: one value of the item always stands for one value of the document.
 """
 
@@ -36,14 +36,15 @@ _COMMON = (
 class LeakPolicy:
     """window, words: least tokens of a window, and least words (tokens that are no slots) among them. least_cover: part of an
     item's tokens that windows must cover, percent. least_tokens: shorter items tell no leak. least_consistent: percent of the slot
-    values of an item that keep to one value. max_literals: windows of a benchmark up to which documents are probed before the join."""
+    values of an item that keep to one value. block: windows of the benchmark that documents are probed for at once; larger ones
+    take several passes, each the same."""
 
     window: int = 8
     words: int = 5
     least_cover: int = 50
     least_tokens: int = 3
     least_consistent: int = 80
-    max_literals: int = 50_000
+    block: int = 50_000
 
 
 def template(raw: Column, digits: Column) -> Column:
@@ -78,6 +79,11 @@ def _head(tpl: Column, t: Column, i: Column) -> Column:
     return F.xxhash64(t, F.get(tpl, i + 1), F.get(tpl, i + 2))
 
 
+def _raw_hash(words: Column) -> Column:
+    """Hash of a window of lower-cased words."""
+    return F.xxhash64(F.lit("raw"), F.array_join(words, " "))
+
+
 def _hash(tokens: Column) -> Column:
     """Hash of a window: its template and length."""
     return F.xxhash64(F.array_join(tokens, " "))
@@ -91,71 +97,83 @@ def _sized(tail: Column, policy: LeakPolicy) -> Column:
 
 
 def _tokens(rows: DataFrame) -> DataFrame:
-    """rows with raw and tpl: their tokens, and the same of their template."""
+    """rows with raw, low and tpl: their tokens, the same in lower case, and those of their template."""
     step = rows.withColumn("raw", words_of(text_of())).withColumn("digits", text_of().rlike("[0-9]"))
-    return step.withColumn("tpl", template(F.col("raw"), F.col("digits"))).drop("digits")
+    return step.withColumn("tpl", template(F.col("raw"), F.col("digits"))).withColumn("low", F.transform("raw", F.lower)).drop("digits")
 
 
 def benchmark_windows(items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
-    """(hash, heads, item_id, ipos, size, whole, item_tokens, own, own_raw): the windows of the items.
+    """(hash, heads, item_id, ipos, size, lengths, item_tokens, own, own_raw): the windows of the items, each by its template and by its words.
 
-    own, own_raw: template and raw tokens of the window and of the slots behind it. whole: the item is one window, because
-    it has too few tokens or words for another; with too few words its hash is that of the raw words, which must come back as they are.
+    own, own_raw: template and raw tokens of the window and of the slots behind it. lengths: the size of an item that is one
+    window, because it has too few tokens or words for another; with too few words only its raw words tell it.
     """
     rows = _tokens(items.select("item_id", "text")).withColumn("n", F.size("tpl")).where(F.col("n") >= policy.least_tokens)
     many = F.size(_where(F.col("tpl"), lambda t, i: _is_word(t))) >= policy.words
     starts = F.transform("tpl", lambda t, i: F.struct(i.alias("ipos"), let(F.slice("tpl", i + 1, F.size("tpl")), lambda x: _sized(x, policy)).alias("size")))
     found = F.filter(starts, lambda s: s["size"].isNotNull() & (s["ipos"] + s["size"] <= F.size("tpl")))
-    rows = rows.withColumn("many", many).withColumn("found", found)
+    rows = rows.withColumn("many", many).withColumn("found", found).withColumn("short", F.size("found") == 0)
+    at = lambda items, raw: F.transform(items, lambda s: F.struct(s["ipos"].alias("ipos"), s["size"].cast("int").alias("size"), F.lit(raw).alias("raw")))
     whole = F.array(F.struct(F.lit(0).alias("ipos"), F.col("n").alias("size")))
-    rows = rows.withColumn("whole", F.size("found") == 0).withColumn("w", F.explode(F.when(F.size("found") > 0, F.col("found")).otherwise(whole)))
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.col("n") - policy.window, F.lit(0))), lambda i: F.struct(i.alias("ipos"), F.least(F.col("n"), F.lit(policy.window)).alias("size")))
+    by_template = F.when(~F.col("short"), at(F.col("found"), False)).when(F.col("many"), at(whole, False)).otherwise(F.array().cast("array<struct<ipos:int,size:int,raw:boolean>>"))
+    by_words = F.array_union(at(runs, True), F.when(F.col("short"), at(whole, True)).otherwise(F.array().cast("array<struct<ipos:int,size:int,raw:boolean>>")))
+    # a run of slots alone is no window, unless it is all of a short item
+    by_words = F.filter(by_words, lambda s: (F.col("short") & (s["size"] == F.col("n"))) | (F.size(_where(F.slice("tpl", s["ipos"] + 1, s["size"]), lambda t, i: _is_word(t))) >= policy.words))
+    rows = rows.withColumn("w", F.explode(F.concat(by_template, by_words)))
     ipos, size = F.col("w.ipos"), F.col("w.size")
     behind = F.aggregate(F.slice("tpl", ipos + size + 1, F.col("n")), F.struct(F.lit(0).alias("k"), F.lit(True).alias("on")), lambda a, t: F.struct((a["k"] + (a["on"] & ~_is_word(t)).cast("int")).alias("k"), (a["on"] & ~_is_word(t)).alias("on")), lambda a: a["k"])
     rows = rows.withColumn("long", size + behind)
     own = lambda c, n=F.col("long"): F.slice(F.col(c), ipos + 1, n)
-    key = F.when(F.col("whole") & ~F.col("many"), F.xxhash64(F.lit("raw"), F.lower(F.array_join("raw", " ")))).otherwise(_hash(own("tpl", size)))
+    key = F.when(F.col("w.raw"), _raw_hash(own("low", size))).otherwise(_hash(own("tpl", size)))
     first = F.get("tpl", ipos)  # a unit's name is a word at the item's start, and a unit where a document has a number before
-    heads = F.array(_head(F.col("tpl"), first, ipos), F.when(first.isin(_UNITS), _head(F.col("tpl"), F.lit("<u>"), ipos)))
-    return rows.select(key.alias("hash"), F.array_compact(heads).alias("heads"), "item_id", ipos.alias("ipos"), size.alias("size"), "whole", F.col("n").alias("item_tokens"), own("tpl").alias("own"), own("raw").alias("own_raw"))
+    heads = F.when(F.col("w.raw"), F.array(_head(F.col("low"), F.get("low", ipos), ipos))).otherwise(F.array(_head(F.col("tpl"), first, ipos), F.when(first.isin(_UNITS), _head(F.col("tpl"), F.lit("<u>"), ipos))))
+    lengths = F.when(F.col("short") & (size == F.col("n")), size)
+    return rows.select(key.alias("hash"), F.array_compact(heads).alias("heads"), "item_id", ipos.alias("ipos"), size.alias("size"), lengths.alias("lengths"), F.col("n").alias("item_tokens"), own("tpl").alias("own"), own("raw").alias("own_raw"))
 
 
-def _candidates(docs: DataFrame, policy: LeakPolicy, longest: int, reach: int, lengths: list[int], heads: list[int] | None, hashes: list[int] | None) -> DataFrame:
-    """(doc_id, text_hash, dpos, hash, tail, tail_raw): windows of the documents; with heads and hashes only those that are among the benchmark's.
+def _candidates(docs: DataFrame, policy: LeakPolicy, longest: int, reach: int, lengths: list[int], heads: list[int], hashes: list[int]) -> DataFrame:
+    """(doc_id, text_hash, dpos, hash, tail, tail_raw): windows of the documents that are among the benchmark's, by their first tokens (heads) and whole (hashes).
 
     longest: of the benchmark's windows; reach: the same with the slots behind; lengths: of items that are one window.
     """
     rows = _tokens(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))).drop("text")
-    tpl, raw = F.col("tpl"), F.col("raw")
-    begins = (lambda t, i: _head(tpl, t, i).isin(heads)) if heads is not None else lambda t, i: F.lit(True)
-    rows = rows.withColumn("at", _where(tpl, begins))
-    known = lambda h: h.isNotNull() & (h.isin(hashes) if hashes is not None else F.lit(True))
-
-    def windows(i: Column) -> Column:
-        sized = let(F.slice(tpl, i + 1, longest), lambda x: let(_sized(x, policy), lambda n: F.when(n.isNotNull(), _hash(F.slice(x, F.lit(1), n)))))
-        fits = [F.when(i + n <= F.size(tpl), _hash(F.slice(tpl, i + 1, n))) for n in lengths]
-        return F.transform(F.filter(F.array_distinct(F.array(sized, *fits)), known), lambda h: F.struct(i.alias("dpos"), h.alias("hash")))
-
-    def as_they_are(words: Column, i: Column) -> Column:
-        fits = [F.when(i + n <= F.size(words), F.xxhash64(F.lit("raw"), F.lower(F.array_join(F.slice(words, i + 1, n), " ")))) for n in lengths]
-        return F.transform(F.filter(F.array_distinct(F.array(*fits)), known), lambda h: F.struct(i.alias("dpos"), h.alias("hash")))
-
-    found = F.flatten(F.transform("at", windows))
-    if lengths:
-        found = F.concat(found, F.when(F.size("at") == 0, F.array().cast("array<struct<dpos:int,hash:bigint>>")).otherwise(let(raw, lambda w: F.flatten(F.transform("at", lambda i: as_they_are(w, i))))))
-    rows = rows.select("doc_id", "text_hash", "raw", "tpl", found.alias("win"))
+    rows = rows.withColumn("at", _where(F.col("tpl"), lambda t, i: _head(F.col("tpl"), t, i).isin(heads)))
+    rows = rows.withColumn("at_raw", _where(F.col("low"), lambda t, i: _head(F.col("low"), t, i).isin(heads)))
+    known = lambda h: h.isNotNull() & h.isin(hashes)
+    none = F.array().cast("array<struct<dpos:int,hash:bigint>>")
+
+    def windows(tokens: Column, i: Column, sized: list[Column], own_hash, sizes: list[int]) -> Column:
+        fits = [F.when(i + n <= F.size(tokens), own_hash(F.slice(tokens, i + 1, n))) for n in sizes]
+        return F.transform(F.filter(F.array_distinct(F.array(*sized, *fits)), known), lambda h: F.struct(i.alias("dpos"), h.alias("hash")))
+
+    def of(at: str, tokens: str, body) -> Column:
+        return F.when(F.size(at) == 0, none).otherwise(let(F.col(tokens), lambda x: F.flatten(F.transform(at, lambda i: body(x, i)))))
+
+    def grown(x: Column, i: Column) -> list[Column]:
+        return [let(F.slice(x, i + 1, longest), lambda y: let(_sized(y, policy), lambda n: F.when(n.isNotNull(), _hash(F.slice(y, F.lit(1), n)))))]
+
+    by_template = of("at", "tpl", lambda x, i: windows(x, i, grown(x, i), _hash, lengths))
+    by_words = of("at_raw", "low", lambda x, i: windows(x, i, [], _raw_hash, sorted({policy.window, *lengths})))
+    rows = rows.select("doc_id", "text_hash", "raw", "tpl", F.concat(by_template, by_words).alias("win"))
     tail = lambda c: F.slice(F.col(c), F.col("w.dpos") + 1, reach)
     # explode_outer: before explode, Spark filters by the size of win, for which it makes all templates again
     return rows.withColumn("w", F.explode_outer("win")).where("w IS NOT NULL").select("doc_id", "text_hash", "w.dpos", "w.hash", tail("tpl").alias("tail"), tail("raw").alias("tail_raw"))
 
 
-def _hits(docs: DataFrame, bench: DataFrame, policy: LeakPolicy) -> DataFrame:
-    """Windows of documents beside the benchmark windows of the same hash."""
-    about = bench.agg(F.count("*").alias("n"), F.max("size").alias("longest"), F.max(F.size("own")).alias("reach"), F.collect_set(F.when(F.col("whole"), F.col("size"))).alias("lengths")).first()
-    given = policy, about.longest or 1, about.reach or 1, sorted(about.lengths)
-    if about.n <= policy.max_literals:
-        of = bench.agg(F.array_distinct(F.flatten(F.collect_set("heads"))).alias("heads"), F.collect_set("hash").alias("hashes")).first()  # max_literals numbers at most
-        return _candidates(docs, *given, of.heads, of.hashes).join(F.broadcast(bench), "hash")
-    return _candidates(docs, *given, None, None).join(bench, "hash")
+def _hits(docs: DataFrame, bench: DataFrame, policy: LeakPolicy) -> DataFrame | None:
+    """Windows of documents beside the benchmark windows of the same hash; None without benchmark windows. The benchmark is taken in blocks, by the windows' hashes: one result, whatever its size."""
+    blocks = -(-bench.count() // policy.block)
+    out = None
+    for k in range(blocks):
+        part = bench.where(F.pmod("hash", F.lit(blocks)) == k) if blocks > 1 else bench
+        about = part.agg(F.max("size").alias("longest"), F.max(F.size("own")).alias("reach"), F.collect_set("lengths").alias("lengths"), F.sum(F.size("own")).alias("tokens"), F.array_distinct(F.flatten(F.collect_set("heads"))).alias("heads"), F.collect_set("hash").alias("hashes")).first()  # a block's numbers
+        if about.hashes:
+            found = _candidates(docs, policy, about.longest, about.reach, sorted(about.lengths), about.heads, about.hashes)
+            found = found.join(F.broadcast(part) if about.tokens <= 40 * policy.block else part, "hash")
+            found = stage(found, "hits") if blocks > 1 else found
+            out = found if out is None else out.unionAll(found)
+    return out
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolicy()) -> DataFrame:
@@ -170,6 +188,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, policy: LeakPolicy = LeakPolic
     """
     bench = stage(benchmark_windows(items, policy), "windows")
     hits = _hits(docs, bench, policy)
+    if hits is None:
+        return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {items.schema['item_id'].dataType.simpleString()}, item_tokens bigint, covered bigint, n_slots bigint, n_changed bigint")
     long = F.when(F.slice("tail", F.lit(1), F.size("own")) == F.col("own"), F.size("own")).otherwise(F.col("size"))
     hits = hits.withColumn("long", long)
     clean = lambda w: F.lower(F.regexp_replace(w, "^[^\\p{L}\\d]+|[^\\p{L}\\d]+$", ""))
