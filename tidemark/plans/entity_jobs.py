@@ -197,14 +197,15 @@ def register_collection_result(state: DataFrame, requested: DataFrame, returned:
         {"failure_count": F.lit(1), "first_failed_at": as_of, "last_failed_at": as_of, "status": F.lit("unavailable_candidate")},
     )
     named = gone.select("post_id", F.lit("missing").alias("action_taken")).unionByName(hit.select("post_id", F.lit("returned").alias("action_taken")))
-    actions = after.join(named, "post_id").select("post_id", "status", "failure_count", "action_taken")
-    return after, actions
+    # returned ids without a row are no action; the address is null for posts that are new here
+    actions = after.join(named, "post_id").select("post_id", *[c for c in ("youtube_url",) if c in after.columns], "status", "failure_count", "action_taken")
+    return after, actions.orderBy(F.when(col("action_taken") == "missing", 0).otherwise(1), "post_id")
 
 
 @query(
     "q14_register_run",
-    """SELECT post_id, CASE WHEN returned THEN 'recovered' WHEN n + 1 >= 3 THEN 'unavailable' ELSE 'unavailable_candidate' END AS status, CASE WHEN returned THEN 0 ELSE n + 1 END AS failure_count, CASE WHEN returned THEN 'returned' ELSE 'missing' END AS action_taken
-  FROM (SELECT q.post_id, f.post_id IS NOT NULL AS known, coalesce(f.failure_count, 0) AS n, substr(q.post_id, 2)::BIGINT % 3 <> 0 AS returned FROM queue q LEFT JOIN failures f USING (post_id) WHERE q.needs_update) WHERE NOT returned OR known""",
+    """SELECT post_id, youtube_url, CASE WHEN returned THEN 'recovered' WHEN n + 1 >= 3 THEN 'unavailable' ELSE 'unavailable_candidate' END AS status, CASE WHEN returned THEN 0 ELSE n + 1 END AS failure_count, CASE WHEN returned THEN 'returned' ELSE 'missing' END AS action_taken
+  FROM (SELECT q.post_id, f.youtube_url, f.post_id IS NOT NULL AS known, coalesce(f.failure_count, 0) AS n, substr(q.post_id, 2)::BIGINT % 3 <> 0 AS returned FROM queue q LEFT JOIN failures f USING (post_id) WHERE q.needs_update) WHERE NOT returned OR known""",
 )
 def q14b(t):
     asked = t.queue.where("needs_update").select("post_id")

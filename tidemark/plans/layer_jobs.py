@@ -171,23 +171,33 @@ def p10(t):
     return t.queue.join(wanted, "post_id", "left_semi").select("post_id", "priority_score")
 
 
-def review_screen(t: Tables, status: list[str], platforms: list[str], least: int, search: str) -> DataFrame:
-    """The review screen's rows under its filters: status and platform from lists, least number of failures, text in the user name; an empty list or text filters nothing."""
-    rows = t.failures.join(t.posts.select("post_id", "creator_id", "post_date"), "post_id").join(t.creators.select(col("id").alias("creator_id"), "platform", "username"), "creator_id")
+def review_screen(t: Tables, status: list[str], least: int, pending: bool = False, post_id: str = "", platforms: list[str] = (), name: str = "") -> DataFrame:
+    """The review screen's rows under its filters: status from a list, least number of failures, only those that nobody has reviewed, text in the post's id, platform from a list, text in the user name; an empty list or text filters nothing. Most failures first, then the latest."""
+    reviewed = (F.substring("post_id", 2, 20).cast("long") % 5 == 0) & (col("status") != "recovered")  # those confirmed by hand (q40_confirm_unavailable)
+    rows = t.failures.withColumn("human_review_status", F.when(reviewed, "confirmed_unavailable"))
+    rows = rows.join(t.posts.select("post_id", "creator_id"), "post_id").join(t.creators.select(col("id").alias("creator_id"), "platform", "username"), "creator_id")
     keep = [col("status").isin(*status)] if status else []
+    keep += [col("human_review_status").isNull()] if pending else []
+    keep += [col("post_id").contains(post_id)] if post_id else []
     keep += [col("platform").isin(*platforms)] if platforms else []
-    keep += [F.lower("username").contains(search.lower())] if search else []
+    keep += [F.lower("username").contains(name.lower())] if name else []
     for k in keep:
         rows = rows.where(k)
-    return rows.where(col("failure_count") >= least).select("post_id", "status", "failure_count", "username", "platform", "last_failed_at")
+    out = rows.where(col("failure_count") >= least).select("post_id", "status", "failure_count", "username", "platform", "last_failed_at", "human_review_status")
+    return out.orderBy(col("failure_count").desc(), col("last_failed_at").desc(), "post_id")
 
 
-@query(
-    "p11_review_filters",
-    "SELECT post_id, status, failure_count, username, platform, last_failed_at FROM failures JOIN posts USING (post_id) JOIN creators c ON c.id = creator_id WHERE status IN ('unavailable', 'unavailable_candidate') AND platform = 'youtube' AND failure_count >= 2 AND lower(username) LIKE '%customer#00000%'",
-)
+REVIEW_SQL = "SELECT post_id, status, failure_count, username, platform, last_failed_at, human_review_status FROM (SELECT *, CASE WHEN substr(post_id, 2)::BIGINT % 5 = 0 AND status <> 'recovered' THEN 'confirmed_unavailable' END AS human_review_status FROM failures) JOIN posts USING (post_id) JOIN creators c ON c.id = creator_id WHERE "
+
+
+@query("p11_review_filters", REVIEW_SQL + "status IN ('unavailable', 'unavailable_candidate') AND failure_count >= 1 AND human_review_status IS NULL AND contains(post_id, '1')")
 def p11(t):
-    return review_screen(t, ["unavailable", "unavailable_candidate"], ["youtube"], 2, "CUSTOMER#00000")
+    return review_screen(t, ["unavailable", "unavailable_candidate"], 1, pending=True, post_id="1")
+
+
+@query("p11_review_by_name", REVIEW_SQL + "platform = 'youtube' AND failure_count >= 2 AND contains(lower(username), 'customer#00000')")
+def p11b(t):
+    return review_screen(t, [], 2, platforms=["youtube"], name="CUSTOMER#00000")
 
 
 @query("a10_keep_first", "SELECT p_brand, p_partkey, p_name FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS r FROM part) WHERE r = 1")
@@ -349,7 +359,7 @@ def h09(t):
     return P.expand_frontier(seeds, both.withColumn("page", F.lit(1)), limit=1_000_000, levels=4).select("seed", "url", "depth")
 
 
-@query("h11_titles", r"SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title[^>]*>((?s:.*?))</title>', 1), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '""'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages".replace('""', '"'))
+@query("h11_titles", r"SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title[^>]*>((?s:.*?))</title>', 1), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages")
 def h11(t):
     return t.raw("pages").select("page_id", P.page_title(col("html")).alias("title"))
 
