@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,3 +24,33 @@ def create_table_as(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_made: dict[tuple, tuple] = {}
+
+
+def shared_table(spark: SparkSession, name: str, inputs: list[str], make: Callable[[], DataFrame]) -> DataFrame:
+    """create_table_as(make(), name), once for all queries of an application as long as the input files (paths, lengths, times) stay as they are and the table is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+
+    def files(folder: str) -> list[tuple]:
+        root = path(folder)
+        fs = root.getFileSystem(conf)
+        found, out = fs.listFiles(root, True), []
+        while found.hasNext():
+            x = found.next()
+            out.append((str(x.getPath()), x.getLen(), x.getModificationTime()))
+        return sorted(out)
+
+    key = (spark.sparkContext.applicationId, shared_folder(spark), name, tuple(f for folder in inputs for f in files(folder)))
+    done = _made.get(key)
+    if done:
+        mark = path(f"{done[0]}/_SUCCESS")
+        if mark.getFileSystem(conf).exists(mark):
+            return spark.read.schema(done[1]).parquet(done[0])
+    df = make()
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    _made[key] = folder, df.schema
+    return spark.read.schema(df.schema).parquet(folder)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
 from tidemark.functions.text import normalized_name
-from tidemark.operators.materialize import create_table_as
+from tidemark.operators.materialize import shared_table
 
 #: Reference times: nothing reads the clock.
 AS_OF_ORDERS = "2001-08-01 06:00:00"
@@ -60,6 +60,9 @@ class Tables:
         reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
         return reader.parquet(f"{self.dir}/{name}.parquet")
 
+    def _once(self, name: str, inputs: list[str], make) -> DataFrame:
+        return shared_table(self.spark, name, [f"{self.dir}/{t}.parquet" for t in inputs], make)
+
     @cached_property
     def entities(self) -> DataFrame:
         n = self.raw("nation")
@@ -137,7 +140,7 @@ class Tables:
             F.min_by("collected_at", miss).alias("first_failed_at"),
             F.max_by("collected_at", miss).alias("last_failed_at"),
         )
-        return create_table_as(states.drop("l_orderkey"), "post-states")
+        return self._once("post-states", ["lineitem"], lambda: states.drop("l_orderkey"))
 
     @cached_property
     def latest(self) -> DataFrame:
@@ -160,7 +163,7 @@ class Tables:
         p = o.join(state, "post_id", "left")
         score = M.post_priority(F.col("views"), F.col("likes"), F.col("comments"))
         nxt = F.when(F.col("collected_at").isNull(), F.col("post_date")).otherwise(M.next_check(score, F.col("collected_at"), F.col("post_date"), F.col("total_checagens")))
-        return create_table_as(p.select("*", score.alias("priority_score"), nxt.alias("next_check"), (F.col("order_status") != "F").alias("needs_update")), "post-rows")
+        return self._once("post-rows", ["lineitem", "orders"], lambda: p.select("*", score.alias("priority_score"), nxt.alias("next_check"), (F.col("order_status") != "F").alias("needs_update")))
 
     @cached_property
     def posts(self) -> DataFrame:
