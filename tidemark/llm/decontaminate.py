@@ -84,6 +84,11 @@ def _raw_hash(words: Column) -> Column:
     return F.xxhash64(F.lit("raw"), F.array_join(words, " "))
 
 
+def _in(numbers: list[int]) -> str:
+    """SQL list of 64-bit numbers: as text it is parsed at once, however many they are."""
+    return ", ".join(f"{x}L" for x in numbers)
+
+
 def _hash(tokens: Column) -> Column:
     """Hash of a window: its template and length."""
     return F.xxhash64(F.array_join(tokens, " "))
@@ -138,14 +143,13 @@ def _candidates(docs: DataFrame, policy: LeakPolicy, longest: int, reach: int, l
     longest: of the benchmark's windows; reach: the same with the slots behind; lengths: of items that are one window.
     """
     rows = _tokens(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))).drop("text")
-    rows = rows.withColumn("at", _where(F.col("tpl"), lambda t, i: _head(F.col("tpl"), t, i).isin(heads)))
-    rows = rows.withColumn("at_raw", _where(F.col("low"), lambda t, i: _head(F.col("low"), t, i).isin(heads)))
-    known = lambda h: h.isNotNull() & h.isin(hashes)
+    begins = "filter(transform({0}, (t, i) -> CASE WHEN xxhash64(t, get({0}, i + 1), get({0}, i + 2)) IN (" + _in(heads) + ") THEN i END), i -> i IS NOT NULL)"
+    rows = rows.withColumn("at", F.expr(begins.format("tpl"))).withColumn("at_raw", F.expr(begins.format("low")))
     none = F.array().cast("array<struct<dpos:int,hash:bigint>>")
 
     def windows(tokens: Column, i: Column, sized: list[Column], own_hash, sizes: list[int]) -> Column:
         fits = [F.when(i + n <= F.size(tokens), own_hash(F.slice(tokens, i + 1, n))) for n in sizes]
-        return F.transform(F.filter(F.array_distinct(F.array(*sized, *fits)), known), lambda h: F.struct(i.alias("dpos"), h.alias("hash")))
+        return F.transform(F.array_compact(F.array_distinct(F.array(*sized, *fits))), lambda h: F.struct(i.alias("dpos"), h.alias("hash")))
 
     def of(at: str, tokens: str, body) -> Column:
         return F.when(F.size(at) == 0, none).otherwise(let(F.col(tokens), lambda x: F.flatten(F.transform(at, lambda i: body(x, i)))))
@@ -156,6 +160,7 @@ def _candidates(docs: DataFrame, policy: LeakPolicy, longest: int, reach: int, l
     by_template = of("at", "tpl", lambda x, i: windows(x, i, grown(x, i), _hash, lengths))
     by_words = of("at_raw", "low", lambda x, i: windows(x, i, [], _raw_hash, sorted({policy.window, *lengths})))
     rows = rows.select("doc_id", "text_hash", "raw", "tpl", F.concat(by_template, by_words).alias("win"))
+    rows = rows.withColumn("win", F.expr(f"filter(win, w -> w.hash IN ({_in(hashes)}))"))
     tail = lambda c: F.slice(F.col(c), F.col("w.dpos") + 1, reach)
     # explode_outer: before explode, Spark filters by the size of win, for which it makes all templates again
     return rows.withColumn("w", F.explode_outer("win")).where("w IS NOT NULL").select("doc_id", "text_hash", "w.dpos", "w.hash", tail("tpl").alias("tail"), tail("raw").alias("tail_raw"))
