@@ -135,6 +135,44 @@ def q11d(t):
     return t.parts.join(entity_mapping(t).select(col("old_id").alias("id")), "id", "left_anti").select("id", "normalized_name")
 
 
+@query("q11_dedupe_detail", "SELECT old_id, o.p_name AS old_name, canonical_id, c.p_name AS canonical_name, normalized_name FROM mapping JOIN part o ON o.p_partkey = old_id JOIN part c ON c.p_partkey = canonical_id", MAP_CTE)
+def q11_detail(t):
+    """The mapping with both names, for review by hand."""
+    named = lambda key, name: t.parts.select(col("id").alias(key), col("name").alias(name))
+    x = entity_mapping(t).join(named("old_id", "old_name"), "old_id").join(named("canonical_id", "canonical_name"), "canonical_id")
+    return x.select("old_id", "old_name", "canonical_id", "canonical_name", "normalized_name")
+
+
+def _moved(t: Tables, rows: DataFrame) -> DataFrame:
+    """rows with entity_id set to the canonical one."""
+    return update_from(rows, entity_mapping(t).select(col("old_id").alias("entity_id"), "canonical_id"), ["entity_id"], {"entity_id": col("s.canonical_id")})
+
+
+@query("q11_rewritten_creators", "SELECT c_custkey AS id, c_name AS username, coalesce(canonical_id, c_custkey) AS entity_id FROM customer LEFT JOIN mapping ON old_id = c_custkey", MAP_CTE)
+def q11_creators(t):
+    """Creators that point to their canonical entity; those of entities without duplicates stay."""
+    return _moved(t, t.raw("customer").select(col("c_custkey").alias("id"), col("c_name").alias("username"), col("c_custkey").alias("entity_id")))
+
+
+@query("q11_rewritten_niches", "SELECT DISTINCT coalesce(canonical_id, p_partkey) AS entity_id, p_size % 5 AS sub_niche_id FROM part LEFT JOIN mapping ON old_id = p_partkey", MAP_CTE)
+def q11_niches(t):
+    """Links to sub-niches after those that the canonical entity has already are deleted and the others moved: each pair once."""
+    links = t.raw("part").select(col("p_partkey").alias("entity_id"), (col("p_size") % 5).alias("sub_niche_id"))
+    return _moved(t, links).distinct()
+
+
+@query("q11_rewritten_entities", "SELECT p_partkey AS id, p_name AS name FROM part WHERE p_partkey NOT IN (SELECT old_id FROM mapping)", MAP_CTE)
+def q11_entities(t):
+    return t.parts.join(entity_mapping(t).select(col("old_id").alias("id")), "id", "left_anti").select("id", "name")
+
+
+@query("q11_duplicates_left", "SELECT count(*) AS names_left FROM (SELECT normalized_name FROM parts WHERE id NOT IN (SELECT old_id FROM mapping) GROUP BY 1 HAVING count(*) > 1)", MAP_CTE)
+def q11_left(t):
+    """Names that still stand for several entities: none."""
+    rest = t.parts.join(entity_mapping(t).select(col("old_id").alias("id")), "id", "left_anti")
+    return rest.groupBy("normalized_name").count().where("count > 1").agg(F.count("*").alias("names_left"))
+
+
 @query(
     "q12_entity_link_checks",
     """SELECT e.id AS entity_id, count(DISTINCT c.id) AS creators, count(DISTINCT l.sub_niche_id) AS niches, count(DISTINCT l.sub_niche_id) = 0 AS without_niche
