@@ -188,18 +188,23 @@ class Tables:
 
     @cached_property
     def event_history(self) -> DataFrame:
-        w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        run = lambda c, name: F.sum(c).over(w).cast("long").alias(name)
+        """Events as snapshots with running counters. A user's counters run within an hour, on top of the sums of the hours before: no task holds a whole user."""
         is_ = lambda kind, n: F.when(F.col("event_type") == kind, n).otherwise(0)
-        return self.raw("events").select(
+        steps = {"views": F.round(F.coalesce(F.col("value"), F.lit(0.0)) * 100).cast("long"), "likes": is_("click", 100), "comments": is_("purchase", 10), "followers": is_("signup", 10)}
+        rows = self.raw("events").select("event_id", "user_id", "ts", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), *[v.cast("long").alias(c) for c, v in steps.items()])
+        earlier = Window.partitionBy("user_id").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)  # hours of a user
+        hours = rows.groupBy("user_id", "hour").agg(*[F.sum(c).alias(c) for c in steps])
+        hours = hours.select(F.col("user_id").alias("__user"), F.col("hour").alias("__hour"), *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__{c}") for c in steps])
+        w = Window.partitionBy("user_id", "hour").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        both = rows.join(hours, F.col("user_id").eqNullSafe(F.col("__user")) & F.col("hour").eqNullSafe(F.col("__hour")))
+        run = lambda c: F.col(f"__{c}") + F.sum(c).over(w)
+        return both.select(
             F.col("event_id").alias("id"),
             F.concat(F.lit("e"), F.col("user_id").cast("string")).alias("post_id"),
             F.col("user_id").alias("creator_id"),
             F.col("ts").cast("timestamp_ntz").alias("collected_at"),
-            run(F.round(F.coalesce(F.col("value"), F.lit(0.0)) * 100).cast("long"), "views"),
-            run(is_("click", 100), "likes"),
-            run(is_("purchase", 10), "comments"),
-            (F.lit(1000) + run(is_("signup", 10), "followers")).alias("followers"),
+            *[run(c).cast("long").alias(c) for c in ("views", "likes", "comments")],
+            (F.lit(1000) + run("followers")).cast("long").alias("followers"),
         )
 
     @cached_property
