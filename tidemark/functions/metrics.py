@@ -228,6 +228,11 @@ def hot_now(score: Column, score_6h: Column, hours_6h: Column, score_24h: Column
     return now, before, now - before
 
 
+def _delay_sql(cuts: tuple) -> str:
+    """Minutes to the next check by the score s, as SQL."""
+    return f"CASE {' '.join(f'WHEN s >= {c} THEN {m}' for c, m in zip(cuts, POLICY.delays, strict=False))} ELSE {POLICY.delays[-1]} END"
+
+
 #: SQL forms of the scalar functions.
 SQL_FUNCTIONS = {
     "post_priority": ("v BIGINT, l BIGINT, c BIGINT", "DOUBLE", "CAST(coalesce(v, 0) + coalesce(l, 0) * 10 + coalesce(c, 0) * 20 AS DOUBLE)"),
@@ -241,6 +246,14 @@ SQL_FUNCTIONS = {
         "DOUBLE",
         "CASE level WHEN 'full' THEN 0.4D * b + 0.4D * v + 0.2D * a WHEN 'partial' THEN 0.6D * b + 0.4D * v ELSE b END",
     ),
+    "next_check": ("s DOUBLE, checked TIMESTAMP_NTZ", "TIMESTAMP_NTZ", f"checked + make_dt_interval(0, 0, {_delay_sql(POLICY.band_cuts)})"),
+    "next_check_v2": ("s DOUBLE, checked TIMESTAMP_NTZ", "TIMESTAMP_NTZ", f"checked + make_dt_interval(0, 0, {_delay_sql(POLICY.band_cuts_v2)})"),
+    "next_check_by_age": (
+        "s DOUBLE, checked TIMESTAMP_NTZ, posted TIMESTAMP_NTZ, checks BIGINT",
+        "TIMESTAMP_NTZ",
+        f"coalesce(checked, TIMESTAMP_NTZ'1970-01-01 00:00:00') + make_dt_interval(0, 0, CASE WHEN coalesce(checks, 0) >= 3 AND posted < coalesce(checked, TIMESTAMP_NTZ'1970-01-01 00:00:00') - INTERVAL '7' DAY"
+        f" THEN greatest({_delay_sql(POLICY.band_cuts)}, CASE WHEN s >= 300000 THEN 720 ELSE 1440 END) ELSE {_delay_sql(POLICY.band_cuts)} END)",
+    ),
 }
 
 

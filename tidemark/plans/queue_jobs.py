@@ -531,3 +531,21 @@ def q62(t, velocity=(1.5, 15.0), acceleration=(1.0, 10.0), coverage_adjustment=(
     bonus = lambda c, w: F.least(w[0] * col(c), F.lit(w[1]))
     score = col("base_popularity") + bonus("velocity_score", velocity) + bonus("acceleration_score", acceleration) + adjust
     return features_v2(t.event_posts, t.event_history).select("post_id", score.alias("score_v2_1"))
+
+
+@query(
+    "f_sql_functions",
+    """SELECT post_id, score AS p, CASE WHEN score >= 700000 THEN 6 WHEN score >= 300000 THEN 5 WHEN score >= 150000 THEN 4 WHEN score >= 50000 THEN 3 WHEN score >= 10000 THEN 2 ELSE 1 END AS band, collected_at + to_minutes(base_min) AS simple,
+  collected_at + to_minutes(CASE WHEN aged THEN greatest(base_min, CASE WHEN score >= 300000 THEN 720 ELSE 1440 END) ELSE base_min END) AS by_age, base2, CASE WHEN base2 >= 120 THEN 6 WHEN base2 >= 90 THEN 5 WHEN base2 >= 70 THEN 4 WHEN base2 >= 50 THEN 3 WHEN base2 >= 35 THEN 2 ELSE 1 END AS band2,
+  collected_at + to_minutes(CASE WHEN base2 >= 120 THEN 30 WHEN base2 >= 90 THEN 60 WHEN base2 >= 70 THEN 120 WHEN base2 >= 50 THEN 240 WHEN base2 >= 35 THEN 480 ELSE 720 END) AS next2, ln(checks + 1) AS velocity, ln(greatest(checks - 2, 0) + 1) AS acceleration, 0.6 * base2 + 0.4 * ln(checks + 1) AS p2
+  FROM (SELECT *, ln(views + 1) + 10 * ln(likes + 1) + 20 * ln(comments + 1) AS base2 FROM delayed WHERE collected_at IS NOT NULL)""",
+    six_digits="base2 velocity acceleration p2",
+)
+def f_sql(t):
+    """Every scalar function in its SQL form, over the posts that were collected."""
+    M.register_sql_functions(t.spark)
+    x = t.post_rows.where("collected_at IS NOT NULL").selectExpr("*", "base_popularity_v2(views, likes, comments) AS base2", "post_priority(views, likes, comments) AS p", "CAST(total_checagens AS DOUBLE) AS n")
+    return x.selectExpr(
+        "post_id", "p", "priority_band(p) AS band", "next_check(p, collected_at) AS simple", "next_check_by_age(p, collected_at, post_date, total_checagens) AS by_age", "base2", "priority_band_v2(base2) AS band2",
+        "next_check_v2(base2, collected_at) AS next2", "velocity_score_v2(n) AS velocity", "acceleration_score_v2(n, 2D) AS acceleration", "post_priority_v2(base2, velocity_score_v2(n), 0D, 'partial') AS p2",
+    )
