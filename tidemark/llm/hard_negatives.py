@@ -40,7 +40,7 @@ class MinePolicy:
     sample_values: int = 1 << 22
     seed_rows: int = 4096
     shards: int = 24  # at least, for tables of so many rows
-    shard_rows: int = 32_768
+    shard_rows: int = 131_072
 
 
 OUT = "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, negative_score bigint"
@@ -153,9 +153,10 @@ class Shard:
     def __init__(self, rows: list[pa.RecordBatch], dims: int):
         table = pa.Table.from_batches(rows)
         self.ids, self.labels, cell = (table[c].to_numpy() for c in ("id", "label", "cell"))
-        self.matrix = table["q"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-        self.exact = int(np.abs(self.matrix).max(initial=0))
-        self.floats = self.matrix.astype(np.float64)
+        whole = table["q"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+        self.most = max(int(whole.max(initial=0)), -int(whole.min(initial=0)))
+        self.exact = self.most * dims < 1 << 30  # then doubles hold every sum with vectors of up to 2^23
+        self.matrix = whole.astype(np.float64) if self.exact else whole
         codes, begin = np.unique(cell, return_index=True)
         self.range = {c: (b, e) for c, b, e in zip(codes.tolist(), begin.tolist(), [*begin.tolist()[1:], len(cell)], strict=True)}
 
@@ -165,9 +166,9 @@ class Shard:
         if not ranges:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         rows = np.concatenate([np.arange(b, e) for b, e in ranges])
-        if self.exact * int(np.abs(vector).max(initial=0)) * len(vector) < 1 << 53:
-            return rows, (self.floats[rows] @ vector.astype(np.float64)).astype(np.int64)
-        return rows, self.matrix[rows] @ vector
+        if self.exact and max(int(vector.max(initial=0)), -int(vector.min(initial=0))) <= 1 << 23:
+            return rows, (self.matrix[rows] @ vector.astype(np.float64)).astype(np.int64)
+        return rows, self.matrix[rows].astype(np.int64) @ vector
 
 
 def _search(dims: int, same: bool, k: int):
@@ -220,7 +221,9 @@ class MultiIndex:
     def __init__(self, vectors: DataFrame, dims: int, policy: MinePolicy):
         self.dims, self.policy = dims, policy
         n = min(policy.sample, max(1, policy.sample_values // dims))
-        some = vectors.orderBy(F.xxhash64("id"), "id").limit(n).select("q").toArrow()["q"].combine_chunks()
+        share = 2 * n / max(1, vectors.count())  # some twice the sample is drawn by hash, and the first of these taken
+        drawn = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else vectors
+        some = drawn.orderBy(F.xxhash64("id"), "id").limit(n).select("q").toArrow()["q"].combine_chunks()
         some = some.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
         first, second = fit_codebook(some[:, : dims // 2], policy.codewords), fit_codebook(some[:, dims // 2 :], policy.codewords)
 
