@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
 from tidemark.operators import pages as P
-from tidemark.operators.markup import elements
+from tidemark.operators.markup import Against, absolute, elements
 from tidemark.operators.prefixes import longest_prefix
+from tidemark.plans import layer_jobs as L
 from tidemark.plans import market_jobs as K
+from tidemark.plans.registry import QUERIES
+from tidemark.plans.report_jobs import application_pages
+from tidemark.sources.tables import Tables
 
 col = F.col
 AT = "https://h.example/c/catalogo.asp?fabricante=Fiat&curpage=2"
@@ -59,6 +63,37 @@ def test_no_page_and_no_tags(spark):
     assert P.page_elements(pages(spark, None, "")).collect() == []
 
 
+def test_plain_addresses_are_put_together_as_others_are():
+    r = random.Random(8)
+    bits = ["a", "b.asp", "/", "..", ".", "?", "x=1", "&", "#", ":", "http:", "//", ";", "%20", " ", "é", "\\", "@", ""]
+    bases = ["https://h.example/c/catalogo.asp?pag=1", "http://h", "mailto:x", "https://h/a/../b//c/./d;p?q#f", "//h/x/y", "/x/y", "http://[bad/x", "http:x/y", "https://h/a/..", "", None]
+    for _ in range(20_000):
+        base, href = r.choice(bases), "".join(r.choice(bits) for _ in range(r.randrange(7)))
+        assert Against(base)(href) == absolute(base, href), (base, href)
+
+
+def test_whole_tags_and_odd_ones_are_read_alike():
+    html = "<a/href=u>1</a><a x='>' href=\"v\"/>2</a><a href = w >3</a><A HREF=y/ href=z>4</a><a b='1'c='2' href>5</a>"
+    assert [(x[4], x[5]) for x in kinds(html, "link")] == [("u", "1"), ("v", "2"), ("w", "3"), ("y/", "4"), ("", "5")]
+
+
+def test_pages_of_a_narrow_table_are_scanned_by_all_tasks_and_once(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    for made in (L.catalog_pages(t), application_pages(t)):
+        assert t.raw("part").rdd.getNumPartitions() == 1
+        assert P.page_elements(made).select(F.spark_partition_id()).distinct().count() > 2 * spark.sparkContext.defaultParallelism
+    for name in ("h04_options", "q29_spec_sheets"):
+        assert QUERIES[name](spark, t.dir)._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 1, name
+
+
+def test_kinds_and_batches_change_no_element(spark):
+    html = "<title>t</title><a href=x>l</a><table><tr><td>c</table><select name=marca><option value=1>o</select>"
+    rows = pages(spark, *[html] * 7)
+    every = sorted(map(str, P.page_elements(rows).collect()))
+    assert len(every) == 28 and sorted(map(str, P.page_elements(rows, rows=3).collect())) == every
+    assert sorted(map(str, P.page_elements(rows, ["link", "cell"], rows=5).collect())) == [x for x in every if "kind='link'" in x or "kind='cell'" in x]
+
+
 def test_options(spark):
     html = "<select name=xMARCA><option value=' '>a</option><option value=1>Selecione<option value=2>TODOS<option value=3>-<option value='a b'>A<option value=c>C<option value='a b'>B</select><select name=cor><option value=9>z</select>"
     got = sorted((r.position, r.fabricante, r.value, r.url) for r in P.select_options(P.page_elements(pages(spark, html))).collect())

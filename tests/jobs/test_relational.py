@@ -130,3 +130,8 @@ def test_series(spark):
     by = {r.m.month: r for r in R.series_change(df, "k", "m", "v", lags=(1,)).collect()}
     safe = {r.m.month: r for r in R.series_change(df, "k", "m", "v", lags=(1,), calendar_safe=True).collect()}
     assert by[3].lag_1 == 10 and by[3].ytd == 40 and safe[3].lag_1 is None
+
+
+def test_last_at_first_place_keeps_the_null_key(spark):
+    df = spark.createDataFrame([(None, "a", 1), (None, "b", 4), ("k", "c", 2), ("k", "d", 3)], "k string, v string, n int")
+    assert sorted(map(str, R.dedupe_last_at_first(df, ["k"], "n").collect())) == ["Row(k='k', v='d', n=2)", "Row(k=None, v='b', n=1)"]

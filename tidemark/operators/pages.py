@@ -60,7 +60,7 @@ def links_of(elements: DataFrame) -> DataFrame:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    return links_of(page_elements(pages))
+    return links_of(page_elements(pages, ["link"]))
 
 
 def select_options(elements: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def select_options(elements: DataFrame) -> DataFrame:
     x = elements.where("kind = 'option'").where(F.lower("name").rlike("fabricante|marca"))
     x = x.where((F.trim("address") != "") & (col("label") != "") & ~F.lower("label").isin(PLACEHOLDERS))
     url = build_query(F.concat(_root(col("url")), F.lit("/catalogofabricante.asp")), {"fabricante": col("address")})
-    x = x.select("page_id", "position", col("label").alias("fabricante"), col("address").alias("value"), url.alias("url"))
+    x = x.select("page_id", "position", col("label").alias("fabricante"), col("address").alias("value"), url.alias("url")).where(col("url").isNotNull())
     return dedupe_last_at_first(x, ["page_id", "url"], "position")
 
 
@@ -202,25 +202,26 @@ def spec_sheets(elements: DataFrame) -> DataFrame:
     In table rows of two cells or more, cells pair up. A row whose only text is a title sets the group of what follows
     (GERAL before the first); controls are skipped. image_urls: absolute addresses of the value cell's images, by " | ".
     """
-    cells = elements.where("kind = 'cell'").withColumn("text", normalize_text(col("label")))
-    lines = cells.groupBy("page_id", "line").agg(F.any_value("url").alias("url"), F.sort_array(F.collect_list(F.struct("position", "text", "images"))).alias("c")).where(F.size("c") >= 2)
+    text, cell = normalize_text(col("label")), col("kind") == "cell"
+    cells = elements.where("kind IN ('cell', 'title')").select("page_id", "url", F.when(cell, col("line")).alias("line"), F.when(cell, F.struct("position", text.alias("text"), "images")).alias("cell"), F.when(~cell, text).alias("page_title"))
+    lines = cells.groupBy("page_id", "line").agg(F.any_value("url").alias("url"), F.sort_array(F.collect_list("cell")).alias("c"), F.max("page_title").alias("page_title"))
+    lines = lines.withColumn("page_title", F.coalesce(F.max("page_title").over(Window.partitionBy("page_id")), F.lit(""))).where(F.size("c") >= 2)  # the title stands in the line null
     filled = F.filter("c", lambda c: c["text"] != "")
     alone = F.when(F.size(filled) == 1, F.get(filled, F.lit(0))["text"])
     lines = lines.withColumn("header", F.when(is_group_header(alone), alone)).where(F.size(filled) > 0)
     w = Window.partitionBy("page_id").orderBy("line")
     lines = lines.withColumn("group", F.coalesce(F.last("header", ignorenulls=True).over(w), F.lit("GERAL"))).where(col("header").isNull())
     pair = F.explode(F.sequence(F.lit(0), F.floor(F.size("c") / 2).cast("int") - 1))
-    x = lines.select("page_id", "line", "url", "group", "c", pair.alias("k")).select("page_id", "line", "url", "group", "k", F.get("c", col("k") * 2).alias("f"), F.get("c", col("k") * 2 + 1).alias("v"))
+    x = lines.select("page_id", "page_title", "line", "url", "group", "c", pair.alias("k")).select("page_id", "page_title", "line", "url", "group", "k", F.get("c", col("k") * 2).alias("f"), F.get("c", col("k") * 2 + 1).alias("v"))
     x = x.where((col("f.text") != "") & (col("v.text") != "") & ~F.lower("f.text").isin(UI_LABELS))
 
     def absolute(src: Column) -> Column:
         s = F.translate(normalize_text(src), "\\", "/")
         return F.when(s.rlike("^https?://"), s).otherwise(F.concat(_root(col("url")), F.lit("/"), F.regexp_replace(s, "^[./]+", "")))
 
-    x = x.select("page_id", "line", "k", "group", col("f.text").alias("field"), col("v.text").alias("value"), F.array_join(F.transform("v.images", absolute), " | ").alias("image_urls"))
-    x = dedupe(x, ["page_id", "group", "field", "value"], [col("line"), col("k")]).drop("line", "k")
-    titles = elements.where("kind = 'title'").select("page_id", normalize_text(col("label")).alias("page_title"))
-    return x.join(titles, "page_id", "left").select("page_id", F.coalesce("page_title", F.lit("")).alias("page_title"), "group", "field", "value", "image_urls")
+    x = x.select("page_id", "page_title", "line", "k", "group", col("f.text").alias("field"), col("v.text").alias("value"), F.array_join(F.transform("v.images", absolute), " | ").alias("image_urls"))
+    x = dedupe(x, ["page_id", "group", "field", "value"], [col("line"), col("k")])
+    return x.select("page_id", "page_title", "group", "field", "value", "image_urls")
 
 
 def discover_catalog(elements: DataFrame) -> dict[str, DataFrame]:

@@ -84,9 +84,10 @@ def dedupe_best(df: DataFrame, keys: Sequence[str], score: Column, position: Col
 
 
 def dedupe_last_at_first(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
-    """The last row of each key, at the position of its first."""
-    last = dedupe(df, keys, [F.col(position)], keep="last").drop(position)
-    return last.join(df.groupBy(*keys).agg(F.min(position).alias(position)), list(keys)).select(*df.columns)
+    """The last row of each key, at the position of its first, by one partially aggregated pass."""
+    fields = [c for c in df.columns if c not in keys and c != position]
+    both = df.groupBy(*keys).agg(F.max_by(F.struct(*fields), F.col(position)).alias("__row"), F.min(position).alias(position))
+    return both.select(*keys, position, "__row.*").select(*df.columns)
 
 
 def endpoints(df: DataFrame, key: str, time: str, tie: str, cols: Sequence[str], start: Column) -> DataFrame:

@@ -233,7 +233,7 @@ def f_text(t):
     text = size.cast("string")
     base = F.concat(F.lit("https://h.example/catalogo.asp?Fabricante="), F.url_encode(name))
     month = F.lpad(text, 2, "0")
-    return _parts(t).select(
+    return t.spread("part", "p_partkey", "p_partkey", "p_name", "p_brand", "p_type", "p_size").select(
         "p_partkey",
         X.normalize_text(F.concat(F.lit(" "), name, F.lit("   "), "p_type")).alias("f32"),
         X.normalize_label(F.concat(F.lit("É "), name, F.lit("  Ã"))).alias("f34"),
@@ -278,7 +278,7 @@ def catalog_pages(t: Tables) -> DataFrame:
         F.lit("<table><tr><td>MOTOR</td><td></td></tr><tr><td>Tamanho</td><td>"), col("p_size").cast("string"), F.lit("</td><td>Tipo</td><td>"), "p_type", F.lit("<img src='.\\fotos\\"), k,
         F.lit(".jpg'></td></tr><tr><td>Avalie</td><td>5</td></tr><tr><td>Tamanho<td>"), col("p_size").cast("string"), F.lit("</table>"),
     )
-    rows = t.raw("part").select("p_partkey", own.alias("own"))
+    rows = t.spread("part", "p_partkey", "p_partkey", "p_name", "p_brand", "p_type", "p_size").select("p_partkey", own.alias("own"))
     return rows.select(
         col("p_partkey").alias("page_id"),
         F.concat(F.lit("https://h.example/c/catalogo.asp?pag=1&codigo="), k).alias("url"),
@@ -288,7 +288,7 @@ def catalog_pages(t: Tables) -> DataFrame:
 
 @query("h04_options", "SELECT p_partkey AS page_id, p_brand AS fabricante, p_partkey::VARCHAR AS value, 'https://h.example/catalogofabricante.asp?fabricante=' || p_partkey AS url FROM part")
 def h04(t):
-    return P.select_options(P.page_elements(catalog_pages(t))).drop("position")
+    return P.select_options(P.page_elements(catalog_pages(t), ["option"])).drop("position")
 
 
 @query("h05_model_links", "SELECT p_partkey AS page_id, p_name AS modelo, p_partkey::VARCHAR AS codigo_modelo, NULL::VARCHAR AS rejected FROM part UNION ALL SELECT p_partkey, '2', p_partkey::VARCHAR, 'sem varnome/modelo nos parametros' FROM part UNION ALL SELECT p_partkey, '0', NULL, 'sem varnome/modelo nos parametros' FROM part")
@@ -369,4 +369,4 @@ def h11(t):
     "SELECT p_partkey AS page_id, 'Part ' || p_partkey AS page_title, 'MOTOR' AS \"group\", 'Tamanho' AS field, p_size::VARCHAR AS value, '' AS image_urls FROM part UNION ALL SELECT p_partkey, 'Part ' || p_partkey, 'MOTOR', 'Tipo', p_type, 'https://h.example/fotos/' || p_partkey || '.jpg' FROM part",
 )
 def q29(t):
-    return P.spec_sheets(P.page_elements(catalog_pages(t)))
+    return P.spec_sheets(P.page_elements(catalog_pages(t), ["cell", "title"]))

@@ -212,7 +212,7 @@ def application_pages(t: Tables) -> DataFrame:
     label = F.when(col("p_partkey") % 3 == 0, F.concat(F.lit('<font color="darkred">'), "p_name", F.lit("</font> ver"))).when(col("p_partkey") % 3 == 1, F.lit("")).otherwise(col("p_name"))
     link = F.concat(F.lit('<a href="fichadetalhe.asp?codigo='), k, F.lit("&amp;fabricante="), F.url_encode("p_brand"), F.lit('" title="'), "p_brand", F.lit(" "), "p_name", F.lit('">'), label, F.lit("</a>"))
     broken = F.when(col("p_partkey") % 7 == 0, F.lit("<p>Ocorreu um erro</p>")).otherwise(F.lit(""))
-    return t.raw("part").select(
+    return t.spread("part", "p_partkey", "p_partkey", "p_name", "p_brand").select(
         col("p_partkey").alias("page_id"),
         F.concat(F.lit("https://h.example/c/catalogo.asp?anomod=2000&codigo="), k).alias("url"),
         F.concat(F.lit("<html><body>"), F.when(col("p_partkey") % 5 == 0, F.lit("no link")).otherwise(link), broken, F.lit("</body></html>")).alias("html"),
