@@ -101,3 +101,30 @@ def test_strikes_equal_the_ordered_fold(spark, tmp_path):
         out = S.strike_stream(S.landed(spark, schema, f"{tmp_path}/in"), state, f"{tmp_path}/checkpoint")
     want = strike_state(spark.createDataFrame(rows, schema), "post_id", ["seq"], "missed", "collected_at").select(*out.columns)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_strikes_fold_whole_micro_batches_like_the_posts_one_by_one(spark):
+    r = random.Random(12)
+    rows = [(f"p{k}", s * 3 + 1, DAY + timedelta(hours=r.randrange(50)), r.random() < 0.5) for k in range(60) for s in range(r.randrange(1, 12))]
+    schema, state, want = "post_id string, seq long, collected_at timestamp_ntz, missed boolean", spark.createDataFrame([], S.SCHEMAS["strikes"]), {}
+    for low, high in ((0, 9), (9, 16), (16, 99)):
+        part = [x for x in rows if low < x[1] <= high]
+        for post, _, at, missed in sorted(part, key=lambda x: x[1]):
+            now = want.get(post)
+            if missed:
+                want[post] = (now[0] + 1, now[1], at, now[3]) if now else (1, at, at, None)
+            elif now:
+                want[post] = (0, now[1], now[2], at)
+        changed = S.strike_step()(state, spark.createDataFrame(part, schema)).collect()
+        held = {x.post_id: x for x in state.collect()} | {x.post_id: x for x in changed}
+        state = spark.createDataFrame(list(held.values()), S.SCHEMAS["strikes"])
+        assert {k: tuple(x)[1:5] for k, x in held.items()} == want
+    assert len(want) > 40
+
+
+def test_strikes_make_no_call_per_post(spark, tmp_path):
+    schema = "post_id string, seq long, collected_at timestamp_ntz, missed boolean"
+    spark.createDataFrame([(f"p{k}", 1, DAY, True) for k in range(20)], schema).write.parquet(f"{tmp_path}/in/k=0")
+    state = BucketedState(spark, f"{tmp_path}/state", S.SCHEMAS["strikes"], ["post_id"], buckets=2)
+    S.strike_stream(S.landed(spark, schema, f"{tmp_path}/in"), state, f"{tmp_path}/checkpoint")
+    assert not list((tmp_path / "checkpoint").glob("state/*")) and state.rows().count() == 20  # the posts' rows are the only state

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -12,7 +12,7 @@ from tidemark.functions import metrics as M
 from tidemark.operators.relational import insert_absent
 from tidemark.plans.entity_jobs import sync_latest
 from tidemark.sources.resume import BatchHistory
-from tidemark.streaming.state import BucketedState
+from tidemark.streaming.state import BucketedState, run_stream
 
 col = F.col
 
@@ -82,13 +82,41 @@ class Strikes(StatefulProcessor):
         pass
 
 
+def strike_step(limit: int = 3) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """The fold of Strikes as one aggregate over a micro-batch, put on top of the state rows of its posts: no call per post."""
+
+    def step(state: DataFrame, batch: DataFrame) -> DataFrame:
+        hit, miss = F.when(~col("missed"), col("seq")), F.when(col("missed"), col("seq"))
+        rows = batch.withColumn("__hit", F.max(hit).over(Window.partitionBy("post_id")))
+        new = rows.groupBy("post_id").agg(
+            F.count(miss).alias("misses"),
+            F.count_if(col("missed") & (col("__hit").isNull() | (col("seq") > col("__hit")))).alias("after"),
+            F.any_value("__hit").alias("hit"),
+            F.max_by("collected_at", hit).alias("hit_at"),
+            F.min(miss).alias("miss"),
+            F.min_by("collected_at", miss).alias("first_at"),
+            F.max_by("collected_at", miss).alias("last_at"),
+        )
+        both = new.join(state.withColumn("held", F.lit(True)), "post_id", "left").where(col("held") | (col("misses") > 0))
+        known = F.coalesce(col("held"), F.lit(False)) | (col("miss") < col("hit"))  # as missed, when the last return came
+        count = F.when(col("hit").isNotNull(), col("after")).otherwise(F.coalesce("failure_count", F.lit(0)) + col("misses"))
+        status = F.when(count >= limit, "unavailable").when(count > 0, "unavailable_candidate").otherwise("recovered")
+        success = F.when(known & col("hit").isNotNull(), col("hit_at")).otherwise(col("last_success_at"))
+        return both.select("post_id", count.alias("failure_count"), F.coalesce("first_failed_at", "first_at").alias("first_failed_at"), F.coalesce("last_at", "last_failed_at").alias("last_failed_at"), success.alias("last_success_at"), status.alias("status"))
+
+    return step
+
+
 def strike_stream(attempts: DataFrame, state: BucketedState, checkpoint: str, limit: int = 3, forget_after_ms: int | None = None) -> DataFrame:
-    """Strikes over a stream of attempts (post_id, seq, collected_at, missed) on the RocksDB state store; the changed rows go to state. All of it, after what is there is processed.
+    """Strikes over a stream of attempts (post_id, seq, collected_at, missed); the changed rows go to state. All of it, after what is there is processed.
 
-    forget_after_ms: posts whose state did not change for so long start anew (by default never).
+    A micro-batch is folded as a whole (strike_step). forget_after_ms: posts whose state did not change for so long start anew
+    (by default never); times of change are kept by the engine, so the posts then go one by one through Strikes on the RocksDB state store.
     """
+    if forget_after_ms is None:
+        return run_stream(attempts, state, strike_step(limit), checkpoint)
     spark = attempts.sparkSession
-    folded = attempts.groupBy("post_id").transformWithState(Strikes(limit, forget_after_ms), SCHEMAS["strikes"], "update", "processingTime" if forget_after_ms else "none")
+    folded = attempts.groupBy("post_id").transformWithState(Strikes(limit, forget_after_ms), SCHEMAS["strikes"], "update", "processingTime")
 
     def apply(changed: DataFrame, number: int) -> None:
         state.apply(changed, number, lambda _, new: new)
