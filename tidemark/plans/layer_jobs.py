@@ -312,7 +312,7 @@ def catalog_site(t: Tables) -> DataFrame:
     e = F.url_encode
     site = F.lit("https://h.example/")
     maker = F.concat(F.lit("M "), F.floor(col("p_partkey") / 50).cast("string"))
-    p = t.raw("part").select("p_partkey", maker.alias("maker"), F.floor(col("p_partkey") / 5000).alias("index"), "p_name", "p_size", col("p_partkey").cast("string").alias("k"))
+    p = t.spread("part", "p_partkey", "p_partkey", "p_name", "p_size").select("p_partkey", maker.alias("maker"), F.floor(col("p_partkey") / 5000).alias("index"), "p_name", "p_size", col("p_partkey").cast("string").alias("k"))
     model_url = F.concat(F.lit("catalogo.asp?fabricante="), e("maker"), F.lit("&varnome="), e("p_name"), F.lit("&codigo="), "k")
     a = lambda href, label: F.concat(F.lit("<a href='"), href, F.lit("'>"), label, F.lit("</a>"))
     page = lambda url, body: (F.concat(site, url).alias("url"), F.concat(F.lit("<body>"), body, F.lit("</body>")).alias("html"))
