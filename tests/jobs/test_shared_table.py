@@ -1,6 +1,8 @@
 """Tables that several queries share."""
 
 from tidemark.operators.materialize import shared_table
+from tidemark.plans.snapshots import QUERIES
+from tidemark.sources.tables import Tables
 
 
 def test_made_once_while_the_input_stays(spark, tmp_path):
@@ -19,3 +21,16 @@ def test_made_once_while_the_input_stays(spark, tmp_path):
     assert rows() == [1, 2, 3, 6, 7] and len(made) == 2
     spark.range(0).write.mode("overwrite").parquet(f"{tmp_path}/in")
     assert rows() == [] and rows() == [] and len(made) == 3
+
+
+def test_partitions_of_the_states_grow_with_the_table(spark):
+    t = Tables(spark, "/root/testdata/sf0.01")
+    rows = t.raw("lineitem")
+    assert t._dealt(rows, "l_orderkey", "lineitem").rdd.getNumPartitions() == 4  # the session's own number is enough
+    assert t._dealt(rows, "l_orderkey", "lineitem", rows=rows.count() // 9).rdd.getNumPartitions() >= 9
+
+
+def test_what_the_posts_rows_hold_is_not_joined_again(spark):
+    for name in ("q19_recompute_next_check", "q48_dq_checks"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Window" not in plan, name

@@ -184,8 +184,9 @@ def q61(t):
 )
 def q48(t):
     named = lambda df, n: df.select(F.lit(n).alias("check_name"), "post_id")
-    bare = t.posts.select("post_id").join(t.history.select("post_id"), "post_id", "left_anti")
-    gap = t.event_history.groupBy("post_id").agg(F.max("collected_at").alias("m")).where(col("m") < t.as_of_events - hours(24))
+    bare = t.post_rows.where("total_checagens IS NULL")  # counts the post's rows in the history
+    last = t.raw("events").groupBy("user_id").agg(F.max("ts").cast("timestamp_ntz").alias("m"))
+    gap = last.select(F.concat(F.lit("e"), col("user_id").cast("string")).alias("post_id"), "m").where(col("m") < t.as_of_events - hours(24))
     return named(bare, "posts_without_history").unionByName(named(t.posts.where("collected_at IS NULL"), "null_collected_at")).unionByName(named(gap, "gap_24h"))
 
 
