@@ -94,3 +94,13 @@ def test_windows_equal_the_history(spark, tmp_path):
                 want.setdefault(p, []).append(v)
         got = {r.post_id: (r.checks, r.views_growth) for r in windows.report("2026-01-09 01:00:00", hours).collect()}
         assert got == {p: (len(v), v[-1] - v[0]) for p, v in want.items()}
+
+
+def test_deliveries_of_snapshots_read_rows_that_are_made_once(spark, monkeypatch):
+    from tidemark.plans.snapshots import QUERIES
+    from tidemark.sources.resume import BatchHistory
+
+    plans, real = [], BatchHistory.append
+    monkeypatch.setattr(BatchHistory, "append", lambda self, rows, n: (plans.append(rows._jdf.queryExecution().optimizedPlan().toString()), real(self, rows, n))[1])
+    QUERIES["t07_exactly_once_append"](spark, "/root/testdata/sf0.001")
+    assert len(plans) >= 3 and "Window" not in plans[-1]
