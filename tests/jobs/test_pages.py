@@ -204,3 +204,12 @@ def test_numbers_and_periods_tell_their_errors(spark):
         T.reference_period(F.lit("m/2026/ 04/x.pdf")).cast("string").alias("g"), T.page_number(F.lit("http://a/?pg=p2&pagina=x")).alias("h"),
     ).first()
     assert tuple(r) == ("not a whole number: 12x", None, None, "invalid month: 13", "no period in the path", None, "2026-04-01", 2)
+
+
+def test_the_frontier_of_stored_pages_scans_them_once(spark, monkeypatch):
+    edges = []
+    real = P.expand_frontier
+    monkeypatch.setattr(P, "expand_frontier", lambda seeds, e, **more: (edges.append(e), real(seeds, e, **more))[1])
+    QUERIES["h09_frontier"](spark, "/root/testdata/sf0.001")
+    plan = edges[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and "pages.parquet" not in plan

@@ -353,8 +353,9 @@ SELECT seed, url, min(depth) AS depth FROM r GROUP BY 1, 2"""
 @query("h09_frontier", f"SELECT seed, url, depth::INTEGER AS depth FROM ({LINK_GRAPH}) WHERE depth <= 4")
 def h09(t):
     """What each tenth page reaches in four steps over the links of the stored pages, forward and back."""
-    links = P.page_links(t.raw("pages")).where(col("href").startswith("/")).select("from_url", "url")
-    both = links.unionByName(links.select(col("url").alias("from_url"), col("from_url").alias("url"))).distinct()
+    links = P.page_links(t.spread("pages", "page_id")).where(col("href").startswith("/"))
+    ends = F.array(F.struct(col("from_url").alias("from_url"), col("url").alias("url")), F.struct(col("url").alias("from_url"), col("from_url").alias("url")))
+    both = create_table_as(links.select(F.explode(ends).alias("e")).select("e.*").distinct(), "edges")  # one scan for both ways and all levels
     seeds = t.raw("pages").where("page_id % 10 = 0").select(col("page_id").alias("seed"), "url")
     return P.expand_frontier(seeds, both.withColumn("page", F.lit(1)), limit=1_000_000, levels=4).select("seed", "url", "depth")
 

@@ -21,7 +21,7 @@ lk AS (SELECT page_id, url AS from_url, unnest(regexp_extract_all(html, '<a\s[^>
 
 @query("q28_catalog_links", "SELECT page_id, count(*) AS links, count(DISTINCT href) AS targets, min(href) AS first_target FROM lk GROUP BY 1", LINKS_CTE)
 def q28(t):
-    links = P.page_links(t.raw("pages"))
+    links = P.page_links(t.spread("pages", "page_id"))
     return links.groupBy("page_id").agg(F.count("*").alias("links"), F.count_distinct("href").alias("targets"), F.min("href").alias("first_target"))
 
 
@@ -31,7 +31,7 @@ def q28(t):
     LINKS_CTE,
 )
 def q28b(t):
-    return P.page_links(t.raw("pages")).groupBy("page_id").agg(F.min("url").alias("least_url"), F.max("url").alias("greatest_url"))
+    return P.page_links(t.spread("pages", "page_id")).groupBy("page_id").agg(F.min("url").alias("least_url"), F.max("url").alias("greatest_url"))
 
 
 @query(
