@@ -2,8 +2,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tidemark.llm.common import ROW_GROUP, text_batches
 from tidemark.llm.queries import PIECE_MODEL
 
 ITEM = "A train leaves the town at noon and travels with constant speed until it meets the other train beyond the old river bridge"
@@ -66,3 +68,17 @@ def test_stages_take_odd_rows_and_clashing_columns(spark, folder):
     assert got == {None, 1, 2, 3, 4, 5, 6}
     kept = corpus_pipeline.near_dedup(spark, df, path).collect()
     assert {1, 2, 3, 4, 5} <= {r.doc_id for r in kept} and None in {r.doc_id for r in kept} and 6 not in {r.doc_id for r in kept}
+
+
+def test_row_groups_of_texts_are_small(spark, tmp_path):
+    """What a task buffers of a stage's texts does not grow with its rows: 36 MB are several row groups."""
+    import pyarrow.parquet as pq
+
+    text_batches(spark)
+    text = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(140)), lambda k: F.sha2(F.concat_ws(" ", "id", k), 256)))
+    spark.range(4000).coalesce(1).select("id", text.alias("text")).write.parquet(f"{tmp_path}/texts")
+    (file,) = (tmp_path / "texts").glob("*.parquet")
+    held = pq.ParquetFile(file).metadata
+    sizes = [held.row_group(i).total_byte_size for i in range(held.num_row_groups)]
+    assert sum(sizes) > 30 << 20 and max(sizes) < 1.5 * ROW_GROUP
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 500

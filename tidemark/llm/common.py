@@ -77,9 +77,15 @@ def arrow_rows(spark: SparkSession, n: int):
     return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
 
 
+#: Bytes of a Parquet row group of texts: what a task holds while it writes one, and of a column while it reads one.
+ROW_GROUP = 16 << 20
+
+
 def text_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """For the whole session of a query or pipeline over texts: Arrow batches of so many rows. The usual ten times as many hold tens of megabytes, several times over, in the executor and its workers."""
+    """For the whole session of a query or pipeline over texts: Arrow batches of so many rows, Parquet batches of half as many, small row groups. The usual ones hold tens of megabytes, several times over, in the executor and its workers, and what an executor's heap has grown to it keeps."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(max(1, rows // 2)))
+    spark.conf.set("parquet.block.size", str(ROW_GROUP))
 
 
 def small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
