@@ -34,3 +34,10 @@ def test_what_the_posts_rows_hold_is_not_joined_again(spark):
     for name in ("q19_recompute_next_check", "q48_dq_checks"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Window" not in plan, name
+
+
+def test_a_run_shuffles_neither_all_responses_nor_all_posts(spark):
+    plan = QUERIES["q23_run_summary"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+    assert "from_json" not in plan.optimizedPlan().toString()  # responses were met once, with the batch's uploads
+    anti = [x for x in plan.executedPlan().toString().split("\n") if "LeftAnti" in x]
+    assert anti and all("BroadcastHashJoin" in x for x in anti)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import metrics as M
+from tidemark.operators.materialize import create_table_as
+from tidemark.operators.ranks import small
 from tidemark.operators.relational import endpoints, first_rows, upsert
 from tidemark.plans.dashboard_jobs import CREATOR_CTE, creator_summary
 from tidemark.plans.layer_jobs import video_responses
@@ -245,10 +247,12 @@ def q23_summary(t, size: int = 60, cursor: int = 20):
     read = batch.where("creator_id % 11 <> 5")
     listed = read.where("creator_id % 9 <> 4")  # the others' channels list no uploads
     owner = t.raw("orders").select(F.concat(F.lit("p"), col("o_orderkey").cast("string")).alias("post_id"), col("o_custkey").alias("creator_id"))
-    found = readers.normalize_video_details(video_responses(t)).join(owner.join(listed, "creator_id"), "post_id").select("post_id", "creator_id", "title", "views")
+    uploads = small(create_table_as(owner.join(listed, "creator_id"), "uploads"))  # of a batch's creators
+    found = create_table_as(readers.normalize_video_details(video_responses(t)).join(uploads, "post_id").select("post_id", "creator_id", "title", "views"), "found")
     stored = t.posts.where("id % 3 <> 0").select("post_id", "creator_id", "title", "views")
-    after = upsert(stored, found, ["post_id"])
-    changed = found.join(stored.select("post_id", F.lit(True).alias("known")), "post_id", "left")
+    after = upsert(stored, small(found), ["post_id"])
+    known = create_table_as(stored.select("post_id").join(small(found.select("post_id")), "post_id", "left_semi"), "known")
+    changed = found.join(known.withColumn("known", F.lit(True)), "post_id", "left")
     counts = changed.agg(F.count_distinct("creator_id").alias("processed"), F.count_if(col("known").isNull()).alias("posts_inserted"), F.count_if("known").alias("posts_updated"))
     errors = failed.orderBy("creator_id").limit(10).agg(F.transform(F.sort_array(F.collect_list("creator_id")), lambda c: F.concat(c.cast("string"), F.lit(": channel cannot be read"))).alias("error_details"))
     ends = after.agg(F.count("*").alias("posts_after")).select((col("posts_after") - stored.count()).alias("grown"))
