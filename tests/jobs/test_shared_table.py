@@ -40,11 +40,17 @@ def test_what_the_posts_rows_hold_is_not_joined_again(spark):
 
 
 def test_batches_take_the_lags_from_the_posts_rows(spark):
-    for name in ("q04_queue_batch_v2", "q35_batch_comparison", "q21_legacy_low_batch"):
+    for name in ("q04_queue_batch_v2", "q35_batch_comparison", "q35_batch_profile", "q21_legacy_low_batch"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "lineitem" not in plan and "max_by" not in plan and "post-states" not in plan, name
 
 
+def test_coverage_and_checks_are_columns_of_the_posts_rows(spark):
+    for name in ("q37_coverage_daily", "q38_guardrail_debt", "q39_legacy_low_counts", "q32_checks_histogram"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan, name
+
+
 def test_a_run_shuffles_neither_all_responses_nor_all_posts(spark):
     plan = QUERIES["q23_run_summary"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
     assert "from_json" not in plan.optimizedPlan().toString()  # responses were met once, with the batch's uploads

@@ -157,10 +157,10 @@ def q47_row(t):
 def q35_profile(t):
     """Who is in either batch: by coverage, level of history and band."""
     sides = batch_comparison(t).select("post_id", "side", F.coalesce("priority_band_v2_b", "priority_band_a").alias("priority_band"))
-    sides = F.broadcast(sides)  # two batches: 90 rows at most
-    kinds = coverage(t).select("post_id", "coverage_status").join(sides, "post_id", "right")
-    levels = post_features(t).select("post_id", "history_level").join(sides.select("post_id"), "post_id", "left_semi")
-    return kinds.join(levels, "post_id", "left").groupBy("side", "coverage_status", "history_level", "priority_band").agg(F.count("*").alias("posts"))
+    sides = create_table_as(sides, "sides")  # two batches: 90 rows at most
+    of = lambda df: F.broadcast(df.join(F.broadcast(sides.select("post_id")), "post_id", "left_semi"))
+    kinds, levels = of(coverage(t).select("post_id", "coverage_status")), of(post_features(t).select("post_id", "history_level"))
+    return sides.join(kinds, "post_id", "left").join(levels, "post_id", "left").groupBy("side", "coverage_status", "history_level", "priority_band").agg(F.count("*").alias("posts"))
 
 
 @query("q37_coverage_counts", "SELECT coverage_status, checks AS total_checagens, count(*) AS total_posts FROM cov GROUP BY ALL", COVERAGE_CTE)
