@@ -2,7 +2,9 @@
 
 import random
 from collections import deque
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +215,51 @@ def test_the_frontier_of_stored_pages_scans_them_once(spark, monkeypatch):
     QUERIES["h09_frontier"](spark, "/root/testdata/sf0.001")
     plan = edges[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" not in plan and "pages.parquet" not in plan
+
+
+def plain_search(seeds, edges, levels):
+    """Least steps from each seed, one seed after the other."""
+    after, out = {}, {}
+    for f, t in edges:
+        after.setdefault(f, set()).add(t)
+    for seed, url in seeds:
+        found, last, depth = {url: 0}, [url], 0
+        while last and (levels is None or depth < levels):
+            last, depth = sorted({t for f in last for t in after.get(f, ()) if t not in found}), depth + 1
+            found.update(dict.fromkeys(last, depth))
+        for to, n in found.items():
+            out[seed, to] = min(n, out.get((seed, to), n))
+    return out
+
+
+@pytest.mark.parametrize(("levels", "most"), [(3, 32_000_000), (None, 2000)])
+def test_reach_equals_a_plain_search(spark, levels, most):
+    r = random.Random(5)
+    urls = [f"https://h/p{i}" for i in range(150)] + ["https://h/x/Erro.asp"]
+    edges = [(r.choice(urls), r.choice(urls)) for _ in range(450)] + [(urls[0], u) for u in urls[:20]] + [(urls[1], urls[2])] * 2
+    seeds = [(i, r.choice(urls)) for i in range(1200)] + [(1200, None), (1201, "https://h/alone"), (1202, urls[3]), (1202, urls[4]), (1203, urls[5]), (1203, urls[5])]
+    rows = P.reach(spark.createDataFrame(seeds, "seed int, url string"), spark.createDataFrame(edges, "from_url string, url string"), levels, most=most, hub=3).collect()
+    got = {(x.seed, x.url): x.depth for x in rows}
+    assert len(got) == len(rows)
+    assert got == plain_search(seeds, edges, levels)
+
+
+def test_runs_hold_neighbouring_blocks():
+    assert list(P._runs([(0, 5), (1, 5), (2, 1), (4, 20), (5, 1)], 10)) == [(0, 1, 10), (2, 2, 1), (4, 4, 20), (5, 5, 1)]
+    assert list(P._runs([], 10)) == []
+
+
+@pytest.mark.parametrize("third", ["/c", "/x/Erro.asp"])
+def test_the_frontier_of_stored_pages_writes_no_row_for_each_pair(spark, tmp_path, third):
+    """Pages of one host that share their links: each reaches all others, also over an error page."""
+    named = ["/a", "/b", third]
+    site = [(10 * i, f"https://h.example/en/{i}", "".join(f'<a class="n" href="{u}">t</a>' for u in (named[i % 3], named[(i + 1) % 3]))) for i in range(600)]
+    spark.createDataFrame(site, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    staged = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(staged.rglob("*.parquet"))
+    got = {(x.seed, x.url): x.depth for x in QUERIES["h09_frontier"](spark, str(tmp_path)).collect()}
+    links = [(u, f"https://h.example{named[(i + k) % 3]}") for i, (_, u, _) in enumerate(site) for k in (0, 1)]
+    assert got == plain_search([(i, u) for i, u, _ in site], links + [(t, f) for f, t in links], 4)
+    assert len(got) == 600 * 603
+    written = sum(pq.read_metadata(f).num_rows for f in set(staged.rglob("*.parquet")) - before if f.is_file())
+    assert written < len(got) / 20

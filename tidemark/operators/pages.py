@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import PAGE_KEYS, build_query, host_of, is_error_url, is_group_header, normalize_label, normalize_text, page_number, path_of, query_param, same_catalog_signature, year_of
 from tidemark.operators.markup import page_elements
-from tidemark.operators.materialize import create_table_as
+from tidemark.operators.materialize import create_table_as, shared_folder, shuffles_dropped
+from tidemark.operators.ranks import small
 from tidemark.operators.relational import dedupe, dedupe_best, dedupe_last_at_first
 
 col = F.col
@@ -140,14 +143,101 @@ def valid_year_pages(pages: DataFrame, status: Column | None = None) -> DataFram
     return checked.join(sheet, "page_id").where((col("status") == 200) & ~col("has_error_text")).select("page_id", "status", "final_url", "has_spec_link", "has_error_text")
 
 
-def expand_frontier(seeds: DataFrame, edges: DataFrame, limit: int = 30, levels: int | None = None, fits: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+#: Words of 64 bits in a row of reach(): a row tells which of 512 seeds reach a page.
+WORDS = 8
+
+
+def _runs(blocks: Sequence[tuple[int, int]], most: int) -> Iterator[tuple[int, int, int]]:
+    """(first, last, rows) of neighbouring blocks (number, rows) that have at most so many rows together, or of one block."""
+    lo = hi = total = None
+    for block, rows in blocks:
+        if lo is not None and total + rows <= most:
+            hi, total = block, total + rows
+            continue
+        if lo is not None:
+            yield lo, hi, total
+        lo, hi, total = block, block, rows
+    if lo is not None:
+        yield lo, hi, total
+
+
+def reach(seeds: DataFrame, edges: DataFrame, levels: int | None = None, most: int = 32_000_000, task: int = 500_000, hub: int = 4096) -> DataFrame:
+    """All that seeds (seed, url) reach over edges (from_url, url) in levels steps: (seed, url, depth), depth the least number of steps.
+
+    The result has up to seeds times pages rows, so nothing on the way holds a row for each. Addresses and seeds are numbered, seeds in
+    the order of their addresses, and 512 of them are a block; a row (node, block) of a level tells by bits which seeds of the block
+    first reach the node there. A step sends the last level's rows along the edges and joins the bits of one (node, block) by bit_or.
+    One job takes as many neighbouring blocks as send at most `most` rows (and `task` rows for each shuffle partition), or one block;
+    its shuffle files go when it ends. A page with more than `hub` edges is several keys. Bits become rows where the result is read.
+    """
+    spark = seeds.sparkSession
+    cores, bits = spark.sparkContext.defaultParallelism, 64 * WORDS
+    words = [f"w{i}" for i in range(WORDS)]
+    any_of = lambda df: df.groupBy("node", "block").agg(*[F.bit_or(w).alias(w) for w in words])
+    starts = create_table_as(seeds.select("seed", "url"), "seeds")
+    by_place = starts.groupBy("seed").agg(F.min("url").alias("at")).repartitionByRange(-(-starts.count() // 200_000) or 1, "at", "seed").sortWithinPartitions("at", "seed")
+    numbered = create_table_as(by_place.select("seed", F.monotonically_increasing_id().alias("n")), "numbered").select("seed", F.shiftright("n", 33).alias("range"), (col("n") % (1 << 33)).alias("n"))
+    sizes = sorted(numbered.groupBy("range").count().collect())  # a row for 200,000 seeds
+    offsets = spark.createDataFrame([(r[0], sum(x[1] for x in sizes[:i])) for i, r in enumerate(sizes)], "range long, before long")
+    n = col("before") + col("n")
+    numbered = numbered.join(F.broadcast(offsets), "range").select("seed", F.floor(n / bits).alias("block"), (n % bits).alias("bit"))
+    urls = edges.select(F.explode(F.array("from_url", "url")).alias("url")).unionByName(starts.select("url")).distinct()
+    nodes = create_table_as(urls.select(F.monotonically_increasing_id().alias("node"), "url"), "nodes")
+    ids = lambda node, url: nodes.select(col("node").alias(node), col("url").alias(url))
+    steps = create_table_as(edges.select("from_url", "url").join(ids("node", "from_url"), "from_url").join(ids("to", "url"), "url").select("node", "to"), "steps")
+    degrees = create_table_as(steps.groupBy("node").agg(F.count("*").alias("n")), "degrees")
+    hubs = small(degrees.where(col("n") > hub).select("node", F.ceil(col("n") / hub).cast("int").alias("parts")))
+    steps = steps.join(hubs, "node", "left").select("node", F.coalesce(F.pmod(F.xxhash64("to"), "parts"), F.lit(0)).cast("int").alias("part"), "to")
+
+    path = f"{shared_folder(spark)}/reach-{uuid.uuid4().hex}"
+
+    def add(df: DataFrame, depth: int) -> None:
+        with shuffles_dropped(spark):
+            df.write.mode("append").parquet(f"{path}/depth={depth}")
+
+    def found() -> DataFrame:
+        return spark.read.schema(f"node long, block long, {', '.join(f'{w} long' for w in words)}, depth int").parquet(path)
+
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (col("bit") % 64).cast("int"))
+    first = starts.join(numbered, "seed").join(ids("node", "at"), col("url").eqNullSafe(col("at")))
+    add(any_of(first.select("node", "block", *[F.when(F.floor(col("bit") / 64) == i, one).otherwise(F.lit(0)).alias(w) for i, w in enumerate(words)])), 0)
+    depth, room = 0, min(most, task * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    while levels is None or depth < levels:
+        seen = found()
+        last = seen.where(col("depth") == depth).drop("depth")
+        sent = last.select("node", "block").join(degrees, "node").groupBy("block").agg(F.sum("n").alias("n")).collect()  # a row for 512 seeds
+        for lo, hi, rows in _runs(sorted((r.block, r.n) for r in sent), room):
+            here, tasks = col("block").between(lo, hi), max(cores, -(-rows // task))
+            at = last.where(here).join(hubs, "node", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+            to = at.repartition(tasks, "node", "part").join(steps.repartition(tasks, "node", "part"), ["node", "part"]).select(col("to").alias("node"), "block", *words)
+            old = any_of(seen.where(here)).withColumnsRenamed({w: f"old_{w}" for w in words})
+            new = any_of(to).join(old, ["node", "block"], "left").select("node", "block", *[col(w).bitwiseAND(F.bitwise_not(F.coalesce(f"old_{w}", F.lit(0).cast("long")))).alias(w) for w in words])
+            add(new.where(reduce(lambda a, b: a.bitwiseOR(b), map(col, words)) != 0), depth + 1)
+        if not sent:
+            break
+        depth += 1
+    seen = found()
+    tasks = max(cores, -(-seen.count() // 20_000))  # of 512 result rows each at most
+    members = numbered.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bit", "seed"))).alias("s")).select("block", col("s.seed").alias("seeds"))
+    x = seen.repartition(tasks, "node").join(nodes.repartition(tasks, "node"), "node").join(small(members, 2000), "block")
+    x = x.select("seeds", "url", "depth", F.posexplode(F.array(*words)).alias("k", "word")).where("word <> 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("i"))
+    x = x.where(F.call_function("shiftright", "word", "i").bitwiseAND(F.lit(1).cast("long")) == 1)
+    return x.select(F.get("seeds", col("k") * 64 + col("i")).alias("seed"), "url", "depth")
+
+
+def expand_frontier(seeds: DataFrame, edges: DataFrame, limit: int | None = 30, levels: int | None = None, fits: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Breadth-first over stored pages: seeds (seed, url), edges (from_url, page, url) -> (seed, place, url, depth, unfinished, stopped).
 
     A seed's pages are visited in the order in which a queue holds them: by the place of the page that named them first, then
     by (page, url), limit pages and levels steps at most. A seed ends at a page whose address is an error: its visit is the last, stopped is
     true. unfinished: pages were left when the limit was reached. One round a level, each written before the next; a level holds
     at most limit pages of a seed, so a hub's neighbours never count for more. fits(url, seed's url): which edges a seed follows.
+    limit None: everything within levels steps, (seed, url, depth) in no order, over error pages too, the same edges for all seeds (reach).
     """
+    if limit is None:
+        if fits:
+            raise ValueError("fits needs a limit")
+        return reach(seeds, edges, levels)
     roots = create_table_as(seeds.select("seed", col("url").alias("__root")), "seeds") if fits else None
     seen = create_table_as(seeds.select("seed", F.lit(0).alias("place"), "url", F.lit(0).alias("depth"), is_error_url(col("url")).alias("bad")), "frontier")
     left, depth = None, 0

@@ -357,7 +357,7 @@ def h09(t):
     ends = F.array(F.struct(col("from_url").alias("from_url"), col("url").alias("url")), F.struct(col("url").alias("from_url"), col("from_url").alias("url")))
     both = create_table_as(links.select(F.explode(ends).alias("e")).select("e.*").distinct(), "edges")  # one scan for both ways and all levels
     seeds = t.raw("pages").where("page_id % 10 = 0").select(col("page_id").alias("seed"), "url")
-    return P.expand_frontier(seeds, both.withColumn("page", F.lit(1)), limit=1_000_000, levels=4).select("seed", "url", "depth")
+    return P.expand_frontier(seeds, both.withColumn("page", F.lit(1)), limit=None, levels=4).select("seed", "url", "depth")
 
 
 @query("h11_titles", r"SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title[^>]*>((?s:.*?))</title>', 1), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages")
